@@ -65,17 +65,19 @@ def cache_lookup(plan: DataFrame, cache: DataFrame, now: Column) -> DataFrame:
     return plan.join(stored, "lookup_key", "left").withColumn("hit", F.col("stored").isNotNull())
 
 
-def in_batch_cache(calls: DataFrame) -> DataFrame:
-    """Who pays for a key inside a batch: ``repeat`` rows reuse an earlier row's answer.
+def in_batch_cache(calls: DataFrame, scope: tuple[str, ...] = ("batch_id",)) -> DataFrame:
+    """Who pays for a key: ``repeat`` rows reuse an earlier row's answer.
 
-    ``calls`` carries the outcome each row would get (``status``).  The first row of a
-    (batch, key) pays; later ones are repeats when that outcome can be cached.  First rows
+    ``calls`` carries the outcome each row would get (``status``).  The first row of a key in
+    its ``scope`` pays; later ones are repeats when that outcome can be cached.  With an
+    empty scope several batches of one job share their answers, in batch order.  First rows
     come from a map-side combined minimum, not from a window over a possibly hot key.
     """
-    payer = (calls.groupBy("batch_id", "lookup_key")
-             .agg(F.min("row_number").alias("payer_row")))
-    return (calls.join(payer, ["batch_id", "lookup_key"])
-            .withColumn("repeat", (F.col("row_number") > F.col("payer_row"))
+    place = F.struct("batch_id", "row_number")
+    keys = [*scope, "lookup_key"]
+    payer = calls.groupBy(*keys).agg(F.min(place).alias("payer"))
+    return (calls.join(payer, keys)
+            .withColumn("repeat", (place > F.col("payer"))
                         & F.col("status").isin(V.CACHEABLE_STATUSES)))
 
 
@@ -136,21 +138,6 @@ def identifier_of(cfg: LadderConfig = LADDER) -> Column:
             .otherwise(name))
 
 
-def match_strong(plan: DataFrame, people: DataFrame, cfg: LadderConfig = LADDER) -> DataFrame:
-    """Answers on the e-mail, profile and name-with-context rungs: 200 with a person, or 404.
-
-    One equi-join on (method, identifier) serves all three rungs, so the plan is read once.
-    """
-    asked = (plan.filter(F.col("call_kind") == "enrich")
-             .withColumn("method", F.col("lookup_method"))
-             .withColumn("identifier", identifier_of(cfg)))
-    found = F.col("person_id").isNotNull()
-    return (asked.join(identifier_index(people, cfg), ["method", "identifier"], "left")
-            .drop("method", "identifier")
-            .withColumn("http_status", F.when(found, 200).otherwise(404))
-            .withColumn("candidates", F.when(found, 1)))
-
-
 def gate_candidates(candidates: DataFrame, cfg: LadderConfig = LADDER) -> DataFrame:
     """One verdict per name: confident or not, the top candidate, its score, how many.
 
@@ -173,13 +160,49 @@ def gate_candidates(candidates: DataFrame, cfg: LadderConfig = LADDER) -> DataFr
         F.when(confident, "matched").otherwise("ambiguous").alias("gate"))
 
 
+def answer_index(people: DataFrame | None, candidates: DataFrame | None,
+                 cfg: LadderConfig = LADDER) -> DataFrame:
+    """Everything the provider could answer: one row per (method, identifier)."""
+    parts = []
+    if people is not None:
+        parts.append(identifier_index(people, cfg).withColumns(
+            {"candidates": F.lit(1), "gate": F.lit(None).cast("string")}))
+    if candidates is not None:
+        parts.append(gate_candidates(candidates, cfg)
+                     .withColumnRenamed("name_key", "identifier")
+                     .withColumn("method", F.lit("name_only")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _answer(plan: DataFrame, index: DataFrame, cfg: LadderConfig) -> DataFrame:
+    asked = (plan.withColumn("method", F.col("lookup_method"))
+             .withColumn("identifier", identifier_of(cfg)))
+    known = index.withColumn("answered", F.lit(True))
+    return (asked.join(known, ["method", "identifier"], "left")
+            .withColumn("http_status", F.when(F.col("answered"), 200).otherwise(404))
+            .drop("method", "identifier", "answered"))
+
+
+def match_ladder(plan: DataFrame, people: DataFrame, candidates: DataFrame,
+                 cfg: LadderConfig = LADDER) -> DataFrame:
+    """The answer to every planned row, all four rungs in one equi-join.
+
+    Adds http_status, person_id, likelihood, candidates and (name rung) gate.  Each row asks
+    on its own rung only, so the plan is read and shuffled once and no OR-join is needed.
+    """
+    return _answer(plan, answer_index(people, candidates, cfg), cfg)
+
+
+def match_strong(plan: DataFrame, people: DataFrame, cfg: LadderConfig = LADDER) -> DataFrame:
+    """Answers on the e-mail, profile and name-with-context rungs: 200 with a person, or 404."""
+    return _answer(plan.filter(F.col("call_kind") == "enrich"),
+                   answer_index(people, None, cfg), cfg).drop("gate")
+
+
 def match_identify(plan: DataFrame, candidates: DataFrame, cfg: LadderConfig = LADDER) -> DataFrame:
     """Answers on the name-only rung through the confidence gate."""
-    name = normalize_text(F.concat_ws(" ", "first_name", "last_name"))
-    asked = plan.filter(F.col("call_kind") == "identify").withColumn("name_key", name)
-    return (asked.join(gate_candidates(candidates, cfg), "name_key", "left")
-            .drop("name_key")
-            .withColumn("http_status", F.when(F.col("gate").isNotNull(), 200).otherwise(404)))
+    return _answer(plan.filter(F.col("call_kind") == "identify"),
+                   answer_index(None, candidates, cfg), cfg)
 
 
 def name_candidates(people: DataFrame) -> DataFrame:

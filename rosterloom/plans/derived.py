@@ -21,11 +21,13 @@ _LAST = (f"concat(split_part('Doe|Smith|Lee|García|Müller|O''Brien|Nguyen', '|
          f"cast({_PAIR} % 7 + 1 AS int)), CASE WHEN {_ROUND} = 0 THEN '' ELSE "
          f"concat('-', translate(cast({_ROUND} AS string), '0123456789', 'abcdefghij')) END)")
 
-_BATCH = ("concat('b', lpad(cast(c_nationkey AS string), 2, '0'), '-', "
-          "lpad(cast(cast(floor(c_custkey / 10000) AS bigint) AS string), 6, '0'))")
-_BATCH_DATE = ("concat('2024-0', cast(c_nationkey % 3 + 1 AS string), '-', "
-               "lpad(cast(c_nationkey + 1 AS string), 2, '0'))")
-_ROW = "cast(c_custkey - 10000 * cast(floor(c_custkey / 10000) AS bigint) + 1 AS int)"
+_CHUNK = "cast(floor(c_custkey / 10000) AS bigint)"
+_BATCH = (f"concat('b', lpad(cast({_CHUNK} AS string), 6, '0'), '-', "
+          "lpad(cast(c_nationkey AS string), 2, '0'))")
+# One batch a day, ten years round, so that batch order is time order.
+_BATCH_DATE = (f"cast(DATE '2024-01-01' + cast(({_CHUNK} * 25 + c_nationkey) % 3650 AS int) "
+               "AS string)")
+_ROW = f"cast(c_custkey - 10000 * {_CHUNK} + 1 AS int)"
 
 # Raw rows as a registration export holds them, before any guard.
 REGISTRANTS = f"""
