@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterloom import vocabulary as V
 from rosterloom.config import GuardLimits
-from rosterloom.functions.text import casefold, strip_invisible, strip_space
+from rosterloom.functions.text import WHITE, casefold, strip_invisible, strip_space
 
 LIMITS = GuardLimits()
 
@@ -44,7 +44,7 @@ def name_problem(value: Column, key: Column, limits: GuardLimits = LIMITS) -> Co
 def email_guard(value: Column, limits: GuardLimits = LIMITS) -> tuple[Column, Column]:
     """(usable address, case folded, or null; note or null)."""
     good = ((F.char_length(value) <= limits.email_max_length)
-            & value.rlike(r"(?U)\A[^@\s]+@[^@\s]+\.[^@\s.]+\z"))
+            & value.rlike(rf"\A[^@{WHITE}]+@[^@{WHITE}]+\.[^@{WHITE}.]+\z"))
     return (F.when(good, casefold(value)),
             F.when(value.isNotNull() & ~good, "input.email_invalid"))
 
@@ -54,9 +54,8 @@ def linkedin_guard(normalized: Column) -> tuple[Column, Column]:
 
     Query and fragment, a regional subdomain and everything behind the slug go.
     """
-    path = F.regexp_replace(F.regexp_extract(normalized, r"\A[^?#]*", 0), r"/+\z", "")
     profile = F.regexp_extract(
-        path, r"(?U)\A(?:[a-z]{2,3}\.)?(linkedin\.com/(?:in|pub)/[^/?#\s]+)", 1)
+        normalized, rf"\A(?:[a-z]{{2,3}}\.)?(linkedin\.com/(?:in|pub)/[^/?#{WHITE}]+)", 1)
     return (blank_to_null(profile),
             F.when(normalized.isNotNull() & (profile == ""), "input.linkedin_url_invalid"))
 
@@ -91,7 +90,7 @@ def consent_problem(consent: Column, limits: GuardLimits = LIMITS) -> Column:
 def reason_family(reason: Column) -> Column:
     """A reject reason without its later parts and without the quoted value at its end."""
     head = F.regexp_extract(reason, r"\A[^;]*", 0)
-    return strip_space(F.regexp_replace(head, r"(?U)\s*'[^']*'\s*\z", ""))
+    return strip_space(F.regexp_replace(head, rf"'[^']*'[{WHITE}]*\z", ""))
 
 
 # ------------------------------------------------------------------ dates and positions

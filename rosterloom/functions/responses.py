@@ -53,7 +53,8 @@ def rate_limit_wait(headers: Column, now: Column) -> Column:
             for name in ("retry-after", "x-ratelimit-reset")
             for reading in (first_number(header(headers, name)),
                             seconds_until(header(headers, name), now))]
-    return F.greatest(F.coalesce(*told), F.lit(0.0))
+    seconds = F.coalesce(*told)
+    return F.when(seconds.isNotNull(), F.greatest(seconds, F.lit(0.0)))
 
 
 def credits_remaining(headers: Column) -> Column:

@@ -16,8 +16,13 @@ from pyspark.sql import functions as F
 _ICU_NORMALIZER = "com.ibm.icu.text.Normalizer"
 _ICU_CHARACTER = "com.ibm.icu.lang.UCharacter"
 _ASCII = r"\A[\x00-\x7F]*\z"
-# White space as the row layer means it: Unicode white space and the four separators.
-WHITE = r"\s\x1c-\x1f"
+# Unicode white space and the four information separators, for character classes ...
+WHITE = r"\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# ... and for trimming, which needs no regular expression.
+WHITE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
+    chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+# Folded text without any of these needs no further cleaning, which is most names.
+_UNCLEAN = r"[^a-z0-9_' \-]|\A | \z|  "
 
 
 def _text(value: Column) -> Column:
@@ -46,12 +51,12 @@ def casefold(value: Column) -> Column:
 
 def strip_space(value: Column) -> Column:
     """Trim every kind of white space at both ends."""
-    return F.regexp_replace(value, rf"(?U)\A[{WHITE}]+|[{WHITE}]+\z", "")
+    return F.btrim(value, F.lit(WHITE_CHARS))
 
 
 def _words(folded: Column) -> Column:
-    spaced = F.regexp_replace(folded, rf"(?U)[^\p{{L}}\p{{N}}_{WHITE}'\-]", " ")
-    return F.trim(F.regexp_replace(spaced, rf"(?U)[{WHITE}]+", " "))
+    spaced = F.regexp_replace(folded, rf"[^\p{{L}}\p{{N}}_'\-]+", " ")
+    return F.when(folded.rlike(_UNCLEAN), F.trim(spaced)).otherwise(folded)
 
 
 def normalize_text(value: Column) -> Column:
@@ -65,8 +70,8 @@ def normalize_email(value: Column) -> Column:
 
 def normalize_url(value: Column) -> Column:
     """Profile URL without scheme, ``www.`` and trailing slashes."""
-    bare = F.regexp_replace(normalize_email(value), r"(?i)\A(https?://)?(www\.)?", "")
-    return F.regexp_replace(bare, r"/+\z", "")
+    bare = F.regexp_replace(normalize_email(value), r"\A(https?://)?(www\.)?", "")
+    return F.rtrim(bare, F.lit("/"))
 
 
 def fold_text(value: Column) -> Column:
@@ -80,12 +85,13 @@ def fold_text(value: Column) -> Column:
 def placeholder_key(value: Column) -> Column:
     """Comparison form for the word lists: folded, hyphens to blanks, apostrophes gone."""
     joined = F.translate(fold_text(value), "-'", " ")
-    return F.trim(F.regexp_replace(joined, " +", " "))
+    return F.trim(F.regexp_replace(joined, "  +", " "))
 
 
 def strip_invisible(value: Column) -> Column:
     """Control and format characters removed; tab and line ends become blanks."""
-    return F.regexp_replace(F.translate(value, "\t\n\r", "   "), r"[\p{Cc}\p{Cf}]+", "")
+    cleaned = F.regexp_replace(F.translate(value, "\t\n\r", "   "), r"[\p{Cc}\p{Cf}]+", "")
+    return F.when(value.rlike(r"[\p{Cc}\p{Cf}]"), cleaned).otherwise(value)
 
 
 def lookup_key(first_name: Column, last_name: Column, *, email: Column, company: Column,

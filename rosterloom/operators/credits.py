@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.config import CreditLimits
 from rosterloom.operators.prefix import row_block, running_sums
+from rosterloom.session import cut_lineage
 
 MONTH = ["provider", "month"]
 POSITION = ["batch_id", "row_number"]
@@ -57,10 +58,11 @@ def _closing_points(calls: DataFrame, opening: DataFrame, limits: CreditLimits)
                   .groupBy(*MONTH, "kind")
                   .agg(F.min(F.struct("batch_id", "row_number")).alias("filled")))
         first = filled.groupBy(*MONTH).agg(F.min(F.struct("filled", "kind")).alias("first"))
-        closed = (closed.join(first, MONTH, "left")
-                  .withColumn("at", F.coalesce("at", F.when(
-                      F.col("first.kind") == F.col("kind"), F.col("first.filled").cast(point))))
-                  .drop("first"))
+        # A row per provider, month and kind: kept apart so that the next round does not
+        # compute this one again for each of its uses.
+        closed = cut_lineage(closed.join(first, MONTH, "left").withColumn(
+            "at", F.coalesce("at", F.when(F.col("first.kind") == F.col("kind"),
+                                          F.col("first.filled").cast(point)))).drop("first"))
     return closed.select(*MONTH, "kind", "at")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rosterloom import vocabulary as V
 from rosterloom.config import GuardLimits
 from rosterloom.functions import guards as G
-from rosterloom.functions.text import normalize_url, placeholder_key, strip_space
+from rosterloom.functions.text import WHITE, normalize_url, placeholder_key, strip_space
 
 LIMITS = GuardLimits()
 CLEAN = ["first_name", "last_name", "email", "company", "location", "linkedin_url"]
@@ -28,12 +28,11 @@ def clean_rows(rows: DataFrame, limits: GuardLimits = LIMITS) -> DataFrame:
     are no rows at all.
     """
     carried = [c for c in rows.columns if c not in V.INPUT_COLUMNS]
-    trimmed = {n: strip_space(F.coalesce(F.col(n), F.lit(""))) for n in V.INPUT_COLUMNS}
-    tidied = rows.select(
-        *carried,
-        F.struct(*[v.alias(n) for n, v in trimmed.items()]).alias("raw"),
-        *[G.tidy(v).alias(n) for n, v in trimmed.items()])
-    tidied = tidied.filter(F.concat(*[F.col("raw")[n] for n in V.INPUT_COLUMNS]) != "")
+    filled = rows.filter(F.concat_ws("", *V.INPUT_COLUMNS).rlike(f"[^{WHITE}]"))
+    trimmed = filled.withColumns({n: strip_space(F.coalesce(F.col(n), F.lit("")))
+                                  for n in V.INPUT_COLUMNS})
+    tidied = trimmed.select(*carried, F.struct(*V.INPUT_COLUMNS).alias("raw"),
+                            *[G.tidy(F.col(n)).alias(n) for n in V.INPUT_COLUMNS])
     keyed = tidied.select(
         *carried, "raw", "first_name", "last_name",
         *[G.blank_to_null(F.col(n)).alias(n) for n in V.OPTIONAL_COLUMNS],

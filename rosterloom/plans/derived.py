@@ -175,3 +175,13 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
         "person_id", "email", "linkedin_url", "first_name", "last_name", "full_name",
         "company_name", F.col("country").alias("location"), "likelihood", "match_score",
         profile.alias("profile"))
+
+
+def faults(keys: DataFrame) -> DataFrame:
+    """Recorded responses that were no answers, picked by the first digit of the key."""
+    digit = F.left("lookup_key", F.lit(1))
+    status = F.when(digit == "0", 500).when(digit == "1", 402).when(digit == "2", 400)
+    text = F.when(digit == "1", "account maximum reached")
+    return (keys.select("lookup_key").distinct()
+            .select("lookup_key", status.alias("fault_status"), text.alias("provider_error"))
+            .filter(F.col("fault_status").isNotNull()))

@@ -12,14 +12,6 @@ from rosterloom.config import CreditLimits, GuardLimits, LadderConfig
 from rosterloom.operators import breaker, credits, curate, matching, validation
 from rosterloom.session import cut_lineage
 
-RESULT_COLUMNS = [
-    "batch_id", "batch_date", "row_number", "first_name", "last_name", "email", "company",
-    "location", "linkedin_url", "notes", "lookup_key", "status", "provider", "lookup_method",
-    "call_kind", "profile", "likelihood", "candidates", "http_status", "error_message",
-    "credits_consumed", "attempts", "raw_ref", "match_flags", "requested_at",
-]
-
-
 @dataclass(frozen=True)
 class Settings:
     provider: str = "recorded"

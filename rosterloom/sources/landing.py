@@ -15,17 +15,21 @@ import io
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterloom import vocabulary as V
 from rosterloom.config import GuardLimits
-from rosterloom.functions.text import casefold_nfkc, strip_space
+from rosterloom.functions.text import WHITE, casefold_nfkc, strip_space
 
 LIMITS = GuardLimits()
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 _LINE_ENDS = r"\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}"
 _MARK = "\x1f"
-_SPLIT = ("struct<header:array<string>,records:array<array<string>>,lines:array<int>,"
-          "error:string>")
+_SPLIT = T.StructType([
+    T.StructField("header", T.ArrayType(T.StringType())),
+    T.StructField("records", T.ArrayType(T.ArrayType(T.StringType()))),
+    T.StructField("lines", T.ArrayType(T.IntegerType())),
+    T.StructField("error", T.StringType())])
 
 
 def landing_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
@@ -47,7 +51,7 @@ def sniff_delimiter(header: Column) -> Column:
 
 def header_line(text: Column) -> Column:
     """The first line that is not blank."""
-    return F.regexp_extract(text, rf"(?U)[^{_LINE_ENDS}]*[^\s\x1c-\x1f][^{_LINE_ENDS}]*", 0)
+    return F.regexp_extract(text, rf"[^{_LINE_ENDS}]*[^{WHITE}][^{_LINE_ENDS}]*", 0)
 
 
 def file_profile(files: DataFrame, limits: GuardLimits = LIMITS) -> DataFrame:
@@ -135,8 +139,8 @@ def canonical_headers(header: Column) -> Column:
                              for spelling in spellings for x in (spelling, name)])
 
     def named(cell: Column) -> Column:
-        words = F.regexp_replace(cell, r"(?U)[^\p{L}\p{N}_\s\x1c-\x1f'\-]", " ")
-        key = F.translate(F.trim(F.regexp_replace(words, r"(?U)[\s\x1c-\x1f]+", " ")), "- ", "__")
+        words = F.trim(F.regexp_replace(cell, r"[^\p{L}\p{N}_'\-]+", " "))
+        key = F.translate(words, "- ", "__")
         return F.coalesce(F.try_element_at(aliases, key), key)
 
     return F.transform(cells, named)

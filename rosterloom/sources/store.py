@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from rosterloom import vocabulary as V
 from rosterloom.operators.curate import OutputCheckError
-from rosterloom.tables import CURATED, PARTITION_COLUMN, create_table_sql
+from rosterloom.tables import CURATED, LOOKUP_RESULT, PARTITION_COLUMN, create_table_sql
 
 PARTITIONS = ("batch_date", "batch_id")
 
@@ -56,8 +57,7 @@ def write_lookup_results(results: DataFrame, path: str) -> None:
 
 def lookup_results(spark: SparkSession, path: str, batch_prefix: str | None = None) -> DataFrame:
     """Stored results; a batch prefix is a partition filter."""
-    results = spark.read.option("basePath", path).parquet(path).withColumns(
-        {c: F.col(c).cast("string") for c in PARTITIONS})
+    results = spark.read.schema(LOOKUP_RESULT).parquet(path)
     return results if batch_prefix is None else results.filter(
         F.col("batch_id").startswith(batch_prefix))
 
@@ -79,14 +79,12 @@ def write_curated(tables: dict[str, DataFrame], path: str) -> None:
 
 def read_curated(spark: SparkSession, path: str, name: str) -> DataFrame:
     """One table in declared column order, with its partition column; empty ones included."""
-    schema = CURATED[name]
-    fields = [*schema.fieldNames(), PARTITION_COLUMN]
+    stored = T.StructType([*CURATED[name].fields, T.StructField(PARTITION_COLUMN, T.StringType()),
+                           T.StructField("batch", T.StringType())])
     try:
-        df = spark.read.parquet(f"{path}/{name}")
-    except AnalysisException:
-        return spark.createDataFrame([], schema).withColumn(
-            PARTITION_COLUMN, F.lit(None).cast("string"))
-    return df.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("string")).select(*fields)
+        return spark.read.schema(stored).parquet(f"{path}/{name}").drop("batch")
+    except AnalysisException:  # nothing was ever written for this table
+        return spark.createDataFrame([], stored).drop("batch")
 
 
 def verify_written(spark: SparkSession, path: str, expected: dict[str, DataFrame]) -> DataFrame:

@@ -61,6 +61,16 @@ PROFILE = T.StructType(
        T.StructField("experience", T.ArrayType(EXPERIENCE))])
 
 
+# One row per valid input row, as stored between the lookup and the curated build.
+LOOKUP_RESULT = T.StructType(
+    [*_schema("batch_id:s batch_date:s row_number:i first_name:s last_name:s email:s company:s "
+              "location:s linkedin_url:s notes:l lookup_key:s status:s provider:s "
+              "lookup_method:s call_kind:s").fields,
+     T.StructField("profile", PROFILE),
+     *_schema("likelihood:d candidates:i http_status:i error_message:s credits_consumed:i "
+              "attempts:i raw_ref:s match_flags:l requested_at:t").fields])
+
+
 class SchemaMismatch(KeyError):
     """A DataFrame carries a column its curated table does not declare."""
 
@@ -75,15 +85,9 @@ def conform_schema(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> Dat
     if unknown:
         raise SchemaMismatch(f"{table}: unknown column(s) {unknown}")
 
-    def typed(field: T.StructField) -> Column:
-        if field.name not in df.columns:
-            return F.lit(None).cast(field.dataType).alias(field.name)
-        column = F.col(field.name).cast(field.dataType)
-        if isinstance(field.dataType, T.TimestampType):
-            column = F.date_trunc("millisecond", column)
-        return column.alias(field.name)
-
-    return df.select(*[typed(f) for f in schema.fields], *[F.col(c) for c in keep])
+    # ``DataFrame.to`` reorders, casts and fills in the nullable columns that are missing.
+    carried = [f for f in df.schema.fields if f.name in keep]
+    return df.to(T.StructType([*schema.fields, *carried]))
 
 
 def stamp_version(df: DataFrame, version: str, **times: Column) -> DataFrame:
