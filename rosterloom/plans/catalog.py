@@ -1049,3 +1049,491 @@ def _(w: Workspace) -> DataFrame:
               .withColumn("source", F.regexp_replace("batch_id", "^again-", "")))
     first = w.curated("fact_batch_quality").withColumn("source", F.col("batch_id"))
     return analytics.idempotency_check(first, second, lookup)
+
+
+# ------------------------------------------------------------------ files and tables at rest
+
+LAYOUTS = [
+    # (delimiter, encoding, headers in canonical column order)
+    (",", "UTF-8", ["first_name", "last_name", "email", "company", "location", "linkedin_url",
+                    "consent"]),
+    (";", "UTF-8", ["First Name", "Surname", "E-mail", "Employer", "City", "LinkedIn", "Opt-in"]),
+    ("|", "ISO-8859-1", ["given name", "family name", "mail", "organisation", "country",
+                         "profile url", "permission"]),
+    ("\t", "UTF-16", ["FIRST", "LAST", "Email Address", "Company Name", "Region",
+                      "linkedin profile", "GDPR consent"]),
+]
+
+
+def landed_path(w: Workspace) -> str:
+    """Registrants written as CSV files, one per batch, in four layouts.
+
+    A registrant without a first name becomes an all-blank row, which is counted but skipped.
+    """
+    def write(path: str) -> None:
+        rows = w.registrants().withColumns({n: F.when(
+            F.col("first_name") == "", "").otherwise(F.col(n)) for n in V.INPUT_COLUMNS[1:]})
+        layout = F.right("batch_id", F.lit(2)).cast("int") % len(LAYOUTS)
+        for i, (sep, encoding, headers) in enumerate(LAYOUTS):
+            chosen = rows.filter(layout == i).select("batch_id", "row_number", *[
+                F.col(n).alias(h) for n, h in zip(V.INPUT_COLUMNS, headers, strict=True)])
+            (chosen.repartition("batch_id").sortWithinPartitions("batch_id", "row_number")
+             .drop("row_number").write.partitionBy("batch_id").option("header", "true")
+             .option("sep", sep).option("encoding", encoding)
+             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+             .csv(f"{path}/layout={i}"))
+    return w.path("landed", write)
+
+
+def batch_of_path() -> Column:
+    return F.regexp_extract("path", "batch_id=([^/]+)/", 1)
+
+
+def landed(w: Workspace) -> DataFrame:
+    return landing.landing_files(w.spark, landed_path(w)).withColumn("batch_id", batch_of_path())
+
+
+@query("landing_files", "SELECT DISTINCT batch_id, true AS filled FROM registrants")
+def _(w: Workspace) -> DataFrame:
+    return landed(w).select("batch_id", (F.col("length") > 0).alias("filled"))
+
+
+@query("file_profile", """SELECT batch_id, CASE layout WHEN 3 THEN 'utf-16' WHEN 2 THEN
+       CASE WHEN accents THEN 'cp1252' ELSE 'utf-8' END ELSE 'utf-8' END AS encoding,
+       CASE layout WHEN 0 THEN ',' WHEN 1 THEN ';' WHEN 2 THEN '|' ELSE chr(9) END AS delimiter,
+       CASE WHEN layout = 0 THEN 0 WHEN layout = 3 OR layout = 2 AND accents THEN 2 ELSE 1 END::bigint
+       AS warnings, cast(NULL AS varchar) AS problem FROM (SELECT batch_id,
+       cast(right(batch_id, 2) AS int) % 4 AS layout, bool_or(first_name <> '' AND regexp_matches(concat(
+       first_name, last_name), '[^\\x00-\\x7F]')) AS accents FROM registrants GROUP BY batch_id) AS x""")
+def _(w: Workspace) -> DataFrame:
+    return landing.file_profile(landed(w)).select(
+        "batch_id", "encoding", "delimiter", F.size("warnings").alias("warnings"), "problem")
+
+
+_FILE_ROWS = """SELECT batch_id, row_number() OVER (PARTITION BY batch_id ORDER BY row_number)
+    AS row_number, first_name, CASE WHEN first_name <> '' THEN last_name ELSE '' END AS last_name,
+    CASE WHEN first_name <> '' THEN email ELSE '' END AS email,
+    CASE WHEN first_name <> '' THEN company ELSE '' END AS company,
+    CASE WHEN first_name <> '' THEN location ELSE '' END AS location,
+    CASE WHEN first_name <> '' THEN linkedin_url ELSE '' END AS linkedin_url,
+    CASE WHEN first_name <> '' THEN consent ELSE '' END AS consent FROM tidy"""
+
+
+@query("csv_rows", _FILE_ROWS)
+def _(w: Workspace) -> DataFrame:
+    mapped = landing.header_mapping(landing.file_profile(landed(w)))
+    return landing.csv_rows(mapped).select("batch_id", "row_number", *V.INPUT_COLUMNS)
+
+
+@query("row_numbering", "SELECT batch_id, row_number FROM file_rows WHERE last_name <> ''",
+       file_rows=_FILE_ROWS)
+def _(w: Workspace) -> DataFrame:
+    _, rows = landing.registrants_of(landed(w))
+    return rows.select("batch_id", "row_number")
+
+
+def raw_path(w: Workspace) -> str:
+    def write(path: str) -> None:
+        body = F.to_json(F.struct(F.col("http_status").alias("status"), "likelihood",
+                                  F.struct(F.col("person_id").alias("id")).alias("data")))
+        paid = w.results().filter(F.col("status") != "cached").withColumn(
+            "person_id", F.col("profile.id"))
+        store.write_raw_responses(paid.select(
+            "provider", "batch_date", "batch_id", "lookup_key",
+            F.col("lookup_method").alias("method"), F.col("call_kind").alias("kind"), "attempts",
+            F.date_format("requested_at", TIME).alias("requested_at"), "http_status",
+            F.create_map(F.lit("x-call-credits-spent"), F.col("credits_consumed").cast("string"))
+            .alias("headers"), body.alias("body")), path)
+    return w.path("raw", write)
+
+
+@query("raw_responses", """SELECT batch_id, lookup_key, lookup_method AS method,
+       cast(http_status AS bigint) AS http_status, cast(credits_consumed AS varchar) AS spent,
+       person_id, likelihood FROM results WHERE status <> 'cached'""")
+def _(w: Workspace) -> DataFrame:
+    return store.raw_responses(w.spark, raw_path(w)).select(
+        "batch_id", "lookup_key", "method", "http_status",
+        R.header(F.col("headers"), "x-call-credits-spent").alias("spent"),
+        F.try_variant_get("body", "$.data.id", "string").alias("person_id"),
+        F.try_variant_get("body", "$.likelihood", "double").alias("likelihood"))
+
+
+@query("lookup_results", """SELECT batch_id, batch_date, row_number, status, lookup_method, person_id,
+       likelihood, cast(http_status AS bigint) AS http_status, error_message,
+       cast(credits_consumed AS bigint) AS credits_consumed, cast(attempts AS bigint) AS attempts,
+       match_flags, requested_at FROM results""")
+def _(w: Workspace) -> DataFrame:
+    return w.results().select(
+        "batch_id", "batch_date", "row_number", "status", "lookup_method",
+        F.col("profile.id").alias("person_id"), "likelihood", "http_status", "error_message",
+        "credits_consumed", "attempts", "match_flags", "requested_at")
+
+
+@query("write_curated", """SELECT 'dim_person' AS "table", batch_date, count(*) AS rows FROM dim_person
+       GROUP BY batch_date UNION ALL SELECT 'fact_employment', batch_date, count(*) FROM fact_employment
+       GROUP BY batch_date UNION ALL SELECT 'fact_lookup', batch_date, count(*) FROM fact_lookup
+       GROUP BY batch_date UNION ALL SELECT 'fact_batch_quality', batch_date, count(*)
+       FROM fact_batch_quality GROUP BY batch_date""")
+def _(w: Workspace) -> DataFrame:
+    path = scratch_path(w.spark, "publish")
+    store.write_curated(w.built(), path)
+    counts = None
+    for name in ("dim_person", "fact_employment", "fact_lookup", "fact_batch_quality"):
+        part = (store.read_curated(w.spark, path, name).groupBy("batch_date")
+                .agg(F.count("*").alias("rows"))
+                .select(F.lit(name).alias("table"), "batch_date", "rows"))
+        counts = part if counts is None else counts.unionByName(part)
+    return counts
+
+
+@query("verify_written", """SELECT 'fact_lookup' AS "table", concat(l.batch_id, ' holds ', count(*),
+       ' rows, expected ', count(*) FILTER (status <> 'invalid_input')) AS problem FROM fact_lookup l
+       GROUP BY l.batch_id HAVING count(*) FILTER (status = 'invalid_input') > 0""")
+def _(w: Workspace) -> DataFrame:
+    persons = w.curated("dim_person").groupBy("batch_id").agg(F.count("*").alias("rows"))
+    # Expected on purpose without the rejected rows, so that every batch differs.
+    lookups = w.valid().groupBy("batch_id").agg(F.count("*").alias("rows"))
+    return store.verify_written(w.spark, w.curated_path(), {
+        "dim_person": persons, "fact_lookup": lookups})
+
+
+@query("rejected_rows_export", """SELECT batch_id, row_number, reason,
+       nullif(raw_first_name, '') AS first_name, nullif(raw_last_name, '') AS last_name,
+       nullif(raw_email, '') AS email, nullif(raw_company, '') AS company,
+       nullif(raw_location, '') AS location, nullif(raw_linkedin_url, '') AS linkedin_url,
+       nullif(raw_consent, '') AS consent FROM rejected""")
+def _(w: Workspace) -> DataFrame:
+    path = w.path("rejected", lambda p: store.rejected_rows_export(w.rejected(), p))
+    schema = ("row_number int, reason string, first_name string, last_name string, email string, "
+              "company string, location string, linkedin_url string, consent string, "
+              "batch_id string")
+    back = w.spark.read.schema(schema).option("header", "true").option("escape", '"').csv(path)
+    return back.withColumns({n: G.blank_to_null(F.col(n)) for n in V.INPUT_COLUMNS})
+
+
+@query("quarantine_files", """SELECT batch_id, problem AS reason, true AS kept FROM (
+       SELECT s.batch_id, """ + _PROBLEM + """ AS problem FROM sized s
+       LEFT JOIN top t ON s.batch_id = t.batch_id LEFT JOIN toplayout u ON s.batch_id = u.batch_id)
+       AS x WHERE problem IS NOT NULL""", **_STRICT_STEPS)
+def _(w: Workspace) -> DataFrame:
+    files = landed(w)
+    verdict = validation.file_verdict(files.select("path", "batch_id"), stricter(w), "batch_id")
+    kept = store.quarantine_files(files.drop("batch_id"), verdict)
+    return kept.select(F.regexp_extract("source", "batch_id=([^/]+)/", 1).alias("batch_id"),
+                       "reason", (F.octet_length("content") == F.col("length")).alias("kept"))
+
+
+@query("manifest", """SELECT batch_id, batch_date, cast(rows_valid AS varchar) AS rows_valid,
+       cast(rows_invalid AS varchar) AS rows_invalid, cast(credits_spent AS varchar) AS credits_spent,
+       cast(persons AS varchar) AS persons, cast(nullif(matched, 0) AS varchar) AS matched,
+       CASE WHEN warnings = '' THEN 'none' ELSE warnings END AS notes,
+       concat('curated/dim_person/batch_date=', batch_date, '/batch=', batch_id) AS file
+       FROM fact_batch_quality""")
+def _(w: Workspace) -> DataFrame:
+    path = w.path("manifests", lambda p: store.manifest(w.curated("fact_batch_quality"), p))
+    lines = w.spark.read.schema("value string, batch_id string").text(path)
+    field = {n: F.get_json_object("value", f"$.{p}").alias(n) for n, p in {
+        "batch_date": "batch_date", "rows_valid": "rows_valid", "rows_invalid": "rows_invalid",
+        "credits_spent": "credits_spent", "persons": "persons", "matched": "status_counts.matched",
+        "notes": "quality.notes", "file": "files.dim_person"}.items()}
+    return lines.select("batch_id", *field.values())
+
+
+@query("catalog_tables", """SELECT l.batch_date, count(*) AS rows, count(d.person_id) AS people
+       FROM fact_lookup l LEFT JOIN dim_person d ON l.batch_id = d.batch_id
+       AND l.row_number = d.input_row_number GROUP BY l.batch_date""")
+def _(w: Workspace) -> DataFrame:
+    store.catalog_tables(w.spark, w.curated_path())
+    return w.spark.sql("""SELECT l.batch_date, count(*) AS rows, count(d.person_id) AS people
+        FROM fact_lookup l LEFT JOIN dim_person d ON l.batch_date = d.batch_date
+        AND l.batch_id = d.batch_id AND l.row_number = d.input_row_number GROUP BY l.batch_date""")
+
+
+# ------------------------------------------------------------------ erasure
+
+_REQUESTS = """SELECT concat('req-', c_custkey) AS request_id,
+    CASE WHEN c_custkey % 3 = 0 THEN concat('p', lpad(cast(floor(c_custkey / 7)::bigint AS varchar), 9,
+      '0')) END AS person_id,
+    CASE WHEN c_custkey % 3 = 1 THEN concat(' USER', floor(c_custkey / 7)::bigint, '@example.com ') END
+      AS email,
+    CASE WHEN c_custkey % 3 = 2 THEN upper(r.first_name) END AS first_name,
+    CASE WHEN c_custkey % 3 = 2 THEN strip_accents(r.last_name) END AS last_name
+    FROM customer c JOIN registrants r ON r.batch_id = concat('b', lpad(cast(floor(c_custkey / 10000)
+      ::bigint AS varchar), 6, '0'), '-', lpad(cast(c_nationkey AS varchar), 2, '0'))
+      AND r.row_number = c_custkey % 10000 + 1 WHERE c_acctbal > 9800
+    UNION ALL SELECT 'req-nobody', 'p-none', 'nobody@example.com', NULL, NULL"""
+_WANTED = f"""SELECT request_id, person_id, nullif(trim(lower(email)), '') AS email,
+    CASE WHEN first_name <> '' AND last_name <> '' THEN concat({O.fold('first_name')}, '|',
+      {O.fold('last_name')}) END AS name FROM requests"""
+_MATCHES = f"""SELECT DISTINCT request_id, batch_id, row_number, part FROM (
+    SELECT w.request_id, c.batch_id, c.row_number, 'row' AS part FROM wanted w JOIN
+      (SELECT batch_id, row_number, email, person_id,
+              concat({O.fold('first_name')}, '|', {O.fold('last_name')}) AS name FROM results) AS c
+      ON w.person_id = c.person_id OR w.email = c.email OR w.name = c.name
+    UNION ALL
+    SELECT w.request_id, c.batch_id, c.row_number, 'rejected' FROM wanted w JOIN
+      (SELECT batch_id, row_number, lower(raw_email) AS email,
+              concat({O.fold('raw_first_name')}, '|', {O.fold('raw_last_name')}) AS name FROM rejected)
+      AS c ON w.email = c.email OR w.name = c.name) AS x"""
+_ITEMS = """SELECT DISTINCT request_id, batch_id, item, value FROM (
+    SELECT request_id, batch_id, CASE part WHEN 'row' THEN 'row' ELSE 'rejected_row' END AS item,
+           cast(row_number AS varchar) AS value FROM matches
+    UNION ALL SELECT m.request_id, m.batch_id, 'lookup_key', lookup_key FROM matches m JOIN results r
+      ON m.batch_id = r.batch_id AND m.row_number = r.row_number WHERE part = 'row'
+    UNION ALL SELECT m.request_id, m.batch_id, 'raw_ref', raw_ref FROM matches m JOIN results r
+      ON m.batch_id = r.batch_id AND m.row_number = r.row_number WHERE part = 'row'
+    UNION ALL SELECT request_id, batch_id, 'source', concat('s3://landing/incoming/', batch_id, '.csv')
+      FROM matches) AS x"""
+_ERASE = {"requests": _REQUESTS, "wanted": _WANTED, "matches": _MATCHES, "items": _ITEMS,
+          "kept": _CACHE}
+
+
+def requests(w: Workspace) -> DataFrame:
+    """Erasure requests of the richest customers, by id, e-mail or name, and one of nobody."""
+    person = F.floor(F.col("c_custkey") / 7)
+    names = w.registrants().select("batch_id", "row_number", "first_name", "last_name")
+    chunk = F.floor(F.col("c_custkey") / 10000)
+    asked = (w.table("customer").filter(F.col("c_acctbal") > 9800)
+             .withColumn("batch_id", F.concat(F.lit("b"), F.lpad(chunk.cast("string"), 6, "0"),
+                                              F.lit("-"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")))
+             .withColumn("row_number", (F.col("c_custkey") % 10000 + 1).cast("int"))
+             .join(names, ["batch_id", "row_number"]))
+    way = F.col("c_custkey") % 3
+    chosen = asked.select(
+        F.concat(F.lit("req-"), F.col("c_custkey").cast("string")).alias("request_id"),
+        F.when(way == 0, F.concat(F.lit("p"), F.lpad(person.cast("string"), 9, "0"))).alias("person_id"),
+        F.when(way == 1, F.concat(F.lit(" USER"), person.cast("string"), F.lit("@example.com ")))
+        .alias("email"),
+        F.when(way == 2, F.upper("first_name")).alias("first_name"),
+        F.when(way == 2, F.translate("last_name", "éíüë", "eiue")).alias("last_name"))
+    nobody = w.spark.createDataFrame([("req-nobody", "p-none", "nobody@example.com", None, None)],
+                                     chosen.schema)
+    return chosen.unionByName(nobody)
+
+
+def erasure_matches(w: Workspace) -> DataFrame:
+    return w.stage("erasure_matches", lambda: erasure.subject_match(
+        requests(w), w.valid(), w.rejected(), w.results()))
+
+
+def erasure_items(w: Workspace) -> DataFrame:
+    sources = w.registrants().select("batch_id").distinct().withColumn("source", F.concat(
+        F.lit("s3://landing/incoming/"), "batch_id", F.lit(".csv")))
+    return w.stage("erasure_items", lambda: erasure.erasure_items(
+        erasure_matches(w), w.results(), sources))
+
+
+@query("subject_match", "SELECT request_id, batch_id, row_number, part FROM matches", **_ERASE)
+def _(w: Workspace) -> DataFrame:
+    return erasure.subject_match(requests(w), w.valid(), w.rejected(), w.results())
+
+
+@query("erasure_items", "SELECT request_id, batch_id, item, value FROM items", **_ERASE)
+def _(w: Workspace) -> DataFrame:
+    return erasure_items(w)
+
+
+@query("erasure_plan", """SELECT request_id, batch_id, count(*) FILTER (item = 'row') AS rows,
+       count(*) FILTER (item = 'rejected_row') AS rejected_rows,
+       count(*) FILTER (item = 'lookup_key') AS lookup_keys,
+       count(*) FILTER (item = 'raw_ref') AS raw_refs, count(*) FILTER (item = 'source') AS sources
+       FROM items GROUP BY ALL""", **_ERASE)
+def _(w: Workspace) -> DataFrame:
+    return erasure.erasure_plan(erasure_items(w))
+
+
+@query("erase_rows", """SELECT 'row' AS part, r.batch_id, r.row_number FROM results r WHERE NOT EXISTS (
+       SELECT 1 FROM matches m WHERE m.batch_id = r.batch_id AND m.row_number = r.row_number
+       AND part = 'row') UNION ALL SELECT 'rejected', r.batch_id, r.row_number FROM rejected r
+       WHERE NOT EXISTS (SELECT 1 FROM matches m WHERE m.batch_id = r.batch_id
+       AND m.row_number = r.row_number AND part = 'rejected')""", **_ERASE)
+def _(w: Workspace) -> DataFrame:
+    found = erasure_matches(w)
+    kept = [erasure.erase_rows(t, found, p).select(F.lit(p).alias("part"), "batch_id", "row_number")
+            for t, p in ((w.results(), "row"), (w.rejected(), "rejected"))]
+    return kept[0].unionByName(kept[1])
+
+
+@query("erase_raw", """SELECT raw_ref, count(*) AS rows FROM results r WHERE NOT EXISTS (
+       SELECT 1 FROM items i WHERE i.item = 'raw_ref' AND i.value = r.raw_ref) GROUP BY raw_ref""",
+       **_ERASE)
+def _(w: Workspace) -> DataFrame:
+    left = erasure.erase_raw(w.results().select("raw_ref"), erasure_items(w))
+    return left.groupBy("raw_ref").agg(F.count("*").alias("rows"))
+
+
+@query("purge_cache", """SELECT lookup_key, 'kept' AS state, cast(NULL AS varchar) AS request_id FROM kept
+       WHERE lookup_key NOT IN (SELECT value FROM items WHERE item = 'lookup_key')
+       UNION ALL SELECT k.lookup_key, 'gone', min(request_id) FROM kept k JOIN items i
+       ON i.item = 'lookup_key' AND i.value = k.lookup_key GROUP BY k.lookup_key""", **_ERASE)
+def _(w: Workspace) -> DataFrame:
+    left, gone = erasure.purge_cache(cache(w), erasure_items(w))
+    return left.select("lookup_key", F.lit("kept").alias("state"),
+                       F.lit(None).cast("string").alias("request_id")).unionByName(
+        gone.select("lookup_key", F.lit("gone").alias("state"), "request_id"))
+
+
+@query("erase_rebuild", """SELECT l.batch_id, count(*) AS rows, count(*) FILTER (status =
+       'invalid_input') AS rows_invalid, cast(sum(credits_consumed) AS bigint) AS credits FROM fact_lookup l
+       WHERE EXISTS (SELECT 1 FROM matches m WHERE m.batch_id = l.batch_id) AND NOT EXISTS (
+       SELECT 1 FROM matches m WHERE m.batch_id = l.batch_id AND m.row_number = l.row_number
+       AND (m.part = 'rejected') = (l.status = 'invalid_input')) GROUP BY l.batch_id""", **_ERASE)
+def _(w: Workspace) -> DataFrame:
+    found = erasure_matches(w)
+    results = erasure.affected(erasure.erase_rows(w.results(), found), found)
+    rejected = erasure.affected(erasure.erase_rows(w.rejected(), found, "rejected"), found)
+    tables = curate.build_tables(results, rejected, w.built_at(), "recorded")
+    return tables["fact_batch_quality"].select(
+        "batch_id", (F.col("rows_valid") + F.col("rows_invalid")).alias("rows"), "rows_invalid",
+        F.col("credits_spent").alias("credits"))
+
+
+@query("tombstone", f"""SELECT q.request_id, sha256(concat(coalesce(person_id, ''), '|',
+       trim(lower(coalesce(email, ''))), '|', {O.fold('first_name')}, '|', {O.fold('last_name')}))
+       AS subject_digest, coalesce(f.batches, 0) AS batches, coalesce(f.rows_erased, 0) AS rows_erased,
+       coalesce(f.raw_objects, 0) AS raw_objects, coalesce(g.n, 0) AS cache_items_deleted,
+       'operator' AS actor FROM requests q LEFT JOIN (
+         SELECT request_id, count(DISTINCT batch_id) AS batches, count(*) FILTER (item LIKE '%row') AS
+         rows_erased, count(DISTINCT value) FILTER (item = 'raw_ref') AS raw_objects FROM items
+         GROUP BY request_id) AS f ON q.request_id = f.request_id
+       LEFT JOIN (SELECT request_id, count(*) AS n FROM (SELECT k.lookup_key, min(request_id) AS
+         request_id FROM kept k JOIN items i ON i.item = 'lookup_key' AND i.value = k.lookup_key
+         GROUP BY k.lookup_key) AS x GROUP BY request_id) AS g ON q.request_id = g.request_id""",
+       **_ERASE)
+def _(w: Workspace) -> DataFrame:
+    _, gone = erasure.purge_cache(cache(w), erasure_items(w))
+    return erasure.tombstone(requests(w), erasure_items(w), gone, "operator", w.built_at()).drop("at")
+
+
+# ------------------------------------------------------------------ streams and time
+
+
+def priced(w: Workspace) -> DataFrame:
+    status = (F.when(F.col("http_status") == 200, "matched")
+              .when(F.col("http_status") == 404, "not_found").otherwise("error"))
+    return w.provider_calls().select("requested_at", "provider", "kind", status.alias("status"),
+                                     F.col("credits").cast("long").alias("credits"),
+                                     F.floor(F.col("value") * 1000).alias("duration_ms"))
+
+
+@query("hourly_dashboard", """SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS hour,
+       count(*) FILTER (http_status = 200) AS matched, 0::bigint AS cached,
+       count(*) FILTER (http_status = 404) AS not_found, 0::bigint AS ambiguous,
+       0::bigint AS budget_deferred, 0::bigint AS provider_unavailable,
+       count(*) FILTER (http_status = 500) AS error, 0::bigint AS invalid_input,
+       cast(sum(credits) AS bigint) AS credits, max(d) AS max_duration_ms,
+       min(d) FILTER (rank * 100 >= n * 95) AS p95_duration_ms FROM (
+       SELECT *, row_number() OVER (PARTITION BY h ORDER BY d) AS rank,
+              count(*) OVER (PARTITION BY h) AS n FROM (
+         SELECT *, date_trunc('hour', requested_at) AS h, cast(floor(value * 1000) AS bigint) AS d
+         FROM calls) AS x) AS y GROUP BY h""")
+def _(w: Workspace) -> DataFrame:
+    return monitoring.hourly_dashboard(priced(w))
+
+
+@query("freshness_slo", """SELECT strftime(time_bucket(INTERVAL 5 MINUTE, finished_at),
+       '%Y-%m-%d %H:%M:%S') AS period_start, count(*) AS batches, max(took) AS slowest_seconds,
+       count(*) FILTER (took > 600) AS late, max(took) > 600 AS breached FROM (
+       SELECT max(requested_at) AS finished_at, epoch(date_trunc('second', max(requested_at)))::bigint -
+       epoch(date_trunc('second', min(requested_at)))::bigint AS took FROM calls
+       GROUP BY provider, date_trunc('hour', requested_at)) AS x
+       GROUP BY time_bucket(INTERVAL 5 MINUTE, finished_at)""")
+def _(w: Workspace) -> DataFrame:
+    batches = (w.provider_calls().groupBy("provider", F.date_trunc("hour", "requested_at").alias("h"))
+               .agg(F.min("requested_at").alias("started_at"), F.max("requested_at").alias("finished_at"))
+               .withColumn("batch_id", F.concat("provider", F.date_format("h", "yyyyMMddHH"))))
+    return monitoring.freshness_slo(batches)
+
+
+@query("retention", """SELECT person_id, batch_id, batch_date FROM dim_person
+       WHERE batch_date > '2024-01-11'""")
+def _(w: Workspace) -> DataFrame:
+    kept = monitoring.retention(w.curated("dim_person"), "batch_date",
+                                V.RETENTION_DAYS["landing"], F.lit("2024-02-10").cast("date"))
+    return kept.select("person_id", "batch_id", "batch_date")
+
+
+@query("expired_partitions", """SELECT batch_date, count(*) AS rows FROM dim_person
+       WHERE batch_date <= '2024-01-11' GROUP BY batch_date""")
+def _(w: Workspace) -> DataFrame:
+    return monitoring.expired_partitions(w.curated("dim_person"), "batch_date",
+                                         V.RETENTION_DAYS["landing"], F.lit("2024-02-10").cast("date"))
+
+
+@query("batch_notifications", """SELECT q.batch_id, batch_date, coalesce(n, 0) AS row_errors,
+       cast(warning_count AS bigint) AS warning_count, concat('Batch ', q.batch_id, ' completed with ',
+       coalesce(n, 0), ' row error(s) out of ', rows_valid, ' rows',
+       CASE WHEN n > 0 THEN concat(' (input rows ', a, ' to ', b, ')') ELSE '' END, ' and ',
+       warning_count, ' data-quality warning(s): ', CASE WHEN warnings = '' THEN 'none' ELSE warnings END,
+       '. Persons curated: ', persons, '.') AS message FROM fact_batch_quality q LEFT JOIN (
+       SELECT batch_id, count(*) AS n, min(row_number) AS a, max(row_number) AS b FROM results
+       WHERE substr(lookup_key, 2, 1) = '0' AND substr(lookup_key, 3, 1) < '8' GROUP BY batch_id) AS e
+       ON q.batch_id = e.batch_id WHERE n > 0 OR warning_count > 0""")
+def _(w: Workspace) -> DataFrame:
+    return monitoring.batch_notifications(w.curated("fact_batch_quality"), lossy(w)[1])
+
+
+@query("upload_stream", """SELECT batch_id, count(*) AS rows, count(*) FILTER (reason IS NOT NULL)
+       AS rejected FROM cleaned WHERE first_name <> '' GROUP BY batch_id""")
+def _(w: Workspace) -> DataFrame:
+    target = scratch_path(w.spark, "uploaded")
+
+    def build(files: DataFrame, _: int) -> None:
+        # A micro-batch is a set of files: the batch plan runs on it unchanged.
+        _, rows = landing.registrants_of(files.withColumn("batch_id", batch_of_path()))
+        cleaned = validation.clean_rows(rows.drop("path"))
+        (cleaned.withColumn("rejected", F.col("reason").isNotNull())
+         .select("batch_id", "row_number", "rejected")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(target))
+
+    jobs.upload_stream(w.spark, landed_path(w), scratch_path(w.spark, "uploads"),
+                       build).awaitTermination()
+    rows = w.spark.read.schema("row_number int, rejected boolean, batch_id string").parquet(target)
+    return rows.groupBy("batch_id").agg(F.count("*").alias("rows"),
+                                        F.count_if("rejected").alias("rejected"))
+
+
+def streamed(w: Workspace, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table as a stream of its files."""
+    path = w.path(name, lambda p: build().write.parquet(p))
+    return w.spark.readStream.schema(w.spark.read.parquet(path).schema).parquet(path)
+
+
+@query("duplicate_deliveries")
+def _(w: Workspace) -> DataFrame:
+    target = scratch_path(w.spark, "deliveries")
+    jobs.run_to_table(jobs.duplicate_deliveries(streamed(w, "triggers", lambda: triggers(w))),
+                      target, scratch_path(w.spark, "deliveries-state"))
+    return w.spark.read.parquet(target).select("batch_id")
+
+
+@query("breaker_stream", _BREAK_SQL, recursive=_BREAK, ordered=_ORDERED)
+def _(w: Workspace) -> DataFrame:
+    # The month arrives week by week, so that state is carried from trigger to trigger.
+    calls = failing(w).withColumn("week", F.weekofyear("requested_at"))
+    path, target = scratch_path(w.spark, "weeks"), scratch_path(w.spark, "breaker")
+    state = scratch_path(w.spark, "breaker-state")
+    for row in calls.select("week").distinct().orderBy("week").collect():
+        calls.filter(F.col("week") == row["week"]).write.mode("append").parquet(path)
+        stream = w.spark.readStream.schema(calls.schema).parquet(path)
+        jobs.run_to_table(jobs.breaker_stream(stream, 3, COOLDOWN), target, state)
+    return w.spark.read.parquet(target).select("call_id", "skipped", "open_until")
+
+
+@query("credit_totals_stream", """SELECT provider, month, kind, cast(sum(credits) AS bigint) AS
+       month_to_date FROM batched GROUP BY ALL""", batched=_BATCHED)
+def _(w: Workspace) -> DataFrame:
+    target = scratch_path(w.spark, "totals")
+    calls = streamed(w, "batched", lambda: batched_calls(w))
+    jobs.run_to_table(jobs.credit_totals_stream(calls), target,
+                      scratch_path(w.spark, "totals-state"), "complete")
+    return w.spark.read.parquet(target)
+
+
+@query("hourly_stream")
+def _(w: Workspace) -> DataFrame:
+    target = scratch_path(w.spark, "hours")
+    calls = streamed(w, "priced", lambda: priced(w))
+    jobs.run_to_table(jobs.hourly_stream(calls), target, scratch_path(w.spark, "hours-state"))
+    return w.spark.read.parquet(target)
