@@ -71,7 +71,7 @@ class _Slice:
                 return opened, min(run, self.size - start + carried), 0
             until = int(self.at[row]) + self.cooldown
             opened.append((int(self.at[row]), int(self.ids[row]), until))
-            start, carried = self.resume(until), 0
+            start, carried = max(row + 1, self.resume(until)), 0
         return opened, carried if not self.size else 0, until
 
 
