@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rosterloom.config import CreditLimits
 from rosterloom.operators.prefix import row_block, running_sums
 from rosterloom.session import cut_lineage
+from rosterloom.vocabulary import CALL_KINDS
 
 MONTH = ["provider", "month"]
 POSITION = ["batch_id", "row_number"]
@@ -41,33 +42,37 @@ def _closing_points(calls: DataFrame, opening: DataFrame, limits: CreditLimits)
               .withColumn("at", F.when(F.col("opening") >= F.col("ceiling"), start.cast(point))))
     for _ in ceilings:
         spent = spend_in_batches(calls, closed, limits)
-        per_batch = (spent.groupBy(*MONTH, "kind", "batch_id").agg(F.sum("spend").alias("total")))
-        order = Window.partitionBy(*MONTH, "kind").orderBy("batch_id").rowsBetween(
-            Window.unboundedPreceding, 0)
-        crossed = (per_batch.withColumn("after", F.sum("total").over(order))
+        earlier = Window.partitionBy(*MONTH, "kind").orderBy("batch_id").rowsBetween(
+            Window.unboundedPreceding, -1)
+        offsets = (spent.groupBy(*MONTH, "kind", "batch_id").agg(F.sum("spend").alias("total"))
+                   .withColumn("before", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
                    .join(closed.filter(F.col("at").isNull()), [*MONTH, "kind"])
-                   .withColumn("before", F.col("opening") + F.col("after") - F.col("total"))
+                   .withColumn("before", F.col("before") + F.col("opening"))
+                   # Only the one batch per kind in which the ceiling is reached is looked at.
                    .filter((F.col("before") < F.col("ceiling"))
-                           & (F.col("opening") + F.col("after") >= F.col("ceiling")))
+                           & (F.col("before") + F.col("total") >= F.col("ceiling")))
                    .select(*MONTH, "kind", "batch_id", "before", "ceiling"))
-        inside = running_sums(
-            spent.join(crossed, [*MONTH, "kind", "batch_id"]),
-            [*MONTH, "kind", "batch_id"], row_block(), ["row_number"],
-            {"so_far": F.col("spend")}, inclusive=True)
-        filled = (inside.filter(F.col("before") + F.col("so_far") >= F.col("ceiling"))
-                  .groupBy(*MONTH, "kind")
-                  .agg(F.min(F.struct("batch_id", "row_number")).alias("filled")))
-        first = filled.groupBy(*MONTH).agg(F.min(F.struct("filled", "kind")).alias("first"))
+        reached = F.col("before") + F.col("kind_spent") + F.col("spend")
+        filled = (spent.join(offsets, [*MONTH, "kind", "batch_id"])
+                  .filter((F.col("spend") > 0) & (reached >= F.col("ceiling"))
+                          & (reached - F.col("spend") < F.col("ceiling"))))
+        first = filled.groupBy(*MONTH).agg(
+            F.min(F.struct("batch_id", "row_number", "kind")).alias("first"))
+        at = F.struct("first.batch_id", "first.row_number").cast(point)
         # A row per provider, month and kind: kept apart so that the next round does not
         # compute this one again for each of its uses.
         closed = cut_lineage(closed.join(first, MONTH, "left").withColumn(
-            "at", F.coalesce("at", F.when(F.col("first.kind") == F.col("kind"),
-                                          F.col("first.filled").cast(point)))).drop("first"))
+            "at", F.coalesce("at", F.when(F.col("first.kind") == F.col("kind"), at))).drop("first"))
     return closed.select(*MONTH, "kind", "at")
 
 
 def spend_in_batches(calls: DataFrame, closed: DataFrame, limits: CreditLimits) -> DataFrame:
-    """Each call with ``month_open``, ``batch_spent`` before it and what it would ``spend``."""
+    """Each call with ``month_open`` and what it would ``spend``.
+
+    ``batch_spent`` and ``kind_spent`` are the batch's spend before it, in all and by its
+    kind.  Admitted calls are the batch's first ones (a full batch stays full), so plain
+    running sums give both in one pass.
+    """
     point = F.struct(*POSITION)
     # One row per provider, month and kind: far below any broadcast limit per month of data,
     # but left to the planner's own size check.
@@ -75,11 +80,18 @@ def spend_in_batches(calls: DataFrame, closed: DataFrame, limits: CreditLimits)
               .withColumn("month_open", F.col("at").isNull() | (point <= F.col("at")))
               .drop("at"))
     wanted = F.when(F.col("month_open"), F.col("credits")).otherwise(0)
-    summed = running_sums(marked, [*MONTH, "batch_id"], row_block(), ["row_number"],
-                          {"batch_spent": wanted})
+    sums = {"batch_spent": wanted}
+    for kind in CALL_KINDS:
+        sums[f"spent_{kind}"] = F.when(F.col("kind") == kind, wanted).otherwise(0)
+    summed = running_sums(marked, [*MONTH, "batch_id"], row_block(), ["row_number"], sums)
     under_cap = (F.lit(True) if limits.per_batch is None
                  else F.col("batch_spent") < limits.per_batch)
-    return summed.withColumn("spend", F.when(under_cap, wanted).otherwise(0))
+    by_kind = F.lit(0)
+    for kind in CALL_KINDS:
+        by_kind = F.when(F.col("kind") == kind, F.col(f"spent_{kind}")).otherwise(by_kind)
+    return (summed.withColumn("spend", F.when(under_cap, wanted).otherwise(0))
+            .withColumn("kind_spent", by_kind)
+            .drop(*[f"spent_{kind}" for kind in CALL_KINDS]))
 
 
 def budget_admission(calls: DataFrame, opening: DataFrame, limits: CreditLimits) -> DataFrame:

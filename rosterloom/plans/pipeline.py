@@ -191,11 +191,12 @@ def _decide(decided: DataFrame, opening: DataFrame, settings: Settings) -> DataF
     # Spend as decided so far: calls made.  Others ask at the price of nothing.
     priced = marked.withColumn("cost", F.col("credits")).withColumn(
         "credits", F.when(F.col("was_called"), F.col("credits")).otherwise(0))
-    budget = credits.budget_admission(priced, opening, settings.limits)
-    asked = budget.withColumn("credits", F.col("cost")).drop("cost").withColumn(
+    budget = credits.budget_admission(cut_lineage(priced), opening, settings.limits)
+    # The breaker reads these rows several times: keep them instead of deciding them again.
+    asked = cut_lineage(budget.withColumn("credits", F.col("cost")).drop("cost").withColumn(
         "gate", F.when(F.col("is_cached"), "cached").when(F.col("is_dry"), "exhausted")
         .when(F.col("reason").contains("monthly ceiling"), "month")
-        .when(F.col("reason").isNotNull(), "cap"))
+        .when(F.col("reason").isNotNull(), "cap")))
     reaching = asked.filter(F.col("gate").isNull()).select(
         "provider", "call_id", "requested_at",
         (F.coalesce(F.col("http_status"), F.lit(599)) >= 500).alias("failed"))
