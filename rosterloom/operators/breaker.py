@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,16 +31,30 @@ _SLICE = "provider string, slice long"
 _TRANSFER = f"{_SLICE}, kind string, bound long, exit_failures int, exit_until long"
 _ENTRY = f"{_SLICE}, entry_failures int, entry_until long"
 _OPENINGS = f"{_SLICE}, opened_at long, opened_id long, until long"
+_TRANSFER_ARROW = pa.schema([("provider", pa.string()), ("slice", pa.int64()), ("kind", pa.string()),
+                             ("bound", pa.int64()), ("exit_failures", pa.int32()),
+                             ("exit_until", pa.int64())])
+_ENTRY_ARROW = pa.schema([("provider", pa.string()), ("slice", pa.int64()),
+                          ("entry_failures", pa.int32()), ("entry_until", pa.int64())])
+_OPENINGS_ARROW = pa.schema([("provider", pa.string()), ("slice", pa.int64()),
+                             ("opened_at", pa.int64()), ("opened_id", pa.int64()),
+                             ("until", pa.int64())])
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)],
+                    schema=schema)
 
 
 class _Slice:
     """Times and failures of one slice in call order, with the jumps between openings."""
 
-    def __init__(self, pdf: pd.DataFrame, threshold: int, cooldown: int) -> None:
-        pdf = pdf.sort_values(["at", "call_id"], kind="stable")
-        self.at = pdf["at"].to_numpy(np.int64)
-        self.ids = pdf["call_id"].to_numpy(np.int64)
-        failed = pdf["failed"].to_numpy(bool)
+    def __init__(self, calls: pa.Table, threshold: int, cooldown: int) -> None:
+        at, ids = calls["at"].to_numpy(), calls["call_id"].to_numpy()
+        order = np.lexsort((ids, at))
+        self.at, self.ids = at[order], ids[order]
+        failed = calls["failed"].to_numpy()[order].astype(bool)
         self.threshold, self.cooldown, self.size = threshold, cooldown, len(failed)
         index = np.arange(self.size)
         last_success = np.maximum.accumulate(np.where(failed, -1, index))
@@ -82,9 +97,9 @@ def circuit_breaker(calls: DataFrame, threshold: int = 3, cooldown_seconds: int
     cooldown = max(0, cooldown_seconds) * MICROS
     width = max(slice_seconds * MICROS, cooldown, 1)
 
-    def transfer(pdf: pd.DataFrame) -> pd.DataFrame:
-        part = _Slice(pdf, threshold, cooldown)
-        provider, number = pdf["provider"].iloc[0], int(pdf["slice"].iloc[0])
+    def transfer(calls: pa.Table) -> pa.Table:
+        part = _Slice(calls, threshold, cooldown)
+        provider, number = calls["provider"][0].as_py(), calls["slice"][0].as_py()
         rows = []
         for failures in range(threshold):
             _, out, until = part.walk(failures, 0)
@@ -111,12 +126,12 @@ def circuit_breaker(calls: DataFrame, threshold: int = 3, cooldown_seconds: int
         beyond = int(part.at[-1]) + 1
         if beyond <= number * width + cooldown:
             rows.append((provider, number, "open", beyond, -1, -1))  # still open behind it
-        return pd.DataFrame(rows, columns=["provider", "slice", "kind", "bound",
-                                           "exit_failures", "exit_until"])
+        return _table(rows, _TRANSFER_ARROW)
 
-    def entries(pdf: pd.DataFrame) -> pd.DataFrame:
+    def entries(moves: pa.Table) -> pa.Table:
         failures, until, rows = 0, 0, []
-        for number, part in pdf.sort_values(["slice", "bound"]).groupby("slice", sort=True):
+        pdf = moves.to_pandas().sort_values(["slice", "bound"])
+        for number, part in pdf.groupby("slice", sort=True):
             rows.append((pdf["provider"].iloc[0], int(number), failures, until))
             if until == 0:
                 row = part[(part["kind"] == "closed") & (part["bound"] == failures)].iloc[0]
@@ -125,25 +140,29 @@ def circuit_breaker(calls: DataFrame, threshold: int = 3, cooldown_seconds: int
                 row = stretch[stretch["bound"] <= until].iloc[-1]
             if row["exit_until"] != -1:
                 failures, until = int(row["exit_failures"]), int(row["exit_until"])
-        return pd.DataFrame(rows, columns=["provider", "slice", "entry_failures", "entry_until"])
+        return _table(rows, _ENTRY_ARROW)
 
-    def openings(pdf: pd.DataFrame) -> pd.DataFrame:
-        part = _Slice(pdf, threshold, cooldown)
-        provider, number = pdf["provider"].iloc[0], int(pdf["slice"].iloc[0])
-        failures, until = int(pdf["entry_failures"].iloc[0]), int(pdf["entry_until"].iloc[0])
+    def openings(calls: pa.Table) -> pa.Table:
+        part = _Slice(calls, threshold, cooldown)
+        provider, number = calls["provider"][0].as_py(), calls["slice"][0].as_py()
+        failures, until = calls["entry_failures"][0].as_py(), calls["entry_until"][0].as_py()
         opened = part.walk(failures, until)[0]
         if until:
             opened.insert(0, (-1, -1, until))  # carried over from an earlier slice
-        return pd.DataFrame([(provider, number, *o) for o in opened],
-                            columns=["provider", "slice", "opened_at", "opened_id", "until"])
+        return _table([(provider, number, *o) for o in opened], _OPENINGS_ARROW)
 
     at = F.unix_micros("requested_at")
     narrow = calls.select("provider", F.floor(at / width).alias("slice"), at.alias("at"),
-                          "call_id", F.coalesce("failed", F.lit(False)).alias("failed"))
-    moves = narrow.groupBy("provider", "slice").applyInPandas(transfer, _TRANSFER)
-    known = moves.groupBy("provider").applyInPandas(entries, _ENTRY)
+                          F.col("call_id").cast("long").alias("call_id"),
+                          F.coalesce("failed", F.lit(False)).alias("failed"))
+    # A fixed number of partitions: adaptive execution would fold the slices of a small
+    # input into one task and with them all the work.  Both passes share this shuffle.
+    tasks = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    narrow = narrow.repartition(tasks, "provider", "slice")
+    moves = narrow.groupBy("provider", "slice").applyInArrow(transfer, _TRANSFER)
+    known = moves.groupBy("provider").applyInArrow(entries, _ENTRY)
     found = (narrow.join(known, ["provider", "slice"])
-             .groupBy("provider", "slice").applyInPandas(openings, _OPENINGS))
+             .groupBy("provider", "slice").applyInArrow(openings, _OPENINGS))
     # At most slice length / cooldown + 1 openings per slice.
     listed = found.groupBy("provider", "slice").agg(
         F.collect_list(F.struct("opened_at", "opened_id", "until")).alias("openings"))

@@ -308,20 +308,34 @@ def build_tables(results: DataFrame, rejected: DataFrame, at: Column, provider:
                  parse_warnings: DataFrame | None = None,
                  version: str = __version__) -> dict[str, DataFrame]:
     """The four curated tables of every batch in ``results`` and ``rejected``."""
-    persons_first = first_per_person(results)
-    lookup = fact_lookup(results, rejected, at, provider, version)
-    persons = dim_person(persons_first, version)
-    employment = fact_employment(persons_first, version)
-    lost = None
-    if "unrecorded" in results.columns:
-        lost = results.groupBy("batch_id").agg(
-            F.count_if(F.col("unrecorded")).alias("rows_unrecorded"))
-    warned = batch_warnings(batch_quality(lookup), parse_warnings, lost)
-    return {
-        "dim_person": persons, "fact_employment": employment, "fact_lookup": lookup,
-        "fact_batch_quality": fact_batch_quality(
-            lookup, persons, employment, at, provider, warned, version),
-    }
+    tables = build_facts(results, rejected, at, provider, version)
+    tables["fact_batch_quality"] = build_quality(tables, at, provider, parse_warnings,
+                                                 unrecorded_counts(results), version)
+    return tables
+
+
+def build_facts(results: DataFrame, rejected: DataFrame, at: Column, provider: str,
+                version: str = __version__) -> dict[str, DataFrame]:
+    persons = first_per_person(results)
+    return {"dim_person": dim_person(persons, version),
+            "fact_employment": fact_employment(persons, version),
+            "fact_lookup": fact_lookup(results, rejected, at, provider, version)}
+
+
+def unrecorded_counts(results: DataFrame) -> DataFrame | None:
+    if "unrecorded" not in results.columns:
+        return None
+    return results.groupBy("batch_id").agg(F.count_if(F.col("unrecorded")).alias("rows_unrecorded"))
+
+
+def build_quality(tables: dict[str, DataFrame], at: Column, provider: str,
+                  parse_warnings: DataFrame | None = None, unrecorded: DataFrame | None = None,
+                  version: str = __version__) -> DataFrame:
+    """The quality table from the other three, best from their published files."""
+    lookup = tables["fact_lookup"]
+    warned = batch_warnings(batch_quality(lookup), parse_warnings, unrecorded)
+    return fact_batch_quality(lookup, tables["dim_person"], tables["fact_employment"], at,
+                              provider, warned, version)
 
 
 def empty_tables(spark) -> dict[str, DataFrame]:

@@ -96,7 +96,14 @@ class Workspace:
                                    self.settings.provider)
 
     def curated_path(self) -> str:
-        return self.path("curated", lambda p: store.write_curated(self.built(), p))
+        def write(path: str) -> None:
+            facts = curate.build_facts(self.results(), self.rejected(), self.built_at(),
+                                       self.settings.provider)
+            store.write_curated(facts, path)
+            written = {n: store.read_curated(self.spark, path, n) for n in facts}
+            store.write_curated({"fact_batch_quality": curate.build_quality(
+                written, self.built_at(), self.settings.provider)}, path)
+        return self.path("curated", write)
 
     def curated(self, name: str) -> DataFrame:
         return store.read_curated(self.spark, self.curated_path(), name)

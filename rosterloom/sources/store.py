@@ -67,14 +67,12 @@ def lookup_results(spark: SparkSession, path: str, batch_prefix: str | None = No
 
 def write_curated(tables: dict[str, DataFrame], path: str) -> None:
     """All tables, batch by batch replaceable; an empty one leaves its schema behind."""
-    for name in CURATED:
-        target = f"{path}/{name}"
-        df = tables[name]
+    for name, df in tables.items():
         # batch_id is both a column and the directory that makes a batch replaceable.
-        df = df.withColumn("batch", F.col("batch_id"))
-        _overwrite(df, target, (PARTITION_COLUMN, "batch"))
-        df.limit(0).drop(PARTITION_COLUMN, "batch").write.mode("overwrite").parquet(
-            f"{path}/_schema/{name}")
+        _overwrite(df.withColumn("batch", F.col("batch_id")), f"{path}/{name}",
+                   (PARTITION_COLUMN, "batch"))
+        (df.sparkSession.createDataFrame([], CURATED[name]).write.mode("overwrite")
+         .parquet(f"{path}/_schema/{name}"))
 
 
 def read_curated(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -87,6 +85,15 @@ def read_curated(spark: SparkSession, path: str, name: str) -> DataFrame:
         return spark.createDataFrame([], stored).drop("batch")
 
 
+def _columns(spark: SparkSession, path: str, name: str) -> list[str]:
+    """Column names in the files themselves, without the partition columns."""
+    try:
+        names = spark.read.parquet(f"{path}/{name}").columns
+    except AnalysisException:
+        names = spark.read.parquet(f"{path}/_schema/{name}").columns
+    return [c for c in names if c not in (PARTITION_COLUMN, "batch")]
+
+
 def verify_written(spark: SparkSession, path: str, expected: dict[str, DataFrame]) -> DataFrame:
     """Differences between what was meant and what lies there: table, problem.
 
@@ -95,7 +102,7 @@ def verify_written(spark: SparkSession, path: str, expected: dict[str, DataFrame
     """
     found = None
     for name, wanted in expected.items():
-        written = spark.read.parquet(f"{path}/_schema/{name}").columns
+        written = _columns(spark, path, name)
         actual = read_curated(spark, path, name).groupBy("batch_id").agg(
             F.count("*").alias("actual"))
         off = (wanted.join(actual, "batch_id", "full").fillna(0, ["rows", "actual"])
