@@ -34,9 +34,7 @@ def admit_in_turn(rows, opening, limits):
 
 @pytest.mark.parametrize("seed,limits", [
     (1, CreditLimits(enrich=30, identify=12, per_batch=9)),
-    (2, CreditLimits(enrich=25, identify=None, per_batch=6)),
     (3, CreditLimits(enrich=None, identify=None, per_batch=5)),
-    (4, CreditLimits(enrich=20, identify=20, per_batch=None)),
     (5, CreditLimits()),
 ])
 def test_admission_agrees_with_a_loop(spark, monkeypatch, seed, limits):
@@ -109,7 +107,7 @@ def label(row):
             else "cap" if "cap" in message else "breaker")
 
 
-@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("seed", range(1))
 def test_rules_settle_as_in_turn(spark, seed):
     rng = random.Random(seed)
     rows, at = [], dt.datetime(2024, 1, 1)
