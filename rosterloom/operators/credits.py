@@ -29,13 +29,12 @@ def _closing_points(calls: DataFrame, opening: DataFrame, limits: CreditLimits)
     ceilings = {k: v for k, v in limits.ceilings().items() if v is not None}
     point = "struct<batch_id:string,row_number:bigint>"
     spark = calls.sparkSession
-    months = calls.select(*MONTH).distinct()
-    # A ceiling already reached by the opening balance is closed before the first call.
-    closed = months.crossJoin(F.broadcast(spark.createDataFrame(
-        [(k, v) for k, v in sorted(ceilings.items())], "kind string, ceiling long"))) \
-        if ceilings else None
-    if closed is None:
+    if not ceilings:
         return spark.createDataFrame([], f"provider string, month string, kind string, at {point}")
+    each = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(v).cast("long").alias("ceiling"))
+                     for k, v in sorted(ceilings.items())])
+    closed = calls.select(*MONTH).distinct().select(*MONTH, F.inline(each))
+    # A ceiling already reached by the opening balance is closed before the first call.
     start = F.struct(F.lit("").alias("batch_id"), F.lit(0).cast("long").alias("row_number"))
     closed = (closed.join(opening.withColumnRenamed("spent", "opening"), [*MONTH, "kind"], "left")
               .withColumn("opening", F.coalesce("opening", F.lit(0)))

@@ -70,7 +70,7 @@ def first_per_person(results: DataFrame) -> DataFrame:
     registered over and over does not pile up in one task.
     """
     found = results.filter(F.col("status").isin(V.MATCHED_STATUSES)
-                           & F.col("profile").isNotNull())
+                           & F.col("profile.id").isNotNull())
     order = Window.partitionBy("batch_id", F.col("person_id")).orderBy("row_number")
     return (found.withColumn("person_id", F.col("profile.id"))
             .withColumn("nth", F.row_number().over(order)).filter("nth = 1").drop("nth"))

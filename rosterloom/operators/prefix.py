@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 ROWS_PER_BLOCK = 65_536
 
 
-def row_block(column: str = "row_number", size: int = ROWS_PER_BLOCK) -> Column:
-    return F.floor(F.col(column) / size)
+def row_block(column: str = "row_number", size: int | None = None) -> Column:
+    return F.floor(F.col(column) / (size or ROWS_PER_BLOCK))
 
 
 def running_sums(df: DataFrame, group: Sequence[str], block: Column, order: Sequence[str],

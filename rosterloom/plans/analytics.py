@@ -149,10 +149,11 @@ def reconcile_counts(lookup: DataFrame, quality: DataFrame, persons: DataFrame)
         F.concat(F.lit("batch "), "batch_id").alias("subject"),
         (F.col("rows_valid") + F.col("rows_invalid")).cast("bigint").alias("expected"),
         F.coalesce("actual", F.lit(0)).alias("actual"))
-    people = persons.agg(F.countDistinct("person_id").alias("expected"))
-    shown = person_current(persons).agg(F.count("*").alias("actual"))
-    # Two one-row aggregates side by side.
-    view = people.join(shown).select(F.lit("person_current").alias("subject"), "expected", "actual")
+    none = F.lit(0).cast("bigint")
+    people = persons.agg(F.countDistinct("person_id").alias("expected"), none.alias("actual"))
+    shown = person_current(persons).agg(none.alias("expected"), F.count("*").alias("actual"))
+    view = people.unionByName(shown).select(F.lit("person_current").alias("subject"), "*").groupBy(
+        "subject").agg(F.sum("expected").alias("expected"), F.sum("actual").alias("actual"))
     return batches.unionByName(view).withColumn("agrees", F.col("expected") == F.col("actual"))
 
 

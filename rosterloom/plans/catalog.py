@@ -1176,7 +1176,7 @@ def _(w: Workspace) -> DataFrame:
        FROM fact_batch_quality GROUP BY batch_date""")
 def _(w: Workspace) -> DataFrame:
     path = scratch_path(w.spark, "publish")
-    store.write_curated(w.built(), path)
+    w.publish(path)
     counts = None
     for name in ("dim_person", "fact_employment", "fact_lookup", "fact_batch_quality"):
         part = (store.read_curated(w.spark, path, name).groupBy("batch_date")

@@ -11,6 +11,7 @@ from rosterloom import vocabulary as V
 from rosterloom.config import CreditLimits, GuardLimits, LadderConfig
 from rosterloom.operators import breaker, credits, curate, matching, validation
 from rosterloom.session import cut_lineage
+from rosterloom.sources import store
 
 @dataclass(frozen=True)
 class Settings:
@@ -223,3 +224,21 @@ def run_batches(registrants: DataFrame, people: DataFrame, candidates: DataFrame
     valid, rejected = validation.split_valid_invalid(registrants, settings.guards)
     results = lookup_results(valid, people, candidates, settings, faults)
     return curate.build_tables(results, rejected, at, settings.provider, parse_warnings)
+
+
+def publish(results: DataFrame, rejected: DataFrame, path: str, at: Column, provider: str,
+            parse_warnings: DataFrame | None = None, expected: DataFrame | None = None) -> None:
+    """Builds and writes the curated tables of every batch, the quality report last.
+
+    The report is computed from the files just written, so results are read once per table
+    and what is reported is what lies there.  ``expected`` (batch_id, rows) turns on the
+    consistency checks: contradictions raise before the report is written.
+    """
+    facts = curate.build_facts(results, rejected, at, provider)
+    store.write_curated(facts, path)
+    written = {n: store.read_curated(results.sparkSession, path, n) for n in facts}
+    if expected is not None:
+        curate.require_consistent(curate.check_tables(written, expected))
+    quality = curate.build_quality(written, at, provider, parse_warnings,
+                                   curate.unrecorded_counts(results))
+    store.write_curated({"fact_batch_quality": quality}, path)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.operators import curate, matching, validation
+from rosterloom.operators import matching, validation
 from rosterloom.plans import derived, pipeline
 from rosterloom.session import scratch_path
 from rosterloom.sources import store
@@ -91,19 +91,12 @@ class Workspace:
     def built_at(self):
         return F.lit(BUILT_AT).cast("timestamp")
 
-    def built(self) -> dict[str, DataFrame]:
-        return curate.build_tables(self.results(), self.rejected(), self.built_at(),
-                                   self.settings.provider)
+    def publish(self, path: str) -> None:
+        pipeline.publish(self.results(), self.rejected(), path, self.built_at(),
+                         self.settings.provider)
 
     def curated_path(self) -> str:
-        def write(path: str) -> None:
-            facts = curate.build_facts(self.results(), self.rejected(), self.built_at(),
-                                       self.settings.provider)
-            store.write_curated(facts, path)
-            written = {n: store.read_curated(self.spark, path, n) for n in facts}
-            store.write_curated({"fact_batch_quality": curate.build_quality(
-                written, self.built_at(), self.settings.provider)}, path)
-        return self.path("curated", write)
+        return self.path("curated", self.publish)
 
     def curated(self, name: str) -> DataFrame:
         return store.read_curated(self.spark, self.curated_path(), name)

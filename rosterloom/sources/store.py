@@ -14,18 +14,17 @@ from rosterloom.tables import CURATED, LOOKUP_RESULT, PARTITION_COLUMN, create_t
 PARTITIONS = ("batch_date", "batch_id")
 
 
-def _overwrite(df: DataFrame, path: str, partitions: tuple[str, ...], fmt: str = "parquet") -> None:
+def _overwrite(df: DataFrame, path: str, partitions: tuple[str, ...]) -> None:
     """Replace exactly the partitions present in ``df``; one batch goes to few files.
 
-    Rows are spread by batch and, within it, by a bounded hash, so that a batch holding a
-    third of all rows still is written by several tasks.
+    The rebalance hint gathers a batch's rows and, at run time, merges small batches into one
+    task and splits one that holds very many rows, so no batch is a single task's burden.
+    Lookup rows lie in row order inside their batch.
     """
-    spread = [F.col(p) for p in partitions]
-    if "row_number" in df.columns:
-        spread.append(F.floor(F.col("row_number") / 1_000_000))
-    (df.repartition(*spread).write.mode("overwrite").format(fmt)
-     .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-     .partitionBy(*partitions).save(path))
+    order = [*partitions, *(c for c in ("row_number",) if c in df.columns)]
+    (df.hint("rebalance", *partitions).sortWithinPartitions(*order)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "snappy").partitionBy(*partitions).parquet(path))
 
 
 # ------------------------------------------------------------------ raw and results
@@ -156,8 +155,7 @@ def rejected_export(rejected: DataFrame) -> DataFrame:
 def rejected_rows_export(rejected: DataFrame, path: str) -> None:
     """One CSV folder per batch, rows in file order."""
     export = rejected_export(rejected)
-    (export.repartition("batch_id", F.floor(F.col("row_number") / 1_000_000))
-     .sortWithinPartitions("batch_id", "row_number")
+    (export.hint("rebalance", "batch_id").sortWithinPartitions("batch_id", "row_number")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", "true")
      .option("escape", '"').partitionBy("batch_id").csv(path))
 
@@ -201,5 +199,5 @@ def manifest_rows(quality: DataFrame, flag_counts: DataFrame | None = None) -> D
 
 
 def manifest(quality: DataFrame, path: str) -> None:
-    (manifest_rows(quality).repartition("batch_id").write.mode("overwrite")
+    (manifest_rows(quality).hint("rebalance", "batch_id").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").text(path))
