@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PARTITION_COLUMN = "batch_date"
-DATABASE_NAME = "people_enrichment"
+DATABASE_NAME = "rosterloom"
 
 
 def _schema(spec: str) -> T.StructType:
