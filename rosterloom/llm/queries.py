@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import simhash
+from rosterloom.llm import decontaminate, quality, secrets, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op6_secrets": secrets.op6_secrets,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
