@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import decontaminate, quality, secrets, simhash
+from rosterloom.llm import (decontaminate, licenses, nndescent, packing, pii, quality, secrets,
+                            sharding, simhash, warc)
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_sharding": sharding.op2_sharding,
+    "op3_nndescent": nndescent.op3_nndescent,
+    "op4_pii": pii.op4_pii,
+    "op5_licenses": licenses.op5_licenses,
     "op6_secrets": secrets.op6_secrets,
+    "op7_warc": warc.op7_warc,
+    "op8_packing": packing.op8_packing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_quality": quality.op10_quality,
 }
