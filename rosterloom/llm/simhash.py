@@ -313,57 +313,175 @@ def links(nodes: DataFrame, radius: int, tables: list[list[int]],
     return placed.mapInArrow(_compare(radius), "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
-                    keep: list[str] | None = None, words: int = 3, radius: int = 3,
-                    width: int = 1, tables: list[list[int]] | None = None) -> DataFrame:
-    """Every row's id (and the columns ``keep``), binary ``fp`` and ``component_id``.
-
-    The component id is the least id among all rows that links can reach.
-    """
-    keep = [id_column, *(keep or [])]
-    rows = cut_lineage(fingerprints(docs, text, keep, words, width))
+def groups(rows: DataFrame, id_column: str, radius: int, tables: list[list[int]]) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint of the stored ``rows``."""
     least = cut_lineage(rows.groupBy("fp").agg(F.min(id_column).alias("least")))
-    found = links(least.select("fp"), radius,
-                  tables or exact_tables(64 * width, radius))
-    roots = components(found)
+    roots = components(links(least.select("fp"), radius, tables))
     joined = least.join(roots, least.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     lowest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = joined.join(lowest, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select(*keep, "fp", "component_id")
+    return joined.join(lowest, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
+                    words: int = 3, radius: int = 3, width: int = 1,
+                    tables: list[list[int]] | None = None) -> DataFrame:
+    """Every row's id, binary ``fp`` and ``component_id``.
+
+    The component id is the least id among all rows that links can reach.
+    """
+    rows = cut_lineage(fingerprints(docs, text, [id_column], words, width))
+    by_fp = groups(rows, id_column, radius, tables or exact_tables(64 * width, radius))
+    return rows.join(by_fp, "fp").select(id_column, "fp", "component_id")
 
 
 # ------------------------------------------------------------------ the dedup stage
 
 #: Five-word shingles and 512-bit fingerprints.  At a Jaccard similarity s of two shingle sets the
 #: bits differ with chance acos(2 s / (1 + s)) / pi: at 0.8 in 78 of 512 places (deviation 8.1),
-#: at 0.7 in 98, at 0.6 in 118; unrelated texts differ in 256 (deviation 11).
-STAGE_WORDS, STAGE_WIDTH, STAGE_RADIUS = 5, 8, 88
+#: at 0.7 in 98, at 0.6 in 118; unrelated texts differ in 256 (deviation 11).  The radius leaves
+#: room above 78; pairs that it lets in below 0.8 are told apart by their shingles.
+STAGE_WORDS, STAGE_WIDTH, STAGE_RADIUS = 5, 8, 96
 STAGE_TABLES, STAGE_KEY_BITS = 40, 16
+SIMILARITY = 0.8
+#: Members of a group that one cell compares with as many others, and shingles at once.
+PART, COLUMNS = 256, 20_000
+
+
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles; a text without words has one, for it is empty."""
+    tokens = (text or "").encode().lower().split()
+    span = max(1, min(words, len(tokens)))
+    found = {xxhash.xxh64_intdigest(b" ".join(tokens[i:i + span]), SEED)
+             for i in range(len(tokens) - span + 1)} or {0}
+    return np.fromiter(found, np.uint64, len(found)).view(np.int64)
+
+
+def _similar(sets: list[np.ndarray], low: np.ndarray, own: bool,
+             least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets with at least so much Jaccard similarity, by products of 0/1 matrices.
+
+    In a cell of two parts, pairs inside a part are left to the part's own cell.
+    """
+    sizes = np.array([len(x) for x in sets])
+    member = np.repeat(np.arange(len(sets)), sizes)
+    values, code = np.unique(np.concatenate(sets), return_inverse=True)
+    # Shingles of a single set are shared with none.
+    wide = np.bincount(code) > 1
+    column = np.cumsum(wide) - 1
+    keep = wide[code]
+    member, code = member[keep], column[code[keep]]
+    order = np.argsort(code, kind="stable")
+    member, code = member[order], code[order]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    total = int(wide.sum())
+    for at in range(0, total, COLUMNS):
+        lo, hi = np.searchsorted(code, [at, at + COLUMNS])
+        holds = np.zeros((len(sets), min(COLUMNS, total - at)), np.float32)
+        holds[member[lo:hi], code[lo:hi] - at] = 1
+        shared += holds @ holds.T
+    union = sizes[:, None] + sizes[None, :] - shared
+    linked = shared >= least * union - 1e-6
+    if not own:
+        linked &= low[:, None] != low[None, :]
+    a, b = np.nonzero(np.triu(linked, 1))
+    return a, b
+
+
+def verified(members: DataFrame, words: int = STAGE_WORDS,
+             least: float = SIMILARITY) -> DataFrame:
+    """Stars (a, b) of the nodes whose shingle sets are similar, within each group.
+
+    ``members`` has root (the group), node and text, one row for each node.  Groups are cut into
+    parts by the hash of their nodes, and every two parts meet in a cell.
+    """
+    kind = members.schema["node"].dataType.simpleString()
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", SLICE_BYTES):
+            sets = [shingle_hashes(t, words) for t in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(sets, pa.list_(pa.int64()))],
+                ["root", "node", "shingles"])
+
+    sets = cut_lineage(members.select("root", "node", "text").mapInArrow(
+        shingle, f"root binary, node {kind}, shingles array<bigint>"))
+    parts = sets.groupBy("root").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+    cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
+        F.least(F.col("part"), j).alias("i"), F.greatest(F.col("part"), j).alias("j")))
+    laid = (sets.join(parts, "root")
+            .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+            .withColumn("cell", F.explode(cells))
+            .select(F.xxhash64("root", "cell").alias("key"), "node",
+                    (F.col("part") == F.col("cell.i")).alias("low"),
+                    (F.col("cell.i") == F.col("cell.j")).alias("own"), "shingles")
+            .repartition("key").sortWithinPartitions("key"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def star(nodes: list, low: list, own: bool, sets: list) -> Iterator[tuple]:
+            if len(nodes) > 1:
+                label = _least_labels(len(nodes), *_similar(sets, np.array(low), own, least))
+                for i in np.nonzero(label != np.arange(len(nodes)))[0].tolist():
+                    yield nodes[i], nodes[label[i]]
+
+        def stars() -> Iterator[tuple]:
+            key, nodes, low, own, sets = None, [], [], False, []
+            for batch in batches:
+                lists = batch.column(4)
+                flat = lists.values.to_numpy(zero_copy_only=False)
+                offsets = lists.offsets.to_numpy()
+                for i, (k, node, is_low, is_own) in enumerate(zip(*(
+                        batch.column(c).to_pylist() for c in range(4)))):
+                    if k != key:
+                        yield from star(nodes, low, own, sets)
+                        key, nodes, low, sets = k, [], [], []
+                    own = is_own
+                    nodes.append(node)
+                    low.append(is_low)
+                    sets.append(flat[offsets[i]:offsets[i + 1]].copy())
+            yield from star(nodes, low, own, sets)
+
+        found = list(stars())  # no more than the rows of a task
+        if found:
+            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found])
+
+    return laid.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
-                 radius: int = STAGE_RADIUS) -> DataFrame:
+                 radius: int = STAGE_RADIUS, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, one of each group of near-duplicates.
 
-    The row with the least id stays (of rows with equal ids the one with the least text digest;
-    rows without an id come last).  Rows equal in id and text count as one.  All texts without
-    words, nulls among them, are one group.
+    Fingerprints within the radius propose groups; inside them, texts whose sets of five-word
+    shingles have a Jaccard similarity of ``least`` or more are linked, and what links reach is a
+    group.  The row with the least id stays (rows without an id come last, ties go by the text's
+    digest).  Rows equal in id and text count as one.  All texts without words, nulls among
+    them, are one group.
     """
-    marked = docs.withColumn("__digest", F.coalesce(F.sha2(text, 256), F.lit("")))
-    found = near_duplicates(
-        marked, id_column, text, ["__digest"], STAGE_WORDS, radius, STAGE_WIDTH,
-        sampled_tables(64 * STAGE_WIDTH, STAGE_TABLES, STAGE_KEY_BITS))
-    # Components without any id are told apart by their fingerprints' least digest.
+    marked = docs.withColumns({
+        "__digest": F.coalesce(F.sha2(text, 256), F.lit("")), "__key": F.xxhash64(id_column)})
+    rows = cut_lineage(fingerprints(marked, text, [id_column, "__digest", "__key"], STAGE_WORDS,
+                                    STAGE_WIDTH))
     order = F.struct(F.col(id_column).isNull().alias("late"), F.col(id_column).alias("id"),
-                     F.col("__digest").alias("digest"))
-    group = F.coalesce(F.col("component_id").cast("string"), F.hex("fp"))
-    best = found.groupBy(group.alias("g")).agg(F.min(order).alias("best")).select(
-        F.col("best.id").alias("__id"), F.col("best.digest").alias("__best"))
-    kept = best.distinct()
-    return (marked.join(kept, marked[id_column].eqNullSafe(kept["__id"])
-                        & (F.col("__digest") == F.col("__best")), "left_semi")
-            .dropDuplicates([id_column, "__digest"]).drop("__digest"))
+                     F.col("__digest").alias("node"), F.col("__key").alias("key"))
+    texts = cut_lineage(rows.groupBy(F.col("__digest").alias("node")).agg(
+        F.first("fp").alias("fp"), F.min(order).alias("best")))
+    by_fp = groups(texts.select("fp", F.col("best.id").alias("id")), "id", radius,
+                   sampled_tables(64 * STAGE_WIDTH, STAGE_TABLES, STAGE_KEY_BITS))
+    proposed = cut_lineage(texts.join(by_fp, "fp").select(
+        "node", "root", F.col("best.key").alias("key")))
+    several = proposed.groupBy("root").count().where("count > 1").select("root")
+    candidates = proposed.join(several, "root")
+    # One row of each text: that with the least id.  Id and text together are no hot key.
+    members = (marked.select("__digest", "__key", F.col(text).alias("text")).join(
+        candidates, (F.col("__digest") == F.col("node")) & (F.col("__key") == F.col("key")))
+        .select("root", "node", "text").dropDuplicates(["node"]))
+    roots = components(verified(members, STAGE_WORDS, least))
+    kept = (texts.join(roots, "node", "left")
+            .groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("best").alias("best"))
+            .select(F.col("best.key").alias("__key"), F.col("best.node").alias("__digest")))
+    return (marked.join(kept, ["__key", "__digest"], "left_semi")
+            .dropDuplicates(["__key", "__digest"]).select(*docs.columns))
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
