@@ -312,14 +312,14 @@ def _slots(bins: Bins) -> dict[int, np.ndarray]:
 
 def place(cut: DataFrame, bins: Bins, keys: list[str]) -> DataFrame:
     """Adds sequence_id and offset to stored pieces."""
-    ranked = deal_ranks(cut, ["length"], [F.col(c) for c in keys], "rank")
+    ranked = deal_ranks(cut, ["length"], [F.col(c) for c in keys], "__rank")
     slots = _slots(bins)
-    columns = [c for c in ranked.columns if c != "rank"]
+    columns = [c for c in ranked.columns if c != "__rank"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length = batch.column(batch.schema.get_field_index("length")).to_numpy()
-            rank = batch.column(batch.schema.get_field_index("rank")).to_numpy()
+            rank = batch.column(batch.schema.get_field_index("__rank")).to_numpy()
             sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             for own in np.unique(length).tolist():
                 rows = np.nonzero(length == own)[0]
@@ -333,7 +333,7 @@ def place(cut: DataFrame, bins: Bins, keys: list[str]) -> DataFrame:
                                              [*columns, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                       for f in ranked.schema.fields if f.name != "rank")
+                       for f in ranked.schema.fields if f.name != "__rank")
     return ranked.mapInArrow(run, schema + ", sequence_id bigint, offset bigint")
 
 

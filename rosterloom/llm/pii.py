@@ -197,15 +197,15 @@ def bootstrap(occurrences: DataFrame, support: int = SUPPORT, trust: float = TRU
 def find(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns, ``base`` and ``added`` spans (no, start, end) of every row."""
     rows = cut_lineage(mentions(docs, keep, text)
-                       .withColumn("row", F.monotonically_increasing_id()))
-    occurrences = rows.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
+                       .withColumn("__row", F.monotonically_increasing_id()))
+    occurrences = rows.select("__row", F.explode("mentions").alias("m")).select("__row", "m.*")
     accepted = bootstrap(occurrences)
     added = (occurrences.where("no is null").drop("no").join(accepted, "value")
              .where(F.array_contains("fits", F.col("no")))
-             .groupBy("row").agg(F.array_sort(F.collect_list(
+             .groupBy("__row").agg(F.array_sort(F.collect_list(
                  F.struct("no", "start", "end"))).alias("added")))
     none = F.array().cast("array<struct<no:int,start:int,end:int>>")
-    return rows.join(added, "row", "left").select(
+    return rows.join(added, "__row", "left").select(
         *keep, "base", F.coalesce("added", none).alias("added"))
 
 

@@ -248,7 +248,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, text: str = "text",
     """The rows of ``docs`` that score at least ``least``."""
     model = learn(docs, labels, text=text)
     marked = docs.withColumn("__text", F.col(text))
-    return (scored(marked, model, "__text").where(F.col("score") >= least)
+    return (statistics(marked, "__text").where(model.column() >= least)
             .select(*docs.columns))
 
 

@@ -210,8 +210,8 @@ def redacted(docs: DataFrame, text: str = "text", repo: str = "source",
     """
     marked = docs.withColumn("__digest", F.sha2(text, 256))
     found = (scan(marked, ["__digest"], text, repo).where(F.size("live") > 0)
-             .select("__digest", "live").dropDuplicates(["__digest"]))
-    merged = F.aggregate("live", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+             .select("__digest", F.col("live").alias("__live")).dropDuplicates(["__digest"]))
+    merged = F.aggregate("__live", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
                          lambda s, x: F.when(x["end"] <= s["at"], s).otherwise(F.struct(
                              x["end"].alias("at"),
                              F.concat(s["out"], F.when(
@@ -221,7 +221,7 @@ def redacted(docs: DataFrame, text: str = "text", repo: str = "source",
                          lambda s: F.concat(s["out"], F.substring(
                              F.col(text), s["at"] + 1, F.char_length(text))))
     joined = marked.join(found, "__digest", "left")
-    return joined.withColumn(text, F.when(F.col("live").isNull(), F.col(text))
+    return joined.withColumn(text, F.when(F.col("__live").isNull(), F.col(text))
                              .otherwise(merged)).select(*docs.columns)
 
 

@@ -143,19 +143,20 @@ def shard_documents(docs: DataFrame, group: Column, keep: list[str], shards: int
     ``group`` is a column whose equal values link rows; null links nothing.
     """
     rows = cut_lineage(docs.select(*keep, group.alias("__group")).withColumn(
-        "member", F.monotonically_increasing_id()))
+        "__member", F.monotonically_increasing_id()))
     total = rows.count()
     links = split_hubs(rows.where("__group is not null")
-                       .select("member", F.col("__group").alias("hub")),
+                       .select(F.col("__member").alias("member"), F.col("__group").alias("hub")),
                        max(2, int(total / shards * LARGEST_PART)))
     links = cut_lineage(links)
     state = propagate(links, total, shards, turns)
     hubs = links.groupBy("member").agg(F.min("hub").alias("hub"))
-    members = cut_lineage(rows.select("member").join(hubs, "member", "left").join(
+    members = cut_lineage(rows.select(F.col("__member").alias("member")).join(hubs, "member", "left").join(
         state.withColumnRenamed("shard", "wish"), "member", "left"))
     placed = cut_lineage(settle(members, total, shards))
     slots = deal_ranks(placed, ["shard"], [F.col("member")], "slot")
-    return rows.join(slots, "member").select(*keep, "shard", "slot")
+    return rows.join(slots.withColumnRenamed("member", "__member"), "__member").select(
+        *keep, "shard", "slot")
 
 
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
