@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from rosterloom.llm.common import read, slices
 
 DICE = 0.8
+#: Rounding must not rule out a passage that lies exactly on a bound.
+SLACK = 1e-9
 SLICE_BYTES = 4_000_000
 OTHER = re.compile(r"[\W_]+")
 
@@ -99,8 +101,8 @@ class Templates:
         for i, own in enumerate(self.own):
             for b in own:
                 self.holders.setdefault(b, []).append(i)
-        self.low = min(self.sizes, default=0) * least / (2 - least)
-        self.high = max(self.sizes, default=0) * (2 - least) / least
+        self.low = min(self.sizes, default=0) * least / (2 - least) - SLACK
+        self.high = max(self.sizes, default=0) * (2 - least) / least + SLACK
 
     def best(self, passage: str) -> list[tuple[float, int]]:
         """(Dice, template) of all templates that reach the least Dice."""
@@ -116,8 +118,8 @@ class Templates:
         for b, count in own.items():
             for i in self.holders.get(b, ()):
                 size = self.sizes[i]
-                if size * self.least <= n * (2 - self.least) and \
-                        n * self.least <= size * (2 - self.least):
+                if size * self.least <= n * (2 - self.least) + SLACK and \
+                        n * self.least <= size * (2 - self.least) + SLACK:
                     shared[i] = shared.get(i, 0) + min(count, self.own[i][b])
         scored = ((2 * s / (n + self.sizes[i]), i) for i, s in shared.items())
         return [x for x in scored if x[0] >= self.least]
