@@ -5,9 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
+# Names and defaults of the guards' thresholds.
 @dataclass(frozen=True)
 class GuardLimits:
-    max_input_bytes: int = 5_000_000
+    """``max_input_bytes`` and ``max_rows`` turn a file away only where they are asked for."""
+
+    max_input_bytes: int | None = None
     max_invalid_fraction: float = 0.5
     min_rows_for_fraction: int = 5
     min_match_rate: float = 0.2

@@ -113,10 +113,14 @@ def identifier_index(people: DataFrame, cfg: LadderConfig = LADDER) -> DataFrame
     def entry(method: str, value: Column) -> Column:
         return F.struct(F.lit(method).alias("method"), value.alias("identifier"))
 
+    def whole(kind: str) -> Column:
+        # Without a company or place that says something a name stands for everybody of it.
+        return F.when((F.col("name") != "") & (F.col(kind) != ""),
+                      F.concat_ws("|", "name", F.lit(kind), kind))
+
     entries = F.array(
         entry("email", F.col("email")), entry("linkedin", F.col("url")),
-        entry("name_context", F.concat_ws("|", "name", F.lit("company"), "company")),
-        entry("name_context", F.concat_ws("|", "name", F.lit("place"), "place")))
+        entry("name_context", whole("company")), entry("name_context", whole("place")))
     return (named.filter(F.col("likelihood") >= cfg.enrich_min_likelihood)
             .select("person_id", "likelihood", F.inline(entries))
             .filter(F.col("identifier") != "")
@@ -132,9 +136,10 @@ def identifier_of(cfg: LadderConfig = LADDER) -> Column:
     place = F.coalesce("location", F.lit(cfg.location_hint).cast("string"))
     return (F.when(F.col("lookup_method") == "email", normalize_email(F.col("email")))
             .when(F.col("lookup_method") == "linkedin", normalize_url(F.col("linkedin_url")))
-            .when(F.col("company").isNotNull(),
+            .when(normalize_text(F.col("company")) != "",
                   F.concat_ws("|", name, F.lit("company"), normalize_text(F.col("company"))))
-            .when(place.isNotNull(), F.concat_ws("|", name, F.lit("place"), normalize_text(place)))
+            .when(normalize_text(place) != "",
+                  F.concat_ws("|", name, F.lit("place"), normalize_text(place)))
             .otherwise(name))
 
 
@@ -228,8 +233,10 @@ def resolve_attempts(responses: DataFrame, cfg: LadderConfig = LADDER,
     pause = F.least(F.coalesce(asked, F.pow(F.lit(2.0), F.col("attempt"))),
                     F.lit(float(cfg.max_wait_seconds)))
     held = [c for c in responses.columns if c not in keys]
-    # min over (not final, attempt) picks the first final response; without one the latest.
-    rank = F.when(~retried | last, F.col("attempt")).otherwise(10_000 - F.col("attempt"))
+    # The least (not final, attempt) is the first final response; without one the latest counts.
+    final = ~retried | last
+    rank = F.struct((~final).alias("open"), F.when(final, F.col("attempt")).otherwise(
+        -F.col("attempt")).alias("turn"))
     chosen = allowed.groupBy(*keys).agg(
         F.min_by(F.struct(*held), rank).alias("r"),
         F.map_from_entries(F.collect_list(F.struct("attempt", F.when(retried & ~last, pause)

@@ -160,16 +160,26 @@ def batch_id_for_object(bucket: Column, key: Column, identity: Column, modified:
     return F.concat(F.date_format(modified, "yyyyMMdd'T'HHmmss"), F.lit("-"), F.left(digest, F.lit(8)))
 
 
-def batch_claim(triggers: DataFrame, claims: DataFrame) -> DataFrame:
+#: How long a claim is held.
+CLAIM_DAYS = 90
+
+
+def batch_claim(triggers: DataFrame, claims: DataFrame, days: int = CLAIM_DAYS) -> DataFrame:
     """Which trigger owns its batch: the holder of an earlier claim, else the first here.
 
-    Only the winner per batch is shuffled whole (the minimum is combined map-side).
+    ``claims`` may carry ``claimed_at``; a claim that had run out when the first trigger came
+    holds nothing.  Only the winner per batch is shuffled whole (the minimum is combined
+    map-side).
     """
     first = triggers.groupBy("batch_id").agg(
         F.min(F.struct("triggered_at", "execution_id")).alias("w"))
-    held = claims.select("batch_id", F.col("execution_id").alias("held_by"))
-    owners = first.join(held, "batch_id", "left").select(
-        "batch_id", F.coalesce("held_by", "w.execution_id").alias("owner_execution"))
+    since = F.col("claimed_at") if "claimed_at" in claims.columns else F.lit(None)
+    held = claims.select("batch_id", F.col("execution_id").alias("held_by"),
+                         since.cast("timestamp").alias("since"))
+    until = F.col("since") + F.make_dt_interval(F.lit(days))
+    alive = F.col("since").isNull() | (F.col("w.triggered_at").cast("timestamp") < until)
+    owners = first.join(held, "batch_id", "left").select("batch_id", F.coalesce(
+        F.when(alive, F.col("held_by")), "w.execution_id").alias("owner_execution"))
     duplicate = F.col("execution_id") != F.col("owner_execution")
     return triggers.join(owners, "batch_id").select(
         *triggers.columns, duplicate.alias("duplicate"),

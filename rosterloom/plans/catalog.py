@@ -540,9 +540,8 @@ def _(w: Workspace) -> DataFrame:
 
 
 def cache(w: Workspace) -> DataFrame:
-    """Answers kept from the batches of January's first half, seen at the end of March."""
-    fresh = w.results().filter(F.col("batch_date") <= "2024-01-15").withColumn(
-        "person_id", F.col("profile.id"))
+    """Answers kept from all batches, seen at the end of March."""
+    fresh = w.results().withColumn("person_id", F.col("profile.id"))
     empty = w.spark.createDataFrame([], "lookup_key string, status string, person_id string, "
                                     "likelihood double, batch_id string, updated_at timestamp, "
                                     "expires_at timestamp")
@@ -552,7 +551,7 @@ def cache(w: Workspace) -> DataFrame:
 _CACHE = """SELECT * FROM (SELECT lookup_key, status, person_id, likelihood, batch_id,
     requested_at AS updated_at, row_number() OVER (PARTITION BY lookup_key
       ORDER BY requested_at DESC, batch_id DESC) AS nth FROM results
-    WHERE batch_date <= '2024-01-15' AND status IN ('matched', 'not_found', 'ambiguous')
+    WHERE status IN ('matched', 'not_found', 'ambiguous')
       AND cast(requested_at AS timestamp) + INTERVAL 90 DAY > TIMESTAMP '2024-03-31') AS x
     WHERE nth = 1"""
 
@@ -607,14 +606,13 @@ _ATTEMPTS = """SELECT user_id AS call_no, attempt, http_status,
        OR http_status >= 500 THEN CASE WHEN attempt = 4 THEN 4 ELSE 100 - attempt END
        ELSE attempt END) AS nth FROM tries WHERE attempt <= 4) AS c WHERE nth = 1""", tries=_ATTEMPTS)
 def _(w: Workspace) -> DataFrame:
-    # Attempts of one call: a user's events in order (the call with the most keeps the first four).
+    # Attempts of one call: all of a user's events in order; the operator stops at its own limit.
     from pyspark.sql import Window
     order = Window.partitionBy("user_id").orderBy("ts", "event_id")
     status = (F.when(F.col("event_type") == "error", 500).when(F.col("event_type") == "view", 429)
               .when(F.col("event_type") == "signup", 503)
               .when(F.col("event_type") == "click", 404).otherwise(200))
     tries = (w.table("events").withColumn("attempt", F.row_number().over(order))
-             .filter(F.col("attempt") <= 4)
              .select(F.col("user_id").alias("call_no"), "attempt", status.alias("http_status"),
                      F.when(F.col("attempt") % 2 == 1, 5.0).alias("wait")))
     return matching.resolve_attempts(tries, keys=("call_no",)).select(
@@ -921,7 +919,7 @@ def _(w: Workspace) -> DataFrame:
 @query("rebuild", _QUALITY)
 def _(w: Workspace) -> DataFrame:
     results = w.results(batch_prefix="b")
-    tables = curate.build_tables(results, w.rejected(), w.built_at(), "recorded")
+    tables = curate.build_tables(results, w.rejected("b"), w.built_at(), "recorded")
     return shown_quality(tables["fact_batch_quality"])
 
 
@@ -1204,10 +1202,7 @@ def _(w: Workspace) -> DataFrame:
        nullif(raw_consent, '') AS consent FROM rejected""")
 def _(w: Workspace) -> DataFrame:
     path = w.path("rejected", lambda p: store.rejected_rows_export(w.rejected(), p))
-    schema = ("row_number int, reason string, first_name string, last_name string, email string, "
-              "company string, location string, linkedin_url string, consent string, "
-              "batch_id string")
-    back = w.spark.read.schema(schema).option("header", "true").option("escape", '"').csv(path)
+    back = store.read_export(w.spark, path).drop("batch_date")
     return back.withColumns({n: G.blank_to_null(F.col(n)) for n in V.INPUT_COLUMNS})
 
 
@@ -1227,11 +1222,11 @@ def _(w: Workspace) -> DataFrame:
        cast(rows_invalid AS varchar) AS rows_invalid, cast(credits_spent AS varchar) AS credits_spent,
        cast(persons AS varchar) AS persons, cast(nullif(matched, 0) AS varchar) AS matched,
        CASE WHEN warnings = '' THEN 'none' ELSE warnings END AS notes,
-       concat('curated/dim_person/batch_date=', batch_date, '/batch=', batch_id) AS file
+       concat('curated/dim_person/batch_date=', batch_date) AS file
        FROM fact_batch_quality""")
 def _(w: Workspace) -> DataFrame:
     path = w.path("manifests", lambda p: store.manifest(w.curated("fact_batch_quality"), p))
-    lines = w.spark.read.schema("value string, batch_id string").text(path)
+    lines = store.read_manifests(w.spark, path).drop("batch_date")
     field = {n: F.get_json_object("value", f"$.{p}").alias(n) for n, p in {
         "batch_date": "batch_date", "rows_valid": "rows_valid", "rows_invalid": "rows_invalid",
         "credits_spent": "credits_spent", "persons": "persons", "matched": "status_counts.matched",

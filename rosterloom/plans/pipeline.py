@@ -55,9 +55,7 @@ def _finish(answered: DataFrame, people: DataFrame, settings: Settings) -> DataF
     return (flagged.withColumn("provider", F.lit(settings.provider))
             .withColumn("credits", cost)
             .withColumn("requested_at", row_clock())
-            .withColumn("raw_ref", F.concat(
-                F.lit(f"raw/provider={settings.provider}/batch_date="), "batch_date",
-                F.lit("/batch_id="), "batch_id", F.lit("/"), "lookup_key", F.lit(".json"))))
+            .withColumn("raw_ref", store.raw_ref()))
 
 
 def row_clock() -> Column:
@@ -227,18 +225,27 @@ def run_batches(registrants: DataFrame, people: DataFrame, candidates: DataFrame
 
 
 def publish(results: DataFrame, rejected: DataFrame, path: str, at: Column, provider: str,
-            parse_warnings: DataFrame | None = None, expected: DataFrame | None = None) -> None:
+            parse_warnings: DataFrame | None = None, expected: DataFrame | None = None,
+            built: DataFrame | None = None) -> None:
     """Builds and writes the curated tables of every batch, the quality report last.
 
+    ``built`` (batch_date, batch_id) are the batches that are published, by default those with
+    results or rejected rows; name them where one may have become empty.
+
     The report is computed from the files just written, so results are read once per table
     and what is reported is what lies there.  ``expected`` (batch_id, rows) turns on the
     consistency checks: contradictions raise before the report is written.
     """
+    if built is None:
+        built = store.batches_of(results, rejected)
+    built = cut_lineage(built)
     facts = curate.build_facts(results, rejected, at, provider)
-    store.write_curated(facts, path)
-    written = {n: store.read_curated(results.sparkSession, path, n) for n in facts}
+    store.write_curated(facts, path, built)
+    own = ["batch_date", "batch_id"]
+    written = {n: store.read_curated(results.sparkSession, path, n).join(built, own, "left_semi")
+               for n in facts}
     if expected is not None:
         curate.require_consistent(curate.check_tables(written, expected))
     quality = curate.build_quality(written, at, provider, parse_warnings,
                                    curate.unrecorded_counts(results))
-    store.write_curated({"fact_batch_quality": quality}, path)
+    store.write_curated({"fact_batch_quality": quality}, path, built)

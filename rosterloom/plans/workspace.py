@@ -18,7 +18,7 @@ from rosterloom.session import scratch_path
 from rosterloom.sources import store
 
 BUILT_AT = "2030-01-01 00:00:00"
-_PATHS: dict[tuple[str, str, str], str] = {}
+_PATHS: dict[tuple, str] = {}
 
 
 class Workspace:
@@ -28,7 +28,7 @@ class Workspace:
         self.settings = settings or pipeline.Settings()
 
     def path(self, name: str, write: Callable[[str], None]) -> str:
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        key = (self.spark.sparkContext.applicationId, self.folder, self.settings, name)
         if key not in _PATHS:
             target = scratch_path(self.spark, name)
             write(target)
@@ -59,8 +59,9 @@ class Workspace:
     def valid(self) -> DataFrame:
         return validation.valid_rows(self.cleaned())
 
-    def rejected(self) -> DataFrame:
-        return validation.rejected_rows(self.cleaned())
+    def rejected(self, batch_prefix: str = "") -> DataFrame:
+        return validation.rejected_rows(self.cleaned()).filter(
+            F.col("batch_id").startswith(batch_prefix))
 
     def planned(self) -> DataFrame:
         return self.stage("planned", lambda: matching.plan_lookup(

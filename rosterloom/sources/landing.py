@@ -57,10 +57,11 @@ def header_line(text: Column) -> Column:
 def file_profile(files: DataFrame, limits: GuardLimits = LIMITS) -> DataFrame:
     """Encoding, text, delimiter, warnings and the reason a file is no CSV, if it is none."""
     content, size = F.col("content"), F.col("length")
-    thousands = F.format_number(size, 0)
-    too_big = F.when(size > limits.max_input_bytes, F.concat(
-        F.lit("input is "), thousands,
-        F.lit(f" bytes, above the {limits.max_input_bytes:,} byte limit; split the file")))
+    too_big = F.lit(None).cast("string")
+    if limits.max_input_bytes is not None:
+        too_big = F.when(size > limits.max_input_bytes, F.concat(
+            F.lit("input is "), F.format_number(size, 0),
+            F.lit(f" bytes, above the {limits.max_input_bytes:,} byte limit; split the file")))
     fits = files.withColumn("too_big", too_big).withColumn(
         "content", F.when(F.col("too_big").isNull(), content))
     plain = F.col("content").cast("string")

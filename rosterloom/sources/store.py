@@ -2,60 +2,128 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from rosterloom import vocabulary as V
 from rosterloom.operators.curate import OutputCheckError
+from rosterloom.session import cut_lineage
 from rosterloom.tables import CURATED, LOOKUP_RESULT, PARTITION_COLUMN, create_table_sql
 
-PARTITIONS = ("batch_date", "batch_id")
 
 
-def _overwrite(df: DataFrame, path: str, partitions: tuple[str, ...]) -> None:
-    """Replace exactly the partitions present in ``df``; one batch goes to few files.
+def batches_of(*frames: DataFrame) -> DataFrame:
+    """The batches (batch_date, batch_id) that any of the frames has rows of."""
+    every = None
+    for df in frames:
+        own = df.select(PARTITION_COLUMN, "batch_id")
+        every = own if every is None else every.unionByName(own)
+    return every.distinct()
+
+
+def _replace(df: DataFrame, path: str, built: DataFrame, read: Callable[[], DataFrame],
+             write: Callable[[DataFrameWriter], None], columns: list[str] | None = None) -> None:
+    """Puts ``df`` in the place of all rows of the batches in ``built`` (batch_date, batch_id).
 
-    The rebalance hint gathers a batch's rows and, at run time, merges small batches into one
-    task and splits one that holds very many rows, so no batch is a single task's burden.
-    Lookup rows lie in row order inside their batch.
+    Tables are partitioned by date, so the number of folders doesn't grow with that of uploads.
+    The other batches of the dates that are touched are kept: the new content of those dates is
+    written aside first, then their folders are overwritten.  A date that nothing is left of
+    loses its folder, so a batch that has become empty leaves no rows behind.
     """
-    order = [*partitions, *(c for c in ("row_number",) if c in df.columns)]
-    (df.hint("rebalance", *partitions).sortWithinPartitions(*order)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("compression", "snappy").partitionBy(*partitions).parquet(path))
+    spark = df.sparkSession
+    built = cut_lineage(built.select(PARTITION_COLUMN, "batch_id").distinct())
+    dates = built.select(PARTITION_COLUMN).distinct()
+    fresh = df
+    if _exists(spark, path):
+        others = (read().join(dates, PARTITION_COLUMN, "left_semi")
+                  .join(built, [PARTITION_COLUMN, "batch_id"], "left_anti"))
+        fresh = cut_lineage(others.select(*df.columns).unionByName(df))
+    order = [PARTITION_COLUMN, "batch_id", *(c for c in ("row_number",) if c in df.columns)]
+    # The rebalance merges small dates into one task and splits large ones at run time; a
+    # batch's rows lie together, so a filter by batch skips most of a file.
+    laid = fresh.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(*order)
+    write(laid.select(*(columns or laid.columns)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN))
+    emptied = dates.join(fresh.select(PARTITION_COLUMN).distinct(), PARTITION_COLUMN, "left_anti")
+    for row in emptied.toLocalIterator():  # no more than there are days
+        folder = _folder(spark, f"{path}/{PARTITION_COLUMN}={row[0]}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = _folder(spark, path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
 # ------------------------------------------------------------------ raw and results
 
 
 def write_raw_responses(responses: DataFrame, path: str) -> None:
-    """Provider answers as JSON lines below provider / batch_date / batch_id."""
-    parts = ["provider", "batch_date", "batch_id"]
+    """Provider answers as JSON lines below provider / batch_date."""
+    parts = ["provider", PARTITION_COLUMN]
     body = F.to_json(F.struct(*[c for c in responses.columns if c not in parts]))
     (responses.select(*parts, body.alias("value")).write.mode("append")
      .partitionBy(*parts).text(path))
 
 
+def raw_ref() -> Column:
+    """Where an answer lies, from its provider, date, batch and key."""
+    return F.concat(F.lit("raw/provider="), "provider", F.lit("/batch_date="), PARTITION_COLUMN,
+                    F.lit("/batch_id="), "batch_id", F.lit("/"), "lookup_key", F.lit(".json"))
+
+
+def erase_raw_responses(spark: SparkSession, path: str, refs: DataFrame) -> None:
+    """Rewrites the dates that hold answers named in ``refs`` (raw_ref) without them."""
+    lines = _raw_lines(spark, path).withColumn("raw_ref", raw_ref())
+    touched = lines.join(refs, "raw_ref", "left_semi").select(
+        "provider", PARTITION_COLUMN).distinct()
+    touched = cut_lineage(touched)
+    kept = cut_lineage(lines.join(touched, ["provider", PARTITION_COLUMN], "left_semi")
+                       .join(refs, "raw_ref", "left_anti")
+                       .select("provider", PARTITION_COLUMN, "value"))
+    (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("provider", PARTITION_COLUMN).text(path))
+    emptied = touched.join(kept.select("provider", PARTITION_COLUMN).distinct(),
+                           ["provider", PARTITION_COLUMN], "left_anti")
+    for row in emptied.toLocalIterator():
+        folder = _folder(spark, f"{path}/provider={row[0]}/{PARTITION_COLUMN}={row[1]}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.schema("value string, provider string, batch_date string").text(path)
+    named = F.from_json("value", "batch_id string, lookup_key string")
+    return lines.select("*", named.alias("n")).select("provider", PARTITION_COLUMN, "value", "n.*")
+
+
 def raw_responses(spark: SparkSession, path: str) -> DataFrame:
     """Stored answers with their partitions; ``body`` is VARIANT, since its schema is open."""
-    schema = ("lookup_key string, method string, kind string, attempts int, "
+    schema = ("batch_id string, lookup_key string, method string, kind string, attempts int, "
               "requested_at string, http_status int, headers map<string,string>, body string")
-    lines = spark.read.schema(
-        "value string, provider string, batch_date string, batch_id string").text(path)
+    lines = spark.read.schema("value string, provider string, batch_date string").text(path)
     read = F.from_json("value", schema)
-    return (lines.select("provider", "batch_date", "batch_id", read.alias("r"))
-            .select("provider", "batch_date", "batch_id", "r.*")
+    return (lines.select("provider", PARTITION_COLUMN, read.alias("r"))
+            .select("provider", PARTITION_COLUMN, "r.*").withColumn("raw_ref", raw_ref())
             .withColumn("body", F.try_parse_json("body")))
 
 
-def write_lookup_results(results: DataFrame, path: str) -> None:
-    _overwrite(results, path, PARTITIONS)
+def write_lookup_results(results: DataFrame, path: str, built: DataFrame | None = None) -> None:
+    """Replaces the results of the batches in ``built``, by default those with rows."""
+    stored = results.select(*LOOKUP_RESULT.fieldNames())
+    _replace(stored, path, batches_of(stored) if built is None else built,
+             lambda: lookup_results(results.sparkSession, path), lambda w: w.parquet(path))
 
 
 def lookup_results(spark: SparkSession, path: str, batch_prefix: str | None = None) -> DataFrame:
-    """Stored results; a batch prefix is a partition filter."""
+    """Stored results; files are sorted by batch, so a prefix reads little of them."""
     results = spark.read.schema(LOOKUP_RESULT).parquet(path)
     return results if batch_prefix is None else results.filter(
         F.col("batch_id").startswith(batch_prefix))
@@ -64,33 +132,37 @@ def lookup_results(spark: SparkSession, path: str, batch_prefix: str | None = No
 # ------------------------------------------------------------------ curated tables
 
 
-def write_curated(tables: dict[str, DataFrame], path: str) -> None:
-    """All tables, batch by batch replaceable; an empty one leaves its schema behind."""
+def write_curated(tables: dict[str, DataFrame], path: str, built: DataFrame | None = None) -> None:
+    """Replaces the batches in ``built`` in all tables, by default those with rows in a table.
+
+    Name the batches where one may have become empty.  An empty table leaves its schema behind.
+    """
     for name, df in tables.items():
-        # batch_id is both a column and the directory that makes a batch replaceable.
-        _overwrite(df.withColumn("batch", F.col("batch_id")), f"{path}/{name}",
-                   (PARTITION_COLUMN, "batch"))
-        (df.sparkSession.createDataFrame([], CURATED[name]).write.mode("overwrite")
+        spark, target = df.sparkSession, f"{path}/{name}"
+        stored = df.select(*CURATED[name].fieldNames(), PARTITION_COLUMN)
+        _replace(stored, target, batches_of(stored) if built is None else built,
+                 lambda name=name: read_curated(spark, path, name),
+                 lambda w, target=target: w.option("compression", "snappy").parquet(target))
+        (spark.createDataFrame([], CURATED[name]).write.mode("overwrite")
          .parquet(f"{path}/_schema/{name}"))
 
 
 def read_curated(spark: SparkSession, path: str, name: str) -> DataFrame:
     """One table in declared column order, with its partition column; empty ones included."""
-    stored = T.StructType([*CURATED[name].fields, T.StructField(PARTITION_COLUMN, T.StringType()),
-                           T.StructField("batch", T.StringType())])
+    stored = T.StructType([*CURATED[name].fields, T.StructField(PARTITION_COLUMN, T.StringType())])
     try:
-        return spark.read.schema(stored).parquet(f"{path}/{name}").drop("batch")
+        return spark.read.schema(stored).parquet(f"{path}/{name}")
     except AnalysisException:  # nothing was ever written for this table
-        return spark.createDataFrame([], stored).drop("batch")
+        return spark.createDataFrame([], stored)
 
 
 def _columns(spark: SparkSession, path: str, name: str) -> list[str]:
-    """Column names in the files themselves, without the partition columns."""
+    """Column names in the files themselves, without the partition column."""
     try:
         names = spark.read.parquet(f"{path}/{name}").columns
     except AnalysisException:
         names = spark.read.parquet(f"{path}/_schema/{name}").columns
-    return [c for c in names if c not in (PARTITION_COLUMN, "batch")]
+    return [c for c in names if c != PARTITION_COLUMN]
 
 
 def verify_written(spark: SparkSession, path: str, expected: dict[str, DataFrame]) -> DataFrame:
@@ -135,9 +207,7 @@ def catalog_tables(spark: SparkSession, path: str, database: str | None = None)
         return list(CURATED)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in CURATED:
-        spark.sql(create_table_sql(name, f"{path}/{name}", database).replace(
-            f", {PARTITION_COLUMN} string)", f", {PARTITION_COLUMN} string, batch string)").replace(
-            f"({PARTITION_COLUMN})", f"({PARTITION_COLUMN}, batch)"))
+        spark.sql(create_table_sql(name, f"{path}/{name}", database))
         spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
     return [f"{database}.{name}" for name in CURATED]
 
@@ -149,15 +219,25 @@ def rejected_export(rejected: DataFrame) -> DataFrame:
     """Rejected rows as the source owner gets them back: number, reason, raw fields."""
     raw = F.col("raw")
     return rejected.select("batch_id", "row_number", "reason",
-                           *[raw[n].alias(n) for n in V.INPUT_COLUMNS])
+                           *[raw[n].alias(n) for n in V.INPUT_COLUMNS], PARTITION_COLUMN)
+
+
+#: Columns of the export's files, and the date that is its folder.
+EXPORT = ("batch_id string, row_number int, reason string, "
+          + ", ".join(f"{n} string" for n in V.INPUT_COLUMNS) + f", {PARTITION_COLUMN} string")
 
 
-def rejected_rows_export(rejected: DataFrame, path: str) -> None:
-    """One CSV folder per batch, rows in file order."""
+def rejected_rows_export(rejected: DataFrame, path: str, built: DataFrame | None = None) -> None:
+    """CSV files by date, rows by batch and in file order; replaces the batches in ``built``."""
     export = rejected_export(rejected)
-    (export.hint("rebalance", "batch_id").sortWithinPartitions("batch_id", "row_number")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", "true")
-     .option("escape", '"').partitionBy("batch_id").csv(path))
+    spark = rejected.sparkSession
+    _replace(export, path, batches_of(export) if built is None else built,
+             lambda: read_export(spark, path),
+             lambda w: w.option("header", "true").option("escape", '"').csv(path))
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(EXPORT).option("header", "true").option("escape", '"').csv(path)
 
 
 def quarantine_files(files: DataFrame, verdict: DataFrame) -> DataFrame:
@@ -190,14 +270,23 @@ def manifest_rows(quality: DataFrame, flag_counts: DataFrame | None = None) -> D
         "warning_count", F.when(F.size("warnings") > 0, F.array_join("warnings", "; "))
         .otherwise("none").alias("notes"))
     files = F.create_map(*[x for t in CURATED for x in (F.lit(t), F.concat(
-        F.lit(f"curated/{t}/batch_date="), "batch_date", F.lit("/batch="), "batch_id"))])
+        F.lit(f"curated/{t}/batch_date="), "batch_date"))])
     body = F.struct(
         "batch_id", "batch_date", "provider", "pipeline_version", "rows_valid", "rows_invalid",
         "rows_unrecorded", present.alias("status_counts"), "credits_spent", "persons",
         "employment_rows", report.alias("quality"), files.alias("files"), "built_at")
-    return quality.select("batch_id", F.to_json(body).alias("value"))
+    return quality.select("batch_id", PARTITION_COLUMN, F.to_json(body).alias("value"))
+
+
+def manifest(quality: DataFrame, path: str, built: DataFrame | None = None) -> None:
+    """JSON lines by date, one for each batch; replaces the batches in ``built``."""
+    lines, spark = manifest_rows(quality), quality.sparkSession
+    stored = lines.select("value", PARTITION_COLUMN, "batch_id")
+    _replace(stored, path, batches_of(stored) if built is None else built,
+             lambda: read_manifests(spark, path), lambda w: w.text(path),
+             ["value", PARTITION_COLUMN])
 
 
-def manifest(quality: DataFrame, path: str) -> None:
-    (manifest_rows(quality).hint("rebalance", "batch_id").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").text(path))
+def read_manifests(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.schema(f"value string, {PARTITION_COLUMN} string").text(path)
+    return lines.withColumn("batch_id", F.get_json_object("value", "$.batch_id"))

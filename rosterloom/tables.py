@@ -10,37 +10,48 @@ PARTITION_COLUMN = "batch_date"
 DATABASE_NAME = "rosterloom"
 
 
-def _schema(spec: str) -> T.StructType:
-    kinds = {"s": T.StringType(), "i": T.IntegerType(), "d": T.DoubleType(),
-             "b": T.BooleanType(), "t": T.TimestampType(), "l": T.ArrayType(T.StringType())}
-    fields = (item.split(":") for item in spec.split())
-    return T.StructType([T.StructField(name, kinds[kind], True) for name, kind in fields])
+TEXT, WHOLE, REAL = T.StringType(), T.IntegerType(), T.DoubleType()
+FLAG, TIME, TEXTS = T.BooleanType(), T.TimestampType(), T.ArrayType(T.StringType())
 
 
-# Column names, order and kinds of the published tables
-# (s string, i int, d double, b boolean, t timestamp, l list of strings).
+def _table(*columns: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, True) for name, kind in columns])
+
+
+# Column names, order and types of the published tables.
 CURATED = {
-    "dim_person": _schema(
-        "person_id:s provider:s batch_id:s input_row_number:i input_first_name:s "
-        "input_last_name:s input_email:s full_name:s first_name:s last_name:s linkedin_url:s "
-        "location_country:s location_name:s current_job_title:s current_job_title_role:s "
-        "current_company_name:s current_company_industry:s inferred_years_experience:i "
-        "match_likelihood:d lookup_method:s quality_flags:l pipeline_version:s enriched_at:t"),
-    "fact_employment": _schema(
-        "person_id:s batch_id:s sequence_no:i company_name:s company_id:s company_website:s "
-        "company_linkedin_url:s company_industry:s company_size:s company_location_country:s "
-        "title_name:s title_role:s title_sub_role:s title_levels:l start_date:s end_date:s "
-        "start_year:i is_current:b pipeline_version:s"),
-    "fact_lookup": _schema(
-        "batch_id:s row_number:i input_first_name:s input_last_name:s input_email:s "
-        "input_company:s lookup_key:s status:s lookup_method:s person_id:s likelihood:d "
-        "candidates:i http_status:i error_message:s credits_consumed:i attempts:i provider:s "
-        "raw_ref:s quality_flags:l pipeline_version:s requested_at:t"),
-    "fact_batch_quality": _schema(
-        "batch_id:s provider:s pipeline_version:s rows_valid:i rows_invalid:i rows_unrecorded:i "
-        "matched:i cached:i not_found:i ambiguous:i budget_deferred:i provider_unavailable:i "
-        "error:i match_rate:d flagged_matches:i warning_count:i warnings:l credits_spent:i "
-        "persons:i employment_rows:i built_at:t"),
+    "dim_person": _table(
+        ("person_id", TEXT), ("provider", TEXT), ("batch_id", TEXT), ("input_row_number", WHOLE),
+        ("input_first_name", TEXT), ("input_last_name", TEXT), ("input_email", TEXT),
+        ("full_name", TEXT), ("first_name", TEXT), ("last_name", TEXT), ("linkedin_url", TEXT),
+        ("location_country", TEXT), ("location_name", TEXT), ("current_job_title", TEXT),
+        ("current_job_title_role", TEXT), ("current_company_name", TEXT),
+        ("current_company_industry", TEXT), ("inferred_years_experience", WHOLE),
+        ("match_likelihood", REAL), ("lookup_method", TEXT), ("quality_flags", TEXTS),
+        ("pipeline_version", TEXT), ("enriched_at", TIME)),
+    "fact_employment": _table(
+        ("person_id", TEXT), ("batch_id", TEXT), ("sequence_no", WHOLE), ("company_name", TEXT),
+        ("company_id", TEXT), ("company_website", TEXT), ("company_linkedin_url", TEXT),
+        ("company_industry", TEXT), ("company_size", TEXT), ("company_location_country", TEXT),
+        ("title_name", TEXT), ("title_role", TEXT), ("title_sub_role", TEXT),
+        ("title_levels", TEXTS), ("start_date", TEXT), ("end_date", TEXT), ("start_year", WHOLE),
+        ("is_current", FLAG), ("pipeline_version", TEXT)),
+    "fact_lookup": _table(
+        ("batch_id", TEXT), ("row_number", WHOLE), ("input_first_name", TEXT),
+        ("input_last_name", TEXT), ("input_email", TEXT), ("input_company", TEXT),
+        ("lookup_key", TEXT), ("status", TEXT), ("lookup_method", TEXT), ("person_id", TEXT),
+        ("likelihood", REAL), ("candidates", WHOLE), ("http_status", WHOLE),
+        ("error_message", TEXT), ("credits_consumed", WHOLE), ("attempts", WHOLE),
+        ("provider", TEXT), ("raw_ref", TEXT), ("quality_flags", TEXTS),
+        ("pipeline_version", TEXT), ("requested_at", TIME)),
+    "fact_batch_quality": _table(
+        ("batch_id", TEXT), ("provider", TEXT), ("pipeline_version", TEXT),
+        ("rows_valid", WHOLE), ("rows_invalid", WHOLE), ("rows_unrecorded", WHOLE),
+        ("matched", WHOLE), ("cached", WHOLE), ("not_found", WHOLE), ("ambiguous", WHOLE),
+        ("budget_deferred", WHOLE), ("provider_unavailable", WHOLE), ("error", WHOLE),
+        ("match_rate", REAL), ("flagged_matches", WHOLE), ("warning_count", WHOLE),
+        ("warnings", TEXTS), ("credits_spent", WHOLE), ("persons", WHOLE),
+        ("employment_rows", WHOLE), ("built_at", TIME)),
 }
 
 COMPANY = T.StructType([T.StructField(n, T.StringType()) for n in (
@@ -63,12 +74,16 @@ PROFILE = T.StructType(
 
 # One row per valid input row, as stored between the lookup and the curated build.
 LOOKUP_RESULT = T.StructType(
-    [*_schema("batch_id:s batch_date:s row_number:i first_name:s last_name:s email:s company:s "
-              "location:s linkedin_url:s notes:l lookup_key:s status:s provider:s "
-              "lookup_method:s call_kind:s").fields,
+    [*_table(
+        ("batch_id", TEXT), ("batch_date", TEXT), ("row_number", WHOLE), ("first_name", TEXT),
+        ("last_name", TEXT), ("email", TEXT), ("company", TEXT), ("location", TEXT),
+        ("linkedin_url", TEXT), ("notes", TEXTS), ("lookup_key", TEXT), ("status", TEXT),
+        ("provider", TEXT), ("lookup_method", TEXT), ("call_kind", TEXT)).fields,
      T.StructField("profile", PROFILE),
-     *_schema("likelihood:d candidates:i http_status:i error_message:s credits_consumed:i "
-              "attempts:i raw_ref:s match_flags:l requested_at:t").fields])
+     *_table(
+        ("likelihood", REAL), ("candidates", WHOLE), ("http_status", WHOLE),
+        ("error_message", TEXT), ("credits_consumed", WHOLE), ("attempts", WHOLE),
+        ("raw_ref", TEXT), ("match_flags", TEXTS), ("requested_at", TIME)).fields])
 
 
 class SchemaMismatch(KeyError):
