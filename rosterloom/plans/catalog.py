@@ -1130,19 +1130,21 @@ def _(w: Workspace) -> DataFrame:
     return rows.select("batch_id", "row_number")
 
 
+def write_raw(w: Workspace, path: str) -> None:
+    body = F.to_json(F.struct(F.col("http_status").alias("status"), "likelihood",
+                              F.struct(F.col("person_id").alias("id")).alias("data")))
+    paid = w.results().filter(F.col("status") != "cached").withColumn(
+        "person_id", F.col("profile.id"))
+    store.write_raw_responses(paid.select(
+        "provider", "batch_date", "batch_id", "lookup_key",
+        F.col("lookup_method").alias("method"), F.col("call_kind").alias("kind"), "attempts",
+        F.date_format("requested_at", TIME).alias("requested_at"), "http_status",
+        F.create_map(F.lit("x-call-credits-spent"), F.col("credits_consumed").cast("string"))
+        .alias("headers"), body.alias("body")), path)
+
+
 def raw_path(w: Workspace) -> str:
-    def write(path: str) -> None:
-        body = F.to_json(F.struct(F.col("http_status").alias("status"), "likelihood",
-                                  F.struct(F.col("person_id").alias("id")).alias("data")))
-        paid = w.results().filter(F.col("status") != "cached").withColumn(
-            "person_id", F.col("profile.id"))
-        store.write_raw_responses(paid.select(
-            "provider", "batch_date", "batch_id", "lookup_key",
-            F.col("lookup_method").alias("method"), F.col("call_kind").alias("kind"), "attempts",
-            F.date_format("requested_at", TIME).alias("requested_at"), "http_status",
-            F.create_map(F.lit("x-call-credits-spent"), F.col("credits_consumed").cast("string"))
-            .alias("headers"), body.alias("body")), path)
-    return w.path("raw", write)
+    return w.path("raw", lambda path: write_raw(w, path))
 
 
 @query("raw_responses", """SELECT batch_id, lookup_key, lookup_method AS method,
@@ -1337,23 +1339,37 @@ def _(w: Workspace) -> DataFrame:
     return erasure.erasure_plan(erasure_items(w))
 
 
+def erased(w: Workspace) -> str:
+    """A copy of every layer below one folder, with the requests' subjects erased from it."""
+    def write(folder: str) -> None:
+        store.write_lookup_results(w.results(), f"{folder}/results")
+        store.rejected_rows_export(w.rejected(), f"{folder}/rejected")
+        write_raw(w, f"{folder}/raw")
+        cache(w).write.parquet(f"{folder}/cache")
+        w.publish(f"{folder}/curated")
+        pipeline.erase(folder, erasure_matches(w), erasure_items(w), w.rejected(), w.built_at(),
+                       "recorded")
+    return w.path("erased", write)
+
+
 @query("erase_rows", """SELECT 'row' AS part, r.batch_id, r.row_number FROM results r WHERE NOT EXISTS (
        SELECT 1 FROM matches m WHERE m.batch_id = r.batch_id AND m.row_number = r.row_number
        AND part = 'row') UNION ALL SELECT 'rejected', r.batch_id, r.row_number FROM rejected r
        WHERE NOT EXISTS (SELECT 1 FROM matches m WHERE m.batch_id = r.batch_id
        AND m.row_number = r.row_number AND part = 'rejected')""", **_ERASE)
 def _(w: Workspace) -> DataFrame:
-    found = erasure_matches(w)
-    kept = [erasure.erase_rows(t, found, p).select(F.lit(p).alias("part"), "batch_id", "row_number")
-            for t, p in ((w.results(), "row"), (w.rejected(), "rejected"))]
+    folder = erased(w)
+    kept = [t.select(F.lit(p).alias("part"), "batch_id", "row_number") for t, p in (
+        (store.lookup_results(w.spark, f"{folder}/results"), "row"),
+        (store.read_export(w.spark, f"{folder}/rejected"), "rejected"))]
     return kept[0].unionByName(kept[1])
 
 
-@query("erase_raw", """SELECT raw_ref, count(*) AS rows FROM results r WHERE NOT EXISTS (
-       SELECT 1 FROM items i WHERE i.item = 'raw_ref' AND i.value = r.raw_ref) GROUP BY raw_ref""",
-       **_ERASE)
+@query("erase_raw", """SELECT raw_ref, count(*) AS rows FROM results r WHERE status <> 'cached'
+       AND NOT EXISTS (SELECT 1 FROM items i WHERE i.item = 'raw_ref' AND i.value = r.raw_ref)
+       GROUP BY raw_ref""", **_ERASE)
 def _(w: Workspace) -> DataFrame:
-    left = erasure.erase_raw(w.results().select("raw_ref"), erasure_items(w))
+    left = store.raw_responses(w.spark, f"{erased(w)}/raw")
     return left.groupBy("raw_ref").agg(F.count("*").alias("rows"))
 
 
@@ -1362,7 +1378,7 @@ def _(w: Workspace) -> DataFrame:
        UNION ALL SELECT k.lookup_key, 'gone', min(request_id) FROM kept k JOIN items i
        ON i.item = 'lookup_key' AND i.value = k.lookup_key GROUP BY k.lookup_key""", **_ERASE)
 def _(w: Workspace) -> DataFrame:
-    left, gone = erasure.purge_cache(cache(w), erasure_items(w))
+    left, gone = (w.spark.read.parquet(f"{erased(w)}/{n}") for n in ("cache", "cache_gone"))
     return left.select("lookup_key", F.lit("kept").alias("state"),
                        F.lit(None).cast("string").alias("request_id")).unionByName(
         gone.select("lookup_key", F.lit("gone").alias("state"), "request_id"))
@@ -1374,11 +1390,8 @@ def _(w: Workspace) -> DataFrame:
        SELECT 1 FROM matches m WHERE m.batch_id = l.batch_id AND m.row_number = l.row_number
        AND (m.part = 'rejected') = (l.status = 'invalid_input')) GROUP BY l.batch_id""", **_ERASE)
 def _(w: Workspace) -> DataFrame:
-    found = erasure_matches(w)
-    results = erasure.affected(erasure.erase_rows(w.results(), found), found)
-    rejected = erasure.affected(erasure.erase_rows(w.rejected(), found, "rejected"), found)
-    tables = curate.build_tables(results, rejected, w.built_at(), "recorded")
-    return tables["fact_batch_quality"].select(
+    quality = store.read_curated(w.spark, f"{erased(w)}/curated", "fact_batch_quality")
+    return erasure.affected(quality, erasure_matches(w)).select(
         "batch_id", (F.col("rows_valid") + F.col("rows_invalid")).alias("rows"), "rows_invalid",
         F.col("credits_spent").alias("credits"))
 

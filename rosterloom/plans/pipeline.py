@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterloom import vocabulary as V
 from rosterloom.config import CreditLimits, GuardLimits, LadderConfig
-from rosterloom.operators import breaker, credits, curate, matching, validation
+from rosterloom.operators import breaker, credits, curate, erasure, matching, validation
 from rosterloom.session import cut_lineage
 from rosterloom.sources import store
 
@@ -249,3 +249,30 @@ def publish(results: DataFrame, rejected: DataFrame, path: str, at: Column, prov
     quality = curate.build_quality(written, at, provider, parse_warnings,
                                    curate.unrecorded_counts(results))
     store.write_curated({"fact_batch_quality": quality}, path, built)
+
+
+def erase(folder: str, matches: DataFrame, items: DataFrame, rejected: DataFrame, at: Column,
+          provider: str) -> None:
+    """Takes the matched rows out of every layer that lies below ``folder``.
+
+    Layers: ``results``, ``rejected`` (the export), ``raw``, ``cache`` and ``curated``; only the
+    dates of touched batches are written again, and a batch whose last row goes is emptied.
+    ``rejected`` are the parsed rejected rows.  ``cache_gone`` gets the cache entries that went.
+    """
+    spark = matches.sparkSession
+    results = store.lookup_results(spark, f"{folder}/results")
+    touched = matches.select("batch_id").distinct()
+    built = cut_lineage(store.batches_of(results, rejected).join(touched, "batch_id", "left_semi"))
+
+    def remaining(table: DataFrame, part: str) -> DataFrame:
+        return cut_lineage(erasure.affected(erasure.erase_rows(table, matches, part), touched))
+
+    kept, turned_away = remaining(results, "row"), remaining(rejected, "rejected")
+    left, gone = erasure.purge_cache(spark.read.parquet(f"{folder}/cache"), items)
+    gone.write.mode("overwrite").parquet(f"{folder}/cache_gone")
+    cut_lineage(left).write.mode("overwrite").parquet(f"{folder}/cache")
+    refs = items.filter(F.col("item") == "raw_ref").select(F.col("value").alias("raw_ref"))
+    store.erase_raw_responses(spark, f"{folder}/raw", refs.distinct())
+    store.rejected_rows_export(turned_away, f"{folder}/rejected", built)
+    store.write_lookup_results(kept, f"{folder}/results", built)
+    publish(kept, turned_away, f"{folder}/curated", at, provider, built=built)
