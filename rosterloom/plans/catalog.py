@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterloom import vocabulary as V
-from rosterloom.config import CreditLimits
+from rosterloom.config import CreditLimits, LadderConfig
 from rosterloom.functions import guards as G
 from rosterloom.functions import responses as R
 from rosterloom.functions import text as X
@@ -1424,6 +1424,83 @@ def priced(w: Workspace) -> DataFrame:
                                      F.floor(F.col("value") * 1000).alias("duration_ms"))
 
 
+# ------------------------------------------------------------------ all call rules together
+
+PROTECTED = pipeline.Settings(
+    limits=CreditLimits(enrich=90, identify=50, per_batch=20),
+    ladder=LadderConfig(breaker_threshold=2, breaker_cooldown_seconds=150))
+_SHARED_DAYS = """SELECT * REPLACE (CASE WHEN early THEN 500 ELSE http_status END AS http_status,
+      CASE WHEN early THEN 'error' ELSE status END AS status,
+      CASE WHEN early THEN 'HTTP 500' ELSE error_message END AS error_message)
+    FROM (SELECT *, strftime(DATE '2024-01-28' + cast(floor((cast(substr(batch_id, 2, 6) AS
+      bigint) * 25 + cast(substr(batch_id, 9, 2) AS bigint)) / 3) AS integer), '%Y-%m-%d') AS day,
+      http_status = 402 AND cast(substr(batch_id, 9, 2) AS bigint) < 20 AS early FROM flagged) AS x"""
+_CALLS_IN_TURN = """SELECT f.*, row_number() OVER (ORDER BY f.batch_id, f.row_number) AS seq,
+    concat(left(f.day, 7), '|', call_kind) AS pool,
+    cast(f.day AS timestamp) + to_seconds(cast(coalesce(b.before, 0) + f.row_number AS integer))
+      AS called_at
+    FROM shared f JOIN (SELECT batch_id, sum(n) OVER (PARTITION BY day ORDER BY batch_id ROWS
+        BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (SELECT day, batch_id,
+        max(row_number) AS n FROM shared GROUP BY day, batch_id) AS x) AS b
+    ON f.batch_id = b.batch_id"""
+# One row after the other, with everything that earlier rows have left behind.
+_WALK = """walk AS (
+    SELECT cast(0 AS bigint) AS seq, '' AS decision, cast(NULL AS timestamp) AS shown,
+      cast(map([], []) AS MAP(varchar, bigint)) AS spent, cast([] AS varchar[]) AS dry,
+      cast('' AS varchar) AS batch, cast(0 AS bigint) AS used, cast([] AS varchar[]) AS cached,
+      cast(0 AS bigint) AS failures, cast(NULL AS timestamp) AS until
+    UNION ALL
+    SELECT seq, decision, until_before,
+      CASE WHEN decision = 'call' THEN map_concat(spent, map([pool], [had + credits])) ELSE spent END,
+      CASE WHEN decision = 'call' AND http_status = 402 THEN list_append(dry, pool) ELSE dry END,
+      batch_id, used + CASE WHEN decision = 'call' THEN credits ELSE 0 END,
+      CASE WHEN decision = 'call' AND status IN ('matched', 'not_found', 'ambiguous')
+           THEN list_append(cached, lookup_key) ELSE cached END,
+      CASE WHEN decision <> 'call' THEN failures WHEN http_status < 500 THEN 0
+           WHEN failures + 1 >= 2 THEN 0 ELSE failures + 1 END,
+      CASE WHEN decision <> 'call' THEN until_before WHEN http_status < 500 THEN NULL
+           WHEN failures + 1 >= 2 THEN called_at + INTERVAL 150 SECOND ELSE until_before END
+    FROM (SELECT o.*, w.spent, w.dry, w.cached, w.failures, w.until AS until_before,
+        coalesce(w.spent[o.pool], 0) AS had,
+        CASE WHEN w.batch = o.batch_id THEN w.used ELSE 0 END AS used,
+        CASE WHEN list_contains(w.cached, o.lookup_key) THEN 'cached'
+             WHEN list_contains(w.dry, o.pool) THEN 'exhausted'
+             WHEN coalesce(w.spent[o.pool], 0) >= CASE o.call_kind WHEN 'enrich' THEN 90 ELSE 50 END
+               THEN 'month'
+             WHEN CASE WHEN w.batch = o.batch_id THEN w.used ELSE 0 END >= 20 THEN 'cap'
+             WHEN w.until > o.called_at THEN 'breaker' ELSE 'call' END AS decision
+        FROM walk w JOIN inturn o ON o.seq = w.seq + 1) AS x)"""
+
+
+@query("protected_results", """SELECT o.batch_id, o.row_number, CASE w.decision WHEN 'cached' THEN 'cached'
+       WHEN 'call' THEN o.status WHEN 'breaker' THEN 'provider_unavailable' ELSE 'budget_deferred' END
+       AS status, CASE w.decision WHEN 'call' THEN o.error_message
+       WHEN 'exhausted' THEN concat('provider reported ', call_kind, ' credits exhausted (HTTP 402)')
+       WHEN 'month' THEN concat(call_kind, ' credit budget: monthly ceiling (',
+         CASE call_kind WHEN 'enrich' THEN 90 ELSE 50 END, ') reached')
+       WHEN 'cap' THEN 'credit budget: batch cap (20) reached'
+       WHEN 'breaker' THEN concat('provider circuit breaker open after consecutive failures; skipped '
+         'without a call, retry after ', strftime(w.shown, '%Y-%m-%d %H:%M:%S'), ' UTC') END
+       AS error_message, cast(CASE w.decision WHEN 'call' THEN credits ELSE 0 END AS bigint)
+       AS credits_consumed, cast(CASE w.decision WHEN 'call' THEN 1 ELSE 0 END AS bigint) AS attempts
+       FROM walk w JOIN inturn o ON w.seq = o.seq""", recursive=_WALK,
+       shared=_SHARED_DAYS, inturn=_CALLS_IN_TURN)
+def _(w: Workspace) -> DataFrame:
+    # Three batches a day.  Pools run dry late only, so that ceilings, caps and breaker act before.
+    nation = F.substring("batch_id", 9, 2).cast("int")
+    turn = F.substring("batch_id", 2, 6).cast("int") * 25 + nation
+    early = (F.col("http_status") == 402) & (nation < 20)
+    day = F.date_add(F.lit("2024-01-28").cast("date"), F.floor(turn / 3).cast("int"))
+    outcomes = pipeline.serial_clock(w.outcomes().withColumns({
+        "batch_date": F.date_format(day, "yyyy-MM-dd"),
+        "status": F.when(early, "error").otherwise(F.col("status")),
+        "error_message": F.when(early, "HTTP 500").otherwise(F.col("error_message")),
+        "http_status": F.when(early, 500).otherwise(F.col("http_status"))}))
+    opening = w.spark.createDataFrame([], "provider string, month string, kind string, spent long")
+    return pipeline.record(pipeline.settle_calls(outcomes, opening, PROTECTED)).select(
+        "batch_id", "row_number", "status", "error_message", "credits_consumed", "attempts")
+
+
 @query("hourly_dashboard", """SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS hour,
        count(*) FILTER (http_status = 200) AS matched, 0::bigint AS cached,
        count(*) FILTER (http_status = 404) AS not_found, 0::bigint AS ambiguous,

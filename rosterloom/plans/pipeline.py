@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterloom import vocabulary as V
@@ -109,17 +109,52 @@ def lookup_results(valid: DataFrame, people: DataFrame, candidates: DataFrame,
 # ------------------------------------------------------------------ the protected lookup
 
 
-def settle_calls(outcomes: DataFrame, opening: DataFrame, settings: Settings,
-                 max_rounds: int = 50) -> DataFrame:
+def serial_clock(outcomes: DataFrame) -> DataFrame:
+    """Rows timed as one run calls them: batches of a day one after the other, a row a second."""
+    batches = outcomes.groupBy("batch_date", "batch_id").agg(F.max("row_number").alias("_rows"))
+    earlier = Window.partitionBy("batch_date").orderBy("batch_id").rowsBetween(
+        Window.unboundedPreceding, -1)
+    starts = batches.select("batch_date", "batch_id", F.coalesce(
+        F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    seconds = (F.col("_start") + F.col("row_number")).cast("decimal(18,6)")
+    return (outcomes.join(starts, ["batch_date", "batch_id"])
+            .withColumn("requested_at", F.to_timestamp("batch_date", "yyyy-MM-dd")
+                        + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds))
+            .drop("_start"))
+
+
+def require_one_order(rows: DataFrame) -> None:
+    """Raises unless each provider's rows by batch and number also follow one another in time."""
+    block = F.floor(F.col("row_number") / 65_536).alias("block")
+    blocks = rows.select("*", block)
+    inside = Window.partitionBy("provider", "batch_id", "block").orderBy("row_number")
+    late = (blocks.withColumn("_before", F.lag("requested_at").over(inside))
+            .filter(F.col("_before") >= F.col("requested_at")))
+    # One row for each block of a batch; their order is checked on this small table.
+    ends = blocks.groupBy("provider", "batch_id", "block").agg(
+        F.min("requested_at").alias("first"), F.max("requested_at").alias("last"))
+    across = Window.partitionBy("provider").orderBy("batch_id", "block")
+    gaps = (ends.withColumn("_before", F.lag("last").over(across))
+            .filter(F.col("_before") >= F.col("first")))
+    found = late.select("provider", "batch_id").limit(1).collect() or gaps.select(
+        "provider", "batch_id").limit(1).collect()
+    if found:
+        raise ValueError(f"calls of {found[0]['provider']} in batch {found[0]['batch_id']} are not "
+                         "in the order of batches and rows; see serial_clock")
+
+
+def settle_calls(outcomes: DataFrame, opening: DataFrame, settings: Settings) -> DataFrame:
     """What happens to every row once cache, exhausted pools, ceilings and breaker interact.
 
     The rules feed each other row by row: a skipped call spends nothing, a deferred one never
-    reaches the breaker, and only a call that was made can fill the cache.  Each decision
-    depends on earlier rows alone, so there is exactly one consistent set of decisions, and
-    deciding all rows at once from the previous round's decisions reaches it: every round
-    settles at least the rows up to the first one that was still wrong, in practice whole
-    months.  No provider's calls ever pass through one task.  Rows come back with ``repeat``
-    and ``block`` for :func:`record`.
+    reaches the breaker, and only a call that was made can fill the cache.  All rules go by one
+    order, that of batches and rows, which must be that of time too (checked first).  So each
+    decision depends on earlier rows alone, there is exactly one consistent set of decisions,
+    and deciding all rows at once from the previous round's decisions reaches it: if no row
+    before the first changed one changed, that row is settled for good, and the next round's
+    first change lies behind it.  Rounds therefore end by themselves; in practice each settles
+    whole months.  No provider's calls ever pass through one task.  Rows come back with
+    ``repeat`` and ``block`` for :func:`record`.
     """
     place = ["batch_id", "row_number"]
     month = F.substring("batch_date", 1, 7)
@@ -127,19 +162,24 @@ def settle_calls(outcomes: DataFrame, opening: DataFrame, settings: Settings,
         *place, "provider", month.alias("month"), F.col("call_kind").alias("kind"), "lookup_key",
         "requested_at", "http_status", "credits",
         F.col("status").isin(V.CACHEABLE_STATUSES).alias("cacheable"),
-        F.xxhash64(*place).alias("call_id")))
+        # No two calls of a provider share a moment, so it tells them apart.
+        F.unix_micros("requested_at").alias("call_id")))
+    require_one_order(rows)
     # Optimistic start: every row is called.
     decided = rows.withColumn("decision", F.lit("call")).withColumn(
         "open_until", F.lit(None).cast("timestamp"))
-    for _ in range(max_rounds):
+    settled = None
+    while True:
         following = cut_lineage(_decide(decided, opening, settings))
         changed = (following.join(decided.select(*place, F.col("decision").alias("before")), place)
-                   .filter(F.col("decision") != F.col("before")).limit(1).count())
+                   .filter(F.col("decision") != F.col("before"))
+                   .agg(F.min(F.struct(*place))).first()[0])
         decided = following
-        if not changed:
+        if changed is None:
             break
-    else:
-        raise RuntimeError(f"calls did not settle in {max_rounds} rounds")
+        if settled is not None and tuple(changed) <= settled:
+            raise AssertionError(f"a settled call changed: {tuple(changed)}")
+        settled = tuple(changed)
 
     kind = F.col("kind")
     limits = settings.limits
@@ -211,7 +251,7 @@ def protected_results(valid: DataFrame, people: DataFrame, candidates: DataFrame
                       opening: DataFrame, settings: Settings,
                       faults: DataFrame | None = None) -> DataFrame:
     """Lookup results under ceilings, exhausted pools and the breaker, across all batches."""
-    outcomes = would_answer(valid, people, candidates, settings, faults)
+    outcomes = serial_clock(would_answer(valid, people, candidates, settings, faults))
     return record(settle_calls(outcomes, opening, settings))
 
 
