@@ -107,34 +107,79 @@ def label(row):
             else "cap" if "cap" in message else "breaker")
 
 
-@pytest.mark.parametrize("seed", range(1))
-def test_rules_settle_as_in_turn(spark, seed):
-    rng = random.Random(seed)
-    rows, at = [], dt.datetime(2024, 1, 1)
-    for b in range(6):
-        for n in range(1, 16):
-            at += dt.timedelta(seconds=rng.choice([1, 20, 90]))
-            kind = rng.choice(["enrich", "enrich", "identify"])
-            http = rng.choice([200, 200, 404, 500, 500, 500, 402 if b == 4 else 200])
-            status = {200: "matched", 404: "not_found", 402: "budget_deferred"}.get(http, "error")
-            rows.append({
-                "batch_id": f"b{b}", "batch_date": f"2024-0{b // 3 + 1}-01", "row_number": n,
-                "provider": "p", "call_kind": kind, "lookup_key": f"{kind}-{rng.randrange(25)}-{http}",
-                "requested_at": at, "http_status": http, "status": status,
-                "credits": int(http == 200 or (kind == "identify" and http == 404)),
-                "raw_ref": f"raw/{b}/{n}"})
-    outcomes = spark.createDataFrame(rows, (
-        "batch_id string, batch_date string, row_number int, provider string, call_kind string, "
-        "lookup_key string, requested_at timestamp, http_status int, status string, credits int, "
-        "raw_ref string"))
+OUTCOMES = ("batch_id string, batch_date string, row_number int, provider string, call_kind string, "
+            "lookup_key string, requested_at timestamp, http_status int, status string, credits int, "
+            "raw_ref string")
+STATUS = {200: "matched", 404: "not_found", 402: "budget_deferred"}
+NO_OPENING = "provider string, month string, kind string, spent long"
+
+
+def outcome(batch, day, number, kind, http, key, provider="p"):
+    return {"batch_id": batch, "batch_date": day, "row_number": number, "provider": provider,
+            "call_kind": kind, "lookup_key": key, "http_status": http,
+            "requested_at": dt.datetime.fromisoformat(day) + dt.timedelta(seconds=number),
+            "status": STATUS.get(http, "error"), "raw_ref": f"raw/{batch}/{number}",
+            "credits": int(http == 200 or (kind == "identify" and http == 404))}
+
+
+def in_turn_times(rows):
+    """The moments of :func:`pipeline.serial_clock`, worked out in a loop."""
+    start, timed = {}, []
+    for batch in sorted({r["batch_id"] for r in rows}):
+        own = [r for r in rows if r["batch_id"] == batch]
+        day = own[0]["batch_date"]
+        for r in own:
+            at = dt.datetime.fromisoformat(day) + dt.timedelta(
+                seconds=start.get(day, 0) + r["row_number"])
+            timed.append(r | {"requested_at": at})
+        start[day] = start.get(day, 0) + max(r["row_number"] for r in own)
+    return timed
+
+
+def test_rules_settle_as_in_turn(spark):
+    # One provider for each seed, so that all seeds settle in one run; batches share days.
     limits, ladder = CreditLimits(enrich=14, identify=8, per_batch=6), LadderConfig(
-        breaker_cooldown_seconds=120)
-    opening = spark.createDataFrame([], "provider string, month string, kind string, spent long")
-    settled = pipeline.settle_calls(outcomes, opening, pipeline.Settings(
-        limits=limits, ladder=ladder)).collect()
+        breaker_cooldown_seconds=12)
+    seeds, rows = [], []
+    for seed in range(20):
+        rng, own = random.Random(seed), []
+        for b in range(6):
+            for n in sorted(rng.sample(range(1, 60), 15)):
+                kind = rng.choice(["enrich", "enrich", "identify"])
+                http = rng.choice([200, 200, 404, 500, 500, 500, 402 if b == 4 else 200])
+                own.append(outcome(f"s{seed:02d}-b{b}", f"2024-0{b // 3 + 1}-0{b % 3 // 2 + 1}", n,
+                                   kind, http, f"{seed}-{kind}-{rng.randrange(25)}-{http}",
+                                   f"p{seed}"))
+        seeds.append(own)
+        rows += own
+    # Each seed is a provider with days of its own, as batches of one day run one after another.
+    clocked = [pipeline.serial_clock(spark.createDataFrame(own, OUTCOMES)) for own in seeds]
+    outcomes = clocked[0]
+    for more in clocked[1:]:
+        outcomes = outcomes.unionByName(more)
+    settled = pipeline.settle_calls(outcomes, spark.createDataFrame([], NO_OPENING),
+                                    pipeline.Settings(limits=limits, ladder=ladder)).collect()
     got = {(r["batch_id"], r["row_number"]): label(r) for r in settled}
-    assert got == call_in_turn(rows, limits, ladder)
-    assert {"cached", "breaker", "cap"} <= set(got.values())
+    want = {}
+    for own in seeds:
+        want |= call_in_turn(in_turn_times(own), limits, ladder)
+    assert got == want
+    assert set(got.values()) == {"call", "cached", "exhausted", "month", "cap", "breaker"}
+
+
+def test_two_orders_are_refused_and_serial_times_settle(spark):
+    rows = [outcome("a", "2024-01-01", 1, "identify", 500, "k1"),
+            outcome("a", "2024-01-01", 3, "identify", 500, "k2"),
+            outcome("a", "2024-01-01", 4, "enrich", 200, "k3"),
+            outcome("b", "2024-01-01", 2, "enrich", 200, "k4")]
+    limits, ladder = CreditLimits(enrich=1), LadderConfig(breaker_threshold=2)
+    settings = pipeline.Settings(limits=limits, ladder=ladder)
+    outcomes, opening = spark.createDataFrame(rows, OUTCOMES), spark.createDataFrame([], NO_OPENING)
+    with pytest.raises(ValueError, match="not in the order"):
+        pipeline.settle_calls(outcomes, opening, settings)
+    settled = pipeline.settle_calls(pipeline.serial_clock(outcomes), opening, settings).collect()
+    assert {(r["batch_id"], r["row_number"]): label(r) for r in settled} == call_in_turn(
+        in_turn_times(rows), limits, ladder)
 
 
 def test_first_402_dries_its_pool(spark):

@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from rosterloom.config import GuardLimits, LadderConfig
 from rosterloom.operators import curate, erasure, matching, validation
 from rosterloom.plans import analytics, pipeline
+from rosterloom.plans.workspace import Workspace
 from rosterloom.sources import store
 from rosterloom.tables import CURATED, PROFILE, SchemaMismatch, conform_schema
 
@@ -52,7 +54,7 @@ def tables(spark):
         "email string, company string, location string, linkedin_url string, consent string")
     built = pipeline.run_batches(rows, people, matching.name_candidates(people),
                                  F.lit("2024-01-01").cast("timestamp"))
-    return {n: df.persist() for n, df in built.items()} | {"rows": rows}
+    return {n: df.persist() for n, df in built.items()} | {"rows": rows, "people": people}
 
 
 def test_outcomes_row_by_row(tables):
@@ -122,6 +124,107 @@ def test_publish_replaces_batches(spark, tables, folder):
     assert spark.sql("SELECT count(*) FROM dim_person").first()[0] == 2
 
 
+def test_emptied_batches_lose_their_rows(spark, tables, folder):
+    curated = {n: tables[n] for n in CURATED}
+    other = {n: df.withColumn("batch_id", F.lit("b2")) for n, df in curated.items()}
+    store.write_curated(curated, folder)
+    store.write_curated(other, folder)  # of the same day: the first batch stays
+    assert store.read_curated(spark, folder, "dim_person").groupBy("batch_id").count().count() == 2
+    built = spark.createDataFrame([("2024-01-01", "b1")], "batch_date string, batch_id string")
+    store.write_curated({"dim_person": curated["dim_person"].limit(0)}, folder, built)
+    left = store.read_curated(spark, folder, "dim_person")
+    assert {r["batch_id"] for r in left.collect()} == {"b2"}
+    last = spark.createDataFrame([("2024-01-01", "b2")], "batch_date string, batch_id string")
+    store.write_curated({"dim_person": curated["dim_person"].limit(0)}, folder, last)
+    assert store.read_curated(spark, folder, "dim_person").count() == 0
+
+
+def test_database_tables(spark, tables, folder):
+    store.write_curated({n: tables[n] for n in CURATED}, folder)
+    names = store.catalog_tables(spark, folder, "rosterloom_test")
+    assert names == [f"rosterloom_test.{n}" for n in CURATED]
+    assert spark.sql("SELECT count(*) FROM rosterloom_test.dim_person "
+                     "WHERE batch_date = '2024-01-01'").first()[0] == 2
+    spark.sql("DROP DATABASE rosterloom_test CASCADE")
+
+
+def test_erasing_the_only_person_of_a_batch(spark, tables, folder):
+    rows = tables["rows"].filter("row_number IN (1, 2)").withColumn(
+        "batch_id", F.concat(F.lit("b"), "row_number"))
+    valid, rejected = validation.split_valid_invalid(rows)
+    results = pipeline.lookup_results(valid, tables["people"], matching.name_candidates(
+        tables["people"]))
+    at = F.lit("2024-01-02").cast("timestamp")
+    store.write_lookup_results(results, f"{folder}/results")
+    store.rejected_rows_export(rejected, f"{folder}/rejected")
+    stored = store.lookup_results(spark, f"{folder}/results")
+    store.write_raw_responses(stored.select("provider", "batch_date", "batch_id", "lookup_key"),
+                              f"{folder}/raw")
+    empty = spark.createDataFrame([], "lookup_key string, status string, person_id string, "
+                                  "likelihood double, batch_id string, updated_at timestamp, "
+                                  "expires_at timestamp")
+    matching.cache_upsert(stored.withColumn("person_id", F.col("profile.id")), empty,
+                          at).write.parquet(f"{folder}/cache")
+    pipeline.publish(stored, rejected, f"{folder}/curated", at, "recorded")
+    asked = spark.createDataFrame([("r", None, None, "JOHN", "Doe")], "request_id string, "
+                                  "person_id string, email string, first_name string, "
+                                  "last_name string")
+    matches = erasure.subject_match(asked, valid, rejected, stored).persist()
+    items = erasure.erasure_items(matches, stored, spark.createDataFrame(
+        [], "batch_id string, source string")).persist()
+    items.count()
+    pipeline.erase(folder, matches, items, rejected, at, "recorded")
+    for table in CURATED:
+        left = {r["batch_id"] for r in store.read_curated(spark, f"{folder}/curated", table)
+                .collect()}
+        assert left == {"b2"}, table
+    assert {r["batch_id"] for r in store.lookup_results(spark, f"{folder}/results").collect()} == {
+        "b2"}
+    assert {r["batch_id"] for r in store.raw_responses(spark, f"{folder}/raw").collect()} == {"b2"}
+    assert spark.read.parquet(f"{folder}/cache").count() == 1
+    assert spark.read.parquet(f"{folder}/cache_gone").count() == 1
+
+
+def test_blank_companies_match_nobody(spark, tables):
+    people = tables["people"].limit(1).withColumns({
+        "first_name": F.lit("Ana"), "last_name": F.lit("Lee"), "company_name": F.lit(None).cast("string")})
+    plan = spark.createDataFrame(
+        [("b", 1, "name_context", "enrich", "Ana", "Lee", "", "!!!", None, "")],
+        "batch_id string, row_number int, lookup_method string, call_kind string, "
+        "first_name string, last_name string, email string, company string, location string, "
+        "linkedin_url string")
+    got = matching.match_strong(plan, people).collect()
+    assert [(r["http_status"], r["person_id"]) for r in got] == [(404, None)]
+
+
+def test_attempts_beyond_the_limit_and_in_the_thousands(spark):
+    rows = [("a", n, 500, None) for n in range(1, 9)] + [("b", n, 503, None) for n in (1, 2)] + [
+        ("c", n, 429 if n < 7000 else 200, 1.0) for n in (1, 6000, 7000)]
+    calls = spark.createDataFrame(rows, "lookup_key string, attempt int, http_status int, wait double")
+    got = {r["lookup_key"]: r["attempts"] for r in matching.resolve_attempts(calls).collect()}
+    assert got["a"] == 4 and got["b"] == 2
+    wide = matching.resolve_attempts(calls, LadderConfig(max_attempts=10_000))
+    assert {r["lookup_key"]: r["attempts"] for r in wide.collect()} == {"a": 8, "b": 2, "c": 7000}
+
+
+def test_stages_depend_on_settings(spark):
+    folder = "/root/testdata/sf0.001"
+    strict = pipeline.Settings(guards=GuardLimits(require_consent=True))
+    loose = Workspace(spark, folder).rejected().count()
+    assert Workspace(spark, folder, strict).rejected().count() > loose
+
+
+def test_a_claim_runs_out(spark):
+    triggers = spark.createDataFrame(
+        [("b1", "2024-06-01 00:00:00", "new"), ("b2", "2024-02-01 00:00:00", "new")],
+        "batch_id string, triggered_at string, execution_id string")
+    claims = spark.createDataFrame(
+        [("b1", "old", "2024-01-01 00:00:00"), ("b2", "old", "2024-01-01 00:00:00")],
+        "batch_id string, execution_id string, claimed_at string")
+    got = {r["batch_id"]: r["duplicate"] for r in validation.batch_claim(triggers, claims).collect()}
+    assert got == {"b1": False, "b2": True}
+
+
 def test_conform_refuses_unknown_columns(tables):
     with pytest.raises(SchemaMismatch):
         conform_schema(tables["dim_person"].withColumn("surprise", F.lit(1)), "dim_person",
