@@ -186,6 +186,20 @@ def batch_claim(triggers: DataFrame, claims: DataFrame, days: int = CLAIM_DAYS)
         F.when(duplicate, F.col("owner_execution")).otherwise("").alias("owner_execution"))
 
 
+def first_claims(triggers: DataFrame, claims: DataFrame, days: int = CLAIM_DAYS) -> DataFrame:
+    """The delivery that wins each batch among triggers that lie less than ``days`` apart.
+
+    A delivery within ``days`` of the batch's last claim is a repeat.  Of the others only the
+    first can win, so the minimum is combined before the shuffle, however often one is repeated.
+    """
+    last = claims.groupBy("batch_id").agg(F.max("triggered_at").alias("claimed_at"))
+    free = F.col("claimed_at").isNull() | (
+        F.col("triggered_at") >= F.col("claimed_at") + F.make_dt_interval(F.lit(days)))
+    return (triggers.join(last, "batch_id", "left").filter(free).groupBy("batch_id")
+            .agg(F.min(F.struct("triggered_at", "execution_id")).alias("w"))
+            .select("batch_id", "w.execution_id", "w.triggered_at"))
+
+
 def release_claims(claims: DataFrame, crashed: DataFrame) -> DataFrame:
     """Claims without those of crashed executions, so that a retry can claim again."""
     return claims.join(crashed.select("batch_id", "execution_id"),

@@ -22,7 +22,7 @@ from rosterloom.operators import breaker, credits, curate, erasure, matching, mo
 from rosterloom.plans import analytics, derived, pipeline
 from rosterloom.plans import oracle as O
 from rosterloom.plans.workspace import Workspace
-from rosterloom.session import scratch_path
+from rosterloom.session import cut_lineage, scratch_path
 from rosterloom.sources import landing, store
 from rosterloom.streaming import jobs
 from rosterloom.tables import conform_schema, stamp_version
@@ -539,13 +539,14 @@ def _(w: Workspace) -> DataFrame:
         F.array_join(sent, ";").alias("params"))
 
 
+CACHE = ("lookup_key string, status string, person_id string, likelihood double, batch_id string, "
+         "updated_at timestamp, expires_at timestamp")
+
+
 def cache(w: Workspace) -> DataFrame:
     """Answers kept from all batches, seen at the end of March."""
     fresh = w.results().withColumn("person_id", F.col("profile.id"))
-    empty = w.spark.createDataFrame([], "lookup_key string, status string, person_id string, "
-                                    "likelihood double, batch_id string, updated_at timestamp, "
-                                    "expires_at timestamp")
-    return matching.cache_upsert(fresh, empty, F.lit("2024-03-31").cast("timestamp"))
+    return matching.cache_upsert(fresh, w.spark.createDataFrame([], CACHE), F.lit("2024-03-31").cast("timestamp"))
 
 
 _CACHE = """SELECT * FROM (SELECT lookup_key, status, person_id, likelihood, batch_id,
@@ -1034,14 +1035,19 @@ def _(w: Workspace) -> DataFrame:
        budget_deferred + error AS not_cached, budget_deferred + error = 0 AS passed
        FROM counted c""")
 def _(w: Workspace) -> DataFrame:
-    # The second run finds every answer in the cache but those that cannot be kept.
-    keepable = F.col("status").isin(*V.CACHEABLE_STATUSES, "cached")
-    again = w.results().withColumn("status", F.when(keepable, "cached").otherwise(
-        F.col("status"))).withColumn("credits_consumed", F.lit(0)).withColumn(
-        "batch_id", F.concat(F.lit("again-"), "batch_id"))
-    rejected = w.rejected().withColumn("batch_id", F.concat(F.lit("again-"), "batch_id"))
-    lookup = curate.fact_lookup(again, rejected, w.built_at(), "recorded")
-    people = curate.first_per_person(again).groupBy("batch_id").agg(F.count("*").alias("persons"))
+    # The first run's answers go into the cache, and the same files run again behind it.
+    now = F.lit("2024-02-01").cast("timestamp")
+    empty = w.spark.createDataFrame([], CACHE)
+    kept = matching.cache_upsert(w.results().withColumn("person_id", F.col("profile.id")), empty, now)
+
+    def renamed(df: DataFrame) -> DataFrame:
+        return df.withColumn("batch_id", F.concat(F.lit("again-"), "batch_id"))
+
+    again = pipeline.cached_results(renamed(w.valid()), kept, now, w.people(), w.candidates(),
+                                    w.settings, derived.faults(w.planned()))
+    stored = cut_lineage(again)
+    lookup = curate.fact_lookup(stored, renamed(w.rejected()), w.built_at(), "recorded")
+    people = curate.first_per_person(stored).groupBy("batch_id").agg(F.count("*").alias("persons"))
     second = (lookup.groupBy("batch_id").agg(F.sum("credits_consumed").alias("credits_spent"))
               .join(people, "batch_id", "left").fillna(0, ["persons"])
               .withColumn("source", F.regexp_replace("batch_id", "^again-", "")))
@@ -1585,12 +1591,23 @@ def streamed(w: Workspace, name: str, build: Callable[[], DataFrame]) -> DataFra
     return w.spark.readStream.schema(w.spark.read.parquet(path).schema).parquet(path)
 
 
-@query("duplicate_deliveries")
+_WINNERS = """won AS (
+    SELECT batch_id, min(triggered_at) AS at FROM deliveries GROUP BY batch_id
+    UNION ALL
+    SELECT w.batch_id, min(d.triggered_at) FROM won w JOIN deliveries d ON w.batch_id = d.batch_id
+      AND d.triggered_at >= w.at + INTERVAL 90 DAY GROUP BY w.batch_id)"""
+
+
+@query("duplicate_deliveries", """SELECT w.batch_id, min(d.execution_id) AS execution_id,
+       strftime(w.at, '%Y-%m-%d %H:%M:%S') AS triggered_at FROM won w JOIN deliveries d
+       ON w.batch_id = d.batch_id AND w.at = d.triggered_at GROUP BY w.batch_id, w.at""",
+       recursive=_WINNERS, deliveries=_TRIGGERS)
 def _(w: Workspace) -> DataFrame:
     target = scratch_path(w.spark, "deliveries")
-    jobs.run_to_table(jobs.duplicate_deliveries(streamed(w, "triggers", lambda: triggers(w))),
-                      target, scratch_path(w.spark, "deliveries-state"))
-    return w.spark.read.parquet(target).select("batch_id")
+    jobs.first_deliveries(streamed(w, "triggers", lambda: triggers(w)), target,
+                          scratch_path(w.spark, "deliveries-state")).awaitTermination()
+    return w.spark.read.schema(jobs.CLAIMS).parquet(target).select(
+        "batch_id", "execution_id", "triggered_at")
 
 
 @query("breaker_stream", _BREAK_SQL, recursive=_BREAK, ordered=_ORDERED)
@@ -1616,9 +1633,12 @@ def _(w: Workspace) -> DataFrame:
     return w.spark.read.parquet(target)
 
 
-@query("hourly_stream")
+@query("hourly_stream", """SELECT strftime(date_trunc('hour', requested_at), '%Y-%m-%d %H:%M:%S') AS hour,
+       CASE http_status WHEN 200 THEN 'matched' WHEN 404 THEN 'not_found' ELSE 'error' END AS status,
+       count(*) AS rows, cast(sum(credits) AS bigint) AS credits FROM calls GROUP BY ALL""")
 def _(w: Workspace) -> DataFrame:
     target = scratch_path(w.spark, "hours")
     calls = streamed(w, "priced", lambda: priced(w))
-    jobs.run_to_table(jobs.hourly_stream(calls), target, scratch_path(w.spark, "hours-state"))
-    return w.spark.read.parquet(target)
+    jobs.run_to_table(jobs.hourly_stream(calls), target, scratch_path(w.spark, "hours-state"),
+                      "update")
+    return jobs.latest(w.spark, target, ["hour", "status"])

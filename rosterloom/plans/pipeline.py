@@ -106,6 +106,28 @@ def lookup_results(valid: DataFrame, people: DataFrame, candidates: DataFrame,
     return record(matching.in_batch_cache(outcomes).withColumn("payer_ref", F.col("raw_ref")))
 
 
+def cached_results(valid: DataFrame, cache: DataFrame, now: Column, people: DataFrame,
+                   candidates: DataFrame, settings: Settings = Settings(),
+                   faults: DataFrame | None = None) -> DataFrame:
+    """Results behind a stored cache: rows with a live answer are cached and pay nothing.
+
+    What a hit shows is what is stored: its person, not what a call would answer today.
+    """
+    asked = matching.cache_lookup(matching.plan_lookup(valid, settings.ladder), cache, now)
+    rows = asked.select("batch_id", "row_number", "hit", F.col("stored.person_id").alias("_person"),
+                        F.col("stored.likelihood").alias("_likelihood"))
+    outcomes = matching.in_batch_cache(would_answer(valid, people, candidates, settings, faults))
+    profiles = people.select(F.col("person_id").alias("_person"), F.col("profile").alias("_profile"))
+    joined = (outcomes.join(rows, ["batch_id", "row_number"]).join(profiles, "_person", "left")
+              .withColumns({
+                  "repeat": F.col("repeat") | F.col("hit"),
+                  "profile": F.when(F.col("hit"), F.col("_profile")).otherwise(F.col("profile")),
+                  "likelihood": F.when(F.col("hit"), F.col("_likelihood"))
+                  .otherwise(F.col("likelihood")),
+                  "payer_ref": F.col("raw_ref")}))
+    return record(joined)
+
+
 # ------------------------------------------------------------------ the protected lookup
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rosterloom.operators.breaker import STREAM_OUTPUT, STREAM_STATE, advance
+from rosterloom.operators.validation import CLAIM_DAYS, first_claims
+from rosterloom.session import cut_lineage
 from rosterloom.sources.landing import FILE_SCHEMA
 
 
@@ -27,10 +29,38 @@ def upload_stream(spark: SparkSession, path: str, checkpoint: str,
             .trigger(availableNow=True).start())
 
 
-def duplicate_deliveries(triggers: DataFrame, days: int = 90) -> DataFrame:
-    """The first trigger of every object version; repeats within the time are dropped."""
-    return (triggers.withWatermark("triggered_at", f"{days} days")
-            .dropDuplicatesWithinWatermark(["batch_id"]))
+CLAIMS = "batch_id string, execution_id string, triggered_at timestamp, slice long, epoch long"
+
+
+def first_deliveries(triggers: DataFrame, target: str, checkpoint: str,
+                     days: int = CLAIM_DAYS) -> StreamingQuery:
+    """Writes the deliveries that win their batch: the first, and each first one after a claim ran
+    out.
+
+    A micro-batch is taken in slices of ``days``, in time order.  Within a slice a batch has one
+    winner at most, and only winners of this slice and the one before can still hold a claim, so
+    nothing else of the target is read.  A replayed micro-batch overwrites its own winners.
+    """
+    spark = triggers.sparkSession
+    width = days * 86_400
+    (spark.createDataFrame([], CLAIMS).write.mode("append").partitionBy("slice", "epoch")
+     .parquet(target))
+
+    def take(batch: DataFrame, epoch: int) -> None:
+        rows = cut_lineage(batch.select("batch_id", "execution_id", "triggered_at").withColumn(
+            "slice", F.floor(F.unix_timestamp("triggered_at") / width)))
+        # As many slices as the micro-batch spans, not as it has rows.
+        for number in sorted(r[0] for r in rows.select("slice").distinct().collect()):
+            claims = (spark.read.schema(CLAIMS).parquet(target)
+                      .filter((F.col("slice") == number - 1)
+                              | ((F.col("slice") == number) & (F.col("epoch") != epoch))))
+            won = first_claims(rows.filter(F.col("slice") == number), claims, days)
+            (won.withColumn("slice", F.lit(number)).withColumn("epoch", F.lit(epoch).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("slice", "epoch").parquet(target))
+
+    return (triggers.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def breaker_stream(calls: DataFrame, threshold: int = 3, cooldown_seconds: int = 300) -> DataFrame:
@@ -55,7 +85,8 @@ def credit_totals_stream(calls: DataFrame) -> DataFrame:
 
 
 def hourly_stream(calls: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Rows and credits per hour and outcome; an hour is final once the watermark passed it."""
+    """Rows and credits per hour and outcome so far; an hour's state goes once the watermark
+    passed it.  Run it in update mode, so that hours still open are given too."""
     return (calls.withWatermark("requested_at", lateness)
             .groupBy(F.window("requested_at", "1 hour").alias("w"), "status")
             .agg(F.count("*").alias("rows"), F.sum("credits").alias("credits"))
@@ -63,15 +94,29 @@ def hourly_stream(calls: DataFrame, lateness: str = "1 hour") -> DataFrame:
 
 
 def run_to_table(df: DataFrame, target: str, checkpoint: str, mode: str = "append") -> None:
-    """Drives a streaming DataFrame over everything available, into Parquet files."""
+    """Drives a streaming DataFrame over everything available, into Parquet files.
+
+    In update mode each micro-batch's rows lie under its number; :func:`latest` reads them.
+    """
     if mode == "append":
         query = (df.writeStream.format("parquet").option("path", target)
                  .option("checkpointLocation", checkpoint).outputMode("append")
                  .trigger(availableNow=True).start())
     else:
-        def replace(batch: DataFrame, _: int) -> None:
-            batch.write.mode("overwrite").parquet(target)
+        def write(batch: DataFrame, epoch: int) -> None:
+            if mode == "update":
+                batch.write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+            else:
+                batch.write.mode("overwrite").parquet(target)
 
-        query = (df.writeStream.foreachBatch(replace).outputMode(mode)
+        query = (df.writeStream.foreachBatch(write).outputMode(mode)
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
+
+
+def latest(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
+    """The last row of each key that an update stream has written."""
+    rows = spark.read.parquet(target)
+    values = [c for c in rows.columns if c not in (*keys, "epoch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "epoch").alias("v")).select(
+        *keys, "v.*")
