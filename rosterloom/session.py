@@ -27,14 +27,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor reaches, from the session's ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a local folder stands in and is
-    set as the context's checkpoint directory too.
+    Only where that is unset on a single machine, as in tests, a local folder stands in and is
+    set as the context's checkpoint directory too; a cluster without the setting is an error.
     """
     context = spark.sparkContext
     named = context.getConf().get(CHECKPOINT_SETTING) or spark.conf.get(CHECKPOINT_SETTING, None)
     if not named:
         named = context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="rosterloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
