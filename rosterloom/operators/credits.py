@@ -145,11 +145,11 @@ def ledger_balance(ledger: DataFrame) -> DataFrame:
 def credit_gauges(calls: DataFrame) -> DataFrame:
     """Month-to-date credits of the call's kind after every call.
 
-    Calls are cut by the hour for the running sum; an hour of one provider and kind is the
-    most one task sorts.
+    Calls are cut by the second for the running sum, so a second of one provider and kind is the
+    most one task sorts; a month has too few seconds for their totals to be a burden.
     """
-    hour = F.date_trunc("hour", F.col("requested_at"))
-    return running_sums(calls, ["provider", "month", "kind"], hour, ["requested_at", "call_id"],
+    second = F.date_trunc("second", F.col("requested_at"))
+    return running_sums(calls, ["provider", "month", "kind"], second, ["requested_at", "call_id"],
                         {"month_to_date": F.col("credits")}, inclusive=True)
 
 
