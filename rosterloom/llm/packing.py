@@ -261,6 +261,7 @@ def solve(spark: SparkSession, items: dict[int, int], capacity: int = CAPACITY,
     """The best bins that the islands find for a histogram of lengths."""
     if not items:
         return {}
+    items = dict(sorted(items.items()))  # draws go by this order
 
     def step(epoch: int):
         def run(table: pa.Table) -> pa.Table:

@@ -231,7 +231,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
               .groupBy(id_column).agg((F.avg(label) >= 0.5).cast("double").alias("__y"))
               .orderBy(F.xxhash64(id_column), id_column).limit(sample))
     rows = statistics(docs.select(id_column, text).join(F.broadcast(chosen), id_column), text)
-    table = rows.dropDuplicates([id_column]).drop(id_column).toPandas()
+    # In one order, however the rows were spread: the same tables give the same ensemble.
+    table = rows.dropDuplicates([id_column]).toPandas().sort_values(id_column)
     return fit(table[[f"stat_{c}" for c in STATISTICS]].to_numpy(np.float64),
                table["__y"].to_numpy(np.float64))
 

@@ -69,6 +69,14 @@ def test_held_out_labels_are_never_learned_from(spark):
     assert (a.rules, a.weights, a.bias) == (b.rules, b.weights, b.bias)
 
 
+def test_the_spread_of_rows_does_not_matter(spark):
+    docs = documents(spark, corpus())
+    labels = spark.createDataFrame([(i, int(i % 3 > 0 or i % 7 == 0), 0) for i in range(300)],
+                                   LABELS)
+    a, b = (quality.learn(docs.repartition(n), labels.repartition(n)) for n in (1, 5))
+    assert (a.rules, a.weights, a.bias) == (b.rules, b.weights, b.bias)
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     rows = quality.op10_quality(spark, folder).where("held_out").join(
