@@ -43,7 +43,7 @@ TILE = 256
 HOT_BUCKET = 16_384
 #: Texts are read in slices of so many bytes, which bounds a task's memory.
 SLICE_BYTES = 4_000_000
-PLANES_AT_ONCE = 8
+PLANES_AT_ONCE = 16
 
 
 # ------------------------------------------------------------------ fingerprints
@@ -154,8 +154,11 @@ def near(queries: Tile, block: Tile, radius: int) -> tuple[np.ndarray, np.ndarra
     """Positions (query, member of the block) of all pairs within the radius.
 
     A unit is one query against one word of 64 members.  Counters are bit planes: planes
-    c[0], c[1], ... hold the distance so far, ``over`` the members that have passed the
-    radius for good.  Units whose members have all passed are dropped after every few planes.
+    c[0], c[1], ... hold the distance so far, ``over`` the members whose count has run over.
+    Planes are added by a tree of carry-save adders: two planes and a counter give the counter
+    and one carry, so the counter of level k is touched once for 2 ** k planes.  Units whose
+    members have all passed the radius are abandoned, and when hardly any member is left the
+    rest are compared whole.
     """
     ones = np.uint64(0xFFFFFFFFFFFFFFFF)
     words = block.planes.shape[1]
@@ -167,35 +170,51 @@ def near(queries: Tile, block: Tile, radius: int) -> tuple[np.ndarray, np.ndarra
     tail = block.n % 64
     if tail:
         over[word == words - 1] = ones << np.uint64(tail)
-    flips = np.where(queries.bits == 1, ones, np.uint64(0))
-    total = queries.bits.shape[1]
-    for at in range(0, total, PLANES_AT_ONCE):
-        full = len(query) == queries.n * words
-        for i in range(at, min(at + PLANES_AT_ONCE, total), 2):
-            def different(j: int) -> np.ndarray:
-                if full:
-                    return (block.planes[j][None, :] ^ flips[:, j][:, None]).ravel()
-                return block.planes[j][word] ^ flips[query, j]
-            x = different(i)
-            y = different(i + 1) if i + 1 < total else np.zeros_like(x)
-            # Full adder: counter 0 and two new planes give counter 0 and one carry.
+    # Row i: all bits set for the queries whose bit i is set.
+    flips = np.where(queries.bits.T == 1, ones, np.uint64(0))
+
+    def add(level: int, planes: list[np.ndarray]) -> None:
+        if level == depth:
+            for plane in planes:
+                np.bitwise_or(over, plane, out=over)
+            return
+        counter, carries = counters[level], []
+        for x, y in zip(planes[::2], planes[1::2]):
             half = x ^ y
-            carry = (x & y) | (half & counters[0])
-            counters[0] ^= half
-            for level in range(1, depth):
-                counters[level], carry = counters[level] ^ carry, counters[level] & carry
-            over |= carry
-        alive = (over | _above(counters, radius)) != ones
+            np.bitwise_and(x, y, out=x)
+            np.bitwise_and(half, counter, out=y)
+            np.bitwise_or(x, y, out=x)
+            np.bitwise_xor(counter, half, out=counter)
+            carries.append(x)
+        if len(planes) % 2:
+            x = planes[-1]
+            carries.append(counter & x)
+            np.bitwise_xor(counter, x, out=counter)
+        add(level + 1, carries)
+
+    total = len(flips)
+    for at in range(0, total, PLANES_AT_ONCE):
+        several = range(at, min(at + PLANES_AT_ONCE, total))
+        if len(query) == queries.n * words:
+            add(0, [(block.planes[i][None, :] ^ flips[i][:, None]).ravel() for i in several])
+        else:
+            add(0, [block.planes[i][word] ^ flips[i][query] for i in several])
+        if several.stop <= radius:
+            continue  # no distance can have passed it
+        left = ~(over | _above(counters, radius))
+        if int(np.bitwise_count(left).sum()) <= 4 * queries.n:
+            break  # so few that they are told apart one by one
+        alive = left != 0
         if alive.sum() < 0.7 * len(query):
             query, word, over = query[alive], word[alive], over[alive]
             counters = [c[alive] for c in counters]
-            if not len(query):
-                break
     hits = ~(over | _above(counters, radius))
     found = np.nonzero(hits)[0]
     member = np.unpackbits(hits[found].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     unit, bit = np.nonzero(member)
-    return query[found[unit]], word[found[unit]] * 64 + bit
+    a, b = query[found[unit]], word[found[unit]] * 64 + bit
+    near_ = np.bitwise_count(queries.fps[a] ^ block.fps[b]).sum(axis=1) <= radius
+    return a[near_], b[near_]
 
 
 def _above(counters: list[np.ndarray], radius: int) -> np.ndarray:
