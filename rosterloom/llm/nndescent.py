@@ -6,11 +6,10 @@
    classes are laid into leaves, several times; each keeps its nearest ones in its leaves.
 3. Each turn joins every class's neighbours (both directions) with each other, for a
    neighbour's neighbour is likely a neighbour.  A class whose list is saturated, which
-   means that its last neighbour still is a link, gets a list twice as long.  Turns end when hardly
-   any list improves, and after ``TURNS``.
+   means that its last neighbour still is a link, gets a list twice as long.
 4. The audit compares a fixed set of classes with all others of their label, in blocks, and
-   measures which share of their links the graph holds.  Below ``RECALL`` the graph gets
-   another start from new hyperplanes, which adds to it.
+   measures which share of their links the graph holds.  Below ``RECALL`` there is another turn,
+   and after ``TURNS`` another start from new hyperplanes, which adds to the graph.
 5. Edges at or above the threshold are links; they join components.  Within components, classes
    meet once more in tiles, so that saturated lists lose nothing and link counts are exact.
    Tiles report counts, not pairs.
@@ -37,7 +36,7 @@ LIST, TURNS, STARTS = 8, 3, 8
 LEAF = 256
 PLANES = 24
 TILE = 512
-RECALL, AUDITED, AUDITS = 0.99, 200, 3
+RECALL, AUDITED, AUDITS = 0.99, 1000, 3
 EDGE = "a bigint, b bigint, sim double"
 
 
@@ -176,31 +175,23 @@ def joined(graph: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     return laid.mapInArrow(run, EDGE)
 
 
-def descend(classes: DataFrame, edges: DataFrame, threshold: float = THRESHOLD,
-            length: int = LIST, turns: int = TURNS) -> DataFrame:
-    """The refined neighbour graph (a, b, sim, length, place), a stored table."""
-    graph = cut_lineage(merged(edges, None, length))
-    for _ in range(turns):
-        new = joined(graph, classes, length)
-        # Saturated: the list is full and its last neighbour still is a link.
-        lengths = graph.groupBy("a").agg(
-            F.first("length").alias("length"), F.count("*").alias("n"),
-            F.min("sim").alias("worst")).select("a", F.when(
-                (F.col("n") >= F.col("length")) & (F.col("worst") >= threshold),
-                F.col("length") * 2).otherwise(F.col("length")).alias("length"))
-        after = cut_lineage(merged(graph.select("a", "b", "sim").unionByName(new), lengths,
-                                   length))
-        old, size = graph.agg(F.sum("sim")).first()[0], after.count()
-        gained = (after.agg(F.sum("sim")).first()[0] or 0.0) - (old or 0.0)
-        graph = after
-        if gained <= 0.001 * max(size, 1):
-            break
-    return graph
+def refine(classes: DataFrame, graph: DataFrame, threshold: float = THRESHOLD,
+           length: int = LIST) -> DataFrame:
+    """One turn of descent on the stored neighbour graph (a, b, sim, length, place)."""
+    new = joined(graph, classes, length)
+    # Saturated: the list is full and its last neighbour still is a link.
+    lengths = graph.groupBy("a").agg(
+        F.first("length").alias("length"), F.count("*").alias("n"),
+        F.min("sim").alias("worst")).select("a", F.when(
+            (F.col("n") >= F.col("length")) & (F.col("worst") >= threshold),
+            F.col("length") * 2).otherwise(F.col("length")).alias("length"))
+    return cut_lineage(merged(graph.select("a", "b", "sim").unionByName(new), lengths, length))
 
 
 def audit(classes: DataFrame, roots: DataFrame, threshold: float = THRESHOLD,
           audited: int = AUDITED) -> float:
-    """The share of a fixed set of classes' links whose ends share a component (node, root).
+    """The share of links whose ends share a component (node, root), as the mean over those of
+    a fixed set of classes that have links.
 
     Links inside a component are all counted later, so these are the links that are found.
     """
@@ -229,10 +220,11 @@ def audit(classes: DataFrame, roots: DataFrame, threshold: float = THRESHOLD,
                 yield _edges(table[k][0][a], ids[b], sims[a, b])
 
     true = classes.select("label", "id", "vector").mapInArrow(run, EDGE)
-    row = (true.join(roots.toDF("a", "root_a"), "a", "left")
-           .join(roots.toDF("b", "root_b"), "b", "left").agg(
-               F.count("*"), F.count(F.when(F.col("root_a") == F.col("root_b"), 1)))).first()
-    return row[1] / row[0] if row[0] else 1.0
+    held = (true.join(roots.toDF("a", "root_a"), "a", "left")
+            .join(roots.toDF("b", "root_b"), "b", "left").groupBy("a").agg(F.avg(
+                F.when(F.col("root_a") == F.col("root_b"), 1.0).otherwise(0.0)).alias("held")))
+    share = held.agg(F.avg("held")).first()[0]
+    return 1.0 if share is None else share
 
 
 # ------------------------------------------------------------------ links
@@ -281,7 +273,8 @@ def _sums(ids: np.ndarray, linked: np.ndarray) -> pa.RecordBatch:
 
 def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding",
                     label: str = "label", threshold: float = THRESHOLD, length: int = LIST,
-                    recall: float = RECALL, audits: int = AUDITS) -> DataFrame:
+                    recall: float = RECALL, turns: int = TURNS,
+                    audits: int = AUDITS) -> DataFrame:
     """Every row's id, n_links, component_id and kept."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     valid = (F.col(label).isNotNull() & F.col(vector).isNotNull() & finite
@@ -296,14 +289,20 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str =
 
     graph = None
     for attempt in range(audits):
-        fresh = start(classes, length, first_seed=attempt * STARTS)
-        edges = fresh if graph is None else graph.select("a", "b", "sim").unionByName(fresh)
-        graph = descend(classes, edges, threshold, length)
-        links = cut_lineage(graph.where(F.col("sim") >= threshold).select("a", "b"))
-        roots = cut_lineage(components(links))
-        inside = classes.join(roots.withColumnRenamed("node", "id"), "id")
-        if audit(classes, roots, threshold) >= recall:
+        edges = start(classes, length, first_seed=attempt * STARTS)
+        if graph is not None:
+            edges = graph.select("a", "b", "sim").unionByName(edges)
+        graph = cut_lineage(merged(edges, None, length))
+        for _ in range(turns):
+            graph = refine(classes, graph, threshold, length)
+            roots = cut_lineage(components(
+                graph.where(F.col("sim") >= threshold).select("a", "b")))
+            found = audit(classes, roots, threshold)
+            if found >= recall:
+                break
+        if found >= recall:
             break
+    inside = classes.join(roots.withColumnRenamed("node", "id"), "id")
     linked = counted(inside.select("root", "id", "n", "vector"), threshold)
     least = inside.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = (classes.join(roots.withColumnRenamed("node", "id"), "id", "left")
