@@ -32,7 +32,10 @@ from rosterloom.llm.common import read, slices
 
 DATE = "2024-01-01T00:00:00Z"
 SLICE_BYTES = 4_000_000
-# Elements without text for readers, elements that end a line, named by HTML.
+# Fixed values, named by HTML: elements that don't end the head, elements without text for readers,
+# elements that end a line.
+HEAD = {"head", "html", "title", "meta", "link", "base", "script", "style", "template", "noscript",
+        "basefont", "bgsound", "noframes"}
 SILENT = {"script", "style", "template", "noscript", "head", "svg", "textarea", "select"}
 LINES = {"address", "article", "aside", "blockquote", "br", "caption", "dd", "div", "dl", "dt",
          "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header",
@@ -52,8 +55,17 @@ class _Reader(HTMLParser):
         self.language, self.links = "", 0
         self.silent: list[str] = []
         self.in_title = False
+        self.began = False  # the head or, where its tags are left out, the body
+
+    def end_head(self) -> None:
+        """What can't stand in the head ends it, for its end tag and the body's tag are optional."""
+        self.began = True
+        if self.silent == ["head"]:
+            self.silent = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in HEAD:
+            self.end_head()
         if tag == "html":
             self.language = dict(attrs).get("lang") or ""
         elif tag == "a" and dict(attrs).get("href"):
@@ -62,7 +74,11 @@ class _Reader(HTMLParser):
             self.silent = []
         elif tag == "title":
             self.in_title = True
-        if tag in SILENT:
+        if tag == "head":  # a second one, or one in the body, means nothing
+            if not self.began:
+                self.silent.append(tag)
+            self.began = True
+        elif tag in SILENT:
             self.silent.append(tag)
         elif tag in LINES:
             self.parts.append("\n")
@@ -79,7 +95,10 @@ class _Reader(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.in_title:
             self.title.append(data)
-        elif not self.silent:
+            return
+        if data.strip():
+            self.end_head()
+        if not self.silent:
             self.parts.append(data)
 
     def text(self) -> str:

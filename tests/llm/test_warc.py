@@ -72,3 +72,15 @@ def test_pages(spark):
     rows = warc.derive(warc.responses_of_pages(pages), ["page_id"]).collect()
     assert len(rows) == 6 and len({r["record_id"] for r in rows}) == 4
     assert warc.derive(warc.responses_of_pages(pages.limit(0)), ["page_id"]).count() == 0
+
+
+def test_head_ends_where_its_end_is_left_out(spark):
+    pages = {
+        "<html><head><title>x</title><p>text<p>more": "text\nmore",
+        "<head><title>x</title><meta name=a><link rel=b><style>p{}</style>text": "text",
+        "<head><script>a</script><noscript>no</noscript>\n <a href=/x>link</a>": "link",
+        "<p>one<head><p>two": "one\ntwo",
+        "<head><template><p>no</p></template><title>x</title></head>yes": "yes"}
+    rows = warc.derive(responses(spark, [http(p.encode()) for p in pages]), ["page_id"])
+    found = {r["page_id"]: r["block"] for r in rows.where("warc_type = 'conversion'").collect()}
+    assert [found[i] for i in range(len(pages))] == list(pages.values())
