@@ -8,8 +8,9 @@
 3. Spark scores the graph of patterns and instances in turns.  A pattern's confidence for a kind
    is the share of that kind among the distinct values it surrounds; unknown values count
    against it.  An instance's confidence joins those of its patterns by noisy-or.  Instances
-   above ``ACCEPT`` become known in the next turn, until no more come or after ``TURNS``.
-4. Candidates that were accepted for a kind whose shape they fit become added spans.
+   above ``ACCEPT`` become known in the next turn, until a turn adds nothing.
+4. Candidates that were accepted for a kind whose shape they fit become added spans, and so do
+   those that are a seed of that kind in another spelling.
 
 Precision comes first: a pattern needs ``SUPPORT`` distinct known values and ``TRUST``.  In text
 whose words say nothing about the identifiers around them no span is added.
@@ -40,7 +41,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-SUPPORT, TRUST, ACCEPT, TURNS = 5, 0.9, 0.95, 4
+SUPPORT, TRUST, ACCEPT = 5, 0.9, 0.95
 NUMERIC = re.compile(r"(?<![0-9A-Za-z+.])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,18}(?![0-9A-Za-z])")
 SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]+"
                      r"(?:(?:\.|\x20?[\[(](?:dot|DOT)[\])]\x20?)[A-Za-z0-9-]+)+")
@@ -133,7 +134,8 @@ def mentions(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
                          F.col(text).alias("text"))
 
     def mention(text_: str, no: int | None, fits: list[int], start: int, end: int) -> dict:
-        value = re.sub(r"[\s().-]", "", text_[start:end]).lower()
+        # The dots of an address by number tell its parts apart.
+        value = re.sub(r"\s" if no == 1 else r"[\s().-]", "", text_[start:end]).lower()
         return {"no": no, "fits": fits, "start": start, "end": end,
                 "value": hashlib.sha256(value.encode()).hexdigest(),
                 "patterns": patterns(text_, start, end)}
@@ -160,21 +162,26 @@ def mentions(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
 
 
 def bootstrap(occurrences: DataFrame, support: int = SUPPORT, trust: float = TRUST,
-              accept: float = ACCEPT, turns: int = TURNS) -> DataFrame:
-    """Accepted unseen instances (value, no), from rows (no, fits, value, patterns)."""
+              accept: float = ACCEPT) -> DataFrame:
+    """Accepted instances (value, no), from rows (no, fits, value, patterns).
+
+    What is known only grows from turn to turn, and so does every confidence, so the turns end.
+    """
     graph = cut_lineage(occurrences.select("value", F.explode("patterns").alias("pattern"))
                         .distinct())
     seeds = cut_lineage(occurrences.where("no is not null").groupBy("value", "no").agg(
         F.lit(1.0).alias("trusted")))
-    unseen = cut_lineage(occurrences.where("no is null")
-                         .select("value", F.explode("fits").alias("no")).distinct()
-                         .join(seeds.select("value"), "value", "left_anti"))
+    fitting = cut_lineage(occurrences.where("no is null")
+                          .select("value", F.explode("fits").alias("no")).distinct())
+    # Other spellings of seeds need no context.
+    sure = fitting.join(seeds.select("value", "no"), ["value", "no"], "left_semi")
+    unseen = cut_lineage(fitting.join(seeds, ["value", "no"], "left_anti"))
     accepted = unseen.select("value", "no", F.lit(0.0).alias("trusted")).limit(0)
     if not unseen.limit(1).count():
-        return accepted.select("value", "no")
+        return sure
     degree = cut_lineage(graph.groupBy("pattern").agg(F.count("*").alias("values")))
-    before = 0
-    for _ in range(turns):
+    before = (0, 0)
+    while True:
         known = seeds.unionByName(accepted)
         scored = (graph.join(known, "value").groupBy("pattern", "no")
                   .agg(F.sum("trusted").alias("weight"), F.count("*").alias("n"))
@@ -187,11 +194,13 @@ def bootstrap(occurrences: DataFrame, support: int = SUPPORT, trust: float = TRU
             graph.join(scored, "pattern").join(unseen, ["value", "no"])
             .groupBy("value", "no").agg((1 - F.exp(doubt)).alias("trusted"))
             .where(F.col("trusted") >= accept))
-        now = accepted.count()
-        if now == before:
+        # Confidence that still rises may let in more in a later turn; millionths are enough.
+        now = tuple(accepted.agg(F.count("*"), F.coalesce(F.sum(
+            F.floor(F.col("trusted") * 1_000_000)), F.lit(0))).first())
+        if now <= before:
             break
         before = now
-    return accepted.select("value", "no")
+    return accepted.select("value", "no").union(sure)
 
 
 def find(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:

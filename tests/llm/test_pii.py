@@ -68,3 +68,28 @@ def test_mixed_contexts_are_not_trusted(spark):
     texts = [f"seen near +1 555 010 {i:04d} by us" for i in range(10)]
     texts += [f"seen near 8{i:09d}7 by us" for i in range(10)]
     assert pii.find(documents(spark, texts), ["doc_id"]).where("size(added) > 0").count() == 0
+
+
+def added(spark, texts):
+    found = pii.find(documents(spark, texts), ["doc_id"]).where("size(added) > 0").collect()
+    return {r["doc_id"]: [(pii.KINDS[x["no"]], texts[r["doc_id"]][x["start"]:x["end"]])
+                          for x in r["added"]] for r in found}
+
+
+def test_other_spellings_of_seeds_are_added(spark):
+    texts = ["paid by 4111 1111 1111 1111", "4111.1111.1111.1111", "4111.1111.1111.1112",
+             "at 30.0.111.11 now", "300.0.111.11"]  # equal digits, other parts
+    assert added(spark, texts) == {1: [("card", "4111.1111.1111.1111")]}
+
+
+def test_long_chains_of_contexts_are_followed(spark):
+    texts, links = [], 9
+    for k in range(links):
+        c = chr(97 + k) * 3
+        context = f"{c}x {c}y {{}} {c}v {c}w"
+        texts += [context.format(f"+1 555 {k}10 {i:04d}") for i in range(9)]
+        # Each pattern is trusted only when the number of the pattern before is known.
+        texts += [context.format(f"(555) 77{n}-1234") for n in (k - 1, k) if n >= 0]
+    found = added(spark, texts)
+    assert found == {i: [("phone", t[t.index("("):t.index("34") + 2])]
+                     for i, t in enumerate(texts) if "(" in t}
