@@ -6,8 +6,7 @@
 2. Equal fingerprints are one node.  Nodes meet in *tables*: a table looks at some of the bits,
    and nodes that agree on all of them share a bucket.  For a radius of up to 3 the tables are
    all choices of two out of (radius + 2) blocks, so two fingerprints within the radius always
-   agree in some table and the search is exact.  For wide radii the tables are fixed samples of bit
-   positions, and the chance to miss a pair is that of missing it in every table.
+   agree in some table and the search is exact.
 3. Sorted by bucket, nodes are laid into tiles.  A tile stores its bit planes vertically: plane
    i holds bit i of 64 fingerprints in one machine word.  The distances of one fingerprint to
    64 others are counted together, by carry-save adders whose counters are bit planes too; words
@@ -26,13 +25,12 @@ a component id unless a whole component has none.
 from __future__ import annotations
 
 import itertools
-import random
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rosterloom.llm.common import components, read, slices
@@ -109,12 +107,6 @@ def exact_tables(bits: int, radius: int) -> list[list[int]]:
             for pair in itertools.combinations(blocks, 2)]
 
 
-def sampled_tables(bits: int, tables: int, key_bits: int) -> list[list[int]]:
-    """Fixed random bit positions, ``key_bits`` of them for each table."""
-    draw = random.Random(SEED)
-    return [sorted(draw.sample(range(bits), key_bits)) for _ in range(tables)]
-
-
 def _entries(nodes: DataFrame, tables: list[list[int]]) -> DataFrame:
     """One row (t, key, fp) for each node and table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,15 +348,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 # ------------------------------------------------------------------ the dedup stage
 
-#: Five-word shingles and 512-bit fingerprints.  At a Jaccard similarity s of two shingle sets the
-#: bits differ with chance acos(2 s / (1 + s)) / pi: at 0.8 in 78 of 512 places (deviation 8.1),
-#: at 0.7 in 98, at 0.6 in 118; unrelated texts differ in 256 (deviation 11).  The radius leaves
-#: room above 78; pairs that it lets in below 0.8 are told apart by their shingles.
-STAGE_WORDS, STAGE_WIDTH, STAGE_RADIUS = 5, 8, 96
-STAGE_TABLES, STAGE_KEY_BITS = 40, 16
+#: Five-word shingles, whose sets are compared.
+STAGE_WORDS = 5
 SIMILARITY = 0.8
 #: Members of a group that one cell compares with as many others, and shingles at once.
 PART, COLUMNS = 256, 20_000
+#: Shingles are counted by their top bits, in so many counters, which travel in chunks.
+COUNTER_BITS, CHUNK_BITS = 20, 14
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -411,25 +401,24 @@ def verified(members: DataFrame, words: int = STAGE_WORDS,
              least: float = SIMILARITY) -> DataFrame:
     """Stars (a, b) of the nodes whose shingle sets are similar, within each group.
 
-    ``members`` has root (the group), node and text, one row for each node.  Groups are cut into
-    parts by the hash of their nodes, and every two parts meet in a cell.
+    ``members`` has root (the group), parts, node and text, one row for each node.  Groups are cut
+    into that many parts by the hash of their nodes, and every two parts meet in a cell.
     """
     kind = members.schema["node"].dataType.simpleString()
+    group = members.schema["root"].dataType.simpleString()
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES):
-            sets = [shingle_hashes(t, words) for t in part.column(2).to_pylist()]
+            sets = [shingle_hashes(t, words) for t in part.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(sets, pa.list_(pa.int64()))],
-                ["root", "node", "shingles"])
+                [*part.columns[:3], pa.array(sets, pa.list_(pa.int64()))],
+                ["root", "parts", "node", "shingles"])
 
-    sets = cut_lineage(members.select("root", "node", "text").mapInArrow(
-        shingle, f"root binary, node {kind}, shingles array<bigint>"))
-    parts = sets.groupBy("root").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+    sets = members.select("root", "parts", "node", "text").mapInArrow(
+        shingle, f"root {group}, parts int, node {kind}, shingles array<bigint>")
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
         F.least(F.col("part"), j).alias("i"), F.greatest(F.col("part"), j).alias("j")))
-    laid = (sets.join(parts, "root")
-            .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    laid = (sets.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
             .withColumn("cell", F.explode(cells))
             .select(F.xxhash64("root", "cell").alias("key"), "node",
                     (F.col("part") == F.col("cell.i")).alias("low"),
@@ -467,34 +456,131 @@ def verified(members: DataFrame, words: int = STAGE_WORDS,
     return laid.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _commonness(texts: DataFrame, words: int) -> np.ndarray:
+    """A small number for each counter of shingles: how often they occur, as a power of two.
+
+    The counters only order the shingles of a text, so what shares one does no harm.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for part in slices(batches, "text", SLICE_BYTES):
+            if total is None:
+                total = np.zeros(1 << COUNTER_BITS, np.uint32)
+            for text in part.column(0).to_pylist():
+                # Hashes of one text that share a counter count once, which is near enough.
+                total[_counter(shingle_hashes(text, words))] += np.uint32(1)
+        if total is not None:
+            chunks = total.reshape(-1, 1 << CHUNK_BITS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(chunks)), pa.int32()),
+                 pa.array([c.tobytes() for c in chunks], pa.binary())], ["chunk", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}  # one for each chunk at most
+        for batch in batches:
+            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = np.frombuffer(counts, np.uint32)
+                sums[chunk] = sums[chunk] + own if chunk in sums else own.astype(np.uint64)
+        if sums:
+            ranks = [np.frexp(c.astype(np.float64))[1].astype(np.uint8).tobytes()
+                     for c in sums.values()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int32()), pa.array(ranks, pa.binary())],
+                ["chunk", "ranks"])
+
+    summed = texts.select("text").mapInArrow(count, "chunk int, counts binary").repartition(
+        "chunk").mapInArrow(add, "chunk int, ranks binary")
+    ranks = np.zeros((1 << COUNTER_BITS - CHUNK_BITS, 1 << CHUNK_BITS), np.uint8)
+    for row in summed.collect():  # one byte a counter
+        ranks[row["chunk"]] = np.frombuffer(row["ranks"], np.uint8)
+    return ranks.ravel()
+
+
+def _counter(hashes: np.ndarray) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def prefix(hashes: np.ndarray, ranks: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
+    """The rarest of a text's shingles, as many as any similar set must share one of.
+
+    Of n shingles a set with a Jaccard similarity of ``least`` holds n * least at least.  With all
+    shingles in one order, the first ones that two such sets share lies among the first
+    n - ceil(n * least) + 1 of either.
+    """
+    n = len(hashes)
+    size = n - int(np.ceil(n * least - 1e-6)) + 1
+    return hashes[np.lexsort((hashes, ranks[_counter(hashes)]))[:size]]
+
+
+def proposed_groups(texts: DataFrame, words: int = STAGE_WORDS,
+                    least: float = SIMILARITY) -> DataFrame:
+    """(node, root) of groups that hold every pair of similar texts; ``texts`` has key and text.
+
+    Texts that share a shingle of their prefixes form a bucket.  Sorted by the sizes of their sets,
+    each is tied to the one before, unless that is too small to be similar; then none before it
+    is similar either.
+    """
+    ranks = texts.sparkSession.sparkContext.broadcast(_commonness(texts, words))
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # copies inside a task enter once
+        for part in slices(batches, "text", SLICE_BYTES):
+            nodes, sizes, first = [], [], []
+            for node, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                if node not in seen:
+                    seen.add(node)
+                    hashes = shingle_hashes(text, words)
+                    nodes.append(node)
+                    sizes.append(len(hashes))
+                    first.append(prefix(hashes, ranks.value, least))
+            if nodes:
+                lengths = [len(x) for x in first]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(first)),
+                     pa.array(np.repeat(np.array(nodes, np.int64), lengths)),
+                     pa.array(np.repeat(np.array(sizes, np.int32), lengths))],
+                    ["shingle", "node", "size"])
+
+    laid = texts.select("key", "text").mapInArrow(
+        entries, "shingle bigint, node bigint, size int")
+    order = Window.partitionBy("shingle").orderBy("size", "node")
+    tied = (laid.select("node", F.lag("node").over(order).alias("before"), "size",
+                        F.lag("size").over(order).alias("smaller"))
+            .where((F.col("node") != F.col("before"))
+                   & (F.col("smaller") >= F.col("size") * least - 1e-6)))
+    return components(tied.select(F.col("node").alias("a"), F.col("before").alias("b")))
+
+
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
-                 radius: int = STAGE_RADIUS, least: float = SIMILARITY) -> DataFrame:
+                 least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, one of each group of near-duplicates.
 
-    Fingerprints within the radius propose groups; inside them, texts whose sets of five-word
-    shingles have a Jaccard similarity of ``least`` or more are linked, and what links reach is a
-    group.  The row with the least id stays (rows without an id come last, ties go by the text's
-    digest).  Rows equal in id and text count as one.  All texts without words, nulls among
-    them, are one group.
+    Texts whose sets of five-word shingles have a Jaccard similarity of ``least`` or more are
+    linked, and what links reach is a group.  Shared rare shingles propose groups that no similar
+    pair escapes, whatever its length; inside them the sets are compared.  The row with the least
+    id stays (rows without an id come last, ties go by the text's digest).  Rows equal in id and
+    text count as one.  All texts without words, nulls among them, are one group.
     """
     marked = docs.withColumns({
         "__digest": F.coalesce(F.sha2(text, 256), F.lit("")), "__key": F.xxhash64(id_column)})
-    rows = cut_lineage(fingerprints(marked, text, [id_column, "__digest", "__key"], STAGE_WORDS,
-                                    STAGE_WIDTH))
     order = F.struct(F.col(id_column).isNull().alias("late"), F.col(id_column).alias("id"),
                      F.col("__digest").alias("node"), F.col("__key").alias("key"))
-    texts = cut_lineage(rows.groupBy(F.col("__digest").alias("node")).agg(
-        F.first("fp").alias("fp"), F.min(order).alias("best")))
-    by_fp = groups(texts.select("fp", F.col("best.id").alias("id")), "id", radius,
-                   sampled_tables(64 * STAGE_WIDTH, STAGE_TABLES, STAGE_KEY_BITS))
-    proposed = cut_lineage(texts.join(by_fp, "fp").select(
-        "node", "root", F.col("best.key").alias("key")))
-    several = proposed.groupBy("root").count().where("count > 1").select("root")
-    candidates = proposed.join(several, "root")
+    texts = cut_lineage(marked.groupBy(F.col("__digest").alias("node")).agg(
+        F.min(order).alias("best")))
+    # Texts are grouped by a short key; if two ever share one, they are told apart below.
+    short = proposed_groups(marked.select(F.xxhash64("__digest").alias("key"),
+                                          F.col(text).alias("text")), STAGE_WORDS, least)
+    candidates = cut_lineage(
+        texts.join(short.toDF("short", "root"), F.xxhash64("node") == F.col("short"))
+        .select("node", "root", F.col("best.key").alias("key")))
+    # Sizes of groups are counted without the texts, so each set of shingles moves only once.
+    parts = candidates.groupBy("root").agg(
+        F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+    candidates = candidates.join(parts, "root")
     # One row of each text: that with the least id.  Id and text together are no hot key.
     members = (marked.select("__digest", "__key", F.col(text).alias("text")).join(
         candidates, (F.col("__digest") == F.col("node")) & (F.col("__key") == F.col("key")))
-        .select("root", "node", "text").dropDuplicates(["node"]))
+        .dropDuplicates(["__digest", "__key"]).select("root", "parts", "node", "text"))
     roots = components(verified(members, STAGE_WORDS, least))
     kept = (texts.join(roots, "node", "left")
             .groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("best").alias("best"))

@@ -98,3 +98,18 @@ def test_dedup_keeps_one_of_each_group(spark):
         if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots.values()))
     assert kept.columns == docs.columns
+
+
+def left(spark, texts):
+    return sorted(r["doc_id"] for r in simhash.deduplicated(documents(spark, texts)).collect())
+
+
+def test_dedup_compares_distinct_shingles(spark):
+    words = prose(215, 3).split()
+    line = " ".join(words[100:119])  # 15 shingles
+    texts = [" ".join(words)]
+    for times in (5, 10, 40):
+        texts.append(" ".join([*words[:119], *(line.split() * times), *words[119:]]))
+    sets = [shingles(t) for t in texts]
+    assert all(len(sets[0] & x) >= 0.8 * len(sets[0] | x) for x in sets)
+    assert left(spark, texts) == [0]
