@@ -113,3 +113,14 @@ def test_dedup_compares_distinct_shingles(spark):
     sets = [shingles(t) for t in texts]
     assert all(len(sets[0] & x) >= 0.8 * len(sets[0] | x) for x in sets)
     assert left(spark, texts) == [0]
+
+
+def test_dedup_misses_no_pair_at_the_similarity(spark):
+    texts, shared = [], {4: 5, 8: 10, 12: 15, 40: 50, 160: 200}  # shingles: common, in all
+    for n, total in shared.items():
+        for i in range(30):
+            words = [f"w{n}x{i}x{k}" for k in range(total + 4)]
+            texts += [" ".join(words[:n + 4]), " ".join(words)]  # a Jaccard similarity of 0.8
+            texts.append(" ".join(w + "y" for w in words[:n + 3]))
+            texts.append(" ".join([w + "y" for w in words[:n + 3]] + [f"z{k}" for k in range(total)]))
+    assert left(spark, texts) == [i for i in range(len(texts)) if i % 4 != 1]
