@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import (decontaminate, licenses, nndescent, packing, pii, quality, secrets,
-                            sharding, simhash, warc)
+from rosterloom.llm import (decontaminate, licenses, merkle, negatives, nndescent, packing, pii,
+                            quality, secrets, sharding, simhash, urls, warc)
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -16,6 +16,14 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_quality": quality.op10_quality,
+    "op11_negatives": negatives.op11_negatives,
+    "op12_merkle": merkle.op12_merkle,
+    "op13_urls": urls.op13_urls,
 }
 
-ORACLES: dict[str, str] = {}
+#: The others have no SQL form; tests/llm compares them with brute-force versions.
+ORACLES: dict[str, str] = {
+    "op11_negatives": negatives.ORACLE,
+    "op12_merkle": merkle.ORACLE,
+    "op13_urls": urls.oracle(),
+}
