@@ -56,4 +56,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.cut_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of :func:`cut_lineage` that nothing will read again.
+
+    Loops call it for the round before once the next round's table is written whole.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.cut_path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
