@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterloom.session import cut_lineage
+from rosterloom.session import cut_lineage, discard
 
 #: XXH64 of 1 row in so many counts as one task's share when ranks are dealt out.
 RANK_BUCKETS = 256
@@ -57,6 +59,38 @@ def deal_ranks(df: DataFrame, keys: list[str], order: list[Column], name: str,
             .drop("__b", "__r", "__start"))
 
 
+#: Bits of a screen at most: 32 MB, which every task gets.
+SCREEN_BITS = 1 << 28
+
+
+def screen(keys: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A test that holds for every key in ``column`` (a long, not null), and for few others.
+
+    A bitmap with 16 bits a key, up to a fixed size, is put together by Spark and goes to every task.
+    With more keys than that it lets more others pass, but never turns a key away: use it to
+    spare rows a shuffle, before an exact join.
+    """
+    count = keys.count()
+    bits = 1 << 15
+    while bits < 16 * count and bits < SCREEN_BITS:
+        bits *= 2
+    place = F.pmod(F.col(column), F.lit(bits))
+    chunk = F.floor(place / 32_768)
+    rows = keys.groupBy(chunk.cast("int").alias("chunk")).agg(F.expr(
+        f"bitmap_construct_agg(pmod({column}, {bits}) % 32768)").alias("bitmap")).collect()
+    table = np.zeros((bits // 32_768, 4096), np.uint8)
+    for row in rows:
+        table[row["chunk"]] = np.frombuffer(row["bitmap"], np.uint8)
+    shared = keys.sparkSession.sparkContext.broadcast(table.ravel())
+
+    @F.pandas_udf("boolean")
+    def passes(key: pd.Series) -> pd.Series:
+        at = key.to_numpy() % bits
+        return pd.Series((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    return passes
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph: (node, root), root the least node.
 
@@ -85,7 +119,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a <> b").union(least.select("a", F.col("m").alias("b"))).distinct())
-        pairs = cut_lineage(small)
+        done, pairs = pairs, cut_lineage(small)
+        discard(done, large)
         after = summary(pairs)
         if after == state:
             roots = pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))

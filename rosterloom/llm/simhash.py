@@ -17,6 +17,10 @@
 A bucket of more than ``HOT_BUCKET`` nodes is dealt to cells (i, j) of node parts, so that all
 its pairs still meet, each in one of many tasks.
 
+The stage that removes near-duplicates (:func:`deduplicated`) asks for a Jaccard similarity of 0.8,
+which fingerprints only estimate: there shared rare shingles propose groups, and the sets are
+compared exactly.  Its texts move only where they may be in a group.
+
 Null and empty texts, and texts without words, have fingerprint zero and are linked like any
 other.  Repeated rows and rows with a null id stay rows of the result.  A null id never becomes
 a component id unless a whole component has none.
@@ -33,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterloom.llm.common import components, read, slices
+from rosterloom.llm.common import components, read, screen, slices
 from rosterloom.session import cut_lineage
 
 SEED = 42
@@ -562,31 +566,45 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     text count as one.  All texts without words, nulls among them, are one group.
     """
     marked = docs.withColumns({
-        "__digest": F.coalesce(F.sha2(text, 256), F.lit("")), "__key": F.xxhash64(id_column)})
+        "__digest": F.coalesce(F.sha2(text, 256), F.lit("")), "__key": F.xxhash64(id_column),
+        "__short": F.xxhash64(text)})
     order = F.struct(F.col(id_column).isNull().alias("late"), F.col(id_column).alias("id"),
                      F.col("__digest").alias("node"), F.col("__key").alias("key"))
     texts = cut_lineage(marked.groupBy(F.col("__digest").alias("node")).agg(
-        F.min(order).alias("best")))
+        F.min(order).alias("best"), F.min("__short").alias("short"), F.count("*").alias("n")))
     # Texts are grouped by a short key; if two ever share one, they are told apart below.
-    short = proposed_groups(marked.select(F.xxhash64("__digest").alias("key"),
-                                          F.col(text).alias("text")), STAGE_WORDS, least)
+    groups = proposed_groups(marked.select(F.col("__short").alias("key"),
+                                           F.col(text).alias("text")), STAGE_WORDS, least)
     candidates = cut_lineage(
-        texts.join(short.toDF("short", "root"), F.xxhash64("node") == F.col("short"))
-        .select("node", "root", F.col("best.key").alias("key")))
+        texts.join(groups.toDF("short", "root"), "short")
+        .select("node", "root", "short", F.col("best.key").alias("key")))
     # Sizes of groups are counted without the texts, so each set of shingles moves only once.
     parts = candidates.groupBy("root").agg(
         F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
-    candidates = candidates.join(parts, "root")
-    # One row of each text: that with the least id.  Id and text together are no hot key.
-    members = (marked.select("__digest", "__key", F.col(text).alias("text")).join(
-        candidates, (F.col("__digest") == F.col("node")) & (F.col("__key") == F.col("key")))
-        .dropDuplicates(["__digest", "__key"]).select("root", "parts", "node", "text"))
-    roots = components(verified(members, STAGE_WORDS, least))
-    kept = (texts.join(roots, "node", "left")
-            .groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("best").alias("best"))
+    proposed = screen(candidates, "short")
+    # One row of each text: that with the least id.  Id and text together are no hot key.  Texts
+    # in no proposed group stay where they are.
+    members = (marked.where(proposed("__short"))
+               .select("__digest", "__key", F.col(text).alias("text"))
+               .join(candidates.join(parts, "root"),
+                     (F.col("__digest") == F.col("node")) & (F.col("__key") == F.col("key")))
+               .dropDuplicates(["__digest", "__key"]).select("root", "parts", "node", "text"))
+    roots = cut_lineage(components(verified(members, STAGE_WORDS, least)))
+    told = cut_lineage(texts.join(roots, "node", "left"))
+    # Rows alone with their text, which is in no group, are kept without being moved.
+    grouped = told.where("n > 1 or root is not null")
+    kept = (grouped.groupBy(F.coalesce("root", "node").alias("group"))
+            .agg(F.min("best").alias("best"))
             .select(F.col("best.key").alias("__key"), F.col("best.node").alias("__digest")))
-    return (marked.join(kept, ["__key", "__digest"], "left_semi")
-            .dropDuplicates(["__key", "__digest"]).select(*docs.columns))
+    doubtful = screen(grouped, "short")
+    own = docs.columns
+    # A row that passes without being in a group is alone with its text: both keys are its own.
+    single = told.where("n = 1 and root is null").where(doubtful("short")).select(
+        F.col("best.key").alias("__key"), F.col("node").alias("__digest"))
+    settled = (marked.where(doubtful("__short"))
+               .join(kept.unionByName(single), ["__key", "__digest"], "left_semi")
+               .dropDuplicates(["__key", "__digest"]))
+    return marked.where(~doubtful("__short")).select(*own).unionByName(settled.select(*own))
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 import xxhash
@@ -124,3 +126,32 @@ def test_dedup_misses_no_pair_at_the_similarity(spark):
             texts.append(" ".join(w + "y" for w in words[:n + 3]))
             texts.append(" ".join([w + "y" for w in words[:n + 3]] + [f"z{k}" for k in range(total)]))
     assert left(spark, texts) == [i for i in range(len(texts)) if i % 4 != 1]
+
+
+def test_a_screen_turns_no_key_away(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from rosterloom.llm import common
+    keys = spark.range(3000).select(F.xxhash64("id").alias("k"))
+    others = spark.range(3000, 9000).select(F.xxhash64("id").alias("k"))
+    for most in (common.SCREEN_BITS, 1 << 15):
+        monkeypatch.setattr(common, "SCREEN_BITS", most)
+        passes = common.screen(keys, "k")
+        assert keys.where(passes("k")).count() == 3000
+        assert others.where(passes("k")).count() < 900
+    assert others.where(common.screen(keys.limit(0), "k")("k")).count() == 0
+
+
+def test_dedup_of_a_large_group_of_near_copies(spark):
+    base = prose(60, 9).split()
+    draw = random.Random(5)
+    texts = []
+    for i in range(5000):
+        words = list(base)
+        words[draw.randrange(60)] = f"w{i}"
+        texts.append(" ".join(words))
+    texts += [prose(50, 1000 + i) for i in range(200)]
+    kept = [r["doc_id"] for r in simhash.deduplicated(documents(spark, texts)).collect()]
+    # One change touches at most 5 of 56 shingles, so any two copies share over two thirds of
+    # them, and each is similar to the many that are changed nearby.
+    assert sorted(kept) == [0, *range(5000, 5200)]
