@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rosterloom.llm.common import components, read, screen, slices
-from rosterloom.session import cut_lineage
+from rosterloom.session import cut_lineage, discard
 
 SEED = 42
 TILE = 256
@@ -357,6 +357,8 @@ STAGE_WORDS = 5
 SIMILARITY = 0.8
 #: Members of a group that one cell compares with as many others, and shingles at once.
 PART, COLUMNS = 256, 20_000
+#: The same for bitmaps, which are smaller, and rows compared at once.
+WIDE_PART, ROWS = 1024, 32
 #: Shingles are counted by their top bits, in so many counters, which travel in chunks.
 COUNTER_BITS, CHUNK_BITS = 20, 14
 
@@ -520,16 +522,17 @@ def proposed_groups(texts: DataFrame, words: int = STAGE_WORDS,
                     least: float = SIMILARITY) -> DataFrame:
     """(node, root) of groups that hold every pair of similar texts; ``texts`` has key and text.
 
+    Groups by shared shingles are cut down to what sizes and bitmaps of the sets allow.
     Texts that share a shingle of their prefixes form a bucket.  Sorted by the sizes of their sets,
     each is tied to the one before, unless that is too small to be similar; then none before it
     is similar either.
     """
     ranks = texts.sparkSession.sparkContext.broadcast(_commonness(texts, words))
 
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies inside a task enter once
         for part in slices(batches, "text", SLICE_BYTES):
-            nodes, sizes, first = [], [], []
+            nodes, sizes, first, bits = [], [], [], []
             for node, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 if node not in seen:
                     seen.add(node)
@@ -537,22 +540,125 @@ def proposed_groups(texts: DataFrame, words: int = STAGE_WORDS,
                     nodes.append(node)
                     sizes.append(len(hashes))
                     first.append(prefix(hashes, ranks.value, least))
+                    bits.append(parity(hashes).tobytes())
             if nodes:
-                lengths = [len(x) for x in first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(first)),
-                     pa.array(np.repeat(np.array(nodes, np.int64), lengths)),
-                     pa.array(np.repeat(np.array(sizes, np.int32), lengths))],
-                    ["shingle", "node", "size"])
+                    [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
+                     pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                    ["node", "size", "prefix", "bits"])
 
-    laid = texts.select("key", "text").mapInArrow(
-        entries, "shingle bigint, node bigint, size int")
+    # Each text is read and cut into shingles once; what follows reads this table.
+    described = cut_lineage(texts.select("key", "text").mapInArrow(
+        describe, "node bigint, size int, prefix array<bigint>, bits binary"))
     order = Window.partitionBy("shingle").orderBy("size", "node")
-    tied = (laid.select("node", F.lag("node").over(order).alias("before"), "size",
-                        F.lag("size").over(order).alias("smaller"))
+    tied = (described.select(F.explode("prefix").alias("shingle"), "node", "size")
+            .select("node", F.lag("node").over(order).alias("before"), "size",
+                    F.lag("size").over(order).alias("smaller"))
             .where((F.col("node") != F.col("before"))
                    & (F.col("smaller") >= F.col("size") * least - 1e-6)))
-    return components(tied.select(F.col("node").alias("a"), F.col("before").alias("b")))
+    loose = cut_lineage(components(tied.select(F.col("node").alias("a"),
+                                               F.col("before").alias("b"))))
+    parts = loose.groupBy("root").agg(
+        F.ceil(F.count("*") / F.lit(WIDE_PART)).cast("int").alias("parts"))
+    members = loose.join(parts, "root").join(
+        described.select("node", "size", "bits"), "node").dropDuplicates(["node", "bits"])
+    near = cut_lineage(components(_near(members, least)))
+    discard(described, loose)
+    return near
+
+
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """A bitmap of a set: each hash flips one bit.  Twice as many bits as hashes, a power of two.
+
+    Sets that differ in d hashes have bitmaps that differ in d bits at most.  Folding a bitmap's
+    halves onto each other gives that of half the width.
+    """
+    width = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    at = (hashes.view(np.uint64) & np.uint64(width - 1)).astype(np.int64)
+    flipped = np.bincount(at, minlength=width).astype(np.uint8) & 1
+    return np.packbits(flipped, bitorder="little").view(np.uint64)
+
+
+def _fold(bits: np.ndarray, words: int) -> np.ndarray:
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def _close(sizes: np.ndarray, bits: list[np.ndarray], low: np.ndarray, own: bool,
+           least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose sizes and bitmaps allow a Jaccard similarity of ``least``.
+
+    Such sets differ in (1 - least) / (1 + least) of their sizes' sum at most, and so do bitmaps.
+    """
+    order = np.argsort(sizes, kind="stable")
+    sizes, low = sizes[order], low[order]
+    bits = [bits[i] for i in order.tolist()]
+    share = (1 - least) / (1 + least)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for at in range(0, len(sizes), ROWS):
+        end = min(at + ROWS, len(sizes))
+        # Larger ones only: each pair is met from its smaller side.
+        upto = int(np.searchsorted(sizes, sizes[end - 1] / least + 1e-6, side="right"))
+        words = len(bits[at])  # the narrowest of all that follow
+        a = _fold_all(bits[at:end], words)
+        b = _fold_all(bits[at:upto], words)
+        most = share * (sizes[at:end, None] + sizes[None, at:upto]) + 1e-6
+        distance = np.zeros((end - at, upto - at), np.int32)
+        for w in range(words):
+            distance += np.bitwise_count(a[:, w, None] ^ b[None, :, w])
+        linked = (distance <= most) & (np.arange(at, upto)[None, :] > np.arange(at, end)[:, None])
+        if not own:
+            linked &= low[at:end, None] != low[None, at:upto]
+        x, y = np.nonzero(linked)
+        found.append((order[x + at], order[y + at]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _fold_all(bits: list[np.ndarray], words: int) -> np.ndarray:
+    return np.concatenate([_fold(x[None, :], words) for x in bits])
+
+
+def _near(members: DataFrame, least: float) -> DataFrame:
+    """Stars (a, b) of the nodes that sizes and bitmaps allow to be similar, within each group.
+
+    ``members`` has root, parts, node, size and bits.  Bitmaps are a sixteenth of the sets or less,
+    so every two parts of a large group can meet.
+    """
+    cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
+        F.least(F.col("part"), j).alias("i"), F.greatest(F.col("part"), j).alias("j")))
+    laid = (members.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+            .withColumn("cell", F.explode(cells))
+            .select(F.xxhash64("root", "cell").alias("key"), "node",
+                    (F.col("part") == F.col("cell.i")).alias("low"),
+                    (F.col("cell.i") == F.col("cell.j")).alias("own"), "size", "bits")
+            .repartition("key").sortWithinPartitions("key"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def star(rows: list) -> Iterator[tuple]:
+            if len(rows) > 1:
+                _, nodes, low, own, sizes, bits = zip(*rows)
+                label = _least_labels(len(rows), *_close(
+                    np.array(sizes), [np.frombuffer(x, np.uint64) for x in bits], np.array(low),
+                    own[0], least))
+                for i in np.nonzero(label != np.arange(len(rows)))[0].tolist():
+                    yield nodes[i], nodes[label[i]]
+
+        rows: list[tuple] = []
+        found: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if rows and row[0] != rows[0][0]:
+                    found += star(rows)
+                    rows = []
+                rows.append(row)
+        found += star(rows)  # no more than the rows of a task
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)],
+                                             ["a", "b"])
+
+    return laid.mapInArrow(run, "a bigint, b bigint")
 
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
@@ -573,10 +679,10 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     texts = cut_lineage(marked.groupBy(F.col("__digest").alias("node")).agg(
         F.min(order).alias("best"), F.min("__short").alias("short"), F.count("*").alias("n")))
     # Texts are grouped by a short key; if two ever share one, they are told apart below.
-    groups = proposed_groups(marked.select(F.col("__short").alias("key"),
+    near = proposed_groups(marked.select(F.col("__short").alias("key"),
                                            F.col(text).alias("text")), STAGE_WORDS, least)
     candidates = cut_lineage(
-        texts.join(groups.toDF("short", "root"), "short")
+        texts.join(near.toDF("short", "root"), "short")
         .select("node", "root", "short", F.col("best.key").alias("key")))
     # Sizes of groups are counted without the texts, so each set of shingles moves only once.
     parts = candidates.groupBy("root").agg(

@@ -155,3 +155,24 @@ def test_dedup_of_a_large_group_of_near_copies(spark):
     # One change touches at most 5 of 56 shingles, so any two copies share over two thirds of
     # them, and each is similar to the many that are changed nearby.
     assert sorted(kept) == [0, *range(5000, 5200)]
+
+
+def test_bitmaps_never_part_similar_sets():
+    draw = random.Random(8)
+    sets = []
+    for n in (1, 3, 20, 31, 33, 60, 64, 70, 300, 520, 700):
+        base = np.array([draw.getrandbits(64) - 2 ** 63 for _ in range(n)], np.int64)
+        for change in (0, 0.02, 0.1, 0.11, 0.3, 0.9):
+            own = base.copy()
+            own[:int(n * change)] = [draw.getrandbits(63) for _ in range(int(n * change))]
+            sets += [own, own[:int(n * 0.85) or 1]]
+    low = np.array([i % 2 == 0 for i in range(len(sets))])
+    bits = [simhash.parity(s) for s in sets]
+    for own in (True, False):
+        near = set(map(frozenset, zip(*simhash._close(
+            np.array([len(s) for s in sets]), bits, low, own, 0.8))))
+        similar = {frozenset((a, b)) for a in range(len(sets)) for b in range(a)
+                   if (own or low[a] != low[b])
+                   and len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(
+                       np.union1d(sets[a], sets[b])) - 1e-9}
+        assert similar <= near and len(near) < 2 * len(similar)
