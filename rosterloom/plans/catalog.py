@@ -23,7 +23,7 @@ from rosterloom.plans import analytics, derived, pipeline
 from rosterloom.plans import oracle as O
 from rosterloom.plans.workspace import Workspace
 from rosterloom.session import cut_lineage, scratch_path
-from rosterloom.sources import landing, store
+from rosterloom.sources import landing, splits, store
 from rosterloom.streaming import jobs
 from rosterloom.tables import conform_schema, stamp_version
 
@@ -1102,13 +1102,16 @@ def _(w: Workspace) -> DataFrame:
     return landed(w).select("batch_id", (F.col("length") > 0).alias("filled"))
 
 
-@query("file_profile", """SELECT batch_id, CASE layout WHEN 3 THEN 'utf-16' WHEN 2 THEN
+_FILE_PROFILE = """SELECT batch_id, CASE layout WHEN 3 THEN 'utf-16' WHEN 2 THEN
        CASE WHEN accents THEN 'cp1252' ELSE 'utf-8' END ELSE 'utf-8' END AS encoding,
        CASE layout WHEN 0 THEN ',' WHEN 1 THEN ';' WHEN 2 THEN '|' ELSE chr(9) END AS delimiter,
        CASE WHEN layout = 0 THEN 0 WHEN layout = 3 OR layout = 2 AND accents THEN 2 ELSE 1 END::bigint
        AS warnings, cast(NULL AS varchar) AS problem FROM (SELECT batch_id,
        cast(right(batch_id, 2) AS int) % 4 AS layout, bool_or(first_name <> '' AND regexp_matches(concat(
-       first_name, last_name), '[^\\x00-\\x7F]')) AS accents FROM registrants GROUP BY batch_id) AS x""")
+       first_name, last_name), '[^\\x00-\\x7F]')) AS accents FROM registrants GROUP BY batch_id) AS x"""
+
+
+@query("file_profile", _FILE_PROFILE)
 def _(w: Workspace) -> DataFrame:
     return landing.file_profile(landed(w)).select(
         "batch_id", "encoding", "delimiter", F.size("warnings").alias("warnings"), "problem")
@@ -1129,6 +1132,21 @@ def _(w: Workspace) -> DataFrame:
     return landing.csv_rows(mapped).select("batch_id", "row_number", *V.INPUT_COLUMNS)
 
 
+def by_splits(w: Workspace) -> tuple[DataFrame, DataFrame]:
+    return splits.registrants_by_splits(w.spark, landed_path(w))
+
+
+@query("file_profile_by_splits", _FILE_PROFILE)
+def _(w: Workspace) -> DataFrame:
+    return by_splits(w)[0].select(batch_of_path().alias("batch_id"), "encoding", "delimiter",
+                                  F.size("warnings").alias("warnings"), "problem")
+
+
+@query("csv_rows_by_splits", "SELECT * FROM file_rows WHERE last_name <> ''", file_rows=_FILE_ROWS)
+def _(w: Workspace) -> DataFrame:
+    return by_splits(w)[1].select(batch_of_path().alias("batch_id"), "row_number", *V.INPUT_COLUMNS)
+
+
 @query("row_numbering", "SELECT batch_id, row_number FROM file_rows WHERE last_name <> ''",
        file_rows=_FILE_ROWS)
 def _(w: Workspace) -> DataFrame:

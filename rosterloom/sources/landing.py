@@ -1,16 +1,17 @@
 """Landed CSV files: pick up, profile, split, map headers, number rows.
 
 Files differ in encoding, delimiter and header, so one ``spark.read.csv`` cannot read them
-together, and a read per layout would loop on the driver.  A landed file is small (the size
-guard turns larger ones away before their bytes are read), so each is handled as one row:
-bytes are judged and decoded by native expressions, the standard CSV reader splits the text
-in an Arrow batch, and from there on everything is native again, without any shuffle.
+together, and a read per layout would loop on the driver.  Most landed files are small, so here each
+is handled as one row: bytes are judged and decoded by native expressions, the standard CSV
+reader splits the text in an Arrow batch, and from there on everything is native again, without
+any shuffle.  :mod:`splits` reads files of any size in parts and gives the same rows.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import sys
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,15 +55,44 @@ def header_line(text: Column) -> Column:
     return F.regexp_extract(text, rf"[^{_LINE_ENDS}]*[^{WHITE}][^{_LINE_ENDS}]*", 0)
 
 
+def too_big(limits: GuardLimits) -> Column:
+    """Why a file is turned away by its length, where a limit is asked for."""
+    size = F.col("length")
+    if limits.max_input_bytes is None:
+        return F.lit(None).cast("string")
+    return F.when(size > limits.max_input_bytes, F.concat(
+        F.lit("input is "), F.format_number(size, 0),
+        F.lit(f" bytes, above the {limits.max_input_bytes:,} byte limit; split the file")))
+
+
+def nul_problem(has_nul: Column) -> Column:
+    return F.when(has_nul, "input contains NUL bytes; this is not a text CSV file")
+
+
+def western(content: Column) -> Column:
+    """Bytes as Windows-1252.  Latin-1 reads any byte and differs in 32 characters only."""
+    high = "".join(chr(c) for c in range(0x80, 0xA0))
+    return F.translate(F.decode(content, "ISO-8859-1"), high, V.CP1252_HIGH)
+
+
+def notes_of(encoding: str, byte: str, offset: str, delimiter: str) -> Column:
+    """Warnings about encoding (with the first byte that is no UTF-8) and delimiter."""
+    encoding_note = (F.when(F.col(encoding) == "utf-16",
+                            "encoding: UTF-16 file; decoded from its BOM")
+                     .when(F.col(encoding) == "cp1252", F.concat(
+                         F.lit("encoding: not valid UTF-8 (byte 0x"), F.col(byte),
+                         F.lit(" at offset "), F.col(offset).cast("string"),
+                         F.lit("); decoded as Windows-1252, check accented names"))))
+    shown = F.when(F.col(delimiter) == "\t", "\\t").otherwise(F.col(delimiter))
+    delimiter_note = F.when(F.col(delimiter) != ",", F.concat(
+        F.lit("delimiter: '"), shown, F.lit("' detected instead of ','")))
+    return F.array_compact(F.array(encoding_note, delimiter_note))
+
+
 def file_profile(files: DataFrame, limits: GuardLimits = LIMITS) -> DataFrame:
     """Encoding, text, delimiter, warnings and the reason a file is no CSV, if it is none."""
-    content, size = F.col("content"), F.col("length")
-    too_big = F.lit(None).cast("string")
-    if limits.max_input_bytes is not None:
-        too_big = F.when(size > limits.max_input_bytes, F.concat(
-            F.lit("input is "), F.format_number(size, 0),
-            F.lit(f" bytes, above the {limits.max_input_bytes:,} byte limit; split the file")))
-    fits = files.withColumn("too_big", too_big).withColumn(
+    content = F.col("content")
+    fits = files.withColumn("too_big", too_big(limits)).withColumn(
         "content", F.when(F.col("too_big").isNull(), content))
     plain = F.col("content").cast("string")
     bom8 = F.substring("content", 1, 3) == F.unhex(F.lit("EFBBBF"))
@@ -70,43 +100,31 @@ def file_profile(files: DataFrame, limits: GuardLimits = LIMITS) -> DataFrame:
     encoding = (F.when(bom8, "utf-8-sig").when(bom16, "utf-16")
                 .when(F.is_valid_utf8(plain), "utf-8").otherwise("cp1252"))
     typed = fits.withColumn("encoding", F.when(F.col("content").isNotNull(), encoding))
-    # Latin-1 reads any byte; the code page differs from it in 32 characters only.
-    high = "".join(chr(c) for c in range(0x80, 0xA0))
-    western = F.translate(F.decode("content", "ISO-8859-1"), high, V.CP1252_HIGH)
     text = (F.when(F.col("encoding") == "utf-8-sig",
                    F.substring("content", 4, 2_000_000_000).cast("string"))
             .when(F.col("encoding") == "utf-16", F.decode("content", "UTF-16"))
-            .when(F.col("encoding") == "utf-8", plain).otherwise(western))
+            .when(F.col("encoding") == "utf-8", plain).otherwise(western(F.col("content"))))
     # Genuine replacement characters are masked by bytes of the same length first.
     masked = F.replace(plain, F.lit("�"), F.lit("???"))
     before = F.substring_index(F.make_valid_utf8(masked), "�", 1)
     offset = F.octet_length(before)
     byte = F.lower(F.hex(F.substring(F.col("content"), offset + 1, F.lit(1))))
-    encoding_note = (F.when(F.col("encoding") == "utf-16",
-                            "encoding: UTF-16 file; decoded from its BOM")
-                     .when(F.col("encoding") == "cp1252", F.concat(
-                         F.lit("encoding: not valid UTF-8 (byte 0x"), byte, F.lit(" at offset "),
-                         offset.cast("string"),
-                         F.lit("); decoded as Windows-1252, check accented names"))))
-    read = (typed.withColumn("encoding_note", encoding_note).withColumn("text", text)
+    read = (typed.withColumn("_byte", byte).withColumn("_offset", offset).withColumn("text", text)
             .withColumn("has_nul", F.contains("text", F.lit("\x00")))
             .withColumn("text", F.regexp_replace("text", r"\A[\r\n]+", ""))
             .withColumn("delimiter", sniff_delimiter(header_line(F.col("text")))))
-    shown = F.when(F.col("delimiter") == "\t", "\\t").otherwise(F.col("delimiter"))
-    delimiter_note = F.when(F.col("delimiter") != ",", F.concat(
-        F.lit("delimiter: '"), shown, F.lit("' detected instead of ','")))
-    problem = F.coalesce("too_big", F.when(
-        F.col("has_nul"), "input contains NUL bytes; this is not a text CSV file"))
+    problem = F.coalesce("too_big", nul_problem(F.col("has_nul")))
     kept = [c for c in files.columns if c != "content"]
     return read.select(
         *kept, "encoding", F.when(problem.isNull(), F.col("text")).alias("text"), "delimiter",
-        F.array_compact(F.array("encoding_note", delimiter_note)).alias("warnings"),
+        notes_of("encoding", "_byte", "_offset", "delimiter").alias("warnings"),
         problem.alias("problem"))
 
 
 @F.pandas_udf(_SPLIT)
 def _split_csv(text: pd.Series, delimiter: pd.Series) -> pd.DataFrame:
     """Header and records of each CSV text, or why it is malformed."""
+    csv.field_size_limit(sys.maxsize)
     rows = []
     for body, mark in zip(text, delimiter, strict=True):
         header, records, lines, error, count = None, [], [], None, 0
@@ -159,8 +177,13 @@ def header_mapping(profile: DataFrame) -> DataFrame:
     problems of the header.  Row-local: no join against an alias table.
     """
     split = (profile.withColumn("csv", _split_csv("text", "delimiter"))
-             .select("*", "csv.header", "csv.records", "csv.lines", "csv.error").drop("csv", "text")
-             .withColumn("canonical", canonical_headers(F.col("header"))))
+             .select("*", "csv.header", "csv.records", "csv.lines", "csv.error").drop("csv", "text"))
+    return claimed(split)
+
+
+def claimed(split: DataFrame) -> DataFrame:
+    """Canonical columns of files whose header cells and CSV error are known; drops the error."""
+    split = split.withColumn("canonical", canonical_headers(F.col("header")))
     cells = F.arrays_zip(F.col("header"), F.col("canonical"),
                          F.sequence(F.lit(1), F.size("header")).alias("at"))
     known = F.array(*[F.lit(c) for c in V.INPUT_COLUMNS])
@@ -205,13 +228,18 @@ def csv_rows(mapped: DataFrame) -> DataFrame:
         *kept, "canonical", F.inline(F.arrays_zip(F.col("lines").alias("row_number"),
                                                   F.col("records").alias("cells"))))
 
+    return named_cells(sound, kept)
+
+
+def named_cells(rows: DataFrame, kept: list[str]) -> DataFrame:
+    """The seven raw columns out of ``cells``, by the ``canonical`` header of each row's file."""
     def cell(name: str) -> Column:
         at = F.array_position("canonical", name)
         return F.when(at > 0, strip_space(F.coalesce(
             F.get("cells", (at - 1).cast("int")), F.lit("")))).otherwise("")
 
-    return sound.select(*kept, F.col("row_number").cast("int").alias("row_number"),
-                        *[cell(n).alias(n) for n in V.INPUT_COLUMNS])
+    return rows.select(*kept, F.col("row_number").cast("int").alias("row_number"),
+                       *[cell(n).alias(n) for n in V.INPUT_COLUMNS])
 
 
 def row_numbering(rows: DataFrame, limits: GuardLimits = LIMITS) -> DataFrame:
@@ -230,9 +258,15 @@ def registrants_of(files: DataFrame, limits: GuardLimits = LIMITS) -> tuple[Data
     """(file profile with header facts, numbered rows) of landed files."""
     mapped = header_mapping(file_profile(files, limits))
     rows = row_numbering(csv_rows(mapped), limits)
+    mapped, rows = capped(mapped, rows, limits)
+    return mapped.drop("records", "lines"), rows
+
+
+def capped(mapped: DataFrame, rows: DataFrame, limits: GuardLimits) -> tuple[DataFrame, DataFrame]:
+    """Turns files away that have more rows than asked for."""
     if limits.max_rows is not None:
-        capped = over_row_cap(rows, limits.max_rows).withColumnRenamed("problem", "capped")
-        mapped = (mapped.join(capped, "path", "left")
+        over = over_row_cap(rows, limits.max_rows).withColumnRenamed("problem", "capped")
+        mapped = (mapped.join(over, "path", "left")
                   .withColumn("problem", F.coalesce("problem", "capped")).drop("capped"))
         rows = rows.join(over_row_cap(rows, limits.max_rows), "path", "left_anti")
-    return mapped.drop("records", "lines"), rows
+    return mapped, rows
