@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rosterloom.operators.breaker import STREAM_OUTPUT, STREAM_STATE, advance
+from rosterloom.operators import breaker
 from rosterloom.operators.validation import CLAIM_DAYS, first_claims
 from rosterloom.session import cut_lineage
 from rosterloom.sources.landing import FILE_SCHEMA
@@ -29,6 +29,7 @@ def upload_stream(spark: SparkSession, path: str, checkpoint: str,
             .trigger(availableNow=True).start())
 
 
+BREAKER_STATES = "provider string, failures int, until long, epoch long"
 CLAIMS = "batch_id string, execution_id string, triggered_at timestamp, slice long, epoch long"
 
 
@@ -63,19 +64,33 @@ def first_deliveries(triggers: DataFrame, target: str, checkpoint: str,
             .trigger(availableNow=True).start())
 
 
-def breaker_stream(calls: DataFrame, threshold: int = 3, cooldown_seconds: int = 300) -> DataFrame:
-    """The circuit breaker as continuous state per provider.
+def breaker_stream(calls: DataFrame, target: str, checkpoint: str, threshold: int = 3,
+                   cooldown_seconds: int = 300) -> StreamingQuery:
+    """The circuit breaker over calls that arrive in time order, micro-batch by micro-batch.
 
-    Only a count and a moment are kept; calls flow through in micro-batch order.
+    Below ``target`` a micro-batch leaves its decisions and each provider's state behind it, by
+    its number.  The next one goes on from there: its calls are cut into slices that are judged
+    side by side, so no provider's calls meet in one task.  A replayed micro-batch starts from the
+    same states and overwrites its own rows.
     """
-    narrow = calls.select("provider", F.col("call_id").cast("long").alias("call_id"),
-                          F.unix_micros("requested_at").alias("at"),
-                          F.coalesce("failed", F.lit(False)).alias("failed"))
-    decided = narrow.groupBy("provider").applyInPandasWithState(
-        advance(max(1, threshold), cooldown_seconds), STREAM_OUTPUT, STREAM_STATE, "append",
-        "NoTimeout")
-    return decided.select("provider", "call_id", F.timestamp_micros("at").alias("requested_at"),
-                          "failed", "skipped", F.timestamp_micros("open_until").alias("open_until"))
+    spark = calls.sparkSession
+
+    def take(batch: DataFrame, epoch: int) -> None:
+        rows = cut_lineage(batch)
+        (spark.createDataFrame([], BREAKER_STATES).write.mode("append").partitionBy("epoch")
+         .parquet(f"{target}/states"))
+        earlier = spark.read.schema(BREAKER_STATES).parquet(f"{target}/states").filter(
+            F.col("epoch") < epoch)
+        last = earlier.agg(F.max("epoch")).first()[0]
+        entry = None if last is None else cut_lineage(
+            earlier.filter(F.col("epoch") == last).drop("epoch"))
+        decided, states = breaker.continued(rows, entry, threshold, cooldown_seconds)
+        decided.write.mode("overwrite").parquet(f"{target}/decisions/epoch={epoch}")
+        # States last: a micro-batch without them has not happened.
+        states.write.mode("overwrite").parquet(f"{target}/states/epoch={epoch}")
+
+    return (calls.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def credit_totals_stream(calls: DataFrame) -> DataFrame:
