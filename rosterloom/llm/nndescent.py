@@ -8,9 +8,13 @@
    neighbour's neighbour is likely a neighbour.  A class whose list is saturated, which
    means that its last neighbour still is a link, gets a list twice as long.
 4. The audit compares a fixed set of classes with all others of their label, in blocks, and
-   measures which share of their links the graph holds.  Below ``RECALL`` there is another turn,
-   and after ``TURNS`` another start from new hyperplanes, which adds to the graph.
-5. Edges at or above the threshold are links; they join components.  Within components, classes
+   measures which share of their links the graph holds, in the label where it holds least.  Below
+   ``RECALL`` there is another turn, up to ``TURNS``.
+5. Lists that are full of a class's own component hide links to others.  So the descent goes on
+   between components: from new hyperplanes, with lists that only take classes of other
+   components.  Links found join components, and it goes on while any are found or the
+   audit asks for more.  A recall below ``LEAST_RECALL`` after ``AUDITS`` fruitless rounds is an error.
+6. Edges at or above the threshold are links; they join components.  Within components, classes
    meet once more in tiles, so that saturated lists lose nothing and link counts are exact.
    Tiles report counts, not pairs.
 
@@ -36,7 +40,7 @@ LIST, TURNS, STARTS = 8, 3, 8
 LEAF = 256
 PLANES = 24
 TILE = 512
-RECALL, AUDITED, AUDITS = 0.99, 1000, 3
+RECALL, LEAST_RECALL, AUDITED, AUDITS = 0.99, 0.9, 1000, 3
 EDGE = "a bigint, b bigint, sim double"
 
 
@@ -56,10 +60,13 @@ def _edges(a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
 
 def start(classes: DataFrame, length: int = LIST, first_seed: int = 0,
           starts: int = STARTS) -> DataFrame:
-    """Edges (a, b, sim) of the nearest classes in leaves of random projections."""
+    """Edges (a, b, sim) of the nearest classes in leaves of random projections.
+
+    ``classes`` has label, id, root and vector; classes of one root make no edge.
+    """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            label, ids, vectors = batch.column(0), batch.column(1), batch.column(2)
+            label, ids, roots, vectors = batch.columns
             sizes = pa.compute.list_value_length(vectors).to_numpy(zero_copy_only=False)
             for dim in np.unique(sizes).tolist():
                 rows = pa.array(np.nonzero(sizes == dim)[0])
@@ -73,28 +80,29 @@ def start(classes: DataFrame, length: int = LIST, first_seed: int = 0,
                     yield pa.RecordBatch.from_arrays(
                         [label.take(rows), pa.array(np.full(n, dim, np.int32)),
                          pa.array(np.full(n, s, np.int32)), pa.array(code),
-                         ids.take(rows), own],
-                        ["label", "dim", "start", "code", "id", "vector"])
+                         ids.take(rows), roots.take(rows), own],
+                        ["label", "dim", "start", "code", "id", "root", "vector"])
 
     kind = classes.schema["vector"].dataType.simpleString()
-    signed = classes.select("label", "id", "vector").mapInArrow(
+    signed = classes.select("label", "id", "root", "vector").mapInArrow(
         sign, f"label {classes.schema['label'].dataType.simpleString()}, dim int, start int, "
-              f"code bigint, id bigint, vector {kind}")
+              f"code bigint, id bigint, root bigint, vector {kind}")
     keys = ["start", "label", "dim", "code"]
     # By ranges, not by hash: a large label is cut wherever a task has enough of it.
     laid = signed.repartitionByRange(*keys).sortWithinPartitions(*keys, "id").select(
-        F.xxhash64("start", "label", "dim").alias("block"), "id", "vector")
+        F.xxhash64("start", "label", "dim").alias("block"), "id", "root", "vector")
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (ids,), vectors in _runs(batches, LEAF):
+        for (ids, roots), vectors in _runs(batches, LEAF):
             if len(ids) < 2:
                 continue
             sims = vectors @ vectors.T
-            np.fill_diagonal(sims, -2)
+            sims[roots[:, None] == roots[None, :]] = -2
             k = min(length, len(ids) - 1)
             near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-            a = np.repeat(np.arange(len(ids)), k)
-            yield _edges(ids[a], ids[near.ravel()], sims[a, near.ravel()])
+            a, b = np.repeat(np.arange(len(ids)), k), near.ravel()
+            a, b = a[sims[a, b] > -2], b[sims[a, b] > -2]
+            yield _edges(ids[a], ids[b], sims[a, b])
 
     return laid.mapInArrow(leaves, EDGE)
 
@@ -148,23 +156,25 @@ def merged(edges: DataFrame, lengths: DataFrame | None, length: int) -> DataFram
 
 def joined(graph: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     """New edges among the neighbours of every class, where they improve a list."""
-    last = graph.groupBy("a").agg(F.min("sim").alias("worst"))
+    lists = graph.groupBy("a").agg(F.min("sim").alias("worst"), F.max("length").alias("length"))
     both = graph.select(F.col("a").alias("at"), F.col("b").alias("id"), "sim").unionByName(
         graph.select(F.col("b").alias("at"), F.col("a").alias("id"), "sim"))
     order = Window.partitionBy("at").orderBy(F.desc("sim"), "id")
     # Two lists' length of neighbours for each class; later turns reach the others.
     around = (both.distinct().withColumn("place", F.row_number().over(order))
-              .where(F.col("place") <= 2 * length)
-              .join(last.withColumnRenamed("a", "id"), "id", "left")
-              .join(classes.select("id", "vector"), "id"))
-    laid = (around.select("at", "id", F.coalesce("worst", F.lit(-2.0)).alias("worst"), "vector")
+              .join(lists.select(F.col("a").alias("at"), "length"), "at", "left")
+              .where(F.col("place") <= 2 * F.coalesce("length", F.lit(length))).drop("length")
+              .join(lists.select(F.col("a").alias("id"), "worst"), "id", "left")
+              .join(classes.select("id", "root", "vector"), "id"))
+    laid = (around.select("at", "id", F.coalesce("worst", F.lit(-2.0)).alias("worst"), "root",
+                          "vector")
             .repartition("at").sortWithinPartitions("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[list[np.ndarray]] = []
-        for (ids, worst), vectors in _runs(batches):
+        for (ids, worst, roots), vectors in _runs(batches):
             sims = vectors @ vectors.T
-            a, b = np.nonzero((sims > worst[:, None]) & (ids[:, None] != ids[None, :]))
+            a, b = np.nonzero((sims > worst[:, None]) & (roots[:, None] != roots[None, :]))
             found.append([ids[a], ids[b], sims[a, b]])
             if len(found) == 1000:
                 yield _edges(*map(np.concatenate, zip(*found)))
@@ -191,7 +201,7 @@ def refine(classes: DataFrame, graph: DataFrame, threshold: float = THRESHOLD,
 def audit(classes: DataFrame, roots: DataFrame, threshold: float = THRESHOLD,
           audited: int = AUDITED) -> float:
     """The share of links whose ends share a component (node, root), as the mean over those of
-    a fixed set of classes that have links.
+    a fixed set of classes that have links, in the label where it is least.
 
     Links inside a component are all counted later, so these are the links that are found.
     """
@@ -223,8 +233,22 @@ def audit(classes: DataFrame, roots: DataFrame, threshold: float = THRESHOLD,
     held = (true.join(roots.toDF("a", "root_a"), "a", "left")
             .join(roots.toDF("b", "root_b"), "b", "left").groupBy("a").agg(F.avg(
                 F.when(F.col("root_a") == F.col("root_b"), 1.0).otherwise(0.0)).alias("held")))
-    share = held.agg(F.avg("held")).first()[0]
-    return 1.0 if share is None else share
+    shares: dict = {}
+    named = {p["id"]: p["label"] for p in probes}
+    for row in held.collect():  # one row for each audited class
+        shares.setdefault(named[row["a"]], []).append(row["held"])
+    return min((sum(x) / len(x) for x in shares.values()), default=1.0)
+
+
+def between(classes: DataFrame, roots: DataFrame, seed: int, threshold: float,
+            length: int) -> DataFrame:
+    """Links (a, b) between classes of different components (node, root), by one round of descent
+    whose lists take no class of the own component."""
+    own = cut_lineage(classes.drop("root").join(roots.withColumnRenamed("node", "id"), "id", "left")
+                      .withColumn("root", F.coalesce("root", "id")))
+    graph = cut_lineage(merged(start(own, length, first_seed=seed), None, length))
+    near = graph.select("a", "b", "sim").unionByName(joined(graph, own, length))
+    return cut_lineage(near.where(F.col("sim") >= threshold).select("a", "b").distinct())
 
 
 # ------------------------------------------------------------------ links
@@ -287,21 +311,31 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str =
         F.min("vec_id").alias("least"), F.count("*").alias("n"),
         F.first("vector").alias("vector")).withColumn("id", F.monotonically_increasing_id()))
 
-    graph = None
-    for attempt in range(audits):
-        edges = start(classes, length, first_seed=attempt * STARTS)
-        if graph is not None:
-            edges = graph.select("a", "b", "sim").unionByName(edges)
-        graph = cut_lineage(merged(edges, None, length))
-        for _ in range(turns):
-            graph = refine(classes, graph, threshold, length)
-            roots = cut_lineage(components(
-                graph.where(F.col("sim") >= threshold).select("a", "b")))
-            found = audit(classes, roots, threshold)
-            if found >= recall:
-                break
+    classes = classes.withColumn("root", F.col("id"))
+    graph = cut_lineage(merged(start(classes, length), None, length))
+    for _ in range(turns):
+        graph = refine(classes, graph, threshold, length)
+        roots = cut_lineage(components(
+            graph.where(F.col("sim") >= threshold).select("a", "b")))
+        found = audit(classes, roots, threshold)
         if found >= recall:
             break
+    idle, seed = 0, STARTS
+    while idle < audits:
+        links = between(classes, roots, seed, threshold, length)
+        seed += STARTS
+        if links.isEmpty():
+            if found >= recall:
+                break
+            idle += 1
+            continue
+        # Components only grow, so this ends.
+        roots = cut_lineage(components(links.unionByName(
+            roots.where("node <> root").toDF("a", "b"))))
+        found = audit(classes, roots, threshold)
+    if found < LEAST_RECALL:
+        raise RuntimeError(f"only {found:.3f} of the audited links were found")
+    classes = classes.drop("root")
     inside = classes.join(roots.withColumnRenamed("node", "id"), "id")
     linked = counted(inside.select("root", "id", "n", "vector"), threshold)
     least = inside.groupBy("root").agg(F.min("least").alias("component_id"))

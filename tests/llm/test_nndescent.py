@@ -57,3 +57,30 @@ def test_audit_measures_recall(spark):
 def test_few_rows(spark, rows):
     got = nndescent.near_duplicates(vectors(spark, rows)).collect()
     assert [r["n_links"] for r in got] == [len(rows) - 1] * len(rows)
+
+
+def test_groups_whose_lists_are_full_of_their_own_members(spark):
+    """Two tight groups of one label that link only with each other, among others."""
+    draw = np.random.default_rng(1)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    one = unit(draw.standard_normal(32))
+    other = unit(draw.standard_normal(32))
+    other = unit(other - (other @ one) * one)
+    two = unit(one * np.cos(0.18) + other * np.sin(0.18))
+    rows = [*unit(one + 0.003 * draw.standard_normal((150, 32))),
+            *unit(two + 0.003 * draw.standard_normal((150, 32))),
+            *unit(draw.standard_normal((1200, 32)))]
+    sims = np.array(rows) @ np.array(rows).T
+    linked = sims[:300, :300] >= 0.98
+    # All pairs link, those inside a group by far more than those across.
+    assert linked.all() and sims[:150, :150].min() > sims[:150, 150:300].max() + 0.005
+    order = draw.permutation(len(rows))
+    vectors = spark.createDataFrame([(int(i), rows[i].tolist(), 3) for i in order],
+                                    "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in nndescent.near_duplicates(vectors).collect()}
+    assert {(got[i]["n_links"], got[i]["component_id"]) for i in range(300)} == {(299, 0)}
+    assert sum(got[i]["n_links"] for i in range(300)) // 2 == 44_850
+    assert all(got[i]["n_links"] == 0 for i in range(300, 1500))
