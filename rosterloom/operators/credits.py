@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.config import CreditLimits
-from rosterloom.operators.prefix import row_block, running_sums
+from rosterloom.operators.prefix import ordered_prefix, row_block, running_sums
 from rosterloom.session import cut_lineage
 from rosterloom.vocabulary import CALL_KINDS
 
@@ -41,10 +41,10 @@ def _closing_points(calls: DataFrame, opening: DataFrame, limits: CreditLimits)
               .withColumn("at", F.when(F.col("opening") >= F.col("ceiling"), start.cast(point))))
     for _ in ceilings:
         spent = spend_in_batches(calls, closed, limits)
-        earlier = Window.partitionBy(*MONTH, "kind").orderBy("batch_id").rowsBetween(
-            Window.unboundedPreceding, -1)
-        offsets = (spent.groupBy(*MONTH, "kind", "batch_id").agg(F.sum("spend").alias("total"))
-                   .withColumn("before", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
+        totals = spent.groupBy(*MONTH, "kind", "batch_id").agg(F.sum("spend").alias("total"))
+        offsets = (ordered_prefix(totals, [*MONTH, "kind"], ["batch_id"],
+                                  {"before": F.col("total")})
+                   .withColumn("before", F.coalesce("before", F.lit(0)))
                    .join(closed.filter(F.col("at").isNull()), [*MONTH, "kind"])
                    .withColumn("before", F.col("before") + F.col("opening"))
                    # Only the one batch per kind in which the ceiling is reached is looked at.

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosterloom.session import cut_lineage
+
 ROWS_PER_BLOCK = 65_536
 
 
@@ -49,3 +51,36 @@ def running_sums(df: DataFrame, group: Sequence[str], block: Column, order: Sequ
     return met.select(*kept, *[
         (F.coalesce(F.col(f"_l_{n}"), F.lit(0)) + F.coalesce(F.col(f"_o_{n}"), F.lit(0))).alias(n)
         for n in sums])
+
+
+def ordered_prefix(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                   values: Mapping[str, Column], combine=F.sum) -> DataFrame:
+    """Adds to each row the combination (a sum, maximum, ...) of its group's earlier rows, or null.
+
+    For groups of any size and values without natural blocks: rows are cut by ranges of group and
+    order, combined inside their task, and shifted by what the tasks before hold, of which there is
+    one small row a task and group.  ``order`` tells rows of a group apart; no nulls in either.
+    """
+    group, order = list(group), list(order)
+    named = df.withColumns({f"_v_{n}": v for n, v in values.items()})
+    laid = cut_lineage(named.repartitionByRange(*group, *order)
+                       .withColumn("_task", F.spark_partition_id()))
+    inside = (Window.partitionBy(*group, "_task").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    before = (Window.partitionBy(*group).orderBy("_task")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    tasks = (laid.groupBy(*group, "_task").agg(*[combine(f"_v_{n}").alias(f"_t_{n}") for n in values])
+             .select(*group, "_task", *[combine(f"_t_{n}").over(before).alias(f"_o_{n}")
+                                        for n in values]))
+    met = (laid.withColumns({f"_l_{n}": combine(f"_v_{n}").over(inside) for n in values})
+           .join(tasks, [*group, "_task"]))
+
+    return met.select(*df.columns, *[
+        _COMBINED[combine](F.col(f"_l_{n}"), F.col(f"_o_{n}")).alias(n) for n in values])
+
+
+def _added(a: Column, b: Column) -> Column:
+    return F.coalesce(a + b, a, b)
+
+
+_COMBINED = {F.sum: _added, F.max: F.greatest, F.min: F.least}

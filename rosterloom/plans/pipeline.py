@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rosterloom import vocabulary as V
 from rosterloom.config import CreditLimits, GuardLimits, LadderConfig
 from rosterloom.operators import breaker, credits, curate, erasure, matching, validation
+from rosterloom.operators.prefix import ordered_prefix
 from rosterloom.session import cut_lineage
 from rosterloom.sources import store
 
@@ -132,17 +133,22 @@ def cached_results(valid: DataFrame, cache: DataFrame, now: Column, people: Data
 
 
 def serial_clock(outcomes: DataFrame) -> DataFrame:
-    """Rows timed as one run calls them: batches of a day one after the other, a row a second."""
+    """Rows timed as one run calls them: batches of a day one after the other, a row a second.
+
+    A day with more rows than seconds has its rows spread evenly, so that none runs past midnight.
+    """
     batches = outcomes.groupBy("batch_date", "batch_id").agg(F.max("row_number").alias("_rows"))
-    earlier = Window.partitionBy("batch_date").orderBy("batch_id").rowsBetween(
-        Window.unboundedPreceding, -1)
-    starts = batches.select("batch_date", "batch_id", F.coalesce(
-        F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    seconds = (F.col("_start") + F.col("row_number")).cast("decimal(18,6)")
+    starts = ordered_prefix(batches, ["batch_date"], ["batch_id"], {"_start": F.col("_rows")})
+    days = batches.groupBy("batch_date").agg(F.sum("_rows").alias("_day"))
+    starts = starts.join(days, "batch_date").select(
+        "batch_date", "batch_id", "_day", F.coalesce("_start", F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("row_number")
+    micros = F.when(F.col("_day") < 86_400, place * 1_000_000).otherwise(
+        F.floor(place.cast("decimal(38,0)") * 86_400_000_000 / (F.col("_day") + 1)).cast("long"))
+    midnight = F.unix_micros(F.to_timestamp("batch_date", "yyyy-MM-dd"))
     return (outcomes.join(starts, ["batch_date", "batch_id"])
-            .withColumn("requested_at", F.to_timestamp("batch_date", "yyyy-MM-dd")
-                        + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds))
-            .drop("_start"))
+            .withColumn("requested_at", F.timestamp_micros(midnight + micros))
+            .drop("_start", "_day"))
 
 
 def require_one_order(rows: DataFrame) -> None:
@@ -155,9 +161,8 @@ def require_one_order(rows: DataFrame) -> None:
     # One row for each block of a batch; their order is checked on this small table.
     ends = blocks.groupBy("provider", "batch_id", "block").agg(
         F.min("requested_at").alias("first"), F.max("requested_at").alias("last"))
-    across = Window.partitionBy("provider").orderBy("batch_id", "block")
-    gaps = (ends.withColumn("_before", F.lag("last").over(across))
-            .filter(F.col("_before") >= F.col("first")))
+    gaps = ordered_prefix(ends, ["provider"], ["batch_id", "block"], {"_before": F.col("last")},
+                          F.max).filter(F.col("_before") >= F.col("first"))
     found = late.select("provider", "batch_id").limit(1).collect() or gaps.select(
         "provider", "batch_id").limit(1).collect()
     if found:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.config import CreditLimits, LadderConfig
 from rosterloom.operators import credits, prefix
+from rosterloom.operators.prefix import ordered_prefix
 from rosterloom.plans import pipeline
 
 CALLS = ("provider string, month string, batch_id string, row_number int, kind string, "
@@ -61,6 +62,35 @@ def test_running_sums_over_blocks(spark):
         total += r.v
 
 
+def test_prefixes_over_ranges(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 7)
+               .cast("string"))).alias("g"), F.xxhash64("id").alias("at"),
+        F.pmod(F.hash("id"), F.lit(100)).alias("v"))
+    for combine, plain in ((F.sum, sum), (F.max, max), (F.min, min)):
+        got = ordered_prefix(rows, ["g"], ["at"], {"before": F.col("v")}, combine).collect()
+        seen = {}
+        for r in sorted(got, key=lambda r: (r.g, r.at)):
+            before = seen.setdefault(r.g, [])
+            assert r.before == (plain(before) if before else None)
+            seen[r.g] = [plain([*before, r.v])]
+
+
+def test_a_day_with_more_rows_than_seconds(spark):
+    """90,000 rows on one day and 10 on the next: rows stay on their day, in order."""
+    rows = spark.range(90_010).select(
+        F.when(F.col("id") < 60_000, "b1").when(F.col("id") < 90_000, "b2").otherwise("b3")
+        .alias("batch_id"),
+        F.when(F.col("id") < 90_000, "2024-01-31").otherwise("2024-02-01").alias("batch_date"),
+        (F.when(F.col("id") < 60_000, F.col("id")).when(F.col("id") < 90_000, F.col("id") - 60_000)
+         .otherwise(F.col("id") - 90_000) + 1).cast("int").alias("row_number"),
+        F.lit("p").alias("provider"))
+    timed = pipeline.serial_clock(rows)
+    pipeline.require_one_order(timed)
+    off = timed.filter(F.to_date("requested_at") != F.to_date("batch_date")).count()
+    assert off == 0 and timed.select("requested_at").distinct().count() == 90_010
+
+
 def call_in_turn(rows, limits, ladder):
     """Cache, exhausted pools, ceilings, breaker, call: row by row."""
     cached, dry, month, batch = set(), set(), {}, {}
