@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +12,7 @@ from rosterloom import vocabulary as V
 from rosterloom.config import CreditLimits, GuardLimits, LadderConfig
 from rosterloom.operators import breaker, credits, curate, erasure, matching, validation
 from rosterloom.operators.prefix import ordered_prefix
-from rosterloom.session import cut_lineage
+from rosterloom.session import cut_lineage, discard, scratch_path
 from rosterloom.sources import store
 
 @dataclass(frozen=True)
@@ -170,43 +171,93 @@ def require_one_order(rows: DataFrame) -> None:
                          "in the order of batches and rows; see serial_clock")
 
 
-def settle_calls(outcomes: DataFrame, opening: DataFrame, settings: Settings) -> DataFrame:
+#: Rows that are settled at once at first; see :func:`settle_calls`.
+WINDOW = 1 << 20
+_PLACE = ["batch_id", "row_number"]
+_POOL = ["provider", "month", "kind"]
+
+
+@dataclass(frozen=True)
+class Settled:
+    """What settled calls leave to later ones."""
+
+    spent: DataFrame  # provider, month, kind, spent
+    dry: DataFrame  # provider, month, kind, first_402
+    paid: DataFrame  # lookup_key, payer
+    breakers: DataFrame | None  # provider, failures, until
+
+
+def _paid(decided: DataFrame) -> DataFrame:
+    """The first call of each key whose answer is kept."""
+    return (decided.filter((F.col("decision") == "call") & F.col("cacheable"))
+            .groupBy("lookup_key").agg(F.min(F.struct(*_PLACE)).alias("payer")))
+
+
+def _dry(decided: DataFrame) -> DataFrame:
+    return (decided.filter((F.col("decision") == "call") & (F.col("http_status") == 402))
+            .groupBy(*_POOL).agg(F.min(F.struct(*_PLACE)).alias("first_402")))
+
+
+def _reaching(calls: DataFrame) -> DataFrame:
+    return calls.select("provider", "call_id", "requested_at",
+                        (F.coalesce(F.col("http_status"), F.lit(599)) >= 500).alias("failed"))
+
+
+def settle_calls(outcomes: DataFrame, opening: DataFrame, settings: Settings,
+                 window: int = WINDOW, watch: Callable[[int], None] | None = None) -> DataFrame:
     """What happens to every row once cache, exhausted pools, ceilings and breaker interact.
 
     The rules feed each other row by row: a skipped call spends nothing, a deferred one never
     reaches the breaker, and only a call that was made can fill the cache.  All rules go by one
     order, that of batches and rows, which must be that of time too (checked first).  So each
-    decision depends on earlier rows alone, there is exactly one consistent set of decisions,
-    and deciding all rows at once from the previous round's decisions reaches it: if no row
-    before the first changed one changed, that row is settled for good, and the next round's
-    first change lies behind it.  Rounds therefore end by themselves; in practice each settles
-    whole months.  No provider's calls ever pass through one task.  Rows come back with
-    ``repeat`` and ``block`` for :func:`record`.
+    decision depends on earlier rows alone, and there is exactly one consistent set of decisions.
+
+    A frontier moves through the batches.  What is behind it is settled and left to later rows as
+    state: spend, dry pools, breakers, and paid keys.  The batches of the window before it are decided
+    all at once from the previous round's decisions, until nothing changes; if no row before the
+    first changed one changed, that row is settled for good, so this ends.  Rounds follow the
+    interplay of rules in the window, so it is halved (down to a batch) where they were many and
+    doubled where they were few: the rows decided in all stay a small multiple of the input.
+    No provider's calls ever pass through one task.
+
+    Rows come back with ``repeat`` and ``block`` for :func:`record`.  ``watch`` is told the rows
+    that each round decides.
     """
-    place = ["batch_id", "row_number"]
+    spark, place = outcomes.sparkSession, _PLACE
     month = F.substring("batch_date", 1, 7)
     rows = cut_lineage(outcomes.select(
         *place, "provider", month.alias("month"), F.col("call_kind").alias("kind"), "lookup_key",
         "requested_at", "http_status", "credits",
         F.col("status").isin(V.CACHEABLE_STATUSES).alias("cacheable"),
         # No two calls of a provider share a moment, so it tells them apart.
-        F.unix_micros("requested_at").alias("call_id")))
+        F.unix_micros("requested_at").alias("call_id"))
+        .repartitionByRange(*place).sortWithinPartitions(*place))
     require_one_order(rows)
-    # Optimistic start: every row is called.
-    decided = rows.withColumn("decision", F.lit("call")).withColumn(
-        "open_until", F.lit(None).cast("timestamp"))
-    settled = None
-    while True:
-        following = cut_lineage(_decide(decided, opening, settings))
-        changed = (following.join(decided.select(*place, F.col("decision").alias("before")), place)
-                   .filter(F.col("decision") != F.col("before"))
-                   .agg(F.min(F.struct(*place))).first()[0])
-        decided = following
-        if changed is None:
-            break
-        if settled is not None and tuple(changed) <= settled:
-            raise AssertionError(f"a settled call changed: {tuple(changed)}")
-        settled = tuple(changed)
+    spans = cut_lineage(ordered_prefix(
+        rows.groupBy("batch_id").agg(F.count("*").alias("n")).withColumn("all", F.lit(0)), ["all"],
+        ["batch_id"], {"before": F.col("n")}).withColumn("before", F.coalesce("before", F.lit(0))))
+    total = spans.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    path = scratch_path(spark, "settled")
+    schema = f"{rows.schema.simpleString()[7:-1]},decision:string,open_until:timestamp"
+    schema = ", ".join(x.replace(":", " ", 1) for x in schema.split(","))
+    none = spark.createDataFrame([], schema)
+    none.write.parquet(f"{path}/window=0")
+    state = Settled(opening.select(*_POOL, "spent"), _dry(none), _paid(none), None)
+    behind = number = 0
+    while behind < total:
+        first, last, count = spans.filter(
+            (F.col("before") >= behind) & (F.col("before") < behind + window)).agg(
+            F.min("batch_id"), F.max("batch_id"), F.sum("n")).first()
+        number += 1
+        target = f"{path}/window={number}"
+        rounds = _settle_window(rows.filter(F.col("batch_id").between(first, last)), state,
+                                settings, target, lambda: watch(count) if watch else None)
+        settled = spark.read.parquet(target)
+        behind += count
+        if behind < total:
+            state = _left(state, settled, spark.read.parquet(path), settings)
+        window = max(1, window // 2 if rounds > 6 else window * 2 if rounds <= 4 else window)
+    decided = spark.read.parquet(path)
 
     kind = F.col("kind")
     limits = settings.limits
@@ -229,8 +280,7 @@ def settle_calls(outcomes: DataFrame, opening: DataFrame, settings: Settings) ->
             F.lit("provider_unavailable").alias("status"),
             breaker.unavailable_message(F.col("open_until")).alias("message"),
             F.lit(None).cast("int").alias("http_status"))))
-    payers = (decided.filter((F.col("decision") == "call") & F.col("cacheable"))
-              .groupBy("lookup_key").agg(F.min(F.struct(*place)).alias("payer")))
+    payers = _paid(decided)
     refs = outcomes.select(F.struct(*place).alias("payer"), F.col("raw_ref").alias("payer_ref"))
     marks = (decided.select(*place, "lookup_key", (F.col("decision") == "cached").alias("repeat"),
                             block.alias("block"))
@@ -239,17 +289,60 @@ def settle_calls(outcomes: DataFrame, opening: DataFrame, settings: Settings) ->
     return outcomes.join(marks, place)
 
 
-def _decide(decided: DataFrame, opening: DataFrame, settings: Settings) -> DataFrame:
+def _settle_window(rows: DataFrame, state: Settled, settings: Settings, target: str,
+                   watch: Callable[[], None]) -> int:
+    """Decides the rows until no decision changes, writes them, and tells the number of rounds."""
+    # Optimistic start: every row is called.
+    decided = cut_lineage(rows.withColumn("decision", F.lit("call")).withColumn(
+        "open_until", F.lit(None).cast("timestamp")))
+    settled, rounds = None, 0
+    while True:
+        following = cut_lineage(_decide(decided, state, settings))
+        rounds += 1
+        watch()
+        changed = (following.join(decided.select(*_PLACE, F.col("decision").alias("before")), _PLACE)
+                   .filter(F.col("decision") != F.col("before"))
+                   .agg(F.min(F.struct(*_PLACE))).first()[0])
+        discard(decided)
+        decided = following
+        if changed is None:
+            decided.write.parquet(target)
+            discard(decided)
+            return rounds
+        if settled is not None and tuple(changed) <= settled:
+            raise AssertionError(f"a settled call changed: {tuple(changed)}")
+        settled = tuple(changed)
+
+
+def _left(state: Settled, settled: DataFrame, everything: DataFrame,
+          settings: Settings) -> Settled:
+    """The state behind a settled window; ``everything`` are the settled rows of all windows."""
+    calls = settled.filter(F.col("decision") == "call")
+    spent = (calls.groupBy(*_POOL).agg(F.sum("credits").alias("spent"))
+             .unionByName(state.spent).groupBy(*_POOL).agg(F.sum("spent").alias("spent")))
+    dry = (_dry(settled).unionByName(state.dry).groupBy(*_POOL)
+           .agg(F.min("first_402").alias("first_402")))
+    reached = settled.filter(F.col("decision").isin("call", "breaker"))
+    _, breakers = breaker.continued(
+        _reaching(reached), state.breakers, settings.ladder.breaker_threshold,
+        settings.ladder.breaker_cooldown_seconds)
+    # Small tables but for the paid keys, which are read from the settled rows.
+    return Settled(cut_lineage(spent), cut_lineage(dry), _paid(everything), cut_lineage(breakers))
+
+
+def _decide(decided: DataFrame, state: Settled, settings: Settings) -> DataFrame:
     """One round: every row's decision, taking the other rows' decisions as given."""
     base = [c for c in decided.columns if c not in ("decision", "open_until")]
-    spot = F.struct("batch_id", "row_number")
+    spot = F.struct(*_PLACE)
     called = F.col("decision") == "call"
-    payers = (decided.filter(called & F.col("cacheable"))
-              .groupBy("lookup_key").agg(F.min(spot).alias("payer")))
-    dry = (decided.filter(called & (F.col("http_status") == 402))
-           .groupBy("provider", "month", "kind").agg(F.min(spot).alias("first_402")))
+    # Of the keys paid before only those that are asked for again.
+    earlier = state.paid.join(decided.select("lookup_key").distinct(), "lookup_key", "left_semi")
+    payers = (_paid(decided).unionByName(earlier).groupBy("lookup_key")
+              .agg(F.min("payer").alias("payer")))
+    dry = (_dry(decided).unionByName(state.dry).groupBy(*_POOL)
+           .agg(F.min("first_402").alias("first_402")))
     marked = (decided.join(payers, "lookup_key", "left")
-              .join(dry, ["provider", "month", "kind"], "left")
+              .join(dry, _POOL, "left")
               .withColumn("is_cached", F.coalesce(spot > F.col("payer"), F.lit(False)))
               .withColumn("is_dry", F.coalesce(spot > F.col("first_402"), F.lit(False)))
               .withColumn("was_called", called)
@@ -257,19 +350,17 @@ def _decide(decided: DataFrame, opening: DataFrame, settings: Settings) -> DataF
     # Spend as decided so far: calls made.  Others ask at the price of nothing.
     priced = marked.withColumn("cost", F.col("credits")).withColumn(
         "credits", F.when(F.col("was_called"), F.col("credits")).otherwise(0))
-    budget = credits.budget_admission(cut_lineage(priced), opening, settings.limits)
+    budget = credits.budget_admission(cut_lineage(priced), state.spent, settings.limits)
     # The breaker reads these rows several times: keep them instead of deciding them again.
     asked = cut_lineage(budget.withColumn("credits", F.col("cost")).drop("cost").withColumn(
         "gate", F.when(F.col("is_cached"), "cached").when(F.col("is_dry"), "exhausted")
         .when(F.col("reason").contains("monthly ceiling"), "month")
         .when(F.col("reason").isNotNull(), "cap")))
-    reaching = asked.filter(F.col("gate").isNull()).select(
-        "provider", "call_id", "requested_at",
-        (F.coalesce(F.col("http_status"), F.lit(599)) >= 500).alias("failed"))
-    skips = breaker.circuit_breaker(
-        reaching, settings.ladder.breaker_threshold, settings.ladder.breaker_cooldown_seconds
-    ).select("provider", "call_id", "skipped", "open_until")
-    return asked.join(skips, ["provider", "call_id"], "left").select(
+    skips, _ = breaker.continued(
+        _reaching(asked.filter(F.col("gate").isNull())), state.breakers,
+        settings.ladder.breaker_threshold, settings.ladder.breaker_cooldown_seconds)
+    return asked.join(skips.select("provider", "call_id", "skipped", "open_until"),
+                      ["provider", "call_id"], "left").select(
         *base, F.coalesce("gate", F.when(F.col("skipped"), "breaker"), F.lit("call"))
         .alias("decision"), "open_until")
 
@@ -284,10 +375,19 @@ def protected_results(valid: DataFrame, people: DataFrame, candidates: DataFrame
 
 def run_batches(registrants: DataFrame, people: DataFrame, candidates: DataFrame, at: Column,
                 settings: Settings = Settings(), faults: DataFrame | None = None,
-                parse_warnings: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Raw registrant rows to the four curated tables, all batches in one plan."""
+                parse_warnings: DataFrame | None = None,
+                opening: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Raw registrant rows to the four curated tables, all batches in one plan.
+
+    With ``opening`` balances (provider, month, kind, spent; none may have rows) calls are
+    protected: ceilings, exhausted pools and the breaker hold, across all batches.
+    """
     valid, rejected = validation.split_valid_invalid(registrants, settings.guards)
-    results = lookup_results(valid, people, candidates, settings, faults)
+    if opening is None:
+        results = lookup_results(valid, people, candidates, settings, faults)
+    else:
+        results = cut_lineage(protected_results(valid, people, candidates, opening, settings,
+                                                faults))
     return curate.build_tables(results, rejected, at, settings.provider, parse_warnings)
 
 
