@@ -422,8 +422,8 @@ def erase(folder: str, matches: DataFrame, items: DataFrame, rejected: DataFrame
           provider: str) -> None:
     """Takes the matched rows out of every layer that lies below ``folder``.
 
-    Layers: ``results``, ``rejected`` (the export), ``raw``, ``cache`` and ``curated``; only the
-    dates of touched batches are written again, and a batch whose last row goes is emptied.
+    Layers: ``results``, ``rejected`` (the export), ``raw``, ``cache``, ``curated`` and, where there is
+    one, ``manifest``; only the dates of touched batches are written again, and a batch whose last row goes is emptied.
     ``rejected`` are the parsed rejected rows.  ``cache_gone`` gets the cache entries that went.
     """
     spark = matches.sparkSession
@@ -443,3 +443,7 @@ def erase(folder: str, matches: DataFrame, items: DataFrame, rejected: DataFrame
     store.rejected_rows_export(turned_away, f"{folder}/rejected", built)
     store.write_lookup_results(kept, f"{folder}/results", built)
     publish(kept, turned_away, f"{folder}/curated", at, provider, built=built)
+    if store.exists(spark, f"{folder}/manifest"):
+        quality = store.read_curated(spark, f"{folder}/curated", "fact_batch_quality")
+        store.manifest(quality.join(built, ["batch_date", "batch_id"], "left_semi"),
+                       f"{folder}/manifest", built)

@@ -38,7 +38,7 @@ def _replace(df: DataFrame, path: str, built: DataFrame, read: Callable[[], Data
     built = cut_lineage(built.select(PARTITION_COLUMN, "batch_id").distinct())
     dates = built.select(PARTITION_COLUMN).distinct()
     fresh = df
-    if _exists(spark, path):
+    if exists(spark, path):
         others = (read().join(dates, PARTITION_COLUMN, "left_semi")
                   .join(built, [PARTITION_COLUMN, "batch_id"], "left_anti"))
         fresh = cut_lineage(others.select(*df.columns).unionByName(df))
@@ -58,7 +58,7 @@ def _folder(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     folder = _folder(spark, path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 

@@ -166,6 +166,9 @@ def test_erasing_the_only_person_of_a_batch(spark, tables, folder):
     matching.cache_upsert(stored.withColumn("person_id", F.col("profile.id")), empty,
                           at).write.parquet(f"{folder}/cache")
     pipeline.publish(stored, rejected, f"{folder}/curated", at, "recorded")
+    store.manifest(store.read_curated(spark, f"{folder}/curated", "fact_batch_quality"),
+                   f"{folder}/manifest")
+    assert store.read_manifests(spark, f"{folder}/manifest").count() == 2
     asked = spark.createDataFrame([("r", None, None, "JOHN", "Doe")], "request_id string, "
                                   "person_id string, email string, first_name string, "
                                   "last_name string")
@@ -181,6 +184,8 @@ def test_erasing_the_only_person_of_a_batch(spark, tables, folder):
     assert {r["batch_id"] for r in store.lookup_results(spark, f"{folder}/results").collect()} == {
         "b2"}
     assert {r["batch_id"] for r in store.raw_responses(spark, f"{folder}/raw").collect()} == {"b2"}
+    assert [r["batch_id"] for r in store.read_manifests(spark, f"{folder}/manifest").collect()] == [
+        "b2"]
     assert spark.read.parquet(f"{folder}/cache").count() == 1
     assert spark.read.parquet(f"{folder}/cache_gone").count() == 1
 
