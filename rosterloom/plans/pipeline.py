@@ -13,7 +13,8 @@ from rosterloom.config import CreditLimits, GuardLimits, LadderConfig
 from rosterloom.operators import breaker, credits, curate, erasure, matching, validation
 from rosterloom.operators.prefix import ordered_prefix
 from rosterloom.session import cut_lineage, discard, scratch_path
-from rosterloom.sources import store
+from rosterloom.sources import snapshots, store
+from rosterloom.sources.snapshots import Publication
 
 @dataclass(frozen=True)
 class Settings:
@@ -393,29 +394,33 @@ def run_batches(registrants: DataFrame, people: DataFrame, candidates: DataFrame
 
 def publish(results: DataFrame, rejected: DataFrame, path: str, at: Column, provider: str,
             parse_warnings: DataFrame | None = None, expected: DataFrame | None = None,
-            built: DataFrame | None = None) -> None:
-    """Builds and writes the curated tables of every batch, the quality report last.
+            built: DataFrame | None = None, into: Publication | None = None) -> None:
+    """Builds and writes the curated tables of every batch, visible together or not at all.
 
     ``built`` (batch_date, batch_id) are the batches that are published, by default those with
     results or rejected rows; name them where one may have become empty.
 
-    The report is computed from the files just written, so results are read once per table
+    The report is computed from the files just written aside, so results are read once per table
     and what is reported is what lies there.  ``expected`` (batch_id, rows) turns on the
-    consistency checks: contradictions raise before the report is written.
+    consistency checks: contradictions raise before anything is visible.  With ``into`` the tables
+    wait for that publication's commit.
     """
     if built is None:
         built = store.batches_of(results, rejected)
     built = cut_lineage(built)
     facts = curate.build_facts(results, rejected, at, provider)
-    store.write_curated(facts, path, built)
+    publication = into or Publication(results.sparkSession, path)
+    store.write_curated(facts, path, built, publication)
     own = ["batch_date", "batch_id"]
-    written = {n: store.read_curated(results.sparkSession, path, n).join(built, own, "left_semi")
-               for n in facts}
+    written = {n: store.read_curated(results.sparkSession, path, n, publication.after)
+               .join(built, own, "left_semi") for n in facts}
     if expected is not None:
         curate.require_consistent(curate.check_tables(written, expected))
     quality = curate.build_quality(written, at, provider, parse_warnings,
                                    curate.unrecorded_counts(results))
-    store.write_curated({"fact_batch_quality": quality}, path, built)
+    store.write_curated({"fact_batch_quality": quality}, path, built, publication)
+    if into is None:
+        publication.commit()
 
 
 def erase(folder: str, matches: DataFrame, items: DataFrame, rejected: DataFrame, at: Column,
@@ -447,3 +452,6 @@ def erase(folder: str, matches: DataFrame, items: DataFrame, rejected: DataFrame
         quality = store.read_curated(spark, f"{folder}/curated", "fact_batch_quality")
         store.manifest(quality.join(built, ["batch_date", "batch_id"], "left_semi"),
                        f"{folder}/manifest", built)
+    # What was erased must not stay behind in folders that are read no more.
+    for part in ("rejected", "results", "curated", "manifest"):
+        snapshots.vacuum(spark, f"{folder}/{part}")

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from rosterloom import vocabulary as V
 from rosterloom.operators.curate import OutputCheckError
 from rosterloom.session import cut_lineage
+from rosterloom.sources import snapshots
+from rosterloom.sources.snapshots import Publication, Snapshot
 from rosterloom.tables import CURATED, LOOKUP_RESULT, PARTITION_COLUMN, create_table_sql
 
 
-
 def batches_of(*frames: DataFrame) -> DataFrame:
     """The batches (batch_date, batch_id) that any of the frames has rows of."""
     every = None
@@ -25,35 +23,6 @@ def batches_of(*frames: DataFrame) -> DataFrame:
     return every.distinct()
 
 
-def _replace(df: DataFrame, path: str, built: DataFrame, read: Callable[[], DataFrame],
-             write: Callable[[DataFrameWriter], None], columns: list[str] | None = None) -> None:
-    """Puts ``df`` in the place of all rows of the batches in ``built`` (batch_date, batch_id).
-
-    Tables are partitioned by date, so the number of folders doesn't grow with that of uploads.
-    The other batches of the dates that are touched are kept: the new content of those dates is
-    written aside first, then their folders are overwritten.  A date that nothing is left of
-    loses its folder, so a batch that has become empty leaves no rows behind.
-    """
-    spark = df.sparkSession
-    built = cut_lineage(built.select(PARTITION_COLUMN, "batch_id").distinct())
-    dates = built.select(PARTITION_COLUMN).distinct()
-    fresh = df
-    if exists(spark, path):
-        others = (read().join(dates, PARTITION_COLUMN, "left_semi")
-                  .join(built, [PARTITION_COLUMN, "batch_id"], "left_anti"))
-        fresh = cut_lineage(others.select(*df.columns).unionByName(df))
-    order = [PARTITION_COLUMN, "batch_id", *(c for c in ("row_number",) if c in df.columns)]
-    # The rebalance merges small dates into one task and splits large ones at run time; a
-    # batch's rows lie together, so a filter by batch skips most of a file.
-    laid = fresh.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(*order)
-    write(laid.select(*(columns or laid.columns)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN))
-    emptied = dates.join(fresh.select(PARTITION_COLUMN).distinct(), PARTITION_COLUMN, "left_anti")
-    for row in emptied.toLocalIterator():  # no more than there are days
-        folder = _folder(spark, f"{path}/{PARTITION_COLUMN}={row[0]}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def _folder(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -115,16 +84,24 @@ def raw_responses(spark: SparkSession, path: str) -> DataFrame:
             .withColumn("body", F.try_parse_json("body")))
 
 
-def write_lookup_results(results: DataFrame, path: str, built: DataFrame | None = None) -> None:
-    """Replaces the results of the batches in ``built``, by default those with rows."""
-    stored = results.select(*LOOKUP_RESULT.fieldNames())
-    _replace(stored, path, batches_of(stored) if built is None else built,
-             lambda: lookup_results(results.sparkSession, path), lambda w: w.parquet(path))
+def write_lookup_results(results: DataFrame, path: str, built: DataFrame | None = None,
+                         into: Publication | None = None) -> None:
+    """Replaces the results of the batches in ``built``, by default those with rows.
+
+    Here and below, with ``into`` the write waits for that publication's commit.
+    """
+    stored, spark = results.select(*LOOKUP_RESULT.fieldNames()), results.sparkSession
+    publication = into or Publication(spark, path)
+    publication.put("lookup_results", stored, batches_of(stored) if built is None else built,
+                    lookup_results(spark, path), lambda w, target: w.parquet(target))
+    if into is None:
+        publication.commit()
 
 
 def lookup_results(spark: SparkSession, path: str, batch_prefix: str | None = None) -> DataFrame:
     """Stored results; files are sorted by batch, so a prefix reads little of them."""
-    results = spark.read.schema(LOOKUP_RESULT).parquet(path)
+    results = snapshots.read(spark, path, "lookup_results", LOOKUP_RESULT,
+                             lambda reader, live: reader.parquet(*live))
     return results if batch_prefix is None else results.filter(
         F.col("batch_id").startswith(batch_prefix))
 
@@ -132,37 +109,34 @@ def lookup_results(spark: SparkSession, path: str, batch_prefix: str | None = No
 # ------------------------------------------------------------------ curated tables
 
 
-def write_curated(tables: dict[str, DataFrame], path: str, built: DataFrame | None = None) -> None:
+def write_curated(tables: dict[str, DataFrame], path: str, built: DataFrame | None = None,
+                  into: Publication | None = None) -> None:
     """Replaces the batches in ``built`` in all tables, by default those with rows in a table.
 
-    Name the batches where one may have become empty.  An empty table leaves its schema behind.
+    Name the batches where one may have become empty.  All tables change in one commit.
     """
+    spark = next(iter(tables.values())).sparkSession
+    publication = into or Publication(spark, path)
     for name, df in tables.items():
-        spark, target = df.sparkSession, f"{path}/{name}"
         stored = df.select(*CURATED[name].fieldNames(), PARTITION_COLUMN)
-        _replace(stored, target, batches_of(stored) if built is None else built,
-                 lambda name=name: read_curated(spark, path, name),
-                 lambda w, target=target: w.option("compression", "snappy").parquet(target))
-        (spark.createDataFrame([], CURATED[name]).write.mode("overwrite")
-         .parquet(f"{path}/_schema/{name}"))
+        publication.put(name, stored, batches_of(stored) if built is None else built,
+                        read_curated(spark, path, name, publication.after),
+                        lambda w, target: w.option("compression", "snappy").parquet(target))
+    if into is None:
+        publication.commit()
 
 
-def read_curated(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_curated(spark: SparkSession, path: str, name: str,
+                 at: Snapshot | None = None) -> DataFrame:
     """One table in declared column order, with its partition column; empty ones included."""
     stored = T.StructType([*CURATED[name].fields, T.StructField(PARTITION_COLUMN, T.StringType())])
-    try:
-        return spark.read.schema(stored).parquet(f"{path}/{name}")
-    except AnalysisException:  # nothing was ever written for this table
-        return spark.createDataFrame([], stored)
+    return snapshots.read(spark, path, name, stored, lambda reader, live: reader.parquet(*live), at)
 
 
 def _columns(spark: SparkSession, path: str, name: str) -> list[str]:
     """Column names in the files themselves, without the partition column."""
-    try:
-        names = spark.read.parquet(f"{path}/{name}").columns
-    except AnalysisException:
-        names = spark.read.parquet(f"{path}/_schema/{name}").columns
-    return [c for c in names if c != PARTITION_COLUMN]
+    live = list(snapshots.snapshot(spark, path).folders(path, name).values())
+    return spark.read.parquet(*live).columns if live else CURATED[name].fieldNames()
 
 
 def verify_written(spark: SparkSession, path: str, expected: dict[str, DataFrame]) -> DataFrame:
@@ -198,7 +172,7 @@ def require_written(problems: DataFrame) -> None:
 def catalog_tables(spark: SparkSession, path: str, database: str | None = None) -> list[str]:
     """Makes the curated tables queryable by name.
 
-    With a database: external tables whose partitions are recovered from the folders.
+    With a database: external tables whose partitions are the folders that are live now.
     Without one: temporary views over the paths.
     """
     if database is None:
@@ -206,9 +180,14 @@ def catalog_tables(spark: SparkSession, path: str, database: str | None = None)
             read_curated(spark, path, name).createOrReplaceTempView(name)
         return list(CURATED)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    shown = snapshots.snapshot(spark, path)
     for name in CURATED:
-        spark.sql(create_table_sql(name, f"{path}/{name}", database))
-        spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.sql(create_table_sql(name, f"{path}/data/{name}", database))
+        parts = [f"PARTITION ({day.replace('=', "='", 1)}') LOCATION '{folder}'"
+                 for day, folder in shown.folders(path, name).items()]
+        if parts:
+            spark.sql(f"ALTER TABLE {database}.{name} ADD {' '.join(parts)}")
     return [f"{database}.{name}" for name in CURATED]
 
 
@@ -227,17 +206,21 @@ EXPORT = ("batch_id string, row_number int, reason string, "
           + ", ".join(f"{n} string" for n in V.INPUT_COLUMNS) + f", {PARTITION_COLUMN} string")
 
 
-def rejected_rows_export(rejected: DataFrame, path: str, built: DataFrame | None = None) -> None:
+def rejected_rows_export(rejected: DataFrame, path: str, built: DataFrame | None = None,
+                         into: Publication | None = None) -> None:
     """CSV files by date, rows by batch and in file order; replaces the batches in ``built``."""
-    export = rejected_export(rejected)
-    spark = rejected.sparkSession
-    _replace(export, path, batches_of(export) if built is None else built,
-             lambda: read_export(spark, path),
-             lambda w: w.option("header", "true").option("escape", '"').csv(path))
+    export, spark = rejected_export(rejected), rejected.sparkSession
+    publication = into or Publication(spark, path)
+    publication.put("rejected", export, batches_of(export) if built is None else built,
+                    read_export(spark, path), lambda w, target: w.option("header", "true")
+                    .option("escape", '"').csv(target))
+    if into is None:
+        publication.commit()
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EXPORT).option("header", "true").option("escape", '"').csv(path)
+    return snapshots.read(spark, path, "rejected", EXPORT, lambda reader, live: reader.option(
+        "header", "true").option("escape", '"').csv(live))
 
 
 def quarantine_files(files: DataFrame, verdict: DataFrame) -> DataFrame:
@@ -278,15 +261,20 @@ def manifest_rows(quality: DataFrame, flag_counts: DataFrame | None = None) -> D
     return quality.select("batch_id", PARTITION_COLUMN, F.to_json(body).alias("value"))
 
 
-def manifest(quality: DataFrame, path: str, built: DataFrame | None = None) -> None:
+def manifest(quality: DataFrame, path: str, built: DataFrame | None = None,
+             into: Publication | None = None) -> None:
     """JSON lines by date, one for each batch; replaces the batches in ``built``."""
     lines, spark = manifest_rows(quality), quality.sparkSession
     stored = lines.select("value", PARTITION_COLUMN, "batch_id")
-    _replace(stored, path, batches_of(stored) if built is None else built,
-             lambda: read_manifests(spark, path), lambda w: w.text(path),
-             ["value", PARTITION_COLUMN])
+    publication = into or Publication(spark, path)
+    publication.put("manifest", stored, batches_of(stored) if built is None else built,
+                    read_manifests(spark, path), lambda w, target: w.text(target),
+                    ["value", PARTITION_COLUMN])
+    if into is None:
+        publication.commit()
 
 
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.schema(f"value string, {PARTITION_COLUMN} string").text(path)
+    lines = snapshots.read(spark, path, "manifest", f"value string, {PARTITION_COLUMN} string",
+                           lambda reader, live: reader.text(live))
     return lines.withColumn("batch_id", F.get_json_object("value", "$.batch_id"))
