@@ -919,9 +919,11 @@ def _(w: Workspace) -> DataFrame:
 
 @query("rebuild", _QUALITY)
 def _(w: Workspace) -> DataFrame:
-    results = w.results(batch_prefix="b")
-    tables = curate.build_tables(results, w.rejected("b"), w.built_at(), "recorded")
-    return shown_quality(tables["fact_batch_quality"])
+    # All batches, then those of a prefix once more: the others stay.
+    path = scratch_path(w.spark, "rebuilt")
+    for prefix in ("", "b000000-1"):
+        pipeline.rebuild(w.results(), w.rejected(), path, w.built_at(), "recorded", prefix)
+    return shown_quality(store.read_curated(w.spark, path, "fact_batch_quality"))
 
 
 # ------------------------------------------------------------------ analyst questions
@@ -1244,6 +1246,20 @@ def _(w: Workspace) -> DataFrame:
                        "reason", (F.octet_length("content") == F.col("length")).alias("kept"))
 
 
+@query("redrive", """SELECT row_number, first_name, last_name, email, company, location, linkedin_url,
+       consent FROM file_rows f WHERE last_name <> '' AND batch_id IN (SELECT batch_id FROM (
+       SELECT s.batch_id, """ + _PROBLEM + """ AS problem FROM sized s
+       LEFT JOIN top t ON s.batch_id = t.batch_id LEFT JOIN toplayout u ON s.batch_id = u.batch_id)
+       AS x WHERE problem IS NOT NULL)""", file_rows=_FILE_ROWS, **_STRICT_STEPS)
+def _(w: Workspace) -> DataFrame:
+    files = landed(w)
+    verdict = validation.file_verdict(files.select("path", "batch_id"), stricter(w), "batch_id")
+    kept = store.quarantine_files(files.drop("batch_id"), verdict)
+    # All are landed again, under paths of their own, and read like any landed file.
+    again = store.redrive(kept, kept.select("path").distinct(), "20240301T000000")
+    return landing.registrants_of(again)[1].select("row_number", *V.INPUT_COLUMNS)
+
+
 @query("manifest", """SELECT batch_id, batch_date, cast(rows_valid AS varchar) AS rows_valid,
        cast(rows_invalid AS varchar) AS rows_invalid, cast(credits_spent AS varchar) AS credits_spent,
        cast(persons AS varchar) AS persons, cast(nullif(matched, 0) AS varchar) AS matched,
@@ -1603,6 +1619,28 @@ def _(w: Workspace) -> DataFrame:
                                         F.count_if("rejected").alias("rejected"))
 
 
+@query("upload_to_curated", """SELECT r.batch_id, r.rows_valid, coalesce(i.n, 0) AS rows_invalid,
+       r.matched, r.cached, r.credits, coalesce(p.n, 0) AS persons, coalesce(e.n, 0) AS employment_rows
+       FROM (SELECT batch_id, count(*) AS rows_valid, count(*) FILTER (status = 'matched') AS matched,
+             count(*) FILTER (status = 'cached') AS cached,
+             cast(sum(credits_consumed) AS bigint) AS credits FROM results GROUP BY batch_id) AS r
+       LEFT JOIN (SELECT batch_id, count(*) AS n FROM cleaned WHERE first_name <> ''
+             AND reason IS NOT NULL GROUP BY batch_id) AS i ON r.batch_id = i.batch_id
+       LEFT JOIN (SELECT batch_id, count(*) AS n FROM dim_person GROUP BY batch_id) AS p
+             ON r.batch_id = p.batch_id
+       LEFT JOIN (SELECT batch_id, count(*) AS n FROM fact_employment GROUP BY batch_id) AS e
+             ON r.batch_id = e.batch_id""")
+def _(w: Workspace) -> DataFrame:
+    root = scratch_path(w.spark, "arrived")
+    build = pipeline.uploaded(w.people(), w.candidates(), w.built_at(), w.settings,
+                              derived.faults(w.planned()))
+    jobs.curated_stream(w.spark, landed_path(w), root, scratch_path(w.spark, "arrived-state"),
+                        build, batch_of=batch_of_path(), files_per_trigger=100).awaitTermination()
+    return store.read_curated(w.spark, root, "fact_batch_quality").select(
+        "batch_id", "rows_valid", "rows_invalid", "matched", "cached",
+        F.col("credits_spent").alias("credits"), "persons", "employment_rows")
+
+
 def streamed(w: Workspace, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A derived table as a stream of its files."""
     path = w.path(name, lambda p: build().write.parquet(p))

@@ -423,6 +423,35 @@ def publish(results: DataFrame, rejected: DataFrame, path: str, at: Column, prov
         publication.commit()
 
 
+def rebuild(results: DataFrame, rejected: DataFrame, path: str, at: Column, provider: str,
+            batch_prefix: str = "", into: Publication | None = None) -> None:
+    """Publishes the batches whose id starts with the prefix again, from stored results.
+
+    No call is made, and other batches stay as they are.
+    """
+    chosen = F.col("batch_id").startswith(batch_prefix)
+    publish(results.filter(chosen), rejected.filter(chosen), path, at, provider, into=into)
+
+
+def uploaded(people: DataFrame, candidates: DataFrame, at: Column,
+             settings: Settings = Settings(), faults: DataFrame | None = None
+             ) -> Callable[[DataFrame, DataFrame, Publication], None]:
+    """What ``curated_stream`` does with a micro-batch: results, rejected rows, curated tables and
+    manifest of its batches, all into one publication."""
+    def build(registrants: DataFrame, built: DataFrame, into: Publication) -> None:
+        valid, rejected = validation.split_valid_invalid(registrants, settings.guards)
+        results = cut_lineage(lookup_results(valid, people, candidates, settings, faults))
+        rejected = cut_lineage(rejected)
+        store.write_lookup_results(results, into.root, built, into)
+        store.rejected_rows_export(rejected, into.root, built, into)
+        publish(results, rejected, into.root, at, settings.provider, built=built, into=into)
+        quality = store.read_curated(into.spark, into.root, "fact_batch_quality", into.after)
+        store.manifest(quality.join(built, ["batch_date", "batch_id"], "left_semi"), into.root,
+                       built, into)
+
+    return build
+
+
 def erase(folder: str, matches: DataFrame, items: DataFrame, rejected: DataFrame, at: Column,
           provider: str) -> None:
     """Takes the matched rows out of every layer that lies below ``folder``.

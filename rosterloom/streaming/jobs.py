@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rosterloom.operators import breaker
 from rosterloom.operators.validation import CLAIM_DAYS, first_claims
 from rosterloom.session import cut_lineage
+from rosterloom.sources import landing, snapshots
 from rosterloom.sources.landing import FILE_SCHEMA
+from rosterloom.sources.snapshots import Publication
 
 
 def upload_stream(spark: SparkSession, path: str, checkpoint: str,
@@ -29,6 +31,47 @@ def upload_stream(spark: SparkSession, path: str, checkpoint: str,
             .trigger(availableNow=True).start())
 
 
+def curated_stream(spark: SparkSession, path: str, root: str, checkpoint: str,
+                   build: Callable[[DataFrame, DataFrame, Publication], None],
+                   stream: str = "uploads", batch_of: Column | None = None,
+                   days: int = CLAIM_DAYS, **options) -> StreamingQuery:
+    """Landed files to curated tables, each batch once, each micro-batch whole or not at all.
+
+    ``build`` gets a micro-batch's registrants (with batch_id), its batches (batch_date, batch_id)
+    and a publication to put their tables into.  Claims of the batches and the mark of the
+    micro-batch go into the same commit, so one that was stopped half-way has left nothing to be
+    seen, and one that is replayed after its commit is recognised and left out.  A batch that
+    an earlier micro-batch claimed less than ``days`` before its upload is a repeated delivery.
+    """
+    batch_of = F.col("path") if batch_of is None else batch_of
+
+    def take(files: DataFrame, epoch: int) -> None:
+        publication = Publication(spark, root)
+        if publication.before.marks.get(stream, -1) >= epoch:
+            return
+        named = files.withColumn("batch_id", batch_of)
+        uploads = cut_lineage(named.groupBy("batch_id").agg(
+            F.max("modificationTime").alias("claimed_at")))
+        held = snapshots.read(spark, root, "claims", UPLOAD_CLAIMS,
+                              lambda reader, live: reader.parquet(*live))
+        first = uploads.agg(F.date_sub(F.min("claimed_at").cast("date"), days)).first()[0]
+        recent = held.filter(F.col("batch_date") >= F.lit(str(first))).select(
+            "batch_id", F.col("claimed_at").alias("held_at"))
+        alive = F.col("claimed_at") < F.col("held_at") + F.make_dt_interval(F.lit(days))
+        repeated = uploads.join(recent, "batch_id").filter(alive).select("batch_id")
+        claims = cut_lineage(uploads.join(repeated, "batch_id", "left_anti").withColumn(
+            "batch_date", F.date_format("claimed_at", "yyyy-MM-dd")))
+        # No more rows than a trigger takes files.
+        _, rows = landing.registrants_of(named.join(F.broadcast(
+            claims.select("batch_id", "batch_date")), "batch_id"))
+        build(cut_lineage(rows.drop("path")), claims.select("batch_date", "batch_id"), publication)
+        publication.put("claims", claims, claims, held, lambda w, target: w.parquet(target))
+        publication.commit(stream, epoch)
+
+    return upload_stream(spark, path, checkpoint, take, **options)
+
+
+UPLOAD_CLAIMS = "batch_id string, claimed_at timestamp, batch_date string"
 BREAKER_STATES = "provider string, failures int, until long, epoch long"
 CLAIMS = "batch_id string, execution_id string, triggered_at timestamp, slice long, epoch long"
 
