@@ -9,12 +9,14 @@ a document lies in one segment, so searching needs none either.
 ``search`` turns every benchmark item into phrases, looks their terms up in each segment, drops
 phrases with an absent term, and intersects the offset-adjusted postings of the rest, from the
 rarest term in that segment on.  Terms must stand at their exact offsets for a phrase match.
-With ``slack`` it also returns proximity matches: all words of the phrase, repeats included,
-within a stretch of the phrase's length plus ``slack`` words of one document, in any order.
+With ``slack`` it also returns proximity matches: a stretch of the phrase's length plus ``slack``
+words, cut at the document's end, that holds all words of the phrase, repeats included, in any
+order.  Phrases without such a stretch have no exact match either, so one walk from the rarest
+term serves both.  Matches are merged in the task, in time linear in them but for a sort.
 
 The benchmark is a stated query set.  It goes to the tasks in blocks of items with a checked size
-(``BLOCK_BYTES`` of text), one pass over the index for each block; an item too large for a block
-is a block of its own.
+(``BLOCK_BYTES`` of text), one at a time, one pass over the index for each block; an item too large
+for a block is a block of its own.
 
 Words are runs of digits, ASCII letters (lower-cased) and characters beyond ASCII.  Null and empty
 texts have no words.  An item with fewer words than a window is one window; without words, none.
@@ -28,13 +30,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.llm.common import read, slices
-from rosterloom.session import scratch_path
+from rosterloom.session import cut_lineage, scratch_path
 
 WINDOW = 10
+#: Words that a proximity match may have more than its phrase.
+SLACK = 2
+#: Postings whose stretches are counted at once.
+CHUNK = 16_384
 SEGMENT_BYTES = 4_000_000
 BLOCK_BYTES = 16_000_000
 #: Every byte that is no letter, digit or part of a character beyond ASCII parts words.
@@ -110,56 +116,118 @@ class Phrases:
             self.term[row, :len(phrase)] = phrase
 
 
-def _matches(phrases: Phrases, terms: pa.Array, ends: np.ndarray, posting: np.ndarray,
-             ) -> Iterator[tuple[int, np.ndarray]]:
-    """Phrase numbers with the positions at which they begin in a segment."""
-    local = pa.compute.index_in(pa.array(phrases.terms, pa.binary()), terms)
-    local = pa.compute.fill_null(local, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    local = np.append(local, -2)  # for the padding
-    at = local[phrases.term]
-    size = np.append(np.diff(ends, prepend=0), [0, 0])[at]
-    for row in np.nonzero((at != -1).all(axis=1))[0].tolist():
-        n = int(phrases.length[row])
-        place = None
-        for offset in np.argsort(size[row, :n], kind="stable").tolist():
-            t = at[row, offset]
-            own = posting[ends[t - 1] if t else 0:ends[t]] - offset
-            if place is None:
-                place = own
+class _Segment:
+    """A segment's postings, asked for a block's phrases."""
+
+    def __init__(self, phrases: Phrases, begin: np.ndarray, n_words: np.ndarray, terms: pa.Array,
+                 ends: np.ndarray, posting: np.ndarray) -> None:
+        self.phrases, self.begin, self.n_words = phrases, begin, n_words
+        self.ends, self.posting = ends, posting
+        local = pa.compute.index_in(pa.array(phrases.terms, pa.binary()), terms)
+        local = pa.compute.fill_null(local, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.at = np.append(local, -2)[phrases.term]  # -2 is for the padding
+        self.size = np.append(np.diff(ends, prepend=0), [0, 0])[self.at]
+
+    def own(self, term: int) -> np.ndarray:
+        return self.posting[self.ends[term - 1] if term else 0:self.ends[term]]
+
+    def doc(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.begin, place, side="right") - 1
+
+    def matches(self, slack: int) -> Iterator[tuple[int, list[int], np.ndarray]]:
+        """Phrase numbers, their offsets from the rarest term on, and that term's postings which
+        have every other term of the phrase less than a stretch away."""
+        for row in np.nonzero((self.at != -1).all(axis=1))[0].tolist():
+            n = int(self.phrases.length[row])
+            order = np.argsort(self.size[row, :n], kind="stable").tolist()
+            reach = n + slack - 1
+            place = self.own(self.at[row, order[0]])
+            for offset in order[1:]:
+                own = self.own(self.at[row, offset])
+                found = np.searchsorted(own, place - reach)
+                there = found < len(own)
+                there[there] = own[found[there]] <= place[there] + reach
+                place = place[there]
+                if not len(place):
+                    break
             else:
-                found = np.searchsorted(own, place)
-                found[found == len(own)] = len(own) - 1
-                place = place[own[found] == place]
+                yield row, order, place
+
+    def exact(self, row: int, order: list[int], place: np.ndarray) -> np.ndarray:
+        """Where the phrase begins, its terms at their exact offsets."""
+        place = place - order[0]
+        for offset in order[1:]:
+            own = self.own(self.at[row, offset]) - offset
+            found = np.minimum(np.searchsorted(own, place), len(own) - 1)
+            place = place[own[found] == place]
             if not len(place):
                 break
-        else:
-            yield row, place
-
-
-def _nearby(phrases: Phrases, terms: pa.Array, ends: np.ndarray, posting: np.ndarray,
-            begin: np.ndarray, slack: int) -> Iterator[tuple[int, int, int]]:
-    """Phrase numbers with first and last position of stretches that hold all their words."""
-    local = pa.compute.fill_null(pa.compute.index_in(
-        pa.array(phrases.terms, pa.binary()), terms), -1).to_pylist()
-    for row in range(len(phrases.length)):
-        n = int(phrases.length[row])
-        wanted: dict[int, int] = {}
-        for t in phrases.term[row, :n].tolist():
-            wanted[local[t]] = wanted.get(local[t], 0) + 1
-        if -1 in wanted:
-            continue
-        lists = {t: posting[ends[t - 1] if t else 0:ends[t]] for t in wanted}
-        rarest = min(lists, key=lambda t: len(lists[t]))
+        return place
+
+    def nearby(self, row: int, place: np.ndarray, slack: int) -> tuple[np.ndarray, np.ndarray]:
+        """Stretches (first, end) around these postings that hold all words of the phrase."""
+        n = int(self.phrases.length[row])
         span = n + slack
-        for p in lists[rarest].tolist():
-            doc = np.searchsorted(begin, p, side="right")
-            low, high = int(begin[doc - 1]), int(begin[doc]) - 1 if doc < len(begin) else 2 ** 31
-            for first in range(max(low, p - span + 1), min(p, high - 1) + 1):
-                last = min(first + span, high)
-                if all(np.searchsorted(own, last) - np.searchsorted(own, first) >= wanted[t]
-                       for t, own in lists.items()):
-                    yield row, first, last
+        wanted, times = np.unique(self.at[row, :n], return_counts=True)
+        firsts, ends = [], []
+        for chunk in range(0, len(place), CHUNK):
+            own = place[chunk:chunk + CHUNK]
+            doc = self.doc(own)
+            low, high = self.begin[doc], self.begin[doc] + self.n_words[doc]
+            first = (own[:, None] - np.arange(span)[None, :])
+            inside = first >= low[:, None]
+            last = np.minimum(first + span, high[:, None])[inside]
+            first = first[inside]
+            for term, count in zip(wanted.tolist(), times.tolist()):
+                postings = self.own(term)
+                held = np.searchsorted(postings, last) - np.searchsorted(postings, first) >= count
+                first, last = first[held], last[held]
+                if not len(first):
                     break
+            firsts.append(first)
+            ends.append(last)
+        return np.concatenate(firsts), np.concatenate(ends)
+
+
+def merged(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans that touch or overlap become one; the result ascends."""
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate(end[order])
+    new = np.append(True, first[1:] > reach[:-1])[:len(first)]
+    starts = np.nonzero(new)[0]
+    return first[starts], reach[np.append(starts[1:], len(first))[:len(starts)] - 1]
+
+
+class _Found:
+    """Spans and items of one kind of match in a segment."""
+
+    def __init__(self) -> None:
+        self.first: list[np.ndarray] = []
+        self.end: list[np.ndarray] = []
+        self.items: dict[int, set[str]] = {}
+
+    def note(self, segment: _Segment, row: int, first: np.ndarray, end: np.ndarray) -> None:
+        if not len(first):
+            return
+        self.first.append(first)
+        self.end.append(end)
+        names = {str(x) for x in segment.phrases.owners[row] if x is not None}
+        for doc in np.unique(segment.doc(first)).tolist():
+            self.items.setdefault(doc, set()).update(names)
+
+    def by_document(self, segment: _Segment) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Merged spans of each document, by word positions in it.
+
+        The gap between documents keeps spans of neighbours apart.
+        """
+        if not self.first:
+            return {}
+        first, end = merged(np.concatenate(self.first).astype(np.int64),
+                            np.concatenate(self.end).astype(np.int64))
+        docs, starts = np.unique(segment.doc(first), return_index=True)
+        cuts = np.append(starts, len(first))
+        return {d: (first[a:b] - segment.begin[d], end[a:b] - segment.begin[d])
+                for d, a, b in zip(docs.tolist(), cuts[:-1].tolist(), cuts[1:].tolist())}
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[object, str | None]]]:
@@ -176,79 +244,88 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[o
         yield block
 
 
+_LISTS = pa.list_(pa.int64())
+_FOUND = pa.schema([("segment", pa.int64()), ("ordinal", pa.int32()), ("first", _LISTS),
+                    ("end", _LISTS), ("items", pa.list_(pa.string())), ("near_first", _LISTS),
+                    ("near_end", _LISTS), ("near_items", pa.list_(pa.string()))])
+_FOUND_SQL = ("segment bigint, ordinal int, first array<bigint>, end array<bigint>, "
+              "items array<string>, near_first array<bigint>, near_end array<bigint>, "
+              "near_items array<string>")
+
+
+def _search_block(table: DataFrame, phrases: Phrases, slack: int | None) -> DataFrame:
+    """One pass over the index for a block's phrases."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number, *lists = (batch.column(c)[i] for c in range(6))
+                begin, n_words, ends, posting = (
+                    lists[c].values.to_numpy(zero_copy_only=False) for c in (0, 1, 3, 4))
+                if not len(posting):
+                    continue
+                segment = _Segment(phrases, begin, n_words, lists[2].values, ends, posting)
+                exact, near = _Found(), _Found()
+                for row, order, place in segment.matches(slack or 0):
+                    at = segment.exact(row, order, place)
+                    exact.note(segment, row, at, at + int(phrases.length[row]))
+                    if slack is not None:
+                        near.note(segment, row, *segment.nearby(row, place, slack))
+                spans, wide = exact.by_document(segment), near.by_document(segment)
+                docs, none = sorted({*spans, *wide}), (np.empty(0, np.int64),) * 2
+                if docs:
+                    yield pa.RecordBatch.from_pydict({
+                        "segment": [number.as_py()] * len(docs), "ordinal": docs,
+                        "first": [spans.get(d, none)[0] for d in docs],
+                        "end": [spans.get(d, none)[1] for d in docs],
+                        "items": [sorted(exact.items.get(d, ())) for d in docs],
+                        "near_first": [wide.get(d, none)[0] for d in docs],
+                        "near_end": [wide.get(d, none)[1] for d in docs],
+                        "near_items": [sorted(near.items.get(d, ())) for d in docs]}, _FOUND)
+
+    return table.select("segment", "begin", "n_words", "term", "posting_end", "posting").mapInArrow(
+        run, _FOUND_SQL)
+
+
+def _merge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merges each row's spans, which come from several blocks."""
+    for batch in batches:
+        columns = dict(zip(batch.schema.names, batch.columns))
+        for first, end in (("first", "end"), ("near_first", "near_end")):
+            both = [merged(f.values.to_numpy(zero_copy_only=False),
+                           e.values.to_numpy(zero_copy_only=False))
+                    for f, e in zip(columns[first], columns[end])]
+            columns[first] = pa.array([f for f, _ in both], _LISTS)
+            columns[end] = pa.array([e for _, e in both], _LISTS)
+        yield pa.RecordBatch.from_arrays([columns[n] for n in _FOUND.names], schema=_FOUND)
+
+
 def search(spark: SparkSession, index: str, benchmark: DataFrame, item: str = "item_id",
            text: str = "text", window: int = WINDOW, slack: int | None = None) -> DataFrame:
-    """Matches of each document that has any: (segment, ordinal, spans, items).
+    """Matches of each document that has any: (segment, ordinal, spans, items, near_spans,
+    near_items).
 
     Spans are (first, end) word positions in the document, merged; items are item ids, sorted
-    as strings.  With ``slack`` matches are by proximity instead of exact phrases.
+    as strings.  Proximity matches are looked for with ``slack`` only.
     """
     table = spark.read.parquet(index)
-
-    def searched(phrases: Phrases) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    segment, begin, terms, ends, posting = (batch.column(c)[i]
-                                                            for c in range(5))
-                    begin = begin.values.to_numpy(zero_copy_only=False)
-                    ends = ends.values.to_numpy(zero_copy_only=False)
-                    posting = posting.values.to_numpy(zero_copy_only=False)
-                    if not len(posting):
-                        continue
-                    spans: dict[int, list] = {}
-                    items: dict[int, set] = {}
-
-                    def note(row: int, first: int, last: int, doc: int) -> None:
-                        spans.setdefault(doc, []).append(
-                            {"first": first - int(begin[doc]), "end": last - int(begin[doc])})
-                        items.setdefault(doc, set()).update(
-                            str(x) for x in phrases.owners[row] if x is not None)
-
-                    if slack is None:
-                        for row, place in _matches(phrases, terms.values, ends, posting):
-                            docs = np.searchsorted(begin, place, side="right") - 1
-                            n = int(phrases.length[row])
-                            for p, doc in zip(place.tolist(), docs.tolist()):
-                                note(row, p, p + n, doc)
-                    else:
-                        for row, first, last in _nearby(phrases, terms.values, ends, posting,
-                                                        begin, slack):
-                            note(row, first, last,
-                                 int(np.searchsorted(begin, first, side="right")) - 1)
-                    if spans:
-                        yield pa.RecordBatch.from_pydict({
-                            "segment": [segment.as_py()] * len(spans), "ordinal": list(spans),
-                            "spans": list(spans.values()),
-                            "items": [sorted(items[d]) for d in spans]}, pa.schema([
-                                ("segment", pa.int64()), ("ordinal", pa.int32()),
-                                ("spans", pa.list_(pa.struct([("first", pa.int64()),
-                                                              ("end", pa.int64())]))),
-                                ("items", pa.list_(pa.string()))]))
-
-        return table.select("segment", "begin", "term", "posting_end", "posting").mapInArrow(
-            run, "segment bigint, ordinal int, spans array<struct<first:bigint,end:bigint>>, "
-                 "items array<string>")
-
-    parts = [searched(Phrases(block, window)) for block in _blocks(benchmark, item, text)]
-    found = parts[0] if parts else spark.createDataFrame(
-        [], "segment bigint, ordinal int, spans array<struct<first:bigint,end:bigint>>, "
-            "items array<string>")
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    merged = F.aggregate(
-        F.array_sort(F.flatten(F.collect_list("spans"))),
-        F.expr("cast(array() as array<struct<first:bigint,end:bigint>>)"),
-        lambda kept, s: F.when(
-            (F.size(kept) > 0) & (s["first"] <= F.element_at(kept, -1)["end"]),
-            F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(F.struct(
-                F.element_at(kept, -1)["first"].alias("first"),
-                F.greatest(F.element_at(kept, -1)["end"], s["end"]).alias("end")))))
-        .otherwise(F.concat(kept, F.array(s))))
-    # A document's rows, one for each block, come together; their number is that of the blocks.
-    return found.groupBy("segment", "ordinal").agg(
-        merged.alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    # Each block is searched before the next comes to the driver.
+    parts = [cut_lineage(_search_block(table, Phrases(block, window), slack))
+             for block in _blocks(benchmark, item, text)]
+    found = parts[0] if parts else spark.createDataFrame([], _FOUND_SQL)
+    if len(parts) > 1:
+        for part in parts[1:]:
+            found = found.unionByName(part)
+        # A document's rows come together; their number is at most that of the blocks.
+        rows = found.groupBy("segment", "ordinal").agg(
+            F.collect_list(F.struct(*_FOUND.names[2:])).alias("r"))
+        found = rows.select("segment", "ordinal", *[
+            (F.array_sort(F.array_distinct(F.flatten(F.col(f"r.{n}"))))
+             if n.endswith("items") else F.flatten(F.col(f"r.{n}"))).alias(n)
+            for n in _FOUND.names[2:]]).mapInArrow(_merge_rows, _FOUND_SQL)
+    return found.select(
+        "segment", "ordinal", F.arrays_zip("first", "end").alias("spans"), "items",
+        F.arrays_zip(F.col("near_first").alias("first"), F.col("near_end").alias("end"))
+        .alias("near_spans"), "near_items")
 
 
 def documents(spark: SparkSession, index: str) -> DataFrame:
@@ -261,14 +338,19 @@ def documents(spark: SparkSession, index: str) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text",
-                  window: int = WINDOW) -> DataFrame:
-    """For every document its kept columns, n_words, spans, items and n_hit."""
+                  window: int = WINDOW, slack: int | None = None) -> DataFrame:
+    """For every document its kept columns, n_words, spans, items and n_hit; near_spans, near_items
+    and n_near are the same for proximity matches, which are empty without ``slack``."""
     spark = docs.sparkSession
     index = build_index(docs, keep, text)
-    found = search(spark, index, benchmark, window=window)
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    found = search(spark, index, benchmark, window=window, slack=slack)
+
+    def words(spans: str) -> Column:
+        return F.coalesce(F.aggregate(spans, F.lit(0).cast("long"),
+                                      lambda n, s: n + s["end"] - s["first"]), F.lit(0).cast("long"))
+
     return (documents(spark, index).join(found, ["segment", "ordinal"], "left")
-            .withColumn("n_hit", F.coalesce(hit, F.lit(0).cast("long")))
+            .withColumns({"n_hit": words("spans"), "n_near": words("near_spans")})
             .drop("segment", "ordinal"))
 
 
@@ -285,9 +367,10 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
 
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(read(spark, folder, "documents", "doc_id", "text"),
-                          read(spark, folder, "benchmark", "item_id", "text"), ["doc_id"])
+                          read(spark, folder, "benchmark", "item_id", "text"), ["doc_id"], slack=SLACK)
     items = F.coalesce("items", F.array().cast("array<string>"))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"))
+        (F.col("n_hit") > 0).alias("contaminated"), "n_near",
+        F.coalesce(F.size("near_items"), F.lit(0)).cast("long").alias("n_near_items"))

@@ -1,4 +1,7 @@
+import random
 import re
+import time
+from collections import Counter
 
 import pytest
 from helpers import documents, odd_texts, prose
@@ -81,3 +84,47 @@ def test_proximity_finds_scattered_words(spark):
     near = decontaminate.search(spark, index, items(spark, [(1, "alpha beta gamma", "")]), slack=2)
     rows = decontaminate.documents(spark, index).join(near, ["segment", "ordinal"]).collect()
     assert {r["doc_id"] for r in rows} == {0, 1}
+
+
+def brute_near(texts, bench, slack, window=10):
+    """Every stretch of a phrase's length and ``slack`` words that holds all its words."""
+    out = {}
+    for n, text in enumerate(texts):
+        own, hit, found = words(text), set(), set()
+        for item, passage in bench:
+            phrase = words(passage)
+            for i in range(max(1, len(phrase) - window + 1) if phrase else 0):
+                wanted = Counter(phrase[i:i + window])
+                span = sum(wanted.values()) + slack
+                for first in range(len(own)):
+                    if not wanted - Counter(own[first:first + span]):
+                        hit.update(range(first, min(first + span, len(own))))
+                        found |= {str(item)} - {"None"}
+        out[n] = (len(hit), sorted(found))
+    return out
+
+
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 60])
+def test_proximity_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontaminate, "SEGMENT_BYTES", 400)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdefg", k=rng.randrange(60))) for _ in range(60)] + [None, ""]
+    bench = [(i, " ".join(rng.choices("abcdefgz", k=rng.randrange(1, 14)))) for i in range(12)] + [
+        (None, "a b c"), (3, "g g g")]
+    rows = [(i, t, "") for i, t in bench]
+    got = decontaminate.contamination(documents(spark, texts), items(spark, rows), ["doc_id"],
+                                      window=4, slack=2).collect()
+    assert {r["doc_id"]: (r["n_near"], r["near_items"] or []) for r in got} == brute_near(
+        texts, bench, 2, 4)
+    exact = brute(texts, bench, 4)
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"] or []) for r in got} == exact
+
+
+def test_very_many_hits_in_one_document_merge_in_linear_time(spark):
+    docs = documents(spark, ["the end " * 400_000, "the"])
+    began = time.time()
+    got = decontaminate.contamination(docs, items(spark, [(1, "the", "")]), ["doc_id"], slack=0)
+    assert {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in got.select(
+        "doc_id", "n_hit", "n_near").collect()} == {0: (400_000, 400_000), 1: (1, 1)}
+    assert time.time() - began < 60
