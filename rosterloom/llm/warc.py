@@ -33,13 +33,19 @@ from rosterloom.llm.common import read, slices
 DATE = "2024-01-01T00:00:00Z"
 SLICE_BYTES = 4_000_000
 # Fixed values, named by HTML: elements that don't end the head, elements without text for readers,
-# elements that end a line.
+# elements that end a line, elements that end foreign content they stand in, elements inside
+# foreign content that may hold others.
 HEAD = {"head", "html", "title", "meta", "link", "base", "script", "style", "template", "noscript",
         "basefont", "bgsound", "noframes"}
 SILENT = {"script", "style", "template", "noscript", "head", "svg", "textarea", "select"}
 LINES = {"address", "article", "aside", "blockquote", "br", "caption", "dd", "div", "dl", "dt",
          "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header",
          "hr", "li", "main", "nav", "ol", "p", "pre", "section", "table", "td", "th", "tr", "ul"}
+BREAKOUT = {"b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em",
+            "embed", "h1", "h2", "h3", "h4", "h5", "h6", "head", "hr", "i", "img", "li", "listing",
+            "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s", "small", "span", "strong",
+            "strike", "sub", "sup", "table", "tt", "u", "ul", "var"}
+INSIDE = {"foreignobject", "desc", "title"}
 SCHEMA = ("warc_type string, record_id string, refers_to string, target_uri string, date string, "
           "content_type string, block_digest string, source_block_digest string, "
           "source_payload_digest string, block string")
@@ -51,10 +57,10 @@ class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.parts: list[str] = []
-        self.title: list[str] = []
+        self.title: list[str] | None = None  # that of the first title outside svg
         self.language, self.links = "", 0
         self.silent: list[str] = []
-        self.in_title = False
+        self.caption: list[str] | None = None  # of the title that is open
         self.began = False  # the head or, where its tags are left out, the body
 
     def end_head(self) -> None:
@@ -64,6 +70,13 @@ class _Reader(HTMLParser):
             self.silent = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if "svg" in self.silent:
+            if tag in INSIDE:
+                self.silent.append(tag)
+                return
+            if self.silent[-1] == "svg" and tag in BREAKOUT:  # it was never closed
+                while self.silent.pop() != "svg":
+                    pass
         if tag not in HEAD:
             self.end_head()
         if tag == "html":
@@ -72,8 +85,8 @@ class _Reader(HTMLParser):
             self.links += 1
         elif tag == "body":
             self.silent = []
-        elif tag == "title":
-            self.in_title = True
+        elif tag == "title" and "svg" not in self.silent:
+            self.caption = []
         if tag == "head":  # a second one, or one in the body, means nothing
             if not self.began:
                 self.silent.append(tag)
@@ -84,17 +97,23 @@ class _Reader(HTMLParser):
             self.parts.append("\n")
 
     def handle_endtag(self, tag: str) -> None:
-        if tag == "title":
-            self.in_title = False
+        if tag == "title" and self.caption is not None:
+            self.end_title()
+            return
         if tag in self.silent:
             while self.silent.pop() != tag:
                 pass
         elif tag in LINES:
             self.parts.append("\n")
 
+    def end_title(self) -> None:
+        if self.title is None:
+            self.title = self.caption
+        self.caption = None
+
     def handle_data(self, data: str) -> None:
-        if self.in_title:
-            self.title.append(data)
+        if self.caption is not None:
+            self.caption.append(data)
             return
         if data.strip():
             self.end_head()
@@ -102,6 +121,8 @@ class _Reader(HTMLParser):
             self.parts.append(data)
 
     def text(self) -> str:
+        if self.caption is not None:
+            self.end_title()
         lines = (" ".join(line.split()) for line in "".join(self.parts).split("\n"))
         return "\n".join(line for line in lines if line)
 
@@ -149,7 +170,7 @@ def _derived(source: str, uri: str | None, date: str | None, block: bytes) -> li
     plain = page.text()
     about = {"refers_to": source, "target_uri": uri, "date": date or DATE,
              "source_block_digest": digest(block), "source_payload_digest": digest(payload)}
-    clean = " ".join("".join(page.title).split())
+    clean = " ".join("".join(page.title or ()).split())
     lines = [*[f"http-{n.lower()}: {v}" for n, v in fields],
              f"source-block-digest: {about['source_block_digest']}",
              f"source-payload-digest: {about['source_payload_digest']}",
@@ -211,6 +232,8 @@ def serialised(records: DataFrame) -> DataFrame:
     return records.select(F.concat(
         F.lit("WARC/1.1\r\n"), field("WARC-Type", F.col("warc_type")),
         field("WARC-Record-ID", F.col("record_id")), field("WARC-Refers-To", F.col("refers_to")),
+        field("WARC-Refers-To-Target-URI", F.col("target_uri")),
+        field("WARC-Refers-To-Date", F.col("date")),
         field("WARC-Target-URI", F.col("target_uri")), field("WARC-Date", F.col("date")),
         field("WARC-Block-Digest", F.col("block_digest")),
         field("Content-Type", F.col("content_type")),

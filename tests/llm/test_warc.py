@@ -4,6 +4,8 @@ import gzip
 import hashlib
 import re
 
+import pytest
+
 from rosterloom.llm import warc
 
 PAGE = ('<!DOCTYPE html><html lang="de"><head><title>A &amp;\n B</title><style>p{}</style></head>'
@@ -84,3 +86,18 @@ def test_head_ends_where_its_end_is_left_out(spark):
     rows = warc.derive(responses(spark, [http(p.encode()) for p in pages]), ["page_id"])
     found = {r["page_id"]: r["block"] for r in rows.where("warc_type = 'conversion'").collect()}
     assert [found[i] for i in range(len(pages))] == list(pages.values())
+
+
+@pytest.mark.parametrize("page, title, text", [
+    ("<title>Real</title><svg><title>icon</title><path/></svg><p>a", "Real", "a"),
+    ("<svg><title>icon</title></svg><title>Real</title><p>a", "Real", "a"),
+    ("<title>one</title><title>two</title><p>a", "one", "a"),
+    ("<p>a<svg><path><p>b<p>c", "", "a\nb\nc"),
+    ("<p>a<svg><foreignObject><p>in</p></foreignObject><text>t</text></svg>b<p>c", "", "a\nb\nc"),
+    ("<p>a<svg><g><desc><b>x</b></desc></g><path><div>d</div>", "", "a\nd"),
+    ("<title>never closed", "never closed", "")])
+def test_titles_and_foreign_content(page, title, text):
+    reader = warc._Reader()
+    reader.feed(page)
+    reader.close()
+    assert (reader.text(), "".join(reader.title or ())) == (text, title)
