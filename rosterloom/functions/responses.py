@@ -86,7 +86,7 @@ def company_country(company: Column) -> Column:
         shown(company, "$.location.country"))
 
 
-def _list(value: Column, path: str) -> Column:
+def listed(value: Column, path: str) -> Column:
     """Elements of an array field; empty when null, hidden or absent."""
     return F.coalesce(F.try_variant_get(value, path, "array<variant>"),
                       F.array().cast("array<variant>"))
@@ -94,7 +94,7 @@ def _list(value: Column, path: str) -> Column:
 
 def _position(e: Column) -> Column:
     company, title = at(e, "$.company"), at(e, "$.title")
-    levels = F.transform(_list(title, "$.levels"),
+    levels = F.transform(listed(title, "$.levels"),
                          lambda v: F.when(kind_of(v) != "BOOLEAN",
                                           F.try_variant_get(v, "$", "string"))
                          .when(F.try_variant_get(v, "$", "boolean"), "True"))
@@ -109,18 +109,53 @@ def _position(e: Column) -> Column:
         .alias("is_primary"))
 
 
+# Text fields of a provider's person record besides its id.
+PROFILE_TEXTS = ("full_name", "first_name", "last_name", "linkedin_url", "location_name",
+                 "location_country", "job_title", "job_title_role", "job_company_name",
+                 "job_company_industry")
+
+
+def profile_problem(data: Column) -> Column:
+    """Why a person record (VARIANT) cannot be read as a profile, or null.
+
+    The id must be text, other texts may be missing or hidden, years must be whole, and
+    ``experience`` is a list of objects unless missing or hidden.
+    """
+    def kind(path: str) -> Column:
+        found = kind_of(at(data, path))
+        return F.when(~found.isin("VOID", "BOOLEAN"), found)
+
+    def wrong(when: Column, text: str) -> Column:
+        return F.when(when, text)
+
+    key = kind_of(at(data, "$.id"))
+    years = "$.inferred_years_experience"
+    number = F.try_variant_get(data, years, "double")
+    whole = F.when(kind(years) == "STRING", _whole(F.try_variant_get(data, years, "string"))
+                   .isNotNull()).otherwise(F.coalesce(number == F.floor(number), F.lit(False)))
+    return F.nullif(F.concat_ws(
+        "; ", wrong(key.isNull(), "id: Field required"),
+        wrong(key != "STRING", "id: Input should be a valid string"),
+        *[wrong(kind(f"$.{n}") != "STRING", f"{n}: Input should be a valid string")
+          for n in PROFILE_TEXTS],
+        wrong(kind(years).isNotNull() & ~whole,
+              "inferred_years_experience: Input should be a valid integer"),
+        wrong(~kind("$.experience").startswith("ARRAY"),
+              "experience: Input should be a valid list"),
+        wrong(F.exists(listed(data, "$.experience"), lambda e: ~F.coalesce(
+            kind_of(e).startswith("OBJECT"), F.lit(False))),
+            "experience: Input should be an object")), F.lit(""))
+
+
 def coerce_obscured(data: Column) -> Column:
     """A provider person record (VARIANT) as the typed profile struct.
 
     Hidden values become null, a missing or hidden ``experience`` becomes an empty list.
     """
-    names = ("id", "full_name", "first_name", "last_name", "linkedin_url", "location_name",
-             "location_country", "job_title", "job_title_role", "job_company_name",
-             "job_company_industry")
     return F.struct(
-        *[shown(data, f"$.{n}").alias(n) for n in names],
+        *[shown(data, f"$.{n}").alias(n) for n in ("id", *PROFILE_TEXTS)],
         shown(data, "$.inferred_years_experience", "int").alias("inferred_years_experience"),
-        F.transform(_list(data, "$.experience"), _position).alias("experience"))
+        F.transform(listed(data, "$.experience"), _position).alias("experience"))
 
 
 def response_error(body: Column) -> Column:

@@ -220,13 +220,16 @@ def name_candidates(people: DataFrame) -> DataFrame:
 
 
 def resolve_attempts(responses: DataFrame, cfg: LadderConfig = LADDER,
-                     keys: tuple[str, ...] = ("lookup_key",)) -> DataFrame:
+                     keys: tuple[str, ...] = ("lookup_key",),
+                     also: dict[str, Column] | None = None) -> DataFrame:
     """The response that counts per call: the first final one, else the last allowed.
 
     ``responses`` is one row per attempt (``attempt``, ``http_status``, ``wait`` from the
-    headers or null).  Adds ``attempts`` and the capped seconds waited before it.
+    headers or null).  Adds ``attempts``, the capped seconds waited before it, and the aggregates
+    in ``also``.  An attempt without a status (a transport failure) is final.
     """
-    retried = (F.col("http_status") == 429) | (F.col("http_status") >= 500)
+    retried = F.coalesce((F.col("http_status") == 429) | (F.col("http_status") >= 500),
+                         F.lit(False))
     allowed = responses.filter(F.col("attempt") <= cfg.max_attempts)
     last = F.col("attempt") == cfg.max_attempts
     asked = F.when(F.col("http_status") == 429, F.col("wait"))
@@ -240,12 +243,13 @@ def resolve_attempts(responses: DataFrame, cfg: LadderConfig = LADDER,
     chosen = allowed.groupBy(*keys).agg(
         F.min_by(F.struct(*held), rank).alias("r"),
         F.map_from_entries(F.collect_list(F.struct("attempt", F.when(retried & ~last, pause)
-                                                   .otherwise(0.0)))).alias("pauses"))
+                                                   .otherwise(0.0)))).alias("pauses"),
+        *[value.alias(name) for name, value in (also or {}).items()])
     waited = F.aggregate(
         F.filter(F.map_entries("pauses"), lambda e: e["key"] < F.col("r.attempt")),
         F.lit(0.0), lambda acc, e: acc + e["value"])
     return chosen.select(*keys, "r.*", F.col("r.attempt").alias("attempts"),
-                         waited.alias("waited_seconds"))
+                         waited.alias("waited_seconds"), *(also or {}))
 
 
 def interpret_status(calls: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from rosterloom.functions import guards as G
 from rosterloom.functions import responses as R
 from rosterloom.functions import text as X
 from rosterloom.operators import breaker, credits, curate, erasure, matching, monitoring, validation
-from rosterloom.plans import analytics, derived, pipeline
+from rosterloom.plans import analytics, derived, pipeline, recorded
 from rosterloom.plans import oracle as O
 from rosterloom.plans.workspace import Workspace
 from rosterloom.session import cut_lineage, scratch_path
@@ -1195,6 +1195,90 @@ def _(w: Workspace) -> DataFrame:
         "credits_consumed", "attempts", "match_flags", "requested_at")
 
 
+def recorded_attempts(w: Workspace) -> DataFrame:
+    """What the rows' own calls would have left on record, retries and odd answers included.
+
+    A row calls unless an earlier row of its batch has an answer to its key that can be kept.
+    """
+    row = F.col("row_number")
+    lost, garbled = row % 50 == 7, (row % 41 == 3) & (F.col("status") == "matched")
+    profiles = w.people().select("person_id", F.to_json(F.col("profile").withField(
+        "location_name", F.lit(True))).alias("data"))
+    # A name stands for two people at most in the derived catalogue.
+    named = w.candidates().groupBy("name_key").agg(F.array_sort(F.collect_list(F.struct(
+        "person_id", "match_score"))).alias("found"))
+    name = X.normalize_text(F.concat_ws(" ", "first_name", "last_name"))
+    rows = (w.outcomes().select(
+                "batch_id", "row_number", "lookup_key", "call_kind", "person_id", "likelihood",
+                "http_status", "provider_error", "status", "requested_at", name.alias("name_key"))
+            .withColumn("kept", F.col("status").isin(V.CACHEABLE_STATUSES) & ~lost & ~garbled))
+    first = rows.filter("kept").groupBy("batch_id", "lookup_key").agg(
+        F.min("row_number").alias("first"))
+    calls = (rows.join(first, ["batch_id", "lookup_key"], "left")
+             .filter(F.col("first").isNull() | (row <= F.col("first")))
+             .join(profiles, "person_id", "left").join(named, "name_key", "left"))
+    data = F.when(garbled, F.lit('{"id": 7}')).otherwise(F.col("data"))
+    match = F.transform("found", lambda c: F.concat(
+        F.lit('{"match_score": '), c["match_score"].cast("string"), F.lit(', "data": '),
+        F.when(c["person_id"] == F.col("person_id"), data).otherwise(F.lit('{"id": "x"}')),
+        F.lit("}")))
+    body = (F.when(F.col("provider_error").isNotNull(), F.to_json(F.struct(F.struct(
+                F.col("provider_error").alias("message")).alias("error"))))
+            .when((F.col("http_status") == 200) & (F.col("call_kind") == "enrich"), F.concat(
+                F.lit('{"likelihood": '), F.col("likelihood").cast("string"), F.lit(', "data": '),
+                data, F.lit("}")))
+            .when(F.col("http_status") == 200, F.concat(
+                F.lit('{"matches": ['), F.array_join(match, ", "), F.lit("]}")))
+            .otherwise("not json"))
+    last = F.when((F.col("http_status") == 500) & ~lost, 4).otherwise(row % 3 + 1)
+    final = F.col("attempt") == F.col("last")
+    busy = F.when(F.col("attempt") % 2 == 1, 429).otherwise(503)
+    header = (F.when(~final, F.create_map(F.lit("Retry-After"), F.lit("12.5")))
+              .when(row % 5 == 0, F.create_map(F.lit("X-Call-Credits-Spent"), F.lit("2")))
+              .when(row % 5 == 1, F.create_map(F.lit("x-call-credits-spent"), F.lit("n/a"))))
+    return (calls.withColumn("last", last).withColumn("body", body)
+            .withColumn("attempt", F.explode(F.sequence(F.lit(1), F.col("last"))))
+            .select("batch_id", "row_number", "attempt",
+                    (F.col("requested_at") + F.make_dt_interval(
+                        mins=F.col("attempt") - 1)).alias("requested_at"),
+                    F.when(final, F.when(~lost, F.col("http_status"))).otherwise(
+                        F.when((F.col("http_status") == 500) & ~lost, 500).otherwise(busy))
+                    .alias("http_status"),
+                    header.alias("headers"), F.when(final & ~lost, F.col("body")).alias("body"),
+                    F.when(final & lost, "connection reset").alias("failure")))
+
+
+_RECORDED = {
+    "fated": """SELECT *, row_number % 50 = 7 AS lost, row_number % 41 = 3 AND status = 'matched'
+        AS garbled, CASE WHEN row_number % 50 = 7 OR (row_number % 41 = 3 AND status = 'matched')
+        THEN 'error' ELSE status END AS fate FROM flagged""",
+    "called": """SELECT *, coalesce(row_number > min(CASE WHEN fate IN ('matched', 'not_found',
+        'ambiguous') THEN row_number END) OVER (PARTITION BY batch_id, lookup_key), false) AS served
+        FROM fated"""}
+
+
+@query("recorded_results", """SELECT batch_id, row_number, CASE WHEN served THEN 'cached' ELSE fate END
+       AS status, CASE WHEN served OR fate = 'matched' THEN person_id END AS person_id,
+       CASE WHEN served OR fate IN ('matched', 'ambiguous') THEN likelihood END AS likelihood,
+       cast(CASE WHEN served OR fate <> 'error' THEN candidates END AS bigint) AS candidates,
+       cast(CASE WHEN NOT served AND NOT lost THEN http_status END AS bigint) AS http_status,
+       CASE WHEN served THEN NULL WHEN lost THEN 'transport error: connection reset'
+            WHEN garbled THEN 'unparseable profile: id: Input should be a valid string'
+            ELSE error_message END AS error_message,
+       cast(CASE WHEN served OR lost THEN 0 WHEN row_number % 5 = 0 THEN 2 ELSE credits END AS bigint)
+       AS credits_consumed, cast(CASE WHEN served THEN 0 WHEN http_status = 500 AND NOT lost THEN 4
+       ELSE row_number % 3 + 1 END AS bigint) AS attempts,
+       CASE WHEN served OR fate = 'matched' THEN match_flags ELSE '' END AS match_flags,
+       strftime(cast(batch_date AS timestamp) + to_seconds(row_number), '%Y-%m-%d %H:%M:%S')
+       AS requested_at FROM called""", **_RECORDED)
+def _(w: Workspace) -> DataFrame:
+    results = recorded.recorded_results(w.valid(), recorded_attempts(w), w.settings)
+    return results.select(
+        "batch_id", "row_number", "status", F.col("profile.id").alias("person_id"), "likelihood",
+        "candidates", "http_status", "error_message", "credits_consumed", "attempts", "match_flags",
+        "requested_at")
+
+
 @query("write_curated", """SELECT 'dim_person' AS "table", batch_date, count(*) AS rows FROM dim_person
        GROUP BY batch_date UNION ALL SELECT 'fact_employment', batch_date, count(*) FROM fact_employment
        GROUP BY batch_date UNION ALL SELECT 'fact_lookup', batch_date, count(*) FROM fact_lookup

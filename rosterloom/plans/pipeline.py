@@ -70,6 +70,7 @@ def row_clock() -> Column:
 def record(outcomes: DataFrame) -> DataFrame:
     """Lookup results from outcomes with ``repeat`` and, optionally, ``block`` marks.
 
+    A call counts one attempt unless the outcomes have ``attempts``.
     ``block`` is a struct (status, message, http_status) of rows that never were called.
     """
     cached = F.col("repeat")
@@ -94,7 +95,8 @@ def record(outcomes: DataFrame) -> DataFrame:
         F.when(blocked, F.col("block.message")).when(~cached, F.col("error_message"))
         .alias("error_message"),
         F.when(idle, 0).otherwise(F.col("credits")).alias("credits_consumed"),
-        F.when(idle, 0).otherwise(1).alias("attempts"),
+        F.when(idle, 0).otherwise(F.col("attempts") if "attempts" in outcomes.columns else 1)
+        .alias("attempts"),
         F.when(~blocked, F.when(cached, F.coalesce("payer_ref", "raw_ref"))
                .otherwise(F.col("raw_ref"))).alias("raw_ref"),
         F.when(blocked, F.array().cast("array<string>")).otherwise(F.col("match_flags"))

@@ -19,7 +19,7 @@ CHECKED = ["lookup_key", "split_valid_invalid", "file_verdict", "coerce_obscured
            # what is written and read back, streams, and all call rules together
            "raw_responses", "rejected_rows_export", "manifest", "cache_lookup", "resolve_attempts",
            "erase_rows", "erase_raw", "purge_cache", "erase_rebuild", "idempotency_check",
-           "duplicate_deliveries", "hourly_stream", "protected_results"]
+           "duplicate_deliveries", "hourly_stream", "protected_results", "recorded_results"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables are absent")
 
