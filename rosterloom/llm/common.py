@@ -59,6 +59,25 @@ def deal_ranks(df: DataFrame, keys: list[str], order: list[Column], name: str,
             .drop("__b", "__r", "__start"))
 
 
+def deal_sums(df: DataFrame, keys: list[str], value: Column, order: list[Column], name: str,
+              buckets: int = RANK_BUCKETS) -> DataFrame:
+    """Adds the sum of ``value`` over the rows before, within ``keys``; else like :func:`deal_ranks`.
+
+    ``order`` tells the rows of a key apart.
+    """
+    dealt = df.withColumn("__v", value).withColumn(
+        "__b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(*keys, "__b").agg(F.sum("__v").alias("__n")).select(
+        *keys, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy(*keys, "__b").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return (dealt.withColumn("__r", F.coalesce(F.sum("__v").over(inside), F.lit(0)))
+            .join(starts, [*keys, "__b"])
+            .withColumn(name, (F.col("__start") + F.col("__r")).cast("long"))
+            .drop("__v", "__b", "__r", "__start"))
+
+
 #: Bits of a screen at most: 32 MB, which every task gets.
 SCREEN_BITS = 1 << 28
 

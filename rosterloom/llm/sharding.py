@@ -9,9 +9,9 @@ hash.  Then, in turns,
 3. moves from shard i to shard j are granted up to a quota: as many as want to move from j to i,
    plus a share of the room that j has left below its capacity,
 
-until no move is granted, or the edges cut don't get fewer.  Then every shard gets its exact count:
-members beyond it are taken out, whole groups together where possible, and they and the
-unlinked documents fill the shards that have room.
+until no edge is cut, or the edges cut don't get fewer; the best state counts.  Then every shard gets
+its exact count: groups are placed whole, those a shard has no place for in others with room, and
+the unlinked documents fill up (see :func:`settle`).
 
 The law is ``rows``: document counts of any two shards differ by one at most.  A hub larger than a
 part of a shard is split beforehand by the hash of its members, for it can't stay whole anyway.
@@ -24,10 +24,12 @@ copies.  Documents without an id are placed like others.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterloom.llm.common import deal_ranks, read
+from rosterloom.llm.common import deal_ranks, deal_sums, read
 from rosterloom.session import cut_lineage
 
 SHARDS = 40
@@ -63,15 +65,17 @@ def _cut(counts: DataFrame) -> int:
 
 def propagate(links: DataFrame, total: int, shards: int = SHARDS, turns: int = TURNS) -> DataFrame:
     """Shards (member, shard) of the linked members; ``links`` is a stored table."""
-    state = cut_lineage(_start(links.select("member").distinct(), shards))
-    best = None
-    for _ in range(turns):
+    state = best = cut_lineage(_start(links.select("member").distinct(), shards))
+    least = None
+    for turn in range(turns + 1):
         counts = cut_lineage(links.join(state, "member").groupBy("hub", "shard").agg(
             F.count("*").alias("n")))
         cut = _cut(counts)
-        if cut == 0 or (best is not None and cut >= best):
+        if least is not None and cut >= least:
+            break
+        least, best = cut, state
+        if cut == 0 or turn == turns:
             break
-        best = cut
         # Ties go by a hash, so that not all hubs prefer the same shards.
         favourite = counts.groupBy("hub").agg(F.max(F.struct(
             "n", F.xxhash64("hub", "shard").alias("tie"), "shard")).alias("top")).select(
@@ -80,8 +84,7 @@ def propagate(links: DataFrame, total: int, shards: int = SHARDS, turns: int = T
             F.sum("n").alias("n"))
         wishes = (votes.groupBy("member").agg(F.max(F.struct(
                       "n", (-F.col("wanted")).alias("low"))).alias("top"))
-                  .select("member", F.col("top.n").alias("gain"),
-                          (-F.col("top.low")).alias("wanted"))
+                  .select("member", (-F.col("top.low")).alias("wanted"))
                   .join(state, "member").where("wanted <> shard"))
         wishes = cut_lineage(wishes)
         # At most shards * shards rows.
@@ -106,34 +109,87 @@ def propagate(links: DataFrame, total: int, shards: int = SHARDS, turns: int = T
                  .select("member", F.col("wanted").alias("to")))
         state = cut_lineage(state.join(moved, "member", "left").select(
             "member", F.coalesce("to", "shard").cast("int").alias("shard")))
-    return state
+    return best
 
 
 def settle(members: DataFrame, total: int, shards: int = SHARDS) -> DataFrame:
     """Adds ``shard`` under the law ``rows``.
 
     ``members`` is a stored table with member, hub (null if unlinked) and wish (null if unlinked).
+    Groups are placed whole: first in the shard that most of their members wish for, as many as
+    fit; then along the line of the rooms that are left, where a group that lies across the end of a
+    room (at most one for each end) goes to any other room that holds it.  Only one that
+    fits nowhere is split.  Last, unlinked rows fill the shards.
     """
-    linked = deal_ranks(members.where("wish is not null"), ["wish"],
-                        [F.col("hub"), F.col("member")], "rank")
-    stays = F.col("rank") < _capacity(F.col("wish"), total, shards)
-    linked = cut_lineage(linked.withColumn("stays", stays).drop("rank"))
-    placed = linked.where("stays").select("member", F.col("wish").alias("shard"))
+    linked = members.where("wish is not null")
+    wishes = linked.groupBy("hub", "wish").agg(F.count("*").alias("n"))
+    groups = cut_lineage(wishes.groupBy("hub").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "wish")).alias("top")).select(
+        "hub", F.col("n"), F.col("top.wish").alias("home")))
+    at_home = deal_sums(groups, ["home"], F.col("n"), [F.col("hub")], "before")
+    at_home = cut_lineage(at_home.withColumn("stays", F.col("before") + F.col("n")
+                                             <= _capacity(F.col("home"), total, shards)))
     # One row for each shard comes to the driver.
-    held = {r["shard"]: r["n"] for r in
-            placed.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-    ends, end = [], 0
-    for s in range(shards):
-        end += total // shards + (s < total % shards) - held.get(s, 0)
-        ends.append(end)
-    filling = cut_lineage(members.where("wish is null").select("member", "hub").unionByName(
-        linked.where("not stays").select("member", "hub")).withColumn("all", F.lit(0)))
-    # Members of one hub come one after the other.
-    order = [F.coalesce("hub", F.xxhash64("member"))]
-    ranked = deal_ranks(filling, ["all"], [*order, F.col("member")], "rank")
-    shard = F.size(F.filter(F.array(*[F.lit(e).cast("long") for e in ends]),
-                            lambda e: e <= F.col("rank")))
-    return placed.unionByName(ranked.select("member", shard.cast("int").alias("shard")))
+    held = {r["home"]: r["n"] for r in at_home.where("stays").groupBy("home").agg(
+        F.sum("n").alias("n")).collect()}
+    rooms = [total // shards + (s < total % shards) - held.get(s, 0) for s in range(shards)]
+    ends = _ends(rooms)
+    others = cut_lineage(at_home.where("not stays").select(
+        "hub", "n", F.lit(0).alias("all")))
+    line = deal_sums(others, ["all"], F.col("n"), [F.col("hub")], "before").withColumns({
+        "shard": _room(ends, F.col("before")),
+        "last": _room(ends, F.col("before") + F.col("n") - 1)})
+    line = cut_lineage(line.withColumn("whole", F.col("shard") == F.col("last")))
+    for row in line.where("whole").groupBy("shard").agg(F.sum("n").alias("n")).collect():
+        rooms[row["shard"]] -= row["n"]
+    # No more groups than rooms have ends.
+    cuts = _fit([(r["hub"], r["n"]) for r in line.where("not whole").select("hub", "n").collect()],
+                rooms)
+    homes = at_home.where("stays").select("hub", F.col("home").alias("shard")).unionByName(
+        line.where("whole").select("hub", "shard"))
+    placed = linked.select("member", "hub").join(homes, "hub").select("member", "shard")
+    if cuts:
+        hubs = sorted({hub for hub, _, _ in cuts})
+        across = cut_lineage(linked.where(F.col("hub").isin(hubs)).select("member", "hub"))
+        ranked = deal_ranks(across, ["hub"], [F.col("member")], "rank")
+        shard = F.coalesce(*[F.when((F.col("hub") == hub) & (F.col("rank") < end), to)
+                             for hub, end, to in cuts])
+        placed = placed.unionByName(ranked.select("member", shard.alias("shard")))
+    ends = _ends(rooms)
+    filling = cut_lineage(members.where("wish is null").select("member", F.lit(0).alias("all")))
+    ranked = deal_ranks(filling, ["all"], [F.col("member")], "rank")
+    return placed.unionByName(ranked.select("member", _room(ends, F.col("rank")).alias("shard")))
+
+
+def _ends(rooms: list[int]) -> list[int]:
+    """Where each shard's room ends when the rooms lie one after the other."""
+    return list(accumulate(rooms))
+
+
+def _room(ends: list[int], place: Column) -> Column:
+    """The shard in whose room a place of the line lies."""
+    return F.size(F.filter(F.array(*[F.lit(e).cast("long") for e in ends]),
+                           lambda e: e <= place)).cast("int")
+
+
+def _fit(groups: list[tuple[int, int]], rooms: list[int]) -> list[tuple[int, int, int]]:
+    """Rooms for a few groups: (hub, ranks below this and above the entry before, shard).
+
+    The largest group first, in the smallest room that holds it, else over the largest
+    rooms.  Takes the places from ``rooms``.
+    """
+    cuts = []
+    for hub, n in sorted(groups, key=lambda g: (-g[1], g[0])):
+        done = 0
+        while done < n:
+            fitting = [s for s, room in enumerate(rooms) if room >= n - done]
+            to = (min(fitting, key=lambda s: rooms[s]) if fitting
+                  else max(range(len(rooms)), key=lambda s: rooms[s]))
+            taken = min(rooms[to], n - done)
+            rooms[to] -= taken
+            done += taken
+            cuts.append((hub, done, to))
+    return cuts
 
 
 def shard_documents(docs: DataFrame, group: Column, keep: list[str], shards: int = SHARDS,

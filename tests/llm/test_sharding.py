@@ -28,6 +28,42 @@ def test_groups_move_together_and_counts_stay_even(spark):
     assert sum(len({where[i + k] for k in range(3)}) > 1 for i in range(0, 120, 3)) <= 2
 
 
+def test_groups_that_fill_shards_exactly_are_never_split(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"),
+                                    F.floor(F.col("id") / 5).cast("string").alias("text"))
+    rows = shard(docs)
+    lawful(rows, 4000, 40)
+    assert (rows.groupby(rows.doc_id // 5).shard.nunique() == 1).all()
+
+
+def test_groups_of_many_sizes_are_split_at_the_ends_of_rooms_only(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.floor(
+        F.sqrt(F.col("id") * 2.0)).cast("string").alias("text"))  # sizes 1, 2, 3, ...
+    rows = shard(docs, shards=12)
+    lawful(rows, 3000, 12)
+    split = rows.groupby(((rows.doc_id * 2.0) ** 0.5).astype(int)).shard.nunique() > 1
+    assert split.sum() <= 11
+
+
+def test_rooms_for_a_few_groups():
+    rooms = [4, 7, 2]
+    assert sharding._fit([(1, 3), (2, 6), (3, 4)], rooms) == [
+        (2, 6, 1), (3, 4, 0), (1, 2, 2), (1, 3, 1)]
+    assert rooms == [0, 0, 0]
+
+
+def test_propagation_returns_the_best_state(spark):
+    links = spark.range(900).select(F.col("id").alias("member"), (F.col("id") % 60).alias("hub"))
+
+    def cut(state):
+        return sharding._cut(links.join(state, "member").groupBy("hub", "shard").agg(
+            F.count("*").alias("n")))
+
+    start = cut(sharding._start(links.select("member"), 6))
+    ends = [cut(sharding.propagate(links, 900, 6, turns)) for turns in (1, 3, 8)]
+    assert start > ends[0] >= ends[1] >= ends[2]
+
+
 @pytest.mark.parametrize("texts", [
     ["same"] * 60, ["same"] * 40 + [prose(5, i) for i in range(20)],
     [prose(5, i // 2) for i in range(60)], [prose(5, i) for i in range(60)], ["a", "b", None]])
