@@ -7,6 +7,7 @@ that both engines hash alike.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,8 @@ from rosterloom.plans import analytics, derived, pipeline, recorded
 from rosterloom.plans import oracle as O
 from rosterloom.plans.workspace import Workspace
 from rosterloom.session import cut_lineage, scratch_path
-from rosterloom.sources import landing, splits, store
+from rosterloom.sources import landing, retention, splits, store
+from rosterloom.sources.snapshots import Publication
 from rosterloom.streaming import jobs
 from rosterloom.tables import conform_schema, stamp_version
 
@@ -1669,6 +1671,45 @@ def _(w: Workspace) -> DataFrame:
                                          V.RETENTION_DAYS["landing"], F.lit("2024-02-10").cast("date"))
 
 
+#: Clean-up of what the calls left: what a table has one row for (its keys of a call).
+KEPT_PER = {"raw": ["call_id"], "landing": ["provider", "hour"], "quarantine": ["provider", "day"],
+            "lookup_cache": ["value"], "batch_claims": ["provider", "hour"],
+            "batch_counter": ["provider", "day"], "month_counter": ["provider", "kind", "day"],
+            "exhausted_marker": ["provider", "kind", "hour"]}
+CLEANED_AT = dt.datetime(2024, 2, 10, 11, 30)
+
+
+def _left_sql() -> str:
+    """Rows a clean-up leaves, by table and date; ages are set so that each limit falls among them."""
+    return " UNION ALL ".join(f"""SELECT '{table}' AS "table", strftime(age, '%Y-%m-%d') AS batch_date,
+        count(*) AS rows FROM (SELECT max(requested_at) - INTERVAL {days - 25} DAY AS age FROM
+        (SELECT *, date_trunc('hour', requested_at) AS hour, date_trunc('day', requested_at) AS day
+         FROM calls) AS c GROUP BY {", ".join(KEPT_PER[table])}) AS x
+        WHERE age > TIMESTAMP '{CLEANED_AT}' - INTERVAL {days} DAY GROUP BY 2"""
+                              for table, days in V.RETENTION_DAYS.items())
+
+
+@query("clean_up", _left_sql())
+def _(w: Workspace) -> DataFrame:
+    root = scratch_path(w.spark, "expiring")
+    calls = w.stage("calls", lambda: w.provider_calls().withColumns({
+        "hour": F.date_trunc("hour", "requested_at"), "day": F.date_trunc("day", "requested_at")}))
+    publication = Publication(w.spark, root)
+    for rule in retention.RULES:
+        age = F.max("requested_at") - F.make_dt_interval(F.lit(rule.days - 25))
+        rows = calls.groupBy(*KEPT_PER[rule.table]).agg(age.alias("age"))
+        retention.add(rows.select(F.col("age").alias(rule.age)), rule, publication)
+    publication.commit()
+    retention.clean_up(w.spark, root, CLEANED_AT)
+    left = None
+    for rule in retention.RULES:
+        part = (retention.read(w.spark, root, rule.table, f"{rule.age} timestamp")
+                .groupBy("batch_date").agg(F.count("*").alias("rows"))
+                .select(F.lit(rule.table).alias("table"), "batch_date", "rows"))
+        left = part if left is None else left.unionByName(part)
+    return left
+
+
 @query("batch_notifications", """SELECT q.batch_id, batch_date, coalesce(n, 0) AS row_errors,
        cast(warning_count AS bigint) AS warning_count, concat('Batch ', q.batch_id, ' completed with ',
        coalesce(n, 0), ' row error(s) out of ', rows_valid, ' rows',
