@@ -58,25 +58,46 @@ def subject_match(requests: DataFrame, rows: DataFrame, rejected: DataFrame,
     identities first, so one equi-join finds id, e-mail and name matches; an OR over the
     three would be a nested loop.
     """
+    records = _records(rows, rejected, results, *ROW)
+    wanted = _identities(usable_requests(requests), F.col("email"), F.col("first_name"),
+                         F.col("last_name"), F.col("person_id"), "request_id").distinct()
+    return (records.join(wanted, ["by", "identity"])
+            .select("request_id", *ROW, "part").distinct())
+
+
+def _records(rows: DataFrame, rejected: DataFrame, results: DataFrame, *carry: str) -> DataFrame:
+    """Identities of all records of the layers, and the ``part`` a record is of."""
     none = F.lit(None).cast("string")
     raw = F.col("raw")
-    tagged = rejected.select(*ROW, raw["email"].alias("email"),
+    tagged = rejected.select(*carry, raw["email"].alias("email"),
                              raw["first_name"].alias("first_name"),
                              raw["last_name"].alias("last_name"))
     part = F.lit("row")
-    records = (
-        _identities(rows, F.col("email"), F.col("first_name"), F.col("last_name"), none, *ROW)
+    return (
+        _identities(rows, F.col("email"), F.col("first_name"), F.col("last_name"), none, *carry)
         .withColumn("part", part)
         .unionByName(_identities(tagged, F.col("email"), F.col("first_name"),
-                                 F.col("last_name"), none, *ROW)
+                                 F.col("last_name"), none, *carry)
                      .withColumn("part", F.lit("rejected")))
         .unionByName(_identities(results, F.col("email"), F.col("first_name"),
-                                 F.col("last_name"), F.col("profile.id"), *ROW)
+                                 F.col("last_name"), F.col("profile.id"), *carry)
                      .withColumn("part", part)))
-    wanted = _identities(usable_requests(requests), F.col("email"), F.col("first_name"),
-                         F.col("last_name"), F.col("person_id"), "request_id").distinct()
-    return (records.join(wanted, ["by", "identity"])
-            .select("request_id", *ROW, "part").distinct())
+
+
+def _key() -> Column:
+    return F.xxhash64("by", "identity").alias("key")
+
+
+def identity_entries(rows: DataFrame, rejected: DataFrame, results: DataFrame) -> DataFrame:
+    """(key, batch_date, batch_id): which batches hold which identities, as hashes."""
+    own = ["batch_date", "batch_id"]
+    return _records(rows, rejected, results, *own).select(_key(), *own).distinct()
+
+
+def request_keys(requests: DataFrame) -> DataFrame:
+    """Hashes of what the requests' subjects are known by."""
+    return _identities(usable_requests(requests), F.col("email"), F.col("first_name"),
+                       F.col("last_name"), F.col("person_id")).select(_key()).distinct()
 
 
 def erasure_items(matches: DataFrame, results: DataFrame, sources: DataFrame) -> DataFrame:

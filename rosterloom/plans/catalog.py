@@ -24,7 +24,7 @@ from rosterloom.plans import analytics, derived, pipeline, recorded
 from rosterloom.plans import oracle as O
 from rosterloom.plans.workspace import Workspace
 from rosterloom.session import cut_lineage, scratch_path
-from rosterloom.sources import landing, retention, splits, store
+from rosterloom.sources import identities, landing, retention, splits, store
 from rosterloom.sources.snapshots import Publication
 from rosterloom.streaming import jobs
 from rosterloom.tables import conform_schema, stamp_version
@@ -1405,7 +1405,7 @@ _ITEMS = """SELECT DISTINCT request_id, batch_id, item, value FROM (
       ON m.batch_id = r.batch_id AND m.row_number = r.row_number WHERE part = 'row'
     UNION ALL SELECT m.request_id, m.batch_id, 'raw_ref', raw_ref FROM matches m JOIN results r
       ON m.batch_id = r.batch_id AND m.row_number = r.row_number WHERE part = 'row'
-    UNION ALL SELECT request_id, batch_id, 'source', concat('s3://landing/incoming/', batch_id, '.csv')
+    UNION ALL SELECT request_id, batch_id, 'source', concat('incoming/', batch_id, '.csv')
       FROM matches) AS x"""
 _ERASE = {"requests": _REQUESTS, "wanted": _WANTED, "matches": _MATCHES, "items": _ITEMS,
           "kept": _CACHE}
@@ -1441,7 +1441,7 @@ def erasure_matches(w: Workspace) -> DataFrame:
 
 def erasure_items(w: Workspace) -> DataFrame:
     sources = w.registrants().select("batch_id").distinct().withColumn("source", F.concat(
-        F.lit("s3://landing/incoming/"), "batch_id", F.lit(".csv")))
+        F.lit("incoming/"), "batch_id", F.lit(".csv")))
     return w.stage("erasure_items", lambda: erasure.erasure_items(
         erasure_matches(w), w.results(), sources))
 
@@ -1451,6 +1451,23 @@ def _(w: Workspace) -> DataFrame:
     return erasure.subject_match(requests(w), w.valid(), w.rejected(), w.results())
 
 
+def index_path(w: Workspace) -> str:
+    """An index of all batches, from three publications."""
+    def write(root: str) -> None:
+        entries = cut_lineage(erasure.identity_entries(w.valid(), w.rejected(), w.results()))
+        for part in range(3):
+            publication = Publication(w.spark, root)
+            identities.add(entries.filter(F.pmod(F.xxhash64("batch_id"), F.lit(3)) == part),
+                           publication)
+            publication.commit()
+    return w.path("identities", write)
+
+
+@query("subject_match_by_index", "SELECT request_id, batch_id, row_number, part FROM matches", **_ERASE)
+def _(w: Workspace) -> DataFrame:
+    return identities.subject_match(requests(w), index_path(w), w.valid(), w.rejected(), w.results())
+
+
 @query("erasure_items", "SELECT request_id, batch_id, item, value FROM items", **_ERASE)
 def _(w: Workspace) -> DataFrame:
     return erasure_items(w)

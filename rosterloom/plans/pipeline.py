@@ -13,7 +13,7 @@ from rosterloom.config import CreditLimits, GuardLimits, LadderConfig
 from rosterloom.operators import breaker, credits, curate, erasure, matching, validation
 from rosterloom.operators.prefix import ordered_prefix
 from rosterloom.session import cut_lineage, discard, scratch_path
-from rosterloom.sources import snapshots, store
+from rosterloom.sources import identities, snapshots, store
 from rosterloom.sources.snapshots import Publication
 
 @dataclass(frozen=True)
@@ -446,6 +446,7 @@ def uploaded(people: DataFrame, candidates: DataFrame, at: Column,
         rejected = cut_lineage(rejected)
         store.write_lookup_results(results, into.root, built, into)
         store.rejected_rows_export(rejected, into.root, built, into)
+        identities.add(erasure.identity_entries(valid, rejected, results), into)
         publish(results, rejected, into.root, at, settings.provider, built=built, into=into)
         quality = store.read_curated(into.spark, into.root, "fact_batch_quality", into.after)
         store.manifest(quality.join(built, ["batch_date", "batch_id"], "left_semi"), into.root,
@@ -458,8 +459,8 @@ def erase(folder: str, matches: DataFrame, items: DataFrame, rejected: DataFrame
           provider: str) -> None:
     """Takes the matched rows out of every layer that lies below ``folder``.
 
-    Layers: ``results``, ``rejected`` (the export), ``raw``, ``cache``, ``curated`` and, where there is
-    one, ``manifest``; only the dates of touched batches are written again, and a batch whose last row goes is emptied.
+    Layers: ``results``, ``rejected`` (the export), ``raw``, ``cache``, ``curated`` and, where there
+    are any, ``manifest`` and ``identities``; only the dates of touched batches are written again, and a batch whose last row goes is emptied.
     ``rejected`` are the parsed rejected rows.  ``cache_gone`` gets the cache entries that went.
     """
     spark = matches.sparkSession
@@ -471,6 +472,13 @@ def erase(folder: str, matches: DataFrame, items: DataFrame, rejected: DataFrame
         return cut_lineage(erasure.affected(erasure.erase_rows(table, matches, part), touched))
 
     kept, turned_away = remaining(results, "row"), remaining(rejected, "rejected")
+    index = f"{folder}/identities"
+    if store.exists(spark, index):
+        held, rest = ([erasure.affected(t, touched) for t in (rejected, results)],
+                      [turned_away, kept])
+        # Before the rows they come from are written again.
+        entries, staying = (cut_lineage(erasure.identity_entries(r, t, r))
+                            for t, r in (held, rest))
     left, gone = erasure.purge_cache(spark.read.parquet(f"{folder}/cache"), items)
     gone.write.mode("overwrite").parquet(f"{folder}/cache_gone")
     cut_lineage(left).write.mode("overwrite").parquet(f"{folder}/cache")
@@ -483,6 +491,8 @@ def erase(folder: str, matches: DataFrame, items: DataFrame, rejected: DataFrame
         quality = store.read_curated(spark, f"{folder}/curated", "fact_batch_quality")
         store.manifest(quality.join(built, ["batch_date", "batch_id"], "left_semi"),
                        f"{folder}/manifest", built)
+    if store.exists(spark, index):
+        identities.forget(spark, index, entries, staying)
     # What was erased must not stay behind in folders that are read no more.
     for part in ("rejected", "results", "curated", "manifest"):
         snapshots.vacuum(spark, f"{folder}/{part}")
