@@ -1490,6 +1490,9 @@ def erased(w: Workspace) -> str:
         write_raw(w, f"{folder}/raw")
         cache(w).write.parquet(f"{folder}/cache")
         w.publish(f"{folder}/curated")
+        publication = Publication(w.spark, f"{folder}/identities")
+        identities.add(erasure.identity_entries(w.valid(), w.rejected(), w.results()), publication)
+        publication.commit()
         pipeline.erase(folder, erasure_matches(w), erasure_items(w), w.rejected(), w.built_at(),
                        "recorded")
     return w.path("erased", write)
@@ -1508,6 +1511,27 @@ def _(w: Workspace) -> DataFrame:
     return kept[0].unionByName(kept[1])
 
 
+_LEFT_ROWS = """SELECT batch_id, email, first_name, last_name, person_id FROM results r
+    WHERE NOT EXISTS (SELECT 1 FROM matches m WHERE m.batch_id = r.batch_id
+      AND m.row_number = r.row_number AND part = 'row')
+    UNION ALL SELECT batch_id, raw_email, raw_first_name, raw_last_name, NULL FROM rejected r
+    WHERE NOT EXISTS (SELECT 1 FROM matches m WHERE m.batch_id = r.batch_id
+      AND m.row_number = r.row_number AND part = 'rejected')"""
+_KNOWN_BY = f"""SELECT batch_id, concat('id ', person_id) AS identity FROM left_rows
+    WHERE person_id IS NOT NULL
+    UNION SELECT batch_id, concat('email ', trim(lower(email))) FROM left_rows
+    WHERE trim(coalesce(email, '')) <> ''
+    UNION SELECT batch_id, concat('name ', {O.fold('first_name')}, '|', {O.fold('last_name')})
+    FROM left_rows WHERE {O.fold('first_name')} <> '' AND {O.fold('last_name')} <> ''"""
+
+
+@query("erase_index", "SELECT batch_id, count(*) AS identities FROM known_by GROUP BY batch_id",
+       left_rows=_LEFT_ROWS, known_by=_KNOWN_BY, **_ERASE)
+def _(w: Workspace) -> DataFrame:
+    return identities.entries(w.spark, f"{erased(w)}/identities").groupBy("batch_id").agg(
+        F.count("*").alias("identities"))
+
+
 @query("erase_raw", """SELECT raw_ref, count(*) AS rows FROM results r WHERE status <> 'cached'
        AND NOT EXISTS (SELECT 1 FROM items i WHERE i.item = 'raw_ref' AND i.value = r.raw_ref)
        GROUP BY raw_ref""", **_ERASE)

@@ -49,6 +49,14 @@ def _whole(spark: SparkSession, root: str, level: int, at: Snapshot) -> DataFram
                     f"{root}/data/{_level(level)}").drop(BUCKET)
 
 
+def entries(spark: SparkSession, root: str) -> DataFrame:
+    """The whole index."""
+    at, every = snapshots.snapshot(spark, root), spark.createDataFrame([], ENTRY)
+    for level in _levels(at):
+        every = every.unionByName(_whole(spark, root, level, at))
+    return every.distinct()
+
+
 def add(entries: DataFrame, into: Publication) -> None:
     """Takes the entries of a publication's batches (``erasure.identity_entries``) into the index."""
     taken, level = _levels(into.after), 0
