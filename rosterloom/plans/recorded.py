@@ -30,7 +30,9 @@ ROW = ("batch_id", "row_number")
 
 def ranked_matches(matches: Column) -> Column:
     """Scores and places of a name search's matches, best first; equal scores keep their order."""
-    score = lambda m: F.coalesce(F.try_variant_get(m, "$.match_score", "double"), F.lit(0.0))
+    def score(m: Column) -> Column:
+        return F.coalesce(F.try_variant_get(m, "$.match_score", "double"), F.lit(0.0))
+
     return F.array_sort(F.transform(matches, lambda m, i: F.struct(
         (-score(m)).alias("below"), i.alias("place"))))
 
