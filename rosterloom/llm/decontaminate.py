@@ -42,6 +42,10 @@ SLACK = 2
 #: Postings whose stretches are counted at once.
 CHUNK = 16_384
 SEGMENT_BYTES = 4_000_000
+#: Segments are large rows: the size of the buffers is looked at after each of them, not after a
+#: hundred as usual, and few of them are written, and so read, at once.
+INDEX_FILES = {"parquet.block.size": 1 << 24, "parquet.page.size.row.check.min": 1,
+               "parquet.page.size.row.check.max": 1}
 BLOCK_BYTES = 16_000_000
 #: Every byte that is no letter, digit or part of a character beyond ASCII parts words.
 SEPARATE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -87,7 +91,8 @@ def build_index(docs: DataFrame, keep: list[str], text: str = "text",
     index = chosen.mapInArrow(run, f"doc array<{kind}>, begin array<int>, n_words array<int>, "
                                    "term array<binary>, posting_end array<int>, posting array<int>")
     # The segment's number is drawn once, as the index is written.
-    index.withColumn("segment", F.monotonically_increasing_id()).write.parquet(path)
+    (index.withColumn("segment", F.monotonically_increasing_id())
+     .write.options(**INDEX_FILES).parquet(path))
     return path
 
 

@@ -3,8 +3,10 @@ import re
 import time
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import documents, odd_texts, prose
+from pyspark.sql import functions as F
 
 from rosterloom.llm import decontaminate
 
@@ -128,3 +130,13 @@ def test_very_many_hits_in_one_document_merge_in_linear_time(spark):
     assert {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in got.select(
         "doc_id", "n_hit", "n_near").collect()} == {0: (400_000, 400_000), 1: (1, 1)}
     assert time.time() - began < 60
+
+
+def test_index_is_written_a_few_segments_at_once(spark, tmp_path):
+    docs = spark.range(0, 100, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(
+        F.lit("abc de f "), 45_000).alias("text"))  # ten segments or more in one task
+    path = decontaminate.build_index(docs, ["doc_id"], path=str(tmp_path / "index"))
+    files = [pq.ParquetFile(f) for f in (tmp_path / "index").glob("*.parquet")]
+    rows = [f.metadata.row_group(g).num_rows for f in files for g in range(f.num_row_groups)]
+    assert sum(rows) >= 10 and max(rows) <= 5
+    assert decontaminate.documents(spark, path).where("n_words = 135000").count() == 100
