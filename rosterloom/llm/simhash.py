@@ -18,8 +18,8 @@ A bucket of more than ``HOT_BUCKET`` nodes is dealt to cells (i, j) of node part
 its pairs still meet, each in one of many tasks.
 
 The stage that removes near-duplicates (:func:`deduplicated`) asks for a Jaccard similarity of 0.8,
-which fingerprints only estimate: there shared rare shingles propose groups, and the sets are
-compared exactly.  Its texts move only where they may be in a group.
+which fingerprints only estimate: their links are confirmed by the sets, and shared rare shingles
+bring together what fingerprints leave apart.  Its texts move only where they may be in a group.
 
 Null and empty texts, and texts without words, have fingerprint zero and are linked like any
 other.  Repeated rows and rows with a null id stay rows of the result.  A null id never becomes
@@ -34,7 +34,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.llm.common import components, read, screen, slices
@@ -352,6 +352,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 # ------------------------------------------------------------------ the dedup stage
 
+#: Fingerprints of the stage: as in the query.
+FP_WORDS, FP_RADIUS = 3, 3
 #: Five-word shingles, whose sets are compared.
 STAGE_WORDS = 5
 SIMILARITY = 0.8
@@ -359,6 +361,8 @@ SIMILARITY = 0.8
 PART, COLUMNS = 256, 20_000
 #: The same for bitmaps, which are smaller, and rows compared at once.
 WIDE_PART, ROWS = 1024, 32
+#: Texts that may share a rare shingle before their pairs are sought in cells, not in one task.
+HOT_SHINGLE = 4096
 #: Shingles are counted by their top bits, in so many counters, which travel in chunks.
 COUNTER_BITS, CHUNK_BITS = 20, 14
 
@@ -403,27 +407,34 @@ def _similar(sets: list[np.ndarray], low: np.ndarray, own: bool,
     return a, b
 
 
-def verified(members: DataFrame, words: int = STAGE_WORDS,
-             least: float = SIMILARITY) -> DataFrame:
+def verified(members: DataFrame, words: int = STAGE_WORDS, least: float = SIMILARITY,
+             every: bool = True) -> DataFrame:
     """Stars (a, b) of the nodes whose shingle sets are similar, within each group.
 
-    ``members`` has root (the group), parts, node and text, one row for each node.  Groups are cut
-    into that many parts by the hash of their nodes, and every two parts meet in a cell.
+    ``members`` has root (the group), parts, lead, node and text, one row for each node.  Groups are
+    cut into that many parts by the hash of their nodes, and every two parts meet in a cell.
+    Without ``every`` a part meets only itself and the nodes that lead their group, so that the
+    rows grow with the members alone.
     """
     kind = members.schema["node"].dataType.simpleString()
     group = members.schema["root"].dataType.simpleString()
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES):
-            sets = [shingle_hashes(t, words) for t in part.column(3).to_pylist()]
+            sets = [shingle_hashes(t, words) for t in part.column(4).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array(sets, pa.list_(pa.int64()))],
-                ["root", "parts", "node", "shingles"])
-
-    sets = members.select("root", "parts", "node", "text").mapInArrow(
-        shingle, f"root {group}, parts int, node {kind}, shingles array<bigint>")
-    cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
-        F.least(F.col("part"), j).alias("i"), F.greatest(F.col("part"), j).alias("j")))
+                [*part.columns[:4], pa.array(sets, pa.list_(pa.int64()))],
+                ["root", "parts", "lead", "node", "shingles"])
+
+    sets = members.select("root", "parts", "lead", "node", "text").mapInArrow(
+        shingle, f"root {group}, parts int, lead boolean, node {kind}, shingles array<bigint>")
+    all_parts = F.sequence(F.lit(0), F.col("parts") - 1)
+    if every:
+        cells = F.transform(all_parts, lambda j: F.struct(
+            F.least(F.col("part"), j).alias("i"), F.greatest(F.col("part"), j).alias("j")))
+    else:
+        cells = F.transform(F.when(F.col("lead"), all_parts).otherwise(F.array("part")),
+                            lambda j: F.struct(j.alias("i"), j.alias("j")))
     laid = (sets.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
             .withColumn("cell", F.explode(cells))
             .select(F.xxhash64("root", "cell").alias("key"), "node",
@@ -518,53 +529,176 @@ def prefix(hashes: np.ndarray, ranks: np.ndarray, least: float = SIMILARITY) ->
     return hashes[np.lexsort((hashes, ranks[_counter(hashes)]))[:size]]
 
 
-def proposed_groups(texts: DataFrame, words: int = STAGE_WORDS,
-                    least: float = SIMILARITY) -> DataFrame:
-    """(node, root) of groups that hold every pair of similar texts; ``texts`` has key and text.
+def described(texts: DataFrame, words: int = STAGE_WORDS,
+              least: float = SIMILARITY) -> DataFrame:
+    """(node, fp, size, prefix, bits) of the texts; ``texts`` has key and text.
 
-    Groups by shared shingles are cut down to what sizes and bitmaps of the sets allow.
-    Texts that share a shingle of their prefixes form a bucket.  Sorted by the sizes of their sets,
-    each is tied to the one before, unless that is too small to be similar; then none before it
-    is similar either.
+    The fingerprint, the size of the shingle set, its rarest shingles in order, its bitmap.  Copies
+    in different tasks have a row each.
     """
     ranks = texts.sparkSession.sparkContext.broadcast(_commonness(texts, words))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies inside a task enter once
         for part in slices(batches, "text", SLICE_BYTES):
-            nodes, sizes, first, bits = [], [], [], []
+            nodes, fps, sizes, first, bits = [], [], [], [], []
             for node, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 if node not in seen:
                     seen.add(node)
                     hashes = shingle_hashes(text, words)
                     nodes.append(node)
+                    fps.append(fingerprint(text, FP_WORDS))
                     sizes.append(len(hashes))
                     first.append(prefix(hashes, ranks.value, least))
                     bits.append(parity(hashes).tobytes())
             if nodes:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
-                     pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                    ["node", "size", "prefix", "bits"])
+                    [pa.array(nodes, pa.int64()), pa.array(fps, pa.binary()),
+                     pa.array(sizes, pa.int32()), pa.array(first, pa.list_(pa.int64())),
+                     pa.array(bits, pa.binary())], ["node", "fp", "size", "prefix", "bits"])
 
     # Each text is read and cut into shingles once; what follows reads this table.
-    described = cut_lineage(texts.select("key", "text").mapInArrow(
-        describe, "node bigint, size int, prefix array<bigint>, bits binary"))
-    order = Window.partitionBy("shingle").orderBy("size", "node")
-    tied = (described.select(F.explode("prefix").alias("shingle"), "node", "size")
-            .select("node", F.lag("node").over(order).alias("before"), "size",
-                    F.lag("size").over(order).alias("smaller"))
-            .where((F.col("node") != F.col("before"))
-                   & (F.col("smaller") >= F.col("size") * least - 1e-6)))
-    loose = cut_lineage(components(tied.select(F.col("node").alias("a"),
-                                               F.col("before").alias("b"))))
-    parts = loose.groupBy("root").agg(
-        F.ceil(F.count("*") / F.lit(WIDE_PART)).cast("int").alias("parts"))
-    members = loose.join(parts, "root").join(
-        described.select("node", "size", "bits"), "node").dropDuplicates(["node", "bits"])
-    near = cut_lineage(components(_near(members, least)))
-    discard(described, loose)
-    return near
+    return cut_lineage(texts.select("key", "text").mapInArrow(
+        describe, "node bigint, fp binary, size int, prefix array<bigint>, bits binary"))
+
+
+def fingerprint_groups(table: DataFrame) -> DataFrame:
+    """(short, root, lead) of the nodes in groups that links between fingerprints make.
+
+    ``table`` is that of :func:`described`; the links are those of :func:`near_duplicates`.
+    """
+    nodes = cut_lineage(table.select("node", "fp").dropDuplicates(["node"]))
+    found = groups(nodes, "node", FP_RADIUS, exact_tables(64, FP_RADIUS))
+    grouped = nodes.join(found, "fp").select(
+        F.col("node").alias("short"), F.col("component_id").alias("root"),
+        (F.col("node") == F.col("component_id")).alias("lead"))
+    several = grouped.groupBy("root").count().where("count > 1").select("root")
+    return grouped.join(several, "root", "left_semi")
+
+
+def _meetings(least: float) -> Callable:
+    """Pairs (a, b, hot) of nodes with other labels that share a shingle of their prefixes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by shingle and size; the last shingle of a batch waits for the next."""
+        def pairs(shingle: np.ndarray, place: np.ndarray, node: np.ndarray,
+                  label: np.ndarray) -> Iterator[pa.RecordBatch]:
+            size, at = place >> 32, place & 0xFFFFFFFF
+            most = len(shingle)
+            starts = np.nonzero(np.append(True, shingle[1:] != shingle[:-1]))[0]
+            length = np.diff(np.append(starts, most))
+            # Where all have one label, there is nothing left to tie.
+            mixed = np.maximum.reduceat(label, starts) != np.minimum.reduceat(label, starts)
+            hot = np.repeat(length > HOT_SHINGLE, length)
+            stop = np.repeat(starts + length, length)
+            here = np.nonzero(np.repeat(mixed, length))[0]
+            kept: list[tuple] = []
+            total = step = 0
+            while len(here):
+                step += 1
+                here = here[here + step < stop[here]]
+                other = here + step
+                fits = size[here] >= least * size[other] - 1e-6
+                here, other = here[fits], other[fits]  # later ones are larger still
+                shared = np.minimum(size[here] - at[here], size[other] - at[other])
+                may = shared >= least / (1 + least) * (size[here] + size[other]) - 1e-6
+                # In a hot bucket neighbours are tied, whatever their labels and places.
+                may = np.where(hot[here], node[here] != node[other],
+                               may & (label[here] != label[other]))
+                if may.any():
+                    a, b = node[here[may]], node[other[may]]
+                    kept.append((np.minimum(a, b), np.maximum(a, b), hot[here[may]]))
+                    total += len(a)
+                    if total > 1 << 20:
+                        yield packed(kept)
+                        kept, total = [], 0
+                here = here[~hot[here]]
+            if kept:
+                yield packed(kept)
+
+        def packed(kept: list[tuple]) -> pa.RecordBatch:
+            a, b, hot = (np.concatenate(x) for x in zip(*kept))
+            order = np.lexsort((hot, b, a))
+            a, b, hot = a[order], b[order], hot[order]
+            new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (hot[1:] != hot[:-1]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a[new]), pa.array(b[new]), pa.array(hot[new])], ["a", "b", "hot"])
+
+        waiting: list[list[np.ndarray]] = []  # rows of the open shingle
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if waiting and rows[0][0] == waiting[0][0][-1] == rows[0][-1]:
+                waiting.append(rows)  # a shingle that fills batches
+                continue
+            waiting.append(rows)
+            held = [np.concatenate(x) for x in zip(*waiting)]
+            open_at = int(np.searchsorted(held[0], held[0][-1]))
+            if open_at:
+                yield from pairs(*(x[:open_at] for x in held))
+            waiting = [[x[open_at:] for x in held]]
+        if waiting:
+            yield from pairs(*(np.concatenate(x) for x in zip(*waiting)))
+    return run
+
+
+def _allowed(least: float) -> Callable:
+    """Keeps the pairs (a, b) whose sizes and bitmaps allow them to be similar."""
+    share = (1 - least) / (1 + least)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            for x, y, both in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(),
+                                  sizes.tolist()):
+                x, y = np.frombuffer(x, np.uint64)[None, :], np.frombuffer(y, np.uint64)[None, :]
+                words = min(x.shape[1], y.shape[1])
+                differ = int(np.bitwise_count(_fold(x, words) ^ _fold(y, words)).sum())
+                keep.append(differ <= share * both + 1e-6)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(
+                pa.array(keep, pa.bool_()))
+    return run
+
+
+def proposed_groups(table: DataFrame, labels: DataFrame,
+                    least: float = SIMILARITY) -> DataFrame:
+    """(node, root) of groups that hold every pair of similar texts with different labels.
+
+    ``table`` is that of :func:`described`, ``labels`` has short and label of the nodes that are
+    joined with others already; each other node has a label of its own.  Texts that share a
+    shingle of their prefixes meet, sorted by the sizes of their sets.  The first shingle that a
+    similar pair shares leaves enough shingles behind it on both sides; sizes and bitmaps must allow the
+    similarity too.  A shingle that very many texts share makes no pairs: each is tied to the one
+    before, unless that is too small to be similar, and what ties reach is compared in cells.
+    """
+    known = screen(labels, "short")
+    placed = table.select("node", "size", "prefix")
+    labelled = (placed.where(known("node")).join(
+        labels.select(F.col("short").alias("node"), "label"), "node", "left")
+        .unionByName(placed.where(~known("node")).withColumn("label", F.lit(None).cast("long"))))
+    met = cut_lineage(
+        labelled.select("node", "size", "label", F.posexplode("prefix").alias("at", "shingle"))
+        .select("shingle", F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(
+            F.col("at").cast("long")).alias("place"), "node", "label")
+        .repartition("shingle").sortWithinPartitions("shingle", "place", "node")
+        .select("shingle", "place", "node", F.coalesce("label", "node").alias("label"))
+        .mapInArrow(_meetings(least), "a bigint, b bigint, hot boolean"))
+    own = table.select("node", "size", "bits").dropDuplicates(["node"])
+    pairs = met.where("not hot").select("a", "b").distinct()
+    for side in "ab":
+        pairs = pairs.join(own.toDF(side, f"size_{side}", f"bits_{side}"), side)
+    near = pairs.select("a", "b", "size_a", "size_b", "bits_a", "bits_b").mapInArrow(
+        _allowed(least), "a bigint, b bigint")
+    hot = met.where("hot").select("a", "b")
+    if hot.limit(1).count():
+        loose = cut_lineage(components(hot))
+        parts = loose.groupBy("root").agg(
+            F.ceil(F.count("*") / F.lit(WIDE_PART)).cast("int").alias("parts"))
+        near = near.unionByName(_near(loose.join(parts, "root").join(own, "node"), least))
+    found = cut_lineage(components(near))
+    discard(met)
+    return found
 
 
 def parity(hashes: np.ndarray) -> np.ndarray:
@@ -666,10 +800,12 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     """The rows of ``docs``, one of each group of near-duplicates.
 
     Texts whose sets of five-word shingles have a Jaccard similarity of ``least`` or more are
-    linked, and what links reach is a group.  Shared rare shingles propose groups that no similar
-    pair escapes, whatever its length; inside them the sets are compared.  The row with the least
-    id stays (rows without an id come last, ties go by the text's digest).  Rows equal in id and
-    text count as one.  All texts without words, nulls among them, are one group.
+    linked, and what links reach is a group.  SimHash fingerprints propose links first; those that
+    the sets confirm join most of a large group.  Shared rare shingles then propose groups that no
+    similar pair still apart escapes, whatever its length, and there the sets are compared too.
+    The row with the least id stays (rows without an id come last, ties go by the text's digest).
+    Rows equal in id and text count as one.  All texts without words, nulls among them, are one
+    group.
     """
     marked = docs.withColumns({
         "__digest": F.coalesce(F.sha2(text, 256), F.lit("")), "__key": F.xxhash64(id_column),
@@ -678,24 +814,36 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                      F.col("__digest").alias("node"), F.col("__key").alias("key"))
     texts = cut_lineage(marked.groupBy(F.col("__digest").alias("node")).agg(
         F.min(order).alias("best"), F.min("__short").alias("short"), F.count("*").alias("n")))
-    # Texts are grouped by a short key; if two ever share one, they are told apart below.
-    near = proposed_groups(marked.select(F.col("__short").alias("key"),
-                                           F.col(text).alias("text")), STAGE_WORDS, least)
-    candidates = cut_lineage(
-        texts.join(near.toDF("short", "root"), "short")
-        .select("node", "root", "short", F.col("best.key").alias("key")))
-    # Sizes of groups are counted without the texts, so each set of shingles moves only once.
-    parts = candidates.groupBy("root").agg(
-        F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
-    proposed = screen(candidates, "short")
-    # One row of each text: that with the least id.  Id and text together are no hot key.  Texts
-    # in no proposed group stay where they are.
-    members = (marked.where(proposed("__short"))
-               .select("__digest", "__key", F.col(text).alias("text"))
-               .join(candidates.join(parts, "root"),
-                     (F.col("__digest") == F.col("node")) & (F.col("__key") == F.col("key")))
-               .dropDuplicates(["__digest", "__key"]).select("root", "parts", "node", "text"))
-    roots = cut_lineage(components(verified(members, STAGE_WORDS, least)))
+
+    def compared(chosen: DataFrame, every: bool) -> DataFrame:
+        """Links between the texts of groups; ``chosen`` has short, root and lead."""
+        # Texts are grouped by a short key; if two ever share one, they are told apart here.
+        candidates = cut_lineage(texts.join(chosen, "short").select(
+            "node", "root", "lead", "short", F.col("best.key").alias("key")))
+        # Sizes of groups are counted without the texts, so each set of shingles moves only once.
+        parts = candidates.groupBy("root").agg(
+            F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+        proposed = screen(candidates, "short")
+        # One row of each text: that with the least id.  Id and text together are no hot key.  Texts
+        # in no proposed group stay where they are.
+        members = (marked.where(proposed("__short"))
+                   .select("__digest", "__key", F.col(text).alias("text"))
+                   .join(candidates.join(parts, "root"),
+                         (F.col("__digest") == F.col("node")) & (F.col("__key") == F.col("key")))
+                   .dropDuplicates(["__digest", "__key"])
+                   .select("root", "parts", "lead", "node", "text"))
+        return cut_lineage(verified(members, STAGE_WORDS, least, every))
+
+    table = described(marked.select(F.col("__short").alias("key"), F.col(text).alias("text")),
+                      STAGE_WORDS, least)
+    alike = compared(fingerprint_groups(table), every=False)
+    joined = components(alike)
+    labels = cut_lineage(texts.join(joined, "node").select(
+        "short", F.xxhash64("root").alias("label")).dropDuplicates(["short"]))
+    rest = proposed_groups(table, labels, least)
+    others = compared(rest.toDF("short", "root").withColumn("lead", F.lit(False)), every=True)
+    roots = cut_lineage(components(alike.unionByName(others)))
+    discard(table, labels, rest, alike, others)
     told = cut_lineage(texts.join(roots, "node", "left"))
     # Rows alone with their text, which is in no group, are kept without being moved.
     grouped = told.where("n > 1 or root is not null")

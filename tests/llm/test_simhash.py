@@ -157,6 +157,61 @@ def test_dedup_of_a_large_group_of_near_copies(spark):
     assert sorted(kept) == [0, *range(5000, 5200)]
 
 
+def test_dedup_goes_through_fingerprints(spark, monkeypatch):
+    texts = [prose(90, 300 + i) for i in range(40)]
+    texts += [t.replace(" ", "  ") + "\n" for t in texts[:10]]  # other texts, equal fingerprints
+    grouped, confirmed, own, verified = [], [], simhash.fingerprint_groups, simhash.verified
+
+    def noted(table):
+        found = own(table)
+        grouped.append(found.count())
+        return found
+
+    def checked(members, words, least, every):
+        found = verified(members, words, least, every)
+        confirmed.append(found.count())
+        return found
+
+    monkeypatch.setattr(simhash, "fingerprint_groups", noted)
+    monkeypatch.setattr(simhash, "verified", checked)
+    assert left(spark, texts) == list(range(40))
+    # What fingerprints join is confirmed, and nothing is left for shared shingles to find.
+    assert grouped == [20] and confirmed == [10, 0]
+
+
+def test_dedup_of_texts_that_only_share_a_passage_with_the_next(spark, monkeypatch):
+    def no_cells(*_):
+        raise AssertionError("pairs that share a shingle need no cells of whole groups")
+
+    monkeypatch.setattr(simhash, "_near", no_cells)
+    passages = [prose(7, 500 + i) for i in range(301)]
+    texts = [f"{passages[i]} {prose(30, 2000 + i)} {passages[i + 1]}" for i in range(300)]
+    assert left(spark, texts) == list(range(300))
+
+
+def test_dedup_where_shingles_are_shared_by_many(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT_SHINGLE", 3)
+    monkeypatch.setattr(simhash, "WIDE_PART", 8)
+    draw = random.Random(6)
+    texts = []
+    for group in range(12):
+        base = prose(60, 700 + group).split()
+        for i in range(9):
+            words = list(base)
+            for _ in range(i % 3):
+                words[draw.randrange(60)] = f"w{group}x{i}"
+            texts.append(" ".join(words))
+    sets = [shingles(t) for t in texts]
+    roots = components(range(len(texts)), [
+        (a, b) for a in range(len(texts)) for b in range(a)
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    for without in (False, True):  # also where fingerprints find nothing
+        if without:
+            own = simhash.fingerprint_groups
+            monkeypatch.setattr(simhash, "fingerprint_groups", lambda t: own(t).limit(0))
+        assert left(spark, texts) == sorted(set(roots.values()))
+
+
 def test_bitmaps_never_part_similar_sets():
     draw = random.Random(8)
     sets = []
