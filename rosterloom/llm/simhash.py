@@ -34,7 +34,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.llm.common import components, read, screen, slices
@@ -361,7 +361,9 @@ SIMILARITY = 0.8
 PART, COLUMNS = 256, 20_000
 #: The same for bitmaps, which are smaller, and rows compared at once.
 WIDE_PART, ROWS = 1024, 32
-#: Texts that may share a rare shingle before their pairs are sought in cells, not in one task.
+#: Pairs that a rare shingle may make for each of its texts before these are handed on as members.
+CROWDED = 8
+#: Texts that may share a rare shingle before what it ties is sought in cells.
 HOT_SHINGLE = 4096
 #: Shingles are counted by their top bits, in so many counters, which travel in chunks.
 COUNTER_BITS, CHUNK_BITS = 20, 14
@@ -576,12 +578,23 @@ def fingerprint_groups(table: DataFrame) -> DataFrame:
     return grouped.join(several, "root", "left_semi")
 
 
+MET = ["a", "b", "hot", "shingle", "label"]
+
+
 def _meetings(least: float) -> Callable:
-    """Pairs (a, b, hot) of nodes with other labels that share a shingle of their prefixes."""
+    """Pairs (a, b) of nodes with other labels that share a shingle of their prefixes.
+
+    A shingle with more than ``CROWDED`` pairs a node gives a row for each node instead: a, its
+    label, the shingle, and in b one node that it may be similar to, if there is one.  So the rows
+    grow with the nodes alone.  Neighbours in a shingle with more than ``HOT_SHINGLE`` are marked hot.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by shingle and size; the last shingle of a batch waits for the next."""
         def pairs(shingle: np.ndarray, place: np.ndarray, node: np.ndarray,
                   label: np.ndarray) -> Iterator[pa.RecordBatch]:
+            # A text that several tasks described is one node.
+            new = np.append(True, (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1]))
+            shingle, place, node, label = (x[new] for x in (shingle, place, node, label))
             size, at = place >> 32, place & 0xFFFFFFFF
             most = len(shingle)
             starts = np.nonzero(np.append(True, shingle[1:] != shingle[:-1]))[0]
@@ -589,7 +602,30 @@ def _meetings(least: float) -> Callable:
             # Where all have one label, there is nothing left to tie.
             mixed = np.maximum.reduceat(label, starts) != np.minimum.reduceat(label, starts)
             hot = np.repeat(length > HOT_SHINGLE, length)
+            bucket = np.repeat(np.arange(len(starts)), length)
+            made, crowded = np.zeros(len(starts), np.int64), np.zeros(len(starts), bool)
             stop = np.repeat(starts + length, length)
+
+            def fits(here: np.ndarray, other: np.ndarray) -> np.ndarray:
+                return size[here] >= least * size[other] - 1e-6
+
+            def may_share(here: np.ndarray, other: np.ndarray) -> np.ndarray:
+                shared = np.minimum(size[here] - at[here], size[other] - at[other])
+                return shared >= least / (1 + least) * (size[here] + size[other]) - 1e-6
+
+            def members(here: np.ndarray) -> pa.RecordBatch:
+                # Each is tied to the next one with another label.
+                ends = np.nonzero(np.append(
+                    (shingle[1:] != shingle[:-1]) | (label[1:] != label[:-1]), True))[0] + 1
+                other = ends[np.searchsorted(ends, here, side="right")]
+                tied = other < stop[here]
+                other = np.where(tied, other, here)
+                tied &= fits(here, other) & may_share(here, other)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(node[here]), pa.array(node[other], mask=~tied),
+                     pa.array(np.zeros(len(here), bool)), pa.array(shingle[here]),
+                     pa.array(label[here])], MET)
+
             here = np.nonzero(np.repeat(mixed, length))[0]
             kept: list[tuple] = []
             total = step = 0
@@ -597,31 +633,37 @@ def _meetings(least: float) -> Callable:
                 step += 1
                 here = here[here + step < stop[here]]
                 other = here + step
-                fits = size[here] >= least * size[other] - 1e-6
-                here, other = here[fits], other[fits]  # later ones are larger still
-                shared = np.minimum(size[here] - at[here], size[other] - at[other])
-                may = shared >= least / (1 + least) * (size[here] + size[other]) - 1e-6
+                fit = fits(here, other)
+                here, other = here[fit], other[fit]  # later ones are larger still
                 # In a hot bucket neighbours are tied, whatever their labels and places.
-                may = np.where(hot[here], node[here] != node[other],
-                               may & (label[here] != label[other]))
+                may = hot[here] | may_share(here, other) & (label[here] != label[other])
                 if may.any():
                     a, b = node[here[may]], node[other[may]]
-                    kept.append((np.minimum(a, b), np.maximum(a, b), hot[here[may]]))
+                    own = bucket[here[may]]
+                    kept.append((np.minimum(a, b), np.maximum(a, b), hot[here[may]], own))
+                    np.add.at(made, own, 1)
+                    crowded = made > CROWDED * length
                     total += len(a)
                     if total > 1 << 20:
-                        yield packed(kept)
+                        yield from packed(kept, crowded)
                         kept, total = [], 0
-                here = here[~hot[here]]
+                here = here[~(hot[here] | crowded[bucket[here]])]
             if kept:
-                yield packed(kept)
-
-        def packed(kept: list[tuple]) -> pa.RecordBatch:
-            a, b, hot = (np.concatenate(x) for x in zip(*kept))
+                yield from packed(kept, crowded)
+            if crowded.any():
+                yield members(np.nonzero(crowded[bucket])[0])
+
+        def packed(kept: list[tuple], crowded: np.ndarray) -> Iterator[pa.RecordBatch]:
+            a, b, hot, own = (np.concatenate(x) for x in zip(*kept))
+            a, b, hot = (x[~crowded[own]] for x in (a, b, hot))
+            if not len(a):
+                return
             order = np.lexsort((hot, b, a))
             a, b, hot = a[order], b[order], hot[order]
             new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (hot[1:] != hot[:-1]))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(a[new]), pa.array(b[new]), pa.array(hot[new])], ["a", "b", "hot"])
+            none = pa.nulls(int(new.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a[new]), pa.array(b[new]), pa.array(hot[new]), none, none], MET)
 
         waiting: list[list[np.ndarray]] = []  # rows of the open shingle
         for batch in batches:
@@ -661,6 +703,51 @@ def _allowed(least: float) -> Callable:
     return run
 
 
+def _parts() -> Column:
+    return F.ceil(F.count("*") / F.lit(WIDE_PART)).cast("int").alias("parts")
+
+
+def _crowds(crowds: DataFrame, joined: DataFrame, own: DataFrame) -> DataFrame | None:
+    """(root, parts, node, label, joined) for the comparison of crowded shingles, None without any.
+
+    ``crowds`` has root (the shingle), node and label, ``joined`` node and root of what is joined,
+    ``own`` the bits.  Shingles of which all nodes have one label, or are joined, are left out.  What
+    the others reach is one group, in which a pair meets once, or else remains a group for each
+    shingle: whichever moves fewer bytes of bitmaps.
+    """
+    known = crowds.join(joined.toDF("node", "joined"), "node", "left").withColumn(
+        "joined", F.coalesce("joined", "node"))
+    known = cut_lineage(known)
+    # Where labels differ, and so do joined groups, some pair is apart in both ways.
+    apart = known.groupBy("root").agg(_parts(), F.min("node").alias("first"), *(
+        (F.min(c) != F.max(c)).alias(f"{c}_apart") for c in ("label", "joined")))
+    members = cut_lineage(known.join(
+        apart.where("label_apart and joined_apart").select("root", "parts", "first"), "root"))
+    discard(known)
+    if not members.limit(1).count():
+        discard(members)
+        return None
+    reached = cut_lineage(components(members.select(
+        F.col("node").alias("a"), F.col("first").alias("b"))))
+    # For each node: the bytes that its shingles would move, and its group.
+    nodes = cut_lineage(
+        members.groupBy("node", "label", "joined").agg(F.sum("parts").alias("times"))
+        .join(reached.withColumnRenamed("root", "whole"), "node")
+        .join(own.select("node", F.length("bits").alias("bytes")), "node"))
+    whole = cut_lineage(nodes.groupBy("whole").agg(
+        _parts(), F.sum(F.col("bytes") * F.col("times")).alias("split"),
+        F.sum("bytes").alias("bytes"))
+        .select("whole", "parts", (F.col("bytes") * F.col("parts") <= F.col("split"))
+                .alias("at_once")))
+    at_once = nodes.join(whole.where("at_once"), "whole").select(
+        F.col("whole").alias("root"), "parts", "node", "label", "joined")
+    split = nodes.join(whole.where("not at_once"), "whole").select("node")
+    chosen = cut_lineage(at_once.unionByName(
+        members.join(split, "node").select("root", "parts", "node", "label", "joined")))
+    discard(members, reached, nodes, whole)
+    return chosen
+
+
 def proposed_groups(table: DataFrame, labels: DataFrame,
                     least: float = SIMILARITY) -> DataFrame:
     """(node, root) of groups that hold every pair of similar texts with different labels.
@@ -669,8 +756,10 @@ def proposed_groups(table: DataFrame, labels: DataFrame,
     joined with others already; each other node has a label of its own.  Texts that share a
     shingle of their prefixes meet, sorted by the sizes of their sets.  The first shingle that a
     similar pair shares leaves enough shingles behind it on both sides; sizes and bitmaps must allow the
-    similarity too.  A shingle that very many texts share makes no pairs: each is tied to the one
-    before, unless that is too small to be similar, and what ties reach is compared in cells.
+    similarity too.  A shingle that would make many pairs a text makes none: each is tied to one
+    other, and where such ties leave the shingle's texts in several groups, their bitmaps are
+    compared in cells (:func:`_crowds`).  Where very many share one, each is tied to the one before,
+    unless that is too small to be similar, and what all such ties reach is compared in cells.
     """
     known = screen(labels, "short")
     placed = table.select("node", "size", "prefix")
@@ -683,21 +772,35 @@ def proposed_groups(table: DataFrame, labels: DataFrame,
             F.col("at").cast("long")).alias("place"), "node", "label")
         .repartition("shingle").sortWithinPartitions("shingle", "place", "node")
         .select("shingle", "place", "node", F.coalesce("label", "node").alias("label"))
-        .mapInArrow(_meetings(least), "a bigint, b bigint, hot boolean"))
+        .mapInArrow(_meetings(least),
+                    "a bigint, b bigint, hot boolean, shingle bigint, label bigint"))
     own = table.select("node", "size", "bits").dropDuplicates(["node"])
-    pairs = met.where("not hot").select("a", "b").distinct()
+    pairs = met.where("not hot and b is not null").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     for side in "ab":
         pairs = pairs.join(own.toDF(side, f"size_{side}", f"bits_{side}"), side)
     near = pairs.select("a", "b", "size_a", "size_b", "bits_a", "bits_b").mapInArrow(
         _allowed(least), "a bigint, b bigint")
+    stored = [met]
+    crowds = met.where("shingle is not null").select(
+        F.col("shingle").alias("root"), F.col("a").alias("node"), "label")
+    if crowds.limit(1).count():
+        joined = cut_lineage(components(near))
+        stored.append(joined)
+        members = _crowds(crowds, joined, own)
+        near = joined.toDF("a", "b")
+        if members is not None:
+            stored.append(members)
+            near = near.unionByName(_near(members.join(own, "node"), least))
     hot = met.where("hot").select("a", "b")
     if hot.limit(1).count():
         loose = cut_lineage(components(hot))
-        parts = loose.groupBy("root").agg(
-            F.ceil(F.count("*") / F.lit(WIDE_PART)).cast("int").alias("parts"))
-        near = near.unionByName(_near(loose.join(parts, "root").join(own, "node"), least))
+        alike = loose.join(loose.groupBy("root").agg(_parts()), "root").withColumns(
+            {"label": F.col("node"), "joined": F.col("node")})
+        near = near.unionByName(_near(alike.join(own, "node"), least))
+        stored.append(loose)
     found = cut_lineage(components(near))
-    discard(met)
+    discard(*stored)
     return found
 
 
@@ -757,8 +860,9 @@ def _fold_all(bits: list[np.ndarray], words: int) -> np.ndarray:
 def _near(members: DataFrame, least: float) -> DataFrame:
     """Stars (a, b) of the nodes that sizes and bitmaps allow to be similar, within each group.
 
-    ``members`` has root, parts, node, size and bits.  Bitmaps are a sixteenth of the sets or less,
-    so every two parts of a large group can meet.
+    ``members`` has root, parts, node, label, joined, size and bits.  Nodes with one label, or joined
+    already, are no pair.  Bitmaps are a sixteenth of the sets or less, so every two parts of a
+    large group can meet.
     """
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
         F.least(F.col("part"), j).alias("i"), F.greatest(F.col("part"), j).alias("j")))
@@ -766,16 +870,19 @@ def _near(members: DataFrame, least: float) -> DataFrame:
             .withColumn("cell", F.explode(cells))
             .select(F.xxhash64("root", "cell").alias("key"), "node",
                     (F.col("part") == F.col("cell.i")).alias("low"),
-                    (F.col("cell.i") == F.col("cell.j")).alias("own"), "size", "bits")
+                    (F.col("cell.i") == F.col("cell.j")).alias("own"), "label", "joined", "size",
+                    "bits")
             .repartition("key").sortWithinPartitions("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def star(rows: list) -> Iterator[tuple]:
             if len(rows) > 1:
-                _, nodes, low, own, sizes, bits = zip(*rows)
-                label = _least_labels(len(rows), *_close(
-                    np.array(sizes), [np.frombuffer(x, np.uint64) for x in bits], np.array(low),
-                    own[0], least))
+                _, nodes, low, own, labels, joined, sizes, bits = zip(*rows)
+                a, b = _close(np.array(sizes), [np.frombuffer(x, np.uint64) for x in bits],
+                              np.array(low), own[0], least)
+                labels, joined = np.array(labels), np.array(joined)
+                apart = (labels[a] != labels[b]) & (joined[a] != joined[b])
+                label = _least_labels(len(rows), a[apart], b[apart])
                 for i in np.nonzero(label != np.arange(len(rows)))[0].tolist():
                     yield nodes[i], nodes[label[i]]
 

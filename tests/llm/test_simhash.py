@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import components, documents, odd_texts, prose
@@ -231,3 +232,67 @@ def test_bitmaps_never_part_similar_sets():
                    and len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(
                        np.union1d(sets[a], sets[b])) - 1e-9}
         assert similar <= near and len(near) < 2 * len(similar)
+
+
+def test_rows_of_a_shared_shingle_grow_with_its_texts():
+    for n, copies in ((10, 1), (600, 1), (600, 3), (simhash.HOT_SHINGLE + 5, 1)):
+        nodes = np.repeat(np.arange(n), copies)
+        place = np.full(len(nodes), 50 << 32)
+        for label in (nodes, nodes % 2):  # all apart, and two large groups
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (np.full(len(nodes), 7), place, nodes, label)],
+                ["shingle", "place", "node", "label"])
+            rows = [r for b in simhash._meetings(0.8)(iter([batch])) for r in b.to_pylist()]
+            if n == 10:
+                assert {(r["a"], r["b"]) for r in rows} == {
+                    (a, b) for b in range(n) for a in range(b) if label[a] != label[b]}
+            else:
+                assert n - 1 <= len(rows) <= n
+                assert all(r["b"] is None or r["a"] != r["b"] for r in rows)
+
+
+@pytest.mark.parametrize("labelled,several", [(False, False), (True, False), (False, True)])
+def test_a_crowded_shingle_loses_no_pair(spark, monkeypatch, labelled, several):
+    monkeypatch.setattr(simhash, "WIDE_PART", 32)
+    draw = random.Random(12)
+    sets, similar = {}, []
+    for i in range(150):  # pairs at a similarity over 0.8, no others
+        base = [draw.getrandbits(64) - 2 ** 63 for _ in range(100)]
+        a, b = draw.getrandbits(62), draw.getrandbits(62)
+        sets[a], sets[b] = base, base[:95] + [draw.getrandbits(62) for _ in range(5)]
+        similar.append((a, b))
+    # One shingle is in all texts, or a text shares one with those before and one with the next.
+    table = spark.createDataFrame(
+        [(n, 100, [i // 50, i // 50 + 1] if several else [7],
+          bytearray(simhash.parity(np.array(x, np.int64)).tobytes()))
+         for i, (n, x) in enumerate(sets.items())],
+        "node long, size int, prefix array<long>, bits binary")
+    # Where the first texts of all pairs have one label, second ones still meet each of them.
+    labels = spark.createDataFrame([(a, 5) for a, _ in similar if labelled],
+                                   "short long, label long")
+    found = simhash.proposed_groups(simhash.cut_lineage(table), labels)
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r["root"], set()).add(r["node"])
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, similar))
+
+
+def test_dedup_where_shingles_are_crowded(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWDED", 3)
+    monkeypatch.setattr(simhash, "WIDE_PART", 8)
+    own = simhash.fingerprint_groups  # half of what fingerprints find is left to shingles
+    monkeypatch.setattr(simhash, "fingerprint_groups", lambda t: own(t).where("short % 2 = 0"))
+    draw = random.Random(7)
+    texts = []
+    for group in range(6):
+        base = prose(60, 800 + group).split()
+        for i in range(18):
+            words = list(base)
+            for _ in range(i % 4):
+                words[draw.randrange(60)] = f"w{group}x{i}"
+            texts.append(" ".join(words))
+    sets = [shingles(t) for t in texts]
+    roots = components(range(len(texts)), [
+        (a, b) for a in range(len(texts)) for b in range(a)
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    assert left(spark, texts) == sorted(set(roots.values()))
