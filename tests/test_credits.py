@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterloom.config import CreditLimits, LadderConfig
-from rosterloom.operators import credits, prefix
+from rosterloom.operators import credits, forecast, prefix
 from rosterloom.operators.prefix import ordered_prefix
 from rosterloom.plans import pipeline
 
@@ -203,6 +203,32 @@ def test_rules_settle_as_in_turn(spark, window):
     assert kinds - set(got.values()) <= ({"month"} if window < 1000 else set())
 
 
+def test_deep_interplay_takes_one_round_of_the_rules(spark, monkeypatch):
+    # Caps, breaker and paid keys wait for one another in every few rows, over many stretches.
+    monkeypatch.setattr(forecast, "STRETCH_BITS", 6)
+    limits, ladder = CreditLimits(enrich=20, identify=12, per_batch=9), LadderConfig(
+        breaker_threshold=2, breaker_cooldown_seconds=7)
+    rng, rows = random.Random(5), []
+    for b in range(10):
+        rows += [outcome(f"b{b}", f"2024-0{b // 7 + 1}-0{b % 3 + 1}", n,
+                         kind := rng.choice(["enrich", "enrich", "identify"]),
+                         http := rng.choice([200, 404, 500, 500, 402 if b in (5, 9) else 200]),
+                         f"{kind}-{rng.randrange(90)}-{http}") for n in range(1, 41)]
+    rows = sorted(rows, key=lambda r: (r["batch_id"], r["row_number"]))
+    for i, r in enumerate(rows):  # in the order of batches, a row each second
+        at = dt.datetime(2024, 1 + (r["batch_id"] > "b6"), 1) + dt.timedelta(seconds=i)
+        r |= {"batch_date": at.date().isoformat(), "requested_at": at}
+    rounds, decide = [], pipeline._decide
+    monkeypatch.setattr(pipeline, "_decide", lambda *a: (rounds.append(1), decide(*a))[1])
+    settled = pipeline.settle_calls(
+        spark.createDataFrame(rows, OUTCOMES), spark.createDataFrame([], NO_OPENING),
+        pipeline.Settings(limits=limits, ladder=ladder)).collect()
+    want = call_in_turn(rows, limits, ladder)
+    assert {(r["batch_id"], r["row_number"]): label(r) for r in settled} == want
+    assert set(want.values()) == {"call", "cached", "exhausted", "month", "cap", "breaker"}
+    assert len(rounds) == 1
+
+
 def test_two_orders_are_refused_and_serial_times_settle(spark):
     rows = [outcome("a", "2024-01-01", 1, "identify", 500, "k1"),
             outcome("a", "2024-01-01", 3, "identify", 500, "k2"),
